@@ -6,6 +6,7 @@ import logging
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ..rules import RunConfig, TableRules
 from ..sinks import append_reports, export_csv, load_valid
@@ -19,9 +20,10 @@ log = logging.getLogger(__name__)
 class TableRun:
     name: str
     ingest_ts: str
-    loaded: bool
-    files: int
-    invalid_files: int
+    loaded: bool = False
+    files: int = 0
+    invalid_files: int = 0
+    error: str | None = None
 
 
 def target(root: str, dataset: str, table: str) -> str:
@@ -49,13 +51,14 @@ def run_landing(
         if not t.to_request:
             log.info("table %s skipped (to_request is false)", t.name)
             continue
-        rules = TableRules.load(t.rules_file)
         ts = now_utc()
-        res = check_landing(
-            spark, landing_root, rules, pipeline=config.pipeline_name, dataset=t.dataset,
-            table=t.table, ingest_ts=ts, multi_line=multi_line,
-        )
+        res = None
         try:
+            rules = TableRules.load(t.rules_file)
+            res = check_landing(
+                spark, landing_root, rules, pipeline=config.pipeline_name, dataset=t.dataset,
+                table=t.table, ingest_ts=ts, multi_line=multi_line,
+            )
             append_reports(
                 res,
                 target(output_root, config.quality_dataset, config.file_stats_table),
@@ -68,9 +71,14 @@ def run_landing(
                 export_csv(res.rows_stats, f"{base}/rows_stats")
                 export_csv(res.data_invalid, f"{base}/data_invalid", ["table", "source_filename", "index"])
             loaded = load_valid(res.valid, target(output_root, t.dataset, t.table), t.write_mode)
-            stats = res.file_stats.groupBy().agg({"is_invalid": "count"}).first()[0]
-            bad = res.file_stats.where("is_invalid").count()
-            runs.append(TableRun(t.name, ts, loaded, stats, bad))
+            counts = res.file_stats.agg(
+                F.count(F.lit(1)).alias("files"), F.count_if("is_invalid").alias("bad")
+            ).first()
+            runs.append(TableRun(t.name, ts, loaded, counts["files"], counts["bad"]))
+        except Exception as e:  # one table's failure does not stop the others
+            log.exception("table %s failed", t.name)
+            runs.append(TableRun(t.name, ts, error=f"{type(e).__name__}: {e}"))
         finally:
-            res.release()
+            if res is not None:
+                res.release()
     return runs

@@ -64,24 +64,54 @@ def scan_csv(
     schema = T.StructType(
         [T.StructField(c, T.StringType()) for c in (*text_cols, EXTRA, RAW)]
     )
-    df = (
-        reader(spark, "csv")
-        .schema(schema)
-        .option("sep", sep)
-        .option("encoding", encoding)
-        .option("header", "false")
-        .option("multiLine", str(multi_line).lower())
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", RAW)
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .csv(prefix_glob(root, rules.source_path))
-    )
+    csv_options = {
+        "sep": sep,
+        "quote": '"',
+        "escape": '"',
+        "mode": "PERMISSIVE",
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+    line_mode = not multi_line and encoding.lower().replace("-", "").replace("_", "") == "utf8"
+    if line_mode:
+        # One record per line: the text source splits big files into blocks and
+        # keeps the raw line; from_csv tokenizes it with the same options.
+        lines = reader(spark, "csv").text(prefix_glob(root, rules.source_path))
+        block = F.col("_metadata.file_block_start")
+        value = F.when(block == 0, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
+        ddl = ", ".join(f"{c} STRING" for c in (*text_cols, EXTRA))
+        parsed = F.from_csv(value, F.lit(ddl), csv_options)
+        df = lines.select(
+            *[parsed[c].alias(c) for c in text_cols],
+            value.alias(RAW),
+            F.is_valid_utf8("value").alias("_utf8_ok"),
+            F.col("_metadata.file_path").alias("_file_path"),
+            block.alias("_file_block"),
+        )
+        bad_utf8 = ~F.col("_utf8_ok")
+    else:
+        df = (
+            reader(spark, "csv")
+            .schema(schema)
+            .options(**csv_options)
+            .option("encoding", encoding)
+            .option("header", "false")
+            .option("multiLine", str(multi_line).lower())
+            .option("columnNameOfCorruptRecord", RAW)
+            .csv(prefix_glob(root, rules.source_path))
+            .select(
+                *text_cols,
+                RAW,
+                F.col("_metadata.file_path").alias("_file_path"),
+                F.col("_metadata.file_block_start").alias("_file_block"),
+            )
+        )
+        # The decoder substitutes U+FFFD for invalid bytes.
+        bad_utf8 = F.coalesce(F.instr(F.col(RAW), REPLACEMENT_CHAR) > 0, F.lit(False))
     raw = F.col(RAW)
     unq = unquoted(raw)
-    # A record with exactly n+1 fields fills the extra column and has no raw text.
+    # In the CSV reader a record with exactly n+1 fields fills the extra column
+    # and keeps no raw text.
     fields = F.when(raw.isNull(), F.lit(n + 1)).otherwise(_fields(unq, sep)).cast("int")
     header_ok = (fields == n) & F.coalesce(
         F.array(*[F.col(c) for c in text_cols]) == F.array(*[F.lit(h) for h in rules.header]),
@@ -91,8 +121,9 @@ def scan_csv(
         df.select(
             *text_cols,
             RAW,
-            decoded_path(F.col("_metadata.file_path")).alias(PATH),
-            F.col("_metadata.file_block_start").alias(BLOCK),
+            bad_utf8.alias("_bad_utf8"),
+            decoded_path(F.col("_file_path")).alias(PATH),
+            F.col("_file_block").alias(BLOCK),
         )
         # Blank and whitespace-only records are not rows (must precede numbering).
         .where(raw.isNull() | (F.btrim(raw, F.lit(ASCII_SPACE)) != ""))
@@ -102,7 +133,7 @@ def scan_csv(
             BLOCK,
             fields.alias("_fields"),
             F.coalesce(open_quote(unq, sep), F.lit(False)).alias("_open_quote"),
-            F.coalesce(F.instr(raw, REPLACEMENT_CHAR) > 0, F.lit(False)).alias("_bad_utf8"),
+            "_bad_utf8",
             header_ok.alias("_header_ok"),
             F.monotonically_increasing_id().alias(RID),
         )

@@ -27,8 +27,12 @@ def landing():
     def write(rel: str, content, binary: bool = False):
         path = os.path.join(root, rel)
         os.makedirs(os.path.dirname(path), exist_ok=True)
-        with open(path, "wb" if binary else "w", encoding=None if binary else "utf-8", newline="") as fh:
-            fh.write(content)
+        if binary:
+            with open(path, "wb") as fh:
+                fh.write(content)
+        else:
+            with open(path, "w", encoding="utf-8", newline="") as fh:
+                fh.write(content)
         return path
 
     write.root = root
