@@ -313,3 +313,18 @@ DATASETS = {
         Dataset("events", EVENTS, _events_spark, EVENTS_SQL),
     )
 }
+
+# Events as JSON landing files: one file per (day, event_id div 1000).
+EVENTS_JSON_SQL = _text_sql(
+    "strftime(ts, '%Y-%m-%d') || '_' || CAST(event_id // 1000 AS VARCHAR)",
+    "event_id",
+    {
+        "event_id": "CAST(event_id AS VARCHAR)",
+        "ts": "strftime(ts, '%Y-%m-%d %H:%M:%S')",
+        "user_id": "CASE WHEN event_id % 7 <> 0 THEN CAST(user_id AS VARCHAR) END",
+        "event_type": "CASE WHEN event_id % 5 <> 0 THEN event_type END",
+        "value": "CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR)",
+        "props": "props",
+    },
+    "events",
+)

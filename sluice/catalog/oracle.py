@@ -154,10 +154,11 @@ REPORT_COLS = [
 ]
 
 
-def rows_stats_sql(rules, text_sql, ingest_ts, pipeline, dataset, table) -> str:
+def rows_stats_sql(rules, text_sql, ingest_ts, pipeline, dataset, table,
+                   file_col: str = "k.source_filename") -> str:
     return ctes(rules, text_sql, ingest_ts) + (
         "SELECT " + f"{q(pipeline)} AS pipeline, {q(dataset)} AS dataset, {q(table)} AS \"table\", "
-        f"k.source_filename, CAST({q(ingest_ts)} AS TIMESTAMP) AS date_ingest, "
+        f"{file_col}, CAST({q(ingest_ts)} AS TIMESTAMP) AS date_ingest, "
         "count(*) FILTER (WHERE f.\"index\" IS NULL) AS nb_valid_lines, "
         "count(*) FILTER (WHERE f.\"index\" IS NOT NULL) AS nb_invalid_lines, "
         f"count(*) FILTER (WHERE f.has_null) AS nb_invalid_lines_{CODE_NULL}, "
@@ -171,11 +172,13 @@ def rows_stats_sql(rules, text_sql, ingest_ts, pipeline, dataset, table) -> str:
     )
 
 
-def valid_sql(rules: TableRules, text_sql, ingest_ts) -> str:
+def valid_sql(rules: TableRules, text_sql, ingest_ts, replace: dict[str, str] | None = None) -> str:
     cols = []
     for rule in rules.columns:
         c = ident(rule.name)
-        if rule.name == "execution_datetime":
+        if replace and rule.name in replace:
+            cols.append(replace[rule.name])
+        elif rule.name == "execution_datetime":
             cols.append(f"CAST({c} AS TIMESTAMP) AS {c}")
         elif rule.type == "STRING":
             cols.append(c)

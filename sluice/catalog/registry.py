@@ -110,3 +110,116 @@ def table_queries() -> dict[str, tuple[Query, str]]:
         "lineitem_valid_typed": _valid("lineitem"),
         "customer_valid_typed": _valid("customer"),
     }
+
+
+# ------------------------------------------------------------- landing ----
+def _landing_check(spark, sf):
+    from .landing import orders_landing, orders_landing_rules
+    from ..plans.landing import check_landing
+
+    root = orders_landing(spark, sf)
+    return check_landing(
+        spark, root, orders_landing_rules(), pipeline=PIPELINE, dataset=DATASET, table="orders",
+        ingest_ts=INGEST_TS, persist=False,
+    )
+
+
+def _with_label(df: DataFrame) -> DataFrame:
+    from .landing import label
+
+    lab = F.when(label() != "", label()).otherwise(F.regexp_extract("source_filename", "orders_(region)/", 1))
+    cols = [c for c in df.columns]
+    return df.select(*[lab.alias("landing_file") if c == "source_filename" else F.col(c) for c in cols])
+
+
+_ORDERS_LABEL = r"regexp_extract(k.source_filename, 'orders/(.+)\.csv', 1) AS landing_file"
+_DQ = f"{oracle.q(PIPELINE)} AS pipeline, {oracle.q(DATASET)} AS dataset, 'orders' AS \"table\""
+_TS_SQL = f"CAST({oracle.q(INGEST_TS)} AS TIMESTAMP) AS date_ingest"
+_BAD_COLS = "'Columns do not respect the columns definition'"
+
+
+def landing_queries() -> dict[str, tuple[Query, str]]:
+    ds = DATASETS["orders"]
+    ev = DATASETS["events"]
+    from .datasets import EVENTS_JSON_SQL
+
+    def file_stats(spark, sf):
+        return _with_label(_landing_check(spark, sf).file_stats)
+
+    def rows_stats(spark, sf):
+        return _with_label(_landing_check(spark, sf).rows_stats)
+
+    def data_invalid(spark, sf):
+        return _with_label(_landing_check(spark, sf).data_invalid).drop("index")
+
+    def valid(spark, sf):
+        return _with_label(_landing_check(spark, sf).valid)
+
+    def sink_roundtrip(spark, sf):
+        from ..session import new_scratch_path
+        from ..sinks import load_valid, read_table
+
+        v = _landing_check(spark, sf).valid
+        twice, trunc = new_scratch_path(spark, "sink-append"), new_scratch_path(spark, "sink-truncate")
+        load_valid(v, twice, "APPEND")
+        load_valid(v, twice, "APPEND")
+        load_valid(v, trunc, "APPEND")
+        load_valid(v, trunc, "TRUNCATE")
+        a = _with_label(read_table(spark, twice)).groupBy("landing_file").agg(F.count(F.lit(1)).alias("rows_after_two_appends"))
+        b = _with_label(read_table(spark, trunc)).groupBy("landing_file").agg(F.count(F.lit(1)).alias("rows_after_truncate"))
+        return a.join(b, "landing_file", "full")
+
+    def json_rows_stats(spark, sf):
+        from .landing import events_json_landing, events_json_rules, label
+        from ..plans.landing import check_landing
+
+        root = events_json_landing(spark, sf)
+        res = check_landing(
+            spark, root, events_json_rules(), pipeline=PIPELINE, dataset=DATASET, table="events",
+            ingest_ts=INGEST_TS, persist=False,
+        )
+        return res.rows_stats.withColumn("source_filename", label()).withColumnRenamed("source_filename", "landing_file")
+
+    file_stats_sql = (
+        f"SELECT {_DQ}, landing_file, {_TS_SQL}, is_invalid, description FROM ("
+        "SELECT DISTINCT o_orderstatus AS landing_file, false AS is_invalid, 'File is VALID' AS description FROM orders "
+        f"UNION ALL SELECT DISTINCT c_mktsegment, true, {_BAD_COLS} FROM customer "
+        f"UNION ALL SELECT DISTINCT 'region', true, {_BAD_COLS} FROM region)"
+    )
+    valid_label = {"source_filename": "regexp_extract(source_filename, 'orders/(.+)\\.csv', 1) AS landing_file"}
+    valid_sql = oracle.valid_sql(ds.rules, ds.text_sql, INGEST_TS, replace=valid_label)
+    sink_sql = (
+        f"SELECT landing_file, count(*) * 2 AS rows_after_two_appends, count(*) AS rows_after_truncate "
+        f"FROM ({valid_sql}) GROUP BY landing_file"
+    )
+    return {
+        "landing_file_stats": (file_stats, file_stats_sql),
+        "landing_rows_stats": (
+            rows_stats,
+            oracle.rows_stats_sql(ds.rules, ds.text_sql, INGEST_TS, PIPELINE, DATASET, "orders", file_col=_ORDERS_LABEL),
+        ),
+        "landing_data_invalid": (
+            data_invalid,
+            oracle.data_invalid_sql(
+                ds.rules, ds.text_sql, INGEST_TS, PIPELINE, DATASET, "orders",
+                columns=[
+                    _DQ, r"regexp_extract(source_filename, 'orders/(.+)\.csv', 1) AS landing_file",
+                    "r AS invalid_reason", "c AS invalid_code", "cn AS invalid_col_name",
+                    "cv AS invalid_col_value", _TS_SQL,
+                ],
+            ),
+        ),
+        "landing_valid_typed": (valid, valid_sql),
+        "sink_roundtrip": (sink_roundtrip, sink_sql),
+        "json_landing_rows_stats": (
+            json_rows_stats,
+            oracle.rows_stats_sql(
+                ev.rules, EVENTS_JSON_SQL, INGEST_TS, PIPELINE, DATASET, "events",
+                file_col="k.source_filename AS landing_file",
+            ),
+        ),
+    }
+
+
+def all_queries() -> dict[str, tuple[Query, str]]:
+    return {**table_queries(), **landing_queries()}
