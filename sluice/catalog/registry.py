@@ -24,7 +24,7 @@ def _check(spark: SparkSession, sf: str, name: str):
     ds = DATASETS[name]
     return check_records(
         ds.spark_records(spark, sf), ds.rules, pipeline=PIPELINE, dataset=DATASET,
-        table=name, ingest_ts=INGEST_TS, persist=False,
+        table=name, ingest_ts=INGEST_TS,
     )
 
 
@@ -120,7 +120,7 @@ def _landing_check(spark, sf):
     root = orders_landing(spark, sf)
     return check_landing(
         spark, root, orders_landing_rules(), pipeline=PIPELINE, dataset=DATASET, table="orders",
-        ingest_ts=INGEST_TS, persist=False,
+        ingest_ts=INGEST_TS,
     )
 
 
@@ -176,7 +176,7 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         root = events_json_landing(spark, sf)
         res = check_landing(
             spark, root, events_json_rules(), pipeline=PIPELINE, dataset=DATASET, table="events",
-            ingest_ts=INGEST_TS, persist=False,
+            ingest_ts=INGEST_TS,
         )
         return res.rows_stats.withColumn("source_filename", label()).withColumnRenamed("source_filename", "landing_file")
 

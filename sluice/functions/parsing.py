@@ -15,12 +15,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
-# Text that pandas.to_numeric accepts: optional sign, digits with an optional
-# fraction and exponent, or inf/infinity; surrounding ASCII whitespace allowed.
-NUMBER_GRAMMAR = (
-    r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*\z"
-)
-INFINITY_TEXT = r"^\s*[+-]?(?i:inf|infinity)\s*\z"
+# Characters of a finite number that pandas.to_numeric accepts.
+NUMBER_CHARS = "0123456789+-.eE"
+# Infinity spellings pandas.to_numeric accepts (compared lower-cased).
+INFINITY_WORDS = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 # INTEGER columns reject a non-zero fraction written with '.' or ','.
 INTEGER_FRACTION_REJECT = r"^[0-9]*[.,][1-9]+\n?\z"
 ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -54,30 +52,63 @@ DIRECTIVES = {
 # --------------------------------------------------------------------------
 
 
-def number(text: Column) -> Column:
-    """pandas ``to_numeric`` on one text value: double, or null if unparsable.
+class NumberParser:
+    """pandas ``to_numeric`` on text, in three stages (see ``Staged``).
 
-    Overflow (``1e400``) is unparsable; literal inf/infinity is not.
+    No regex on the value path: after trimming, the text must consist of
+    number characters (digits, sign, point, exponent) and cast to a finite
+    double, or be one of the infinity spellings. Overflow (``1e400``) is
+    unparsable. The character test rules out what Java's parser accepts and
+    pandas does not (``1d``, ``1f``, hex floats, ``NaN``). FLOAT columns drop
+    the thousand separator and map the decimal one to '.' first (literal
+    replacements). INTEGER columns first reject a non-zero fraction
+    (``^[0-9]*[.,][1-9]+$``), the regex running only on text with '.' or ','.
     """
-    stripped = F.btrim(text, F.lit(ASCII_SPACE))
-    value = F.when(text.rlike(NUMBER_GRAMMAR), stripped.try_cast("double"))
-    infinite = F.abs(value) == F.lit(float("inf"))
-    return F.when(~infinite | text.rlike(INFINITY_TEXT), value)
+
+    def __init__(self, thousand: str | None = None, decimal: str | None = None, integer: bool = False):
+        self.thousand, self.decimal, self.integer = thousand, decimal, integer
+
+    def prepare(self, text: Column) -> dict[str, Column]:
+        t = text
+        if self.thousand is not None:
+            t = F.replace(t, F.lit(self.thousand), F.lit(""))
+        if self.decimal is not None:
+            t = F.replace(t, F.lit(self.decimal), F.lit("."))
+        prep = {"s": F.btrim(t, F.lit(ASCII_SPACE))}
+        if self.integer:
+            has_sep = (F.instr(text, ".") > 0) | (F.instr(text, ",") > 0)
+            prep["frac"] = F.when(has_sep, text.rlike(INTEGER_FRACTION_REJECT)).otherwise(F.lit(False))
+        return prep
+
+    def raw(self, prep: dict[str, Column]) -> Column:
+        return prep["s"].try_cast("double")
+
+    def final(self, prep: dict[str, Column], raw: Column) -> Column:
+        s = prep["s"]
+        numeric = (F.translate(s, NUMBER_CHARS, "") == "") & (F.abs(raw) < F.lit(float("inf")))
+        ok = numeric | F.lower(s).isin(*INFINITY_WORDS)
+        if self.integer:
+            ok = ok & ~prep["frac"]
+        return F.when(ok, raw)
+
+    def __call__(self, text: Column) -> Column:
+        prep = self.prepare(text)
+        return self.final(prep, self.raw(prep))
+
+
+def number(text: Column) -> Column:
+    """pandas ``to_numeric`` on one text value: double, or null if unparsable."""
+    return NumberParser()(text)
 
 
 def float_number(text: Column, thousand: str | None, decimal: str | None) -> Column:
     """FLOAT rule: literal separator replacement (thousand first), then parse."""
-    t = text
-    if thousand is not None:
-        t = F.replace(t, F.lit(thousand), F.lit(""))
-    if decimal is not None:
-        t = F.replace(t, F.lit(decimal), F.lit("."))
-    return number(t)
+    return NumberParser(thousand, decimal)(text)
 
 
 def integer_number(text: Column) -> Column:
     """INTEGER rule: reject a non-zero fraction, then parse as a number."""
-    return F.when(~text.rlike(INTEGER_FRACTION_REJECT), number(text))
+    return NumberParser(integer=True)(text)
 
 
 def integral(value: Column) -> Column:
@@ -136,54 +167,105 @@ def _month_from_name(name: Column, names: tuple[str, ...]) -> Column:
     return expr
 
 
-def strptime(text: Column, fmt: str) -> Column:
-    """Parse text with a strptime format to TIMESTAMP_NTZ; null when invalid.
+MATCH_MARK = "\u0000"
+FIELD_SEP = "\u0001"
+
 
-    Calendar-invalid dates (31 February) and values outside the pandas
-    nanosecond range are null, matching ``pd.to_datetime(..., errors='coerce')``.
+class StrptimeParser:
+    """Text -> TIMESTAMP_NTZ with a strptime format, in three stages.
+
+    prepare: one regex evaluation; the anchored format regex rewrites a
+    matching text to MARK g1 SEP g2 ... (a text that does not match comes
+    back unchanged, without MARK). raw: the timestamp built from the fields.
+    final: null unless the text matched, the date exists (no 31 February)
+    and it lies in the pandas nanosecond range, like
+    ``pd.to_datetime(..., format=fmt, errors='coerce')``.
     """
-    spec = compile_strptime(fmt)
-    g = {f: F.regexp_extract(text, spec.regex, n + 1) for n, f in enumerate(spec.fields)}
-
-    def num(f):
-        return F.trim(g[f]).try_cast("int")
-
-    if "year" in g:
-        year = num("year")
-    elif "year2" in g:
-        y2 = num("year2")
-        year = F.when(y2 <= 68, y2 + 2000).otherwise(y2 + 1900)
-    else:
-        year = F.lit(1900)
-    if "month" in g:
-        month = num("month")
-    elif "month_name" in g:
-        month = _month_from_name(g["month_name"], MONTHS)
-    elif "month_abbr" in g:
-        month = _month_from_name(g["month_abbr"], MONTHS_ABBR)
-    else:
-        month = F.lit(1)
-    day = num("day") if "day" in g else F.lit(1)
-    if "hour" in g:
-        hour = num("hour")
-    elif "hour12" in g:
-        h12 = num("hour12") % 12
-        hour = h12 + F.when(F.lower(g["ampm"]) == "pm", 12).otherwise(0) if "ampm" in g else h12
-    else:
-        hour = F.lit(0)
-    minute = num("minute") if "minute" in g else F.lit(0)
-    second = num("second") if "second" in g else F.lit(0)
-    micros = (
-        F.rpad(g["fraction"], 6, "0").try_cast("int") if "fraction" in g else F.lit(0)
-    )
-    if "yday" in g and "month" not in g and "month_name" not in g and "month_abbr" not in g:
-        base = F.try_make_timestamp_ntz(year, F.lit(1), F.lit(1), hour, minute, F.lit(0))
-        base = F.timestamp_add("DAY", num("yday") - 1, base)
-    else:
-        base = F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0))
-    ts = F.timestamp_add("MICROSECOND", second.cast("bigint") * 1000000 + micros, base)
-    in_range = (ts >= F.lit(TS_MIN).cast("timestamp_ntz")) & (ts <= F.lit(TS_MAX).cast("timestamp_ntz"))
-    return F.when(text.rlike(spec.regex) & in_range, ts)
+
+    def __init__(self, fmt: str):
+        self.spec = compile_strptime(fmt)
+
+    def prepare(self, text: Column) -> dict[str, Column]:
+        k = len(self.spec.fields)
+        repl = MATCH_MARK + FIELD_SEP.join(f"${n + 1}" for n in range(k))
+        return {"canon": F.regexp_replace(text, self.spec.regex, repl)}
+
+    def raw(self, prep: dict[str, Column]) -> Column:
+        fields = self.spec.fields
+        parts = F.split(F.substring(prep["canon"], 2, 1 << 30), FIELD_SEP, -1)
+        g = {f: F.try_element_at(parts, F.lit(n + 1)) for n, f in enumerate(fields)}
+
+        def num(f):
+            return F.trim(g[f]).try_cast("int")
+
+        if "year" in g:
+            year = num("year")
+        elif "year2" in g:
+            y2 = num("year2")
+            year = F.when(y2 <= 68, y2 + 2000).otherwise(y2 + 1900)
+        else:
+            year = F.lit(1900)
+        if "month" in g:
+            month = num("month")
+        elif "month_name" in g:
+            month = _month_from_name(g["month_name"], MONTHS)
+        elif "month_abbr" in g:
+            month = _month_from_name(g["month_abbr"], MONTHS_ABBR)
+        else:
+            month = F.lit(1)
+        day = num("day") if "day" in g else F.lit(1)
+        if "hour" in g:
+            hour = num("hour")
+        elif "hour12" in g:
+            h12 = num("hour12") % 12
+            hour = h12 + F.when(F.lower(g["ampm"]) == "pm", 12).otherwise(0) if "ampm" in g else h12
+        else:
+            hour = F.lit(0)
+        minute = num("minute") if "minute" in g else F.lit(0)
+        if "yday" in g and not ({"month", "month_name", "month_abbr"} & set(g)):
+            base = F.try_make_timestamp_ntz(year, F.lit(1), F.lit(1), hour, minute, F.lit(0))
+            base = F.timestamp_add("DAY", num("yday") - 1, base)
+        else:
+            base = F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0))
+        if "second" in g or "fraction" in g:
+            second = num("second") if "second" in g else F.lit(0)
+            micros = F.rpad(g["fraction"], 6, "0").try_cast("int") if "fraction" in g else F.lit(0)
+            # seconds 60 and 61 roll over, as in pandas
+            base = F.timestamp_add("MICROSECOND", second.cast("bigint") * 1000000 + micros, base)
+        return base
+
+    def final(self, prep: dict[str, Column], raw: Column) -> Column:
+        canon = prep["canon"]
+        matched = F.startswith(canon, F.lit(MATCH_MARK))
+        k = len(self.spec.fields)
+        shape = F.size(F.split(F.substring(canon, 2, 1 << 30), FIELD_SEP, -1)) == k
+        in_range = raw.between(F.lit(TS_MIN).cast("timestamp_ntz"), F.lit(TS_MAX).cast("timestamp_ntz"))
+        return F.when(matched & shape & in_range, raw)
+
+    def __call__(self, text: Column) -> Column:
+        prep = self.prepare(text)
+        return self.final(prep, self.raw(prep))
+
+
+def strptime(text: Column, fmt: str) -> Column:
+    """Parse text with a strptime format to TIMESTAMP_NTZ; null when invalid."""
+    return StrptimeParser(fmt)(text)
+
+
+class IsoParser:
+    """DATE/DATETIME without a format: ISO text, as Spark casts it."""
+
+    def prepare(self, text: Column) -> dict[str, Column]:
+        return {"t": text}
+
+    def raw(self, prep: dict[str, Column]) -> Column:
+        return prep["t"].try_cast("timestamp_ntz")
+
+    def final(self, prep: dict[str, Column], raw: Column) -> Column:
+        return raw
+
+    def __call__(self, text: Column) -> Column:
+        return self.raw(self.prepare(text))
 
 
 def iso_datetime(text: Column) -> Column:
@@ -193,3 +275,14 @@ def iso_datetime(text: Column) -> Column:
 
 def datetime_value(text: Column, fmt: str | None) -> Column:
     return strptime(text, fmt) if fmt else iso_datetime(text)
+
+
+def parser_for(type_: str, fmt: str | None = None, thousand: str | None = None, decimal: str | None = None):
+    """The staged parser of a rule type (None for STRING)."""
+    if type_ in ("FLOAT", "FLOAT64"):
+        return NumberParser(thousand, decimal)
+    if type_ == "INTEGER":
+        return NumberParser(integer=True)
+    if type_ in ("DATE", "DATETIME"):
+        return StrptimeParser(fmt) if fmt else IsoParser()
+    return None

@@ -10,14 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parsing import (
-    NULL_DATE_TEXT,
-    NULL_NUMBER_TEXT,
-    datetime_value,
-    float_number,
-    integer_number,
-    integral,
-)
+from ..functions.parsing import NULL_DATE_TEXT, NULL_NUMBER_TEXT, integral, parser_for
 from ..functions.text import key_value_text, newline_to_space, python_list_text
 from ..rules import LINEAGE_COLUMNS, ColumnRule, TableRules
 from ..schemas import CODE_KEY, CODE_NULL, CODE_PARSE
@@ -47,30 +40,73 @@ def normalise(records: DataFrame, rules: TableRules, ingest_ts) -> DataFrame:
     )
 
 
-def parsed_value(rule: ColumnRule, text: Column) -> Column | None:
+def parsed_value(rule: ColumnRule, text: Column) -> Column:
     """Typed value of a text column under its rule (null when unparsable)."""
-    t = rule.type
-    if t == "STRING":
-        return text
-    if t in ("FLOAT", "FLOAT64"):
-        return float_number(text, rule.float_thousand_separator, rule.float_decimal_separator)
-    if t == "INTEGER":
-        return integer_number(text)
-    if t in ("DATE", "DATETIME"):
-        return datetime_value(text, rule.date_format)
-    raise ValueError(t)
+    parser = _parser(rule)
+    return text if parser is None else parser(text)
+
+
+def parsed_col(name: str) -> str:
+    return f"_p_{name}"
+
+
+def _parser(rule: ColumnRule):
+    return parser_for(
+        rule.type, rule.date_format, rule.float_thousand_separator, rule.float_decimal_separator
+    )
+
+
+def checked_input(rule: ColumnRule, text: Column, null_dates_pass: bool) -> Column:
+    """The text the type test parses: nulls replaced as the reference does."""
+    if rule.type in ("DATE", "DATETIME"):
+        return text if null_dates_pass else F.coalesce(text, F.lit(NULL_DATE_TEXT))
+    return F.coalesce(text, F.lit(NULL_NUMBER_TEXT))
+
+
+def checked_value(rule: ColumnRule, text: Column, null_dates_pass: bool) -> Column | None:
+    """The value the type test looks at (null = not parsable); None for STRING."""
+    parser = _parser(rule)
+    return None if parser is None else parser(checked_input(rule, text, null_dates_pass))
 
 
 def parse_failure(rule: ColumnRule, text: Column, null_dates_pass: bool) -> Column | None:
     """True when the column value fails its type (R3); None for STRING."""
-    t = rule.type
-    if t == "STRING":
+    value = checked_value(rule, text, null_dates_pass)
+    if value is None:
         return None
-    if t in ("DATE", "DATETIME"):
-        if null_dates_pass:
-            return text.isNotNull() & parsed_value(rule, text).isNull()
-        return parsed_value(rule, F.coalesce(text, F.lit(NULL_DATE_TEXT))).isNull()
-    return parsed_value(rule, F.coalesce(text, F.lit(NULL_NUMBER_TEXT))).isNull()
+    if rule.type in ("DATE", "DATETIME") and null_dates_pass:
+        return text.isNotNull() & value.isNull()
+    return value.isNull()
+
+
+def with_parsed(df: DataFrame, rules: TableRules) -> DataFrame:
+    """Add ``_p_<col>`` (parsed value, null when unparsable) for checked columns.
+
+    The parse runs in stacked projections (prepare -> raw -> final): each
+    stage's expensive expression is referenced more than once by the next,
+    so the optimizer keeps the stages apart and every value is computed once
+    per row instead of once per reference.
+    """
+    rs = _checked_rules(rules)
+    if not rs:
+        return df
+    prep_cols, refs = {}, {}
+    for r in rs:
+        prep = _parser(r).prepare(checked_input(r, F.col(r.name), rules.null_dates_pass))
+        refs[r.name] = {}
+        for k, expr in prep.items():
+            prep_cols[f"_a_{r.name}_{k}"] = expr
+            refs[r.name][k] = F.col(f"_a_{r.name}_{k}")
+    df = df.withColumns(prep_cols)
+    df = df.withColumns({f"_r_{r.name}": _parser(r).raw(refs[r.name]) for r in rs})
+    df = df.withColumns(
+        {parsed_col(r.name): _parser(r).final(refs[r.name], F.col(f"_r_{r.name}")) for r in rs}
+    )
+    return df.drop(*prep_cols, *[f"_r_{r.name}" for r in rs])
+
+
+def _checked_rules(rules: TableRules) -> list[ColumnRule]:
+    return [r for r in rules.columns if r.name not in LINEAGE_COLUMNS and r.type != "STRING"]
 
 
 def _violation(reason: Column | str, code: str, col_name: str, value: Column | None) -> Column:
@@ -106,28 +142,21 @@ def violation_columns(rules: TableRules) -> list[Column]:
                 _violation(reason, CODE_KEY, label, key_value_text([F.col(k) for k in keys])),
             )
         )
-    for rule in rules.columns:
-        if rule.name in LINEAGE_COLUMNS:
-            continue  # engine-filled: always present and well formed
-        fails = parse_failure(rule, F.col(rule.name), rules.null_dates_pass)
-        if fails is not None:
-            out.append(
-                F.when(
-                    fails,
-                    _violation(
-                        f"{rule.name} is not parsable to {rule.type}",
-                        CODE_PARSE,
-                        rule.name,
-                        F.col(rule.name),
-                    ),
-                )
-            )
+    for rule in _checked_rules(rules):
+        value = F.col(parsed_col(rule.name))
+        if rule.type in ("DATE", "DATETIME") and rules.null_dates_pass:
+            fails = F.col(rule.name).isNotNull() & value.isNull()
+        else:
+            fails = value.isNull()
+        reason = f"{rule.name} is not parsable to {rule.type}"
+        out.append(F.when(fails, _violation(reason, CODE_PARSE, rule.name, F.col(rule.name))))
     return out
 
 
 def annotate(norm: DataFrame, rules: TableRules, budget: int | None = None):
     """Add the ``violations`` array (R1-R4). Returns (frame, cached side tables)."""
     with_counts, dups = with_key_counts(norm, rules.key_columns, FILE, budget)
+    with_counts = with_parsed(with_counts, rules)
     checks = violation_columns(rules)
     v = F.array_compact(F.array(*checks)) if checks else F.array().cast(
         "array<struct<invalid_reason:string,invalid_code:string,invalid_col_name:string,invalid_col_value:string>>"
@@ -136,9 +165,18 @@ def annotate(norm: DataFrame, rules: TableRules, budget: int | None = None):
     return out, [d for d in (dups,) if d is not None]
 
 
+def _typed(rule: ColumnRule, annotated_cols: set[str]) -> Column:
+    """Typed value from the shared parsed column (null text stays null)."""
+    text = F.col(rule.name)
+    p = parsed_col(rule.name)
+    value = F.col(p) if p in annotated_cols else _parser(rule)(text)
+    return F.when(text.isNotNull(), value)
+
+
 def typed_valid(annotated: DataFrame, rules: TableRules) -> DataFrame:
     """R5 + R6: rows without violations, typed per rule, rule column order."""
     cols = []
+    have = set(annotated.columns)
     for rule in rules.columns:
         c = F.col(rule.name)
         if rule.name == "execution_datetime":
@@ -146,11 +184,11 @@ def typed_valid(annotated: DataFrame, rules: TableRules) -> DataFrame:
         elif rule.type == "STRING":
             cols.append(c.alias(rule.name))
         elif rule.type in ("FLOAT", "FLOAT64"):
-            cols.append(parsed_value(rule, c).alias(rule.name))
+            cols.append(_typed(rule, have).alias(rule.name))
         elif rule.type == "INTEGER":
-            cols.append(integral(parsed_value(rule, c)).alias(rule.name))
+            cols.append(integral(_typed(rule, have)).alias(rule.name))
         elif rule.type == "DATE":
-            cols.append(parsed_value(rule, c).cast("date").alias(rule.name))
+            cols.append(_typed(rule, have).cast("date").alias(rule.name))
         else:  # DATETIME
-            cols.append(parsed_value(rule, c).alias(rule.name))
+            cols.append(_typed(rule, have).alias(rule.name))
     return annotated.where(F.size(VIOLATIONS) == 0).select(*cols)

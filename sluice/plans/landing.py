@@ -76,6 +76,7 @@ def check_landing(
     result = check_records(
         records, rules, pipeline=pipeline, dataset=dataset, table=table, ingest_ts=ts,
         files=valid_files.select("source_filename"), persist=persist,
+        cache_input=False,  # the scan below the records is cached already
     )
     result.file_stats = fstats.drop(PATH)
     result.cached = cached + result.cached

@@ -43,19 +43,31 @@ def check_records(
     ingest_ts: str | None = None,
     files: DataFrame | None = None,
     persist: bool = True,
+    cache_input: bool = True,
 ) -> CheckResult:
     """Run the row checks over all files of a table at once.
 
     ``files`` lists the readable files (``source_filename``) so that files
     without data rows still get a zero ``rows_stats`` row.
+
+    ``cache_input``: the records are read twice (key-count job, check job);
+    materialize them once unless they already come from a cached scan. They
+    are released as soon as the annotated rows are materialized.
     """
     ts = ingest_ts or now_utc()
+    if cache_input:
+        records = records.persist(StorageLevel.MEMORY_AND_DISK)
     norm = normalise(records, rules, ts)
     annotated, cached = annotate(norm, rules)
     if persist:
-        # Three outputs read the annotated rows: compute the key join once.
+        # Three outputs read the annotated rows: compute the checks once.
         annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
         cached = cached + [annotated]
+        if cache_input:
+            annotated.count()
+            records.unpersist()
+    elif cache_input:
+        cached = cached + [records]
     return CheckResult(
         rows_stats=rows_stats(annotated, pipeline, dataset, table, ts, files),
         data_invalid=data_invalid(annotated, pipeline, dataset, table, ts),
