@@ -25,6 +25,8 @@ def _check(spark: SparkSession, sf: str, name: str):
     return check_records(
         ds.spark_records(spark, sf), ds.rules, pipeline=PIPELINE, dataset=DATASET,
         table=name, ingest_ts=INGEST_TS,
+        # one output per query: nothing to share, so nothing to materialize
+        persist=False, cache_input=False,
     )
 
 
@@ -120,7 +122,7 @@ def _landing_check(spark, sf):
     root = orders_landing(spark, sf)
     return check_landing(
         spark, root, orders_landing_rules(), pipeline=PIPELINE, dataset=DATASET, table="orders",
-        ingest_ts=INGEST_TS,
+        ingest_ts=INGEST_TS, persist=False,
     )
 
 
@@ -176,7 +178,7 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         root = events_json_landing(spark, sf)
         res = check_landing(
             spark, root, events_json_rules(), pipeline=PIPELINE, dataset=DATASET, table="events",
-            ingest_ts=INGEST_TS,
+            ingest_ts=INGEST_TS, persist=False,
         )
         return res.rows_stats.withColumn("source_filename", label()).withColumnRenamed("source_filename", "landing_file")
 

@@ -155,8 +155,10 @@ def violation_columns(rules: TableRules) -> list[Column]:
 
 def annotate(norm: DataFrame, rules: TableRules, budget: int | None = None):
     """Add the ``violations`` array (R1-R4). Returns (frame, cached side tables)."""
-    with_counts, dups = with_key_counts(norm, rules.key_columns, FILE, budget)
-    with_counts = with_parsed(with_counts, rules)
+    # Parse below the key-count join: projections never collapse across a
+    # join, so each parsed value stays computed once whatever the consumer
+    # prunes. The duplicate-key aggregate prunes the parsed columns away.
+    with_counts, dups = with_key_counts(with_parsed(norm, rules), rules.key_columns, FILE, budget)
     checks = violation_columns(rules)
     v = F.array_compact(F.array(*checks)) if checks else F.array().cast(
         "array<struct<invalid_reason:string,invalid_code:string,invalid_col_name:string,invalid_col_value:string>>"
@@ -191,4 +193,8 @@ def typed_valid(annotated: DataFrame, rules: TableRules) -> DataFrame:
             cols.append(_typed(rule, have).cast("date").alias(rule.name))
         else:  # DATETIME
             cols.append(_typed(rule, have).alias(rule.name))
-    return annotated.where(F.size(VIOLATIONS) == 0).select(*cols)
+    # A row passes when its violations array is empty. Written as a 0-or-1
+    # element inline rather than a filter: a filter on the computed array is
+    # pushed below the parse projections and would evaluate them twice.
+    passed = F.when(F.size(VIOLATIONS) == 0, F.array(F.struct(*cols)))
+    return annotated.select(F.inline(passed))
