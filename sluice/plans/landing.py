@@ -28,31 +28,34 @@ def check_landing(
     ingest_ts: str | None = None,
     multi_line: bool = True,
     persist: bool = True,
+    paths: list[str] | None = None,
 ) -> CheckResult:
     """Check every landing file of one table: returns the four outputs.
 
     ``multi_line=False`` makes big CSV files splittable (several tasks per
-    file) when no value holds a quoted newline.
+    file) when no value holds a quoted newline. ``paths`` restricts the run
+    to the given landing files (incremental runs); by default every file
+    under the table's prefix is checked.
     """
     ts = ingest_ts or now_utc()
-    listing = list_files(spark, root, rules.source_path).persist(StorageLevel.MEMORY_AND_DISK)
+    listing = list_files(spark, root, rules.source_path, paths).persist(StorageLevel.MEMORY_AND_DISK)
     cached: list[DataFrame] = [listing]
     # Formats present decide which scans run (a handful of distinct values).
     exts = {r["ext"] for r in listing.select("ext").distinct().collect()}
     rows, csv_facts, json_facts, wb_facts = [], None, None, None
     if "csv" in exts:
-        scan = scan_csv(spark, root, rules, multi_line=multi_line)
+        scan = scan_csv(spark, root, rules, multi_line=multi_line, paths=paths)
         rows.append(scan.rows)
         csv_facts = scan.facts
         cached += scan.cached
     if "json" in exts:
-        scan = scan_json(spark, root, rules)
+        scan = scan_json(spark, root, rules, paths)
         rows.append(scan.rows)
         json_facts = scan.facts
     if exts & set(WORKBOOK_EXTS):
         from ..sources.workbook import scan_workbooks
 
-        scan = scan_workbooks(spark, root, rules)
+        scan = scan_workbooks(spark, root, rules, paths)
         rows.append(scan.rows)
         wb_facts = scan.facts
         cached += scan.cached

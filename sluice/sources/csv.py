@@ -25,7 +25,7 @@ from ..functions.parsing import ASCII_SPACE
 from ..functions.text import count_char, na_to_null, open_quote, unquoted
 from ..rules import TableRules
 from ..session import broadcast_budget
-from .listing import PATH, decoded_path, prefix_glob, reader, relative_name
+from .listing import PATH, decoded_path, inputs, reader, relative_name
 
 RAW = "_raw"
 EXTRA = "_extra"
@@ -54,6 +54,7 @@ def scan_csv(
     sep: str | None = None,
     encoding: str | None = None,
     multi_line: bool = True,
+    paths: list[str] | None = None,
 ) -> CsvScan:
     opts = rules.format_options("csv")
     sep = sep or opts.get("separator") or ","
@@ -76,7 +77,7 @@ def scan_csv(
     if line_mode:
         # One record per line: the text source splits big files into blocks and
         # keeps the raw line; from_csv tokenizes it with the same options.
-        lines = reader(spark, "csv").text(prefix_glob(root, rules.source_path))
+        lines = reader(spark, "csv").text(inputs(root, rules.source_path, paths))
         block = F.col("_metadata.file_block_start")
         value = F.when(block == 0, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
         ddl = ", ".join(f"{c} STRING" for c in (*text_cols, EXTRA))
@@ -98,7 +99,7 @@ def scan_csv(
             .option("header", "false")
             .option("multiLine", str(multi_line).lower())
             .option("columnNameOfCorruptRecord", RAW)
-            .csv(prefix_glob(root, rules.source_path))
+            .csv(inputs(root, rules.source_path, paths))
             .select(
                 *text_cols,
                 RAW,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..rules import TableRules
-from .listing import PATH, decoded_path, prefix_glob, reader, relative_name
+from .listing import PATH, decoded_path, inputs, reader, relative_name
 
 ARR = "_arr"
 
@@ -26,11 +26,11 @@ class JsonScan:
     cached: list
 
 
-def scan_json(spark: SparkSession, root: str, rules: TableRules) -> JsonScan:
+def scan_json(spark: SparkSession, root: str, rules: TableRules, paths: list[str] | None = None) -> JsonScan:
     docs = (
         reader(spark, "json")
         .option("wholetext", "true")
-        .text(prefix_glob(root, rules.source_path))
+        .text(inputs(root, rules.source_path, paths))
         .select(
             decoded_path(F.col("_metadata.file_path")).alias(PATH),
             F.is_valid_utf8("value").alias("_utf8_ok"),

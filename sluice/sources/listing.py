@@ -29,7 +29,14 @@ def relative_name(path: Column, root: str) -> Column:
     return F.regexp_extract(path, rx, 1)
 
 
-def list_files(spark: SparkSession, root: str, source_path: str) -> DataFrame:
+def inputs(root: str, source_path: str, paths: list[str] | None = None):
+    """What the readers load: an explicit file list, or the prefix glob."""
+    return list(paths) if paths else prefix_glob(root, source_path)
+
+
+def list_files(
+    spark: SparkSession, root: str, source_path: str, paths: list[str] | None = None
+) -> DataFrame:
     """(_path, source_filename, length, ext) of every non-empty landing file.
 
     ``binaryFile`` with only path/length selected lists without reading
@@ -38,7 +45,7 @@ def list_files(spark: SparkSession, root: str, source_path: str) -> DataFrame:
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .load(prefix_glob(root, source_path))
+        .load(inputs(root, source_path, paths))
         .select(F.col("path").alias(PATH), "length")
         .where(F.col("length") > 0)
     )

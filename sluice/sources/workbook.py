@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import na_to_null
 from ..rules import TableRules
-from .listing import PATH, prefix_glob, relative_name
+from .listing import PATH, inputs, relative_name
 
 NS = {
     "m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
@@ -172,13 +172,15 @@ class WorkbookScan:
     cached: list
 
 
-def scan_workbooks(spark: SparkSession, root: str, rules: TableRules) -> WorkbookScan:
+def scan_workbooks(
+    spark: SparkSession, root: str, rules: TableRules, paths: list[str] | None = None
+) -> WorkbookScan:
     opts = rules.format_options("xlsx") or rules.format_options("xlsm")
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.xls[xm]")
-        .load(prefix_glob(root, rules.source_path))
+        .load(inputs(root, rules.source_path, paths))
         .select("path", "content")
     )
     parsed = files.mapInPandas(_scan_batches(opts), OUT_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
