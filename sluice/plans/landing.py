@@ -29,6 +29,7 @@ def check_landing(
     multi_line: bool = True,
     persist: bool = True,
     paths: list[str] | None = None,
+    materialize_as: str | None = None,
 ) -> CheckResult:
     """Check every landing file of one table: returns the four outputs.
 
@@ -80,7 +81,14 @@ def check_landing(
         records, rules, pipeline=pipeline, dataset=dataset, table=table, ingest_ts=ts,
         files=valid_files.select("source_filename"), persist=persist,
         cache_input=False,  # the scan below the records is cached already
+        materialize_as=materialize_as,
     )
     result.file_stats = fstats.drop(PATH)
     result.cached = cached + result.cached
+    if materialize_as == "stage":
+        # The annotated rows are on shared storage: the scan cache is no
+        # longer needed by the row outputs (file_stats is small and cached).
+        for df in cached:
+            if df is not fstats and df is not listing:
+                df.unpersist()
     return result

@@ -38,13 +38,16 @@ def run_landing(
     output_root: str | None = None,
     export_root: str | None = None,
     multi_line: bool = True,
+    materialize_as: str = "stage",
 ) -> list[TableRun]:
     """Check, report and load every enabled table of the registry.
 
     A table with ``to_request: False`` is skipped. Reports are appended; the
     typed valid rows are appended or replace the table (write_mode), but only
     when there is at least one valid row. One table's failure does not stop
-    the others.
+    the others. The checked rows are staged once in the shared checkpoint
+    folder (``materialize_as='stage'``) and the outputs are written from
+    there, so losing an executor mid-run does not redo the scan and shuffle.
     """
     runs = []
     for t in config.tables:
@@ -57,7 +60,7 @@ def run_landing(
             rules = TableRules.load(t.rules_file)
             res = check_landing(
                 spark, landing_root, rules, pipeline=config.pipeline_name, dataset=t.dataset,
-                table=t.table, ingest_ts=ts, multi_line=multi_line,
+                table=t.table, ingest_ts=ts, multi_line=multi_line, materialize_as=materialize_as,
             )
             append_reports(
                 res,

@@ -26,11 +26,45 @@ class CheckResult:
     annotated: DataFrame
     file_stats: DataFrame | None = None
     cached: list[DataFrame] = field(default_factory=list)
+    staged: list[str] = field(default_factory=list)
 
     def release(self) -> None:
+        """Drop cached frames and staged tables once the outputs are written."""
         for df in self.cached:
             df.unpersist()
         self.cached.clear()
+        if self.staged:
+            from ..session import delete_path
+
+            spark = self.rows_stats.sparkSession
+            for path in self.staged:
+                delete_path(spark, path)
+            self.staged.clear()
+
+
+MATERIALIZE = ("persist", "stage", "none")
+
+
+def materialize(df: DataFrame, how: str, name: str) -> tuple[DataFrame, list[DataFrame], list[str]]:
+    """Compute ``df`` once for several consumers.
+
+    persist: executor memory/disk; a lost executor's blocks are recomputed
+    from lineage. stage: a parquet table in the shared checkpoint folder
+    (spark.checkpoint.dir), read back; lineage is cut, so a lost executor
+    costs nothing to recompute. none: every consumer recomputes.
+    """
+    if how == "persist":
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        return df, [df], []
+    if how == "stage":
+        from ..session import new_scratch_path
+
+        path = new_scratch_path(df.sparkSession, name)
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path), [], [path]
+    if how == "none":
+        return df, [], []
+    raise ValueError(f"materialize must be one of {MATERIALIZE}")
 
 
 def check_records(
@@ -44,6 +78,7 @@ def check_records(
     files: DataFrame | None = None,
     persist: bool = True,
     cache_input: bool = True,
+    materialize_as: str | None = None,
 ) -> CheckResult:
     """Run the row checks over all files of a table at once.
 
@@ -53,25 +88,32 @@ def check_records(
     ``cache_input``: the records are read twice (key-count job, check job);
     materialize them once unless they already come from a cached scan. They
     are released as soon as the annotated rows are materialized.
+
+    ``materialize_as`` (persist / stage / none) says how the annotated rows
+    are kept for the three outputs; by default ``persist`` if ``persist``
+    else ``none``.
     """
     ts = ingest_ts or now_utc()
     if cache_input:
         records = records.persist(StorageLevel.MEMORY_AND_DISK)
     norm = normalise(records, rules, ts)
     annotated, cached = annotate(norm, rules)
-    if persist:
-        # Three outputs read the annotated rows: compute the checks once.
-        annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
-        cached = cached + [annotated]
-        if cache_input:
+    how = materialize_as or ("persist" if persist else "none")
+    # Three outputs read the annotated rows: compute the checks once.
+    annotated, kept, staged = materialize(annotated, how, "annotated")
+    cached = cached + kept
+    if cache_input:
+        if how == "persist":
             annotated.count()
+        if how in ("persist", "stage"):
             records.unpersist()
-    elif cache_input:
-        cached = cached + [records]
+        else:
+            cached = cached + [records]
     return CheckResult(
         rows_stats=rows_stats(annotated, pipeline, dataset, table, ts, files),
         data_invalid=data_invalid(annotated, pipeline, dataset, table, ts),
         valid=typed_valid(annotated, rules),
         annotated=annotated,
         cached=cached,
+        staged=staged,
     )

@@ -53,3 +53,10 @@ def new_scratch_path(spark: SparkSession, name: str) -> str:
 def broadcast_budget(spark: SparkSession) -> int:
     v = spark.conf.get("sluice.broadcast.maxBytes", None)
     return int(v) if v else DEFAULT_BROADCAST_BYTES
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a staged table from the shared folder (Hadoop file system API)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

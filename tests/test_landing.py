@@ -133,3 +133,23 @@ def test_ordinals_do_not_depend_on_splits(spark, landing, multi_line):
     want = sorted([("drugs_big.csv", i) for i in range(n) if counts[i % 1500] > 1]
                   + [("drugs_small.csv", 0), ("drugs_small.csv", 1)])
     assert got == want
+
+
+def test_stage_mode_same_outputs_and_cleanup(spark, landing):
+    import os
+
+    landing("drugs/drugs.csv", "atccode;drug\nA;1\nA;2\nB;\n;\nC;3\n")
+    outs = {}
+    for how in ("persist", "stage", "none"):
+        res = run(spark, landing, "drugs", materialize_as=how)
+        outs[how] = (
+            sorted(map(tuple, res.data_invalid.drop("date_ingest").collect())),
+            sorted(map(tuple, res.rows_stats.drop("date_ingest").collect())),
+            sorted(map(tuple, res.valid.drop("execution_datetime").collect())),
+        )
+        staged = list(res.staged)
+        assert (how == "stage") == bool(staged)
+        res.release()
+        for p in staged:
+            assert not os.path.exists(p.replace("file:", ""))
+    assert outs["persist"] == outs["stage"] == outs["none"]
