@@ -275,25 +275,35 @@ EVENTS = rules_of(
 )
 
 
-def _events_spark(spark: SparkSession, sf: str) -> DataFrame:
+def events_records(spark: SparkSession, sf: str, file: Column | None = None) -> DataFrame:
+    """Events as landing text; ``file`` defaults to one pseudo file per day."""
     e = spark.read.parquet(f"{sf}/events.parquet")
     k = F.col("event_id")
+    iso = F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss")
     texts = {
-        "ts": F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss"),
+        "ts": F.when(k % 53 == 0, F.replace(iso, F.lit(" "), F.lit("T")))
+        .when(k % 59 == 0, F.lit(None))
+        .otherwise(iso),
         "user_id": F.when(k % 7 != 0, _s(F.col("user_id"))),
         "event_type": F.when(k % 5 != 0, F.col("event_type")),
         "value": _s(F.col("value").cast("decimal(12,2)")),
     }
-    file = F.concat(F.lit("events/"), F.date_format(F.col("ts"), "yyyy-MM-dd"), F.lit(".csv"))
+    if file is None:
+        file = F.concat(F.lit("events/"), F.date_format(F.col("ts"), "yyyy-MM-dd"), F.lit(".csv"))
     return table_records(e, EVENTS, file, k, texts)
 
 
+def _events_spark(spark: SparkSession, sf: str) -> DataFrame:
+    return events_records(spark, sf)
+
+
 EVENTS_SQL = _text_sql(
     "'events/' || strftime(ts, '%Y-%m-%d') || '.csv'",
     "event_id",
     {
         "event_id": "CAST(event_id AS VARCHAR)",
-        "ts": "strftime(ts, '%Y-%m-%d %H:%M:%S')",
+        "ts": "CASE WHEN event_id % 53 = 0 THEN replace(strftime(ts, '%Y-%m-%d %H:%M:%S'), ' ', 'T') "
+        "WHEN event_id % 59 = 0 THEN NULL ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END",
         "user_id": "CASE WHEN event_id % 7 <> 0 THEN CAST(user_id AS VARCHAR) END",
         "event_type": "CASE WHEN event_id % 5 <> 0 THEN event_type END",
         "value": "CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR)",
@@ -320,7 +330,8 @@ EVENTS_JSON_SQL = _text_sql(
     "event_id",
     {
         "event_id": "CAST(event_id AS VARCHAR)",
-        "ts": "strftime(ts, '%Y-%m-%d %H:%M:%S')",
+        "ts": "CASE WHEN event_id % 53 = 0 THEN replace(strftime(ts, '%Y-%m-%d %H:%M:%S'), ' ', 'T') "
+        "WHEN event_id % 59 = 0 THEN NULL ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END",
         "user_id": "CASE WHEN event_id % 7 <> 0 THEN CAST(user_id AS VARCHAR) END",
         "event_type": "CASE WHEN event_id % 5 <> 0 THEN event_type END",
         "value": "CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR)",

@@ -107,16 +107,20 @@ def events_json_landing(spark: SparkSession, sf: str) -> str:
     if key in _CACHE:
         return _CACHE[key]
     root = new_scratch_path(spark, "landing-events")
+    from .datasets import events_records
+
     ds = DATASETS["events"]
-    recs = ds.spark_records(spark, sf)
+    day_bucket = F.concat_ws(
+        "_", F.date_format("ts", "yyyy-MM-dd"),
+        F.expr(f"event_id div {EVENTS_BUCKET_ROWS}").cast("string"),
+    )
+    recs = events_records(spark, sf, day_bucket)
     names = [c.name for c in ds.rules.data_columns]
     obj = F.to_json(
         F.struct(*[F.col(n).alias(h) for n, h in zip(names, ds.rules.header)]),
         {"ignoreNullFields": "false"},
     )
-    tag = F.concat_ws(
-        "_", F.substring("ts", 1, 10), F.expr(f"index div {EVENTS_BUCKET_ROWS}").cast("string")
-    )
+    tag = F.col("source_filename")
     # Groups hold at most EVENTS_BUCKET_ROWS objects; array order is event_id.
     docs = (
         recs.groupBy(tag.alias(FILE_TAG))

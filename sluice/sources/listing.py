@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,9 +23,16 @@ def decoded_path(c: Column) -> Column:
     return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
 
 
+def absolute_root(root: str) -> str:
+    """A local relative root is made absolute (Spark reports absolute paths)."""
+    if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", root) or root.startswith("/"):
+        return root
+    return os.path.abspath(root)
+
+
 def relative_name(path: Column, root: str) -> Column:
     """Object name relative to the landing root (what the reports show)."""
-    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:", "", root).strip("/")
+    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:", "", absolute_root(root)).strip("/")
     rx = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?/*" + re.escape(bare) + r"/+(.*)$"
     return F.regexp_extract(path, rx, 1)
 
