@@ -30,13 +30,15 @@ def check_landing(
     persist: bool = True,
     paths: list[str] | None = None,
     materialize_as: str | None = None,
+    cache_scan: bool = True,
 ) -> CheckResult:
     """Check every landing file of one table: returns the four outputs.
 
     ``multi_line=False`` makes big CSV files splittable (several tasks per
     file) when no value holds a quoted newline. ``paths`` restricts the run
     to the given landing files (incremental runs); by default every file
-    under the table's prefix is checked.
+    under the table's prefix is checked. ``cache_scan=False`` parses the CSV
+    files twice instead of caching the parsed records (very large inputs).
     """
     ts = ingest_ts or now_utc()
     listing = list_files(spark, root, rules.source_path, paths).persist(StorageLevel.MEMORY_AND_DISK)
@@ -45,7 +47,7 @@ def check_landing(
     exts = {r["ext"] for r in listing.select("ext").distinct().collect()}
     rows, csv_facts, json_facts, wb_facts = [], None, None, None
     if "csv" in exts:
-        scan = scan_csv(spark, root, rules, multi_line=multi_line, paths=paths)
+        scan = scan_csv(spark, root, rules, multi_line=multi_line, paths=paths, cache_scan=cache_scan)
         rows.append(scan.rows)
         csv_facts = scan.facts
         cached += scan.cached

@@ -55,7 +55,15 @@ def scan_csv(
     encoding: str | None = None,
     multi_line: bool = True,
     paths: list[str] | None = None,
+    cache_scan: bool = True,
 ) -> CsvScan:
+    """Scan every CSV landing file of the table once (see module doc).
+
+    ``cache_scan``: the numbered records feed two passes (block table, rows).
+    Cached, the files are parsed once; not cached, they are parsed twice,
+    which keeps executor memory and local disk free on very large inputs.
+    Either way the ids agree: the same splits give the same ids.
+    """
     opts = rules.format_options("csv")
     sep = sep or opts.get("separator") or ","
     encoding = encoding or opts.get("encoding") or "utf-8"
@@ -138,8 +146,9 @@ def scan_csv(
             header_ok.alias("_header_ok"),
             F.monotonically_increasing_id().alias(RID),
         )
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    if cache_scan:
+        numbered = numbered.persist(StorageLevel.MEMORY_AND_DISK)
     # One row per (file, block): map-side combined, so the shuffle is tiny.
     blocks = numbered.groupBy(PATH, BLOCK).agg(
         F.min(RID).alias("_first"),
@@ -178,4 +187,4 @@ def scan_csv(
             *[na_to_null(F.col(c)).alias(name) for c, name in zip(text_cols, data)],
         )
     )
-    return CsvScan(rows=rows, facts=facts, cached=[numbered, blocks])
+    return CsvScan(rows=rows, facts=facts, cached=[numbered, blocks] if cache_scan else [blocks])

@@ -153,3 +153,20 @@ def test_stage_mode_same_outputs_and_cleanup(spark, landing):
         for p in staged:
             assert not os.path.exists(p.replace("file:", ""))
     assert outs["persist"] == outs["stage"] == outs["none"]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_uncached_scan_gives_same_ordinals(spark, landing, multi_line):
+    body = "".join(f"K{i % 700};d{i}\n" + ("\n" if i % 31 == 0 else "") for i in range(3000))
+    landing("drugs/drugs_big.csv", "atccode;drug\n" + body)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        got = []
+        for cache_scan in (True, False):
+            res = run(spark, landing, "drugs", multi_line=multi_line, cache_scan=cache_scan)
+            got.append(sorted((r["index"], r.invalid_col_value) for r in res.data_invalid.collect()))
+            res.release()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got[0] == got[1] and len(got[0]) == 3000
