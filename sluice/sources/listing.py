@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,13 +51,21 @@ def list_files(
     ``binaryFile`` with only path/length selected lists without reading
     content; 0-byte objects get no row at all (no file_stats either).
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(inputs(root, source_path, paths))
-        .select(F.col("path").alias(PATH), "length")
-        .where(F.col("length") > 0)
-    )
+    try:
+        listing = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .load(inputs(root, source_path, paths))
+            .select(F.col("path").alias(PATH), "length")
+        )
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        # Nothing landed under the prefix: empty outputs, as for an empty listing.
+        listing = spark.createDataFrame([], "path string, length long").select(
+            F.col("path").alias(PATH), "length"
+        )
+    listing = listing.where(F.col("length") > 0)
     return listing.select(
         PATH,
         relative_name(F.col(PATH), root).alias("source_filename"),

@@ -170,3 +170,9 @@ def test_uncached_scan_gives_same_ordinals(spark, landing, multi_line):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got[0] == got[1] and len(got[0]) == 3000
+
+
+def test_nothing_landed(spark, landing):
+    res = run(spark, landing, "drugs")
+    assert res.file_stats.count() == 0 and res.rows_stats.count() == 0
+    assert res.data_invalid.count() == 0 and res.valid.count() == 0

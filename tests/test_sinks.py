@@ -68,3 +68,17 @@ def test_rule_validation():
     with pytest.raises(RuleError):
         TableConfig("t", "r.json", "raw", "t", write_mode="MERGE")
     assert TableRules(columns=(ColumnRule("a", "INTEGER", "a"), *lin)).header == ["a"]
+
+
+def test_export_sorted_report(spark, landing):
+    """O1: the CSV export of data_invalid is ordered by table, file, index."""
+    out = tempfile.mkdtemp(prefix="sluice-out-")
+    rows = "".join(f"K{i % 5};\n" for i in range(40))
+    landing("drugs/drugs_b.csv", "atccode;drug\n" + rows)
+    landing("drugs/drugs_a.csv", "atccode;drug\n" + rows)
+    res = check_landing(spark, landing.root, rules("drugs"), table="drugs", ingest_ts=TS)
+    path = os.path.join(out, "data_invalid")
+    export_csv(res.data_invalid, path, ["table", "source_filename", "index"])
+    back = spark.read.option("header", True).option("sep", ";").csv(path).collect()
+    keys = [(r.source_filename, int(r["index"])) for r in back]
+    assert keys == sorted(keys) and len(keys) == 160  # 80 rows x (null + key)
