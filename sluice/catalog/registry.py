@@ -26,7 +26,7 @@ def _check(spark: SparkSession, sf: str, name: str):
         ds.spark_records(spark, sf), ds.rules, pipeline=PIPELINE, dataset=DATASET,
         table=name, ingest_ts=INGEST_TS,
         # one output per query: nothing to share, so nothing to materialize
-        persist=False, cache_input=False,
+        persist=False, cache_input=True,
     )
 
 

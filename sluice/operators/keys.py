@@ -31,17 +31,23 @@ def duplicate_groups(df: DataFrame, keys: list[str], file_col: str = "source_fil
 
 
 def with_key_counts(
-    df: DataFrame, keys: list[str], file_col: str = "source_filename", budget: int | None = None
+    df: DataFrame,
+    keys: list[str],
+    file_col: str = "source_filename",
+    budget: int | None = None,
+    count_from: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Add ``_key_count`` (null for unique keys). Returns (frame, cached dup table).
 
-    The caller unpersists the returned duplicate table after the last use.
+    ``count_from`` (default ``df``) is the frame the group sizes are counted
+    on: the same rows, possibly before a repartition. The caller unpersists
+    the returned duplicate table after the last use.
     """
     if not keys:
         return df.withColumn(KEY_COUNT, F.lit(None).cast("long")), None
     spark: SparkSession = df.sparkSession
     renamed = {k: f"_dk{i}" for i, k in enumerate([file_col, *keys])}
-    dups = duplicate_groups(df, keys, file_col).select(
+    dups = duplicate_groups(count_from if count_from is not None else df, keys, file_col).select(
         *[F.col(k).alias(v) for k, v in renamed.items()], KEY_COUNT
     )
     dups = dups.persist(StorageLevel.MEMORY_AND_DISK)

@@ -153,12 +153,37 @@ def violation_columns(rules: TableRules) -> list[Column]:
     return out
 
 
-def annotate(norm: DataFrame, rules: TableRules, budget: int | None = None):
-    """Add the ``violations`` array (R1-R4). Returns (frame, cached side tables)."""
+def spread(df: DataFrame, parallelism: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster when the input is narrower than it.
+
+    The checks are CPU work per row; an input with fewer partitions than task
+    slots (a few big files, one parquet row group) would leave cores idle.
+    Wide inputs (the large-scale case) are left as they are: no shuffle.
+    """
+    target = parallelism or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def annotate(
+    norm: DataFrame, rules: TableRules, budget: int | None = None, spread_rows: bool | None = False
+):
+    """Add the ``violations`` array (R1-R4). Returns (frame, cached side tables).
+
+    ``spread_rows``: None decides from the input's partition count (see
+    ``spread``), True always repartitions round-robin, False never.
+    """
     # Parse below the key-count join: projections never collapse across a
     # join, so each parsed value stays computed once whatever the consumer
     # prunes. The duplicate-key aggregate prunes the parsed columns away.
-    with_counts, dups = with_key_counts(with_parsed(norm, rules), rules.key_columns, FILE, budget)
+    if spread_rows is None:
+        rows = spread(norm)
+    elif spread_rows:
+        rows = norm.repartition(norm.sparkSession.sparkContext.defaultParallelism)
+    else:
+        rows = norm
+    with_counts, dups = with_key_counts(
+        with_parsed(rows, rules), rules.key_columns, FILE, budget, count_from=norm
+    )
     checks = violation_columns(rules)
     v = F.array_compact(F.array(*checks)) if checks else F.array().cast(
         "array<struct<invalid_reason:string,invalid_code:string,invalid_col_name:string,invalid_col_value:string>>"

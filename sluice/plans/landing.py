@@ -46,15 +46,18 @@ def check_landing(
     # Formats present decide which scans run (a handful of distinct values).
     exts = {r["ext"] for r in listing.select("ext").distinct().collect()}
     rows, csv_facts, json_facts, wb_facts = [], None, None, None
+    scan_bases: list[DataFrame] = []
     if "csv" in exts:
         scan = scan_csv(spark, root, rules, multi_line=multi_line, paths=paths, cache_scan=cache_scan)
         rows.append(scan.rows)
         csv_facts = scan.facts
         cached += scan.cached
+        scan_bases.append(scan.base)
     if "json" in exts:
         scan = scan_json(spark, root, rules, paths)
         rows.append(scan.rows)
         json_facts = scan.facts
+        scan_bases.append(scan.base)
     if exts & set(WORKBOOK_EXTS):
         from ..sources.workbook import scan_workbooks
 
@@ -62,6 +65,7 @@ def check_landing(
         rows.append(scan.rows)
         wb_facts = scan.facts
         cached += scan.cached
+        scan_bases.append(scan.base)
     fstats = file_stats(listing, csv_facts, json_facts, wb_facts, pipeline, dataset, table, ts)
     fstats = fstats.persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(fstats)
@@ -79,8 +83,12 @@ def check_landing(
             f"`{c.name}` string" for c in rules.data_columns
         )
         records = spark.createDataFrame([], schema)
+    # Checks are CPU work per row: spread the rows when the scans are narrower
+    # than the cluster (few multi-line files = few tasks).
+    scan_parts = sum(df.rdd.getNumPartitions() for df in scan_bases)
     result = check_records(
         records, rules, pipeline=pipeline, dataset=dataset, table=table, ingest_ts=ts,
+        spread_rows=scan_parts < spark.sparkContext.defaultParallelism,
         files=valid_files.select("source_filename"), persist=persist,
         cache_input=False,  # the scan below the records is cached already
         materialize_as=materialize_as,

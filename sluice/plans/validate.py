@@ -79,6 +79,7 @@ def check_records(
     persist: bool = True,
     cache_input: bool = True,
     materialize_as: str | None = None,
+    spread_rows: bool | None = None,
 ) -> CheckResult:
     """Run the row checks over all files of a table at once.
 
@@ -92,12 +93,16 @@ def check_records(
     ``materialize_as`` (persist / stage / none) says how the annotated rows
     are kept for the three outputs; by default ``persist`` if ``persist``
     else ``none``.
+
+    ``spread_rows``: when the records have fewer partitions than the default
+    parallelism, the checks run on a round-robin repartition of them (None:
+    decide from the records; True / False: caller's decision).
     """
     ts = ingest_ts or now_utc()
     if cache_input:
         records = records.persist(StorageLevel.MEMORY_AND_DISK)
     norm = normalise(records, rules, ts)
-    annotated, cached = annotate(norm, rules)
+    annotated, cached = annotate(norm, rules, spread_rows=spread_rows)
     how = materialize_as or ("persist" if persist else "none")
     # Three outputs read the annotated rows: compute the checks once.
     annotated, kept, staged = materialize(annotated, how, "annotated")

@@ -24,6 +24,7 @@ class JsonScan:
     rows: DataFrame  # _path, source_filename, index, data columns
     facts: DataFrame  # _path, parse_ok, bad_utf8, header_ok, header_fields
     cached: list
+    base: DataFrame | None = None  # the scan itself (its partitioning)
 
 
 def scan_json(spark: SparkSession, root: str, rules: TableRules, paths: list[str] | None = None) -> JsonScan:
@@ -56,4 +57,4 @@ def scan_json(spark: SparkSession, root: str, rules: TableRules, paths: list[str
         F.col("index").cast("bigint").alias("index"),
         *[F.element_at(F.col("_m"), F.lit(c.expected_file_name)).alias(c.name) for c in data],
     )
-    return JsonScan(rows=rows, facts=facts, cached=[])
+    return JsonScan(base=docs, rows=rows, facts=facts, cached=[])

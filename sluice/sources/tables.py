@@ -21,12 +21,19 @@ def table_records(
     index: Column | str,
     texts: dict[str, Column] | None = None,
     na_tokens: bool = True,
+    spread_rows: bool = True,
 ) -> DataFrame:
     """Project ``df`` to (source_filename, index, <data columns as text>).
 
     ``texts`` maps a header name (``expected_file_name``) to a Column; header
     names without an entry are taken from the column of the same name.
+    ``spread_rows``: a table with fewer partitions than task slots is spread
+    round-robin first, so the text derivation and checks use every core.
     """
+    if spread_rows:
+        from ..operators.rowchecks import spread
+
+        df = spread(df)
     texts = texts or {}
     file = F.col(file) if isinstance(file, str) else file
     index = F.col(index) if isinstance(index, str) else index

@@ -170,6 +170,7 @@ class WorkbookScan:
     rows: DataFrame
     facts: DataFrame
     cached: list
+    base: DataFrame | None = None  # the scan itself (its partitioning)
 
 
 def scan_workbooks(
@@ -198,4 +199,4 @@ def scan_workbooks(
         F.col("index"),
         *[na_to_null(F.try_element_at("cells", F.lit(i + 1))).alias(c.name) for i, c in enumerate(data)],
     )
-    return WorkbookScan(rows=rows, facts=facts, cached=[parsed])
+    return WorkbookScan(base=parsed, rows=rows, facts=facts, cached=[parsed])
