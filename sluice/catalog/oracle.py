@@ -10,7 +10,7 @@ from __future__ import annotations
 from ..functions.parsing import NULL_DATE_TEXT, NULL_NUMBER_TEXT
 from ..functions.text import NA_TOKENS
 from ..rules import LINEAGE_COLUMNS, ColumnRule, TableRules
-from ..schemas import CODE_KEY, CODE_NULL, CODE_PARSE
+from ..schemas import CODE_KEY, CODE_NULL, CODE_PARSE, REASON_KEY, REASON_PARSE, REASON_REQUIRED
 
 
 def q(s: str) -> str:
@@ -98,7 +98,7 @@ def ctes(rules: TableRules, text_sql: str, ingest_ts: str) -> str:
         if name in LINEAGE_COLUMNS:
             continue
         parts.append(
-            f"SELECT source_filename, \"index\", {q(name + ' is NULL whereas it is REQUIRED')} AS r, "
+            f"SELECT source_filename, \"index\", {q(REASON_REQUIRED.format(col=name))} AS r, "
             f"{q(CODE_NULL)} AS c, {q(name)} AS cn, CAST(NULL AS VARCHAR) AS cv FROM k "
             f"WHERE {ident(name)} IS NULL"
         )
@@ -106,9 +106,10 @@ def ctes(rules: TableRules, text_sql: str, ingest_ts: str) -> str:
         label = "[" + ", ".join(repr(k) for k in keys) + "]"
         sep = " || " + q("','") + " || "
         value = sep.join(f"coalesce({ident(k)}, 'nan')" for k in keys)
+        head, tail = REASON_KEY.format(cols=label, n="\0").split("\0")
         parts.append(
-            f"SELECT source_filename, \"index\", {q(label + ' is not unique : ')} || CAST(_key_count AS VARCHAR) "
-            f"|| ' occurences' AS r, {q(CODE_KEY)} AS c, {q(label)} AS cn, "
+            f"SELECT source_filename, \"index\", {q(head)} || CAST(_key_count AS VARCHAR) "
+            f"|| {q(tail)} AS r, {q(CODE_KEY)} AS c, {q(label)} AS cn, "
             f"'[''' || {value} || ''']' AS cv FROM k WHERE _key_count > 1"
         )
     for rule in rules.columns:
@@ -118,7 +119,7 @@ def ctes(rules: TableRules, text_sql: str, ingest_ts: str) -> str:
         if f is None:
             continue
         parts.append(
-            f"SELECT source_filename, \"index\", {q(rule.name + ' is not parsable to ' + rule.type)} AS r, "
+            f"SELECT source_filename, \"index\", {q(REASON_PARSE.format(col=rule.name, type=rule.type))} AS r, "
             f"{q(CODE_PARSE)} AS c, {q(rule.name)} AS cn, {ident(rule.name)} AS cv FROM k WHERE {f}"
         )
     if not parts:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.parsing import NULL_DATE_TEXT, NULL_NUMBER_TEXT, integral, parser_for
 from ..functions.text import key_value_text, newline_to_space, python_list_text
 from ..rules import LINEAGE_COLUMNS, ColumnRule, TableRules
-from ..schemas import CODE_KEY, CODE_NULL, CODE_PARSE
+from ..schemas import CODE_KEY, CODE_NULL, CODE_PARSE, REASON_KEY, REASON_PARSE, REASON_REQUIRED
 from .keys import KEY_COUNT, with_key_counts
 
 VIOLATIONS = "violations"
@@ -127,15 +127,14 @@ def violation_columns(rules: TableRules) -> list[Column]:
         out.append(
             F.when(
                 F.col(name).isNull(),
-                _violation(f"{name} is NULL whereas it is REQUIRED", CODE_NULL, name, None),
+                _violation(REASON_REQUIRED.format(col=name), CODE_NULL, name, None),
             )
         )
     keys = rules.key_columns
     if keys:
         label = python_list_text(keys)
-        reason = F.concat(
-            F.lit(f"{label} is not unique : "), F.col(KEY_COUNT).cast("string"), F.lit(" occurences")
-        )
+        head, tail = REASON_KEY.format(cols=label, n="\0").split("\0")
+        reason = F.concat(F.lit(head), F.col(KEY_COUNT).cast("string"), F.lit(tail))
         out.append(
             F.when(
                 F.col(KEY_COUNT) > 1,
@@ -148,7 +147,7 @@ def violation_columns(rules: TableRules) -> list[Column]:
             fails = F.col(rule.name).isNotNull() & value.isNull()
         else:
             fails = value.isNull()
-        reason = f"{rule.name} is not parsable to {rule.type}"
+        reason = REASON_PARSE.format(col=rule.name, type=rule.type)
         out.append(F.when(fails, _violation(reason, CODE_PARSE, rule.name, F.col(rule.name))))
     return out
 
