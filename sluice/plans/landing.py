@@ -17,6 +17,16 @@ from .validate import CheckResult, check_records, now_utc
 WORKBOOK_EXTS = ("xlsx", "xlsm")
 
 
+SKEW_FACTOR = 4
+
+
+def skewed_blocks(blocks: DataFrame, parallelism: int) -> bool:
+    """True when one scan block holds several times a fair share of the rows
+    (read from the small cached block table)."""
+    biggest, total = blocks.agg(F.max("_n"), F.sum("_n")).first()
+    return bool(total) and biggest > SKEW_FACTOR * total / parallelism
+
+
 def check_landing(
     spark: SparkSession,
     root: str,
@@ -47,12 +57,14 @@ def check_landing(
     exts = {r["ext"] for r in listing.select("ext").distinct().collect()}
     rows, csv_facts, json_facts, wb_facts = [], None, None, None
     scan_bases: list[DataFrame] = []
+    csv_blocks = None
     if "csv" in exts:
         scan = scan_csv(spark, root, rules, multi_line=multi_line, paths=paths, cache_scan=cache_scan)
         rows.append(scan.rows)
         csv_facts = scan.facts
         cached += scan.cached
         scan_bases.append(scan.base)
+        csv_blocks = scan.blocks
     if "json" in exts:
         scan = scan_json(spark, root, rules, paths)
         rows.append(scan.rows)
@@ -84,11 +96,16 @@ def check_landing(
         )
         records = spark.createDataFrame([], schema)
     # Checks are CPU work per row: spread the rows when the scans are narrower
-    # than the cluster (few multi-line files = few tasks).
+    # than the cluster (few multi-line files = few tasks) or skewed (one file
+    # holding a large share of the rows is one task in multi-line mode).
+    parallelism = spark.sparkContext.defaultParallelism
     scan_parts = sum(df.rdd.getNumPartitions() for df in scan_bases)
+    spread_rows = scan_parts < parallelism or (
+        csv_blocks is not None and skewed_blocks(csv_blocks, parallelism)
+    )
     result = check_records(
         records, rules, pipeline=pipeline, dataset=dataset, table=table, ingest_ts=ts,
-        spread_rows=scan_parts < spark.sparkContext.defaultParallelism,
+        spread_rows=spread_rows,
         files=valid_files.select("source_filename"), persist=persist,
         cache_input=False,  # the scan below the records is cached already
         materialize_as=materialize_as,

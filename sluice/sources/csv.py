@@ -40,6 +40,7 @@ class CsvScan:
     facts: DataFrame  # _path, header_fields, header_ok, max_fields, open_quote, bad_utf8, n_records
     cached: list
     base: DataFrame | None = None  # the scan itself (its partitioning)
+    blocks: DataFrame | None = None  # rows per (file, block), cached
 
 
 def _fields(raw_unq, sep: str):
@@ -188,4 +189,4 @@ def scan_csv(
             *[na_to_null(F.col(c)).alias(name) for c, name in zip(text_cols, data)],
         )
     )
-    return CsvScan(base=numbered, rows=rows, facts=facts, cached=[numbered, blocks] if cache_scan else [blocks])
+    return CsvScan(base=numbered, blocks=blocks, rows=rows, facts=facts, cached=[numbered, blocks] if cache_scan else [blocks])

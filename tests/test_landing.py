@@ -176,3 +176,12 @@ def test_nothing_landed(spark, landing):
     res = run(spark, landing, "drugs")
     assert res.file_stats.count() == 0 and res.rows_stats.count() == 0
     assert res.data_invalid.count() == 0 and res.valid.count() == 0
+
+
+def test_skewed_scan_is_detected(spark, landing):
+    from sluice.plans.landing import skewed_blocks
+
+    blocks = spark.createDataFrame([("a", 0, 1000), ("b", 0, 10), ("c", 0, 12)], "_path string, _block long, _n long")
+    assert skewed_blocks(blocks, 8)
+    even = spark.createDataFrame([(f"f{i}", 0, 100) for i in range(16)], "_path string, _block long, _n long")
+    assert not skewed_blocks(even, 8)
