@@ -73,6 +73,19 @@ def orders_landing(spark: SparkSession, sf: str) -> str:
     region.select(F.concat_ws(";", F.col("r_regionkey").cast("string"), "r_name")).coalesce(1).write.text(
         f"{root}/orders/orders_region"
     )
+    # Unreadable: the orders header, then nation rows one field wider. The
+    # header line and the rows go to one file, header first.
+    nation = spark.read.parquet(f"{sf}/nation.parquet")
+    width = len(rules.header) + 1
+    header = nation.select(F.lit(";".join(rules.header)).alias("value"), F.lit(0).alias("_o")).distinct()
+    body = nation.select(
+        F.concat_ws(";", F.col("n_nationkey").cast("string"), "n_name",
+                    *[F.col("n_regionkey").cast("string")] * (width - 2)).alias("value"),
+        F.lit(1).alias("_o"),
+    )
+    wide = f"{root}/orders/orders_wide"
+    header.unionByName(body).coalesce(1).sortWithinPartitions("_o").select("value").write.text(wide)
+    _rename_suffix(spark, f"{wide}/part-*.txt", ".txt", ".csv")
     _CACHE[key] = root
     return root
 

@@ -80,6 +80,26 @@ def _normalised(name: str, cols: list[str]) -> tuple[Query, str]:
     return run, oracle.normalised_sql(ds.rules, ds.text_sql, INGEST_TS, [oracle.ident(c) for c in cols])
 
 
+def _null_dates_pass_violations() -> tuple[Query, str]:
+    """Date rules with nulls passing (rule option), orders."""
+    import dataclasses
+
+    ds = DATASETS["orders"]
+    r = dataclasses.replace(ds.rules, null_dates_pass=True)
+
+    def run(spark, sf):
+        res = check_records(
+            ds.spark_records(spark, sf), r, pipeline=PIPELINE, dataset=DATASET, table="orders",
+            ingest_ts=INGEST_TS, persist=False, cache_input=True,
+        )
+        return res.data_invalid.where(F.col("invalid_code") == CODE_PARSE).select(*REPORT)
+
+    where = f"c = {oracle.q(CODE_PARSE)}"
+    return run, oracle.data_invalid_sql(
+        r, ds.text_sql, INGEST_TS, PIPELINE, DATASET, "orders", where=where, columns=oracle.REPORT_COLS
+    )
+
+
 def table_queries() -> dict[str, tuple[Query, str]]:
     return {
         # R1
@@ -94,6 +114,7 @@ def table_queries() -> dict[str, tuple[Query, str]]:
         "integer_parse_violations": _violations("part", CODE_PARSE, ("p_size",)),
         "date_parse_violations": _violations("orders", CODE_PARSE, ("o_orderdate", "o_orderday")),
         "datetime_parse_violations": _violations("events", CODE_PARSE),
+        "null_dates_pass_violations": _null_dates_pass_violations(),
         # P1, P2
         "newline_normalised": _normalised("documents", ["source_filename", "index", "text"]),
         "drop_all_null": _normalised(
@@ -129,7 +150,9 @@ def _landing_check(spark, sf):
 def _with_label(df: DataFrame) -> DataFrame:
     from .landing import label
 
-    lab = F.when(label() != "", label()).otherwise(F.regexp_extract("source_filename", "orders_(region)/", 1))
+    lab = F.when(label() != "", label()).otherwise(
+        F.regexp_extract("source_filename", "orders_(region|wide)/", 1)
+    )
     cols = [c for c in df.columns]
     return df.select(*[lab.alias("landing_file") if c == "source_filename" else F.col(c) for c in cols])
 
@@ -186,7 +209,9 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         f"SELECT {_DQ}, landing_file, {_TS_SQL}, is_invalid, description FROM ("
         "SELECT DISTINCT o_orderstatus AS landing_file, false AS is_invalid, 'File is VALID' AS description FROM orders "
         f"UNION ALL SELECT DISTINCT c_mktsegment, true, {_BAD_COLS} FROM customer "
-        f"UNION ALL SELECT DISTINCT 'region', true, {_BAD_COLS} FROM region)"
+        f"UNION ALL SELECT DISTINCT 'region', true, {_BAD_COLS} FROM region "
+        "UNION ALL SELECT DISTINCT 'wide', true, 'Error when reading the CSV file : "
+        "Error tokenizing data. Expected 7 fields, saw 8' FROM nation)"
     )
     valid_label = {"source_filename": "regexp_extract(source_filename, 'orders/(.+)\\.csv', 1) AS landing_file"}
     valid_sql = oracle.valid_sql(ds.rules, ds.text_sql, INGEST_TS, replace=valid_label)
