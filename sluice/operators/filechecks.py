@@ -15,25 +15,31 @@ UNREADABLE = FILE_UNREADABLE_TEXT
 NO_COLUMNS = "No columns to parse from file"
 BAD_UTF8 = "invalid UTF-8 byte sequence"
 OPEN_QUOTE = "Error tokenizing data. EOF inside string"
+SHIFTED = "first data row has more fields than the header"
 BAD_JSON = "document is not a JSON array of objects"
 # --------------------------------------------------------------------------
 
 
-def _csv_description(f) -> Column:
+def _csv_description() -> Column:
     u = F.lit(UNREADABLE["csv"])
-    long_rows = F.col("max_fields") > F.col("header_fields")
+    header, first = F.col("header_fields"), F.col("first_fields")
+    # Extra fields on the first data row become index columns in pandas: rows
+    # are too long only beyond the wider of the header and that row.
+    allowed = F.greatest(header, F.coalesce(first, header))
     return (
         F.when(F.col("n_records").isNull(), F.concat(u, F.lit(NO_COLUMNS)))
         .when(F.col("bad_utf8"), F.concat(u, F.lit(BAD_UTF8)))
         .when(F.col("open_quote"), F.concat(u, F.lit(OPEN_QUOTE)))
         .when(
-            long_rows,
+            F.col("max_fields") > allowed,
             F.concat(
-                u, F.lit("Error tokenizing data. Expected "), F.col("header_fields").cast("string"),
+                u, F.lit("Error tokenizing data. Expected "), allowed.cast("string"),
                 F.lit(" fields, saw "), F.col("max_fields").cast("string"),
             ),
         )
         .when(~F.col("header_ok"), F.lit(FILE_BAD_COLUMNS_TEXT))
+        # Deviation: pandas would shift the columns silently; reported instead.
+        .when(first > header, F.concat(u, F.lit(SHIFTED)))
         .otherwise(F.lit(FILE_VALID_TEXT))
     )
 
@@ -73,7 +79,7 @@ def file_stats(
     if csv_facts is not None:
         parts.append(
             listing.where(ext == "csv").join(csv_facts, PATH, "left")
-            .select(PATH, "source_filename", _csv_description(None).alias("description"))
+            .select(PATH, "source_filename", _csv_description().alias("description"))
         )
     if json_facts is not None:
         parts.append(

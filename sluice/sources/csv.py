@@ -37,7 +37,7 @@ REPLACEMENT_CHAR = "�"
 @dataclass
 class CsvScan:
     rows: DataFrame  # source_filename, index, data columns (NA tokens null)
-    facts: DataFrame  # _path, header_fields, header_ok, max_fields, open_quote, bad_utf8, n_records
+    facts: DataFrame  # _path, header_fields, header_ok, max_fields, open_quote, bad_utf8, n_records, first_fields
     cached: list
     base: DataFrame | None = None  # the scan itself (its partitioning)
     blocks: DataFrame | None = None  # rows per (file, block), cached
@@ -164,8 +164,22 @@ def scan_csv(
     w = Window.partitionBy(PATH).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
     blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
-    # The header is the first record of the first block. A data record is too
-    # long iff some block's largest field count exceeds the header's.
+    nblocks = blocks.count()
+    bt = blocks.select(PATH, BLOCK, "_first", "_offset")
+    # ~ path text + 3 longs per block; broadcast only under the budget.
+    bt = F.broadcast(bt) if nblocks * 256 <= broadcast_budget(spark) else bt
+    indexed = numbered.join(bt, [PATH, BLOCK]).withColumn(
+        "index", F.col("_offset") + F.col(RID) - F.col("_first") - 1
+    )
+    # File facts. The header is the first record of the first block. pandas
+    # takes the first data row's extra fields (if any) as index columns, so a
+    # row is too long only beyond max(header, first data row); the first data
+    # row is ordinal 0 (a pass over four small columns of the cached scan).
+    # (The coalesce keeps a data column in the query: Spark refuses a raw-file
+    # query that reads only the corrupt-record column.)
+    first_data = indexed.where(F.col("index") == 0).select(
+        PATH, F.coalesce(F.col("_fields"), F.length(text_cols[0])).alias("first_fields")
+    )
     facts = blocks.groupBy(PATH).agg(
         F.min_by("_first_fields", BLOCK).alias("header_fields"),
         F.min_by("_first_header_ok", BLOCK).alias("header_ok"),
@@ -173,15 +187,9 @@ def scan_csv(
         F.bool_or("_open_quote").alias("open_quote"),
         F.bool_or("_bad_utf8").alias("bad_utf8"),
         F.sum("_n").alias("n_records"),
-    )
-    nblocks = blocks.count()
-    bt = blocks.select(PATH, BLOCK, "_first", "_offset")
-    # ~ path text + 3 longs per block; broadcast only under the budget.
-    bt = F.broadcast(bt) if nblocks * 256 <= broadcast_budget(spark) else bt
+    ).join(first_data, PATH, "left")
     rows = (
-        numbered.join(bt, [PATH, BLOCK])
-        .withColumn("index", F.col("_offset") + F.col(RID) - F.col("_first") - 1)
-        .where(F.col("index") >= 0)
+        indexed.where(F.col("index") >= 0)
         .select(
             F.col(PATH),
             relative_name(F.col(PATH), root).alias("source_filename"),
