@@ -73,15 +73,22 @@ def orders_landing(spark: SparkSession, sf: str) -> str:
     region.select(F.concat_ws(";", F.col("r_regionkey").cast("string"), "r_name")).coalesce(1).write.text(
         f"{root}/orders/orders_region"
     )
-    # Unreadable: the orders header, then nation rows one field wider. The
-    # header line and the rows go to one file, header first.
+    # Unreadable: the orders header, a first nation row as wide as the header,
+    # then nation rows one field wider (pandas: "Expected 7 fields, saw 8").
+    # One file, lines in order: header, then rows by nation key.
     nation = spark.read.parquet(f"{sf}/nation.parquet")
-    width = len(rules.header) + 1
-    header = nation.select(F.lit(";".join(rules.header)).alias("value"), F.lit(0).alias("_o")).distinct()
+    width = len(rules.header)
+    header = nation.select(
+        F.lit(";".join(rules.header)).alias("value"), F.lit(-1).cast("long").alias("_o")
+    ).distinct()
+    first = F.col("n_nationkey") == nation.agg(F.min("n_nationkey")).first()[0]
+    cells = [F.col("n_nationkey").cast("string"), F.col("n_name")]
+    cells += [F.col("n_regionkey").cast("string")] * (width - 2)
     body = nation.select(
-        F.concat_ws(";", F.col("n_nationkey").cast("string"), "n_name",
-                    *[F.col("n_regionkey").cast("string")] * (width - 2)).alias("value"),
-        F.lit(1).alias("_o"),
+        F.when(first, F.concat_ws(";", *cells))
+        .otherwise(F.concat_ws(";", *cells, F.col("n_regionkey").cast("string")))
+        .alias("value"),
+        F.col("n_nationkey").cast("long").alias("_o"),
     )
     wide = f"{root}/orders/orders_wide"
     header.unionByName(body).coalesce(1).sortWithinPartitions("_o").select("value").write.text(wide)
