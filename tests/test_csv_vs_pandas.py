@@ -131,3 +131,28 @@ def test_file_verdicts_match_pandas(spark, landing, seed):
             got[f.source_filename] = "columns"
     assert got == want
     res.release()
+
+
+def test_json_header_verdicts_match_pandas(spark, landing):
+    import json
+
+    from sluice.plans.landing import check_landing
+
+    r = random.Random(5)
+    want = {}
+    for i in range(60):
+        objs = []
+        for _ in range(r.randint(0, 4)):
+            keys = r.sample(["atccode", "drug", "extra"], r.randint(1, 3))
+            if r.random() < 0.6:
+                keys = [k for k in keys if k != "extra"] or ["atccode"]
+            objs.append({k: r.choice([f"v{r.randint(0, 9)}", None, 7]) for k in keys})
+        text = json.dumps(objs)
+        name = f"drugs/drugs_{i:03d}.json"
+        landing(name, text)
+        df = pd.read_json(io.StringIO(text))
+        want[name] = "valid" if df.columns.tolist() == ["atccode", "drug"] else "columns"
+    res = check_landing(spark, landing.root, rules("drugs"), table="drugs", ingest_ts="2024-01-01 00:00:00")
+    got = {f.source_filename: ("valid" if not f.is_invalid else "columns") for f in res.file_stats.collect()}
+    assert got == want
+    res.release()
