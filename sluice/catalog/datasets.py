@@ -339,3 +339,6 @@ EVENTS_JSON_SQL = _text_sql(
     },
     "events",
 )
+
+# Lineitem as landing files: one file per return flag.
+LINEITEM_BY_FLAG_SQL = LINEITEM_SQL.replace("'lineitem/lineitem.csv' AS source_filename", "l_returnflag AS source_filename", 1)

@@ -158,3 +158,26 @@ def events_json_rules():
     return dataclasses.replace(
         DATASETS["events"].rules, source_path="events/events", formats=LANDING_FORMATS
     )
+
+
+def lineitem_landing(spark: SparkSession, sf: str) -> str:
+    """root/lineitem/lineitem_csv/_file=<returnflag>/part-*.csv: one big file per
+    return flag, read in line mode (splittable) by the landing query."""
+    key = _key(spark, sf, "lineitem")
+    if key in _CACHE:
+        return _CACHE[key]
+    root = new_scratch_path(spark, "landing-lineitem")
+    ds = DATASETS["lineitem"]
+    names = [c.name for c in ds.rules.data_columns]
+    _write_csv(
+        ds.spark_records(spark, sf), F.col("l_returnflag"),
+        f"{root}/lineitem/lineitem_csv", ds.rules.header, names,
+    )
+    _CACHE[key] = root
+    return root
+
+
+def lineitem_landing_rules():
+    return dataclasses.replace(
+        DATASETS["lineitem"].rules, source_path="lineitem/lineitem", formats=LANDING_FORMATS
+    )

@@ -166,7 +166,7 @@ _BAD_COLS = "'Columns do not respect the columns definition'"
 def landing_queries() -> dict[str, tuple[Query, str]]:
     ds = DATASETS["orders"]
     ev = DATASETS["events"]
-    from .datasets import EVENTS_JSON_SQL
+    from .datasets import EVENTS_JSON_SQL, LINEITEM_BY_FLAG_SQL
 
     def file_stats(spark, sf):
         return _with_label(_landing_check(spark, sf).file_stats)
@@ -194,6 +194,19 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         b = _with_label(read_table(spark, trunc)).groupBy("landing_file").agg(F.count(F.lit(1)).alias("rows_after_truncate"))
         return a.join(b, "landing_file", "full")
 
+    def lineitem_rows_stats(spark, sf):
+        from .landing import label, lineitem_landing, lineitem_landing_rules
+        from ..plans.landing import check_landing
+
+        root = lineitem_landing(spark, sf)
+        res = check_landing(
+            spark, root, lineitem_landing_rules(), pipeline=PIPELINE, dataset=DATASET,
+            table="lineitem", ingest_ts=INGEST_TS, persist=False, multi_line=False,
+        )
+        return res.rows_stats.withColumn("source_filename", label()).withColumnRenamed(
+            "source_filename", "landing_file"
+        )
+
     def json_rows_stats(spark, sf):
         from .landing import events_json_landing, events_json_rules, label
         from ..plans.landing import check_landing
@@ -238,6 +251,13 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         ),
         "landing_valid_typed": (valid, valid_sql),
         "sink_roundtrip": (sink_roundtrip, sink_sql),
+        "landing_lineitem_rows_stats": (
+            lineitem_rows_stats,
+            oracle.rows_stats_sql(
+                DATASETS["lineitem"].rules, LINEITEM_BY_FLAG_SQL, INGEST_TS, PIPELINE, DATASET,
+                "lineitem", file_col="k.source_filename AS landing_file",
+            ),
+        ),
         "json_landing_rows_stats": (
             json_rows_stats,
             oracle.rows_stats_sql(

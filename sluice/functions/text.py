@@ -55,7 +55,9 @@ def count_char(text: Column, ch: str) -> Column:
 
 
 def open_quote(raw_unquoted: Column, sep: str) -> Column:
-    """A quote left at a field start after closed sections are removed."""
+    """A quote left at a field start after closed sections are removed
+    (the regex only runs on text that still holds a quote)."""
     import re
 
-    return raw_unquoted.rlike("(?:^|" + re.escape(sep) + ')"')
+    has_quote = F.instr(raw_unquoted, '"') > 0
+    return has_quote & raw_unquoted.rlike("(?:^|" + re.escape(sep) + ')"')

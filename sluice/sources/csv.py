@@ -124,10 +124,11 @@ def scan_csv(
     # In the CSV reader a record with exactly n+1 fields fills the extra column
     # and keeps no raw text.
     fields = F.when(raw.isNull(), F.lit(n + 1)).otherwise(_fields(unq, sep)).cast("int")
-    header_ok = (fields == n) & F.coalesce(
-        F.array(*[F.col(c) for c in text_cols]) == F.array(*[F.lit(h) for h in rules.header]),
-        F.lit(False),
-    )
+    # Column-by-column with short-circuit: a data row fails at its first cell.
+    header_ok = F.lit(True)
+    for c, h in zip(text_cols, rules.header):
+        header_ok = header_ok & F.coalesce(F.col(c) == F.lit(h), F.lit(False))
+    header_ok = (fields == n) & header_ok
     numbered = (
         df.select(
             *text_cols,
