@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -14,6 +15,7 @@ from .landing import check_landing
 from .validate import now_utc
 
 log = logging.getLogger(__name__)
+_REPORT_LOCK = threading.Lock()
 
 
 @dataclass
@@ -39,6 +41,7 @@ def run_landing(
     export_root: str | None = None,
     multi_line: bool = True,
     materialize_as: str = "stage",
+    parallel_tables: int = 1,
 ) -> list[TableRun]:
     """Check, report and load every enabled table of the registry.
 
@@ -48,40 +51,60 @@ def run_landing(
     the others. The checked rows are staged once in the shared checkpoint
     folder (``materialize_as='stage'``) and the outputs are written from
     there, so losing an executor mid-run does not redo the scan and shuffle.
+
+    ``parallel_tables`` > 1 submits several tables' jobs at once from driver
+    threads (independent tables, one scheduler): many small tables then
+    share the cluster instead of running one after another.
     """
-    runs = []
+    tables = []
     for t in config.tables:
         if not t.to_request:
             log.info("table %s skipped (to_request is false)", t.name)
-            continue
-        ts = now_utc()
-        res = None
-        try:
-            rules = TableRules.load(t.rules_file)
-            res = check_landing(
-                spark, landing_root, rules, pipeline=config.pipeline_name, dataset=t.dataset,
-                table=t.table, ingest_ts=ts, multi_line=multi_line, materialize_as=materialize_as,
-            )
+        else:
+            tables.append(t)
+
+    def one(t) -> TableRun:
+        return _run_table(spark, config, t, landing_root, output_root, export_root, multi_line, materialize_as)
+
+    if parallel_tables > 1 and len(tables) > 1:
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=parallel_tables) as pool:
+            return list(pool.map(one, tables))
+    return [one(t) for t in tables]
+
+
+def _run_table(
+    spark, config, t, landing_root, output_root, export_root, multi_line, materialize_as
+) -> TableRun:
+    ts = now_utc()
+    res = None
+    try:
+        rules = TableRules.load(t.rules_file)
+        res = check_landing(
+            spark, landing_root, rules, pipeline=config.pipeline_name, dataset=t.dataset,
+            table=t.table, ingest_ts=ts, multi_line=multi_line, materialize_as=materialize_as,
+        )
+        with _REPORT_LOCK:  # the report tables are shared by all tables of the run
             append_reports(
                 res,
                 target(output_root, config.quality_dataset, config.file_stats_table),
                 target(output_root, config.quality_dataset, config.rows_stats_table),
                 target(output_root, config.quality_dataset, config.data_invalid_table),
             )
-            if export_root:
-                base = f"{export_root.rstrip('/')}/data_quality/{t.name}"
-                export_csv(res.file_stats, f"{base}/file_stats")
-                export_csv(res.rows_stats, f"{base}/rows_stats")
-                export_csv(res.data_invalid, f"{base}/data_invalid", ["table", "source_filename", "index"])
-            loaded = load_valid(res.valid, target(output_root, t.dataset, t.table), t.write_mode)
-            counts = res.file_stats.agg(
-                F.count(F.lit(1)).alias("files"), F.count_if("is_invalid").alias("bad")
-            ).first()
-            runs.append(TableRun(t.name, ts, loaded, counts["files"], counts["bad"]))
-        except Exception as e:  # one table's failure does not stop the others
-            log.exception("table %s failed", t.name)
-            runs.append(TableRun(t.name, ts, error=f"{type(e).__name__}: {e}"))
-        finally:
-            if res is not None:
-                res.release()
-    return runs
+        if export_root:
+            base = f"{export_root.rstrip('/')}/data_quality/{t.name}"
+            export_csv(res.file_stats, f"{base}/file_stats")
+            export_csv(res.rows_stats, f"{base}/rows_stats")
+            export_csv(res.data_invalid, f"{base}/data_invalid", ["table", "source_filename", "index"])
+        loaded = load_valid(res.valid, target(output_root, t.dataset, t.table), t.write_mode)
+        counts = res.file_stats.agg(
+            F.count(F.lit(1)).alias("files"), F.count_if("is_invalid").alias("bad")
+        ).first()
+        return TableRun(t.name, ts, loaded, counts["files"], counts["bad"])
+    except Exception as e:  # one table's failure does not stop the others
+        log.exception("table %s failed", t.name)
+        return TableRun(t.name, ts, error=f"{type(e).__name__}: {e}")
+    finally:
+        if res is not None:
+            res.release()

@@ -39,16 +39,17 @@ def test_append_truncate_and_empty_guard(spark, landing):
     assert back.columns[:3] == ["pipeline", "dataset", "table"]
 
 
-def test_registry_run(spark, landing):
+@pytest.mark.parametrize("parallel", [1, 2])
+def test_registry_run(spark, landing, parallel):
     out = tempfile.mkdtemp(prefix="sluice-out-")
     landing("clinical_trials/clinical_trials.csv",
             "id;scientific_title;date;journal\nA;t;1 January 2020;j\nB;t;x;j\n")
     landing("drugs/drugs.csv", "atccode;drug\nA;1\n")
     landing("pubmed/pubmed.csv", "id;title;date;journal\n1;t;01/01/2020;j\n")
     cfg = RunConfig.load(os.path.join(FIXTURES, "config.yml"))
-    runs = run_landing(spark, cfg, landing.root, out)
+    runs = run_landing(spark, cfg, landing.root, out, parallel_tables=parallel)
     assert [r.name for r in runs] == ["clinical_trials", "drugs"]  # pubmed: to_request False
-    assert all(r.error is None for r in runs)
+    assert all(r.error is None for r in runs), [r.error for r in runs]
     ct = read_table(spark, os.path.join(out, "raw", "clinical_trials"))
     assert [r.id for r in ct.collect()] == ["A"]
     inv = read_table(spark, os.path.join(out, "data_quality", "data_invalid"))
