@@ -28,6 +28,7 @@ from ..session import broadcast_budget
 from .listing import PATH, decoded_path, inputs, reader, relative_name
 
 RAW = "_raw"
+FILE_URI = "_file_uri"  # _metadata.file_path as Spark gives it (percent-encoded)
 EXTRA = "_extra"
 RID = "_rid"
 BLOCK = "_block"
@@ -134,14 +135,14 @@ def scan_csv(
             *text_cols,
             RAW,
             bad_utf8.alias("_bad_utf8"),
-            decoded_path(F.col("_file_path")).alias(PATH),
+            F.col("_file_path").alias(FILE_URI),
             F.col("_file_block").alias(BLOCK),
         )
         # Blank and whitespace-only records are not rows (must precede numbering).
         .where(raw.isNull() | (F.btrim(raw, F.lit(ASCII_SPACE)) != ""))
         .select(
             *text_cols,
-            PATH,
+            FILE_URI,
             BLOCK,
             fields.alias("_fields"),
             F.coalesce(open_quote(unq, sep), F.lit(False)).alias("_open_quote"),
@@ -153,7 +154,9 @@ def scan_csv(
     if cache_scan:
         numbered = numbered.persist(StorageLevel.MEMORY_AND_DISK)
     # One row per (file, block): map-side combined, so the shuffle is tiny.
-    blocks = numbered.groupBy(PATH, BLOCK).agg(
+    # Per-file texts (decoded path, report name) are computed here, once per
+    # block, and joined back, instead of once per row.
+    blocks = numbered.groupBy(FILE_URI, BLOCK).agg(
         F.min(RID).alias("_first"),
         F.count(F.lit(1)).alias("_n"),
         F.min_by("_fields", RID).alias("_first_fields"),
@@ -162,14 +165,16 @@ def scan_csv(
         F.bool_or("_open_quote").alias("_open_quote"),
         F.bool_or("_bad_utf8").alias("_bad_utf8"),
     )
-    w = Window.partitionBy(PATH).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    w = Window.partitionBy(FILE_URI).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0))).withColumn(
+        PATH, decoded_path(F.col(FILE_URI))
+    ).withColumn("source_filename", relative_name(F.col(PATH), root))
     blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     nblocks = blocks.count()
-    bt = blocks.select(PATH, BLOCK, "_first", "_offset")
-    # ~ path text + 3 longs per block; broadcast only under the budget.
-    bt = F.broadcast(bt) if nblocks * 256 <= broadcast_budget(spark) else bt
-    indexed = numbered.join(bt, [PATH, BLOCK]).withColumn(
+    bt = blocks.select(FILE_URI, BLOCK, PATH, "source_filename", "_first", "_offset")
+    # ~ two paths + 3 longs per block; broadcast only under the budget.
+    bt = F.broadcast(bt) if nblocks * 512 <= broadcast_budget(spark) else bt
+    indexed = numbered.join(bt, [FILE_URI, BLOCK]).withColumn(
         "index", F.col("_offset") + F.col(RID) - F.col("_first") - 1
     )
     # File facts. The header is the first record of the first block. pandas
@@ -193,7 +198,7 @@ def scan_csv(
         indexed.where(F.col("index") >= 0)
         .select(
             F.col(PATH),
-            relative_name(F.col(PATH), root).alias("source_filename"),
+            F.col("source_filename"),
             F.col("index").cast("bigint").alias("index"),
             *[na_to_null(F.col(c)).alias(name) for c, name in zip(text_cols, data)],
         )
