@@ -26,13 +26,21 @@ def ingest_text(ts) -> str:
     return ts if isinstance(ts, str) else ts.strftime("%Y-%m-%d %H:%M:%S")
 
 
+FILE_ID = "_file_id"
+
+
 def normalise(records: DataFrame, rules: TableRules, ingest_ts) -> DataFrame:
-    """P1 drop all-null rows, P2 newline to space, P3 lineage columns."""
+    """P1 drop all-null rows, P2 newline to space, P3 lineage columns.
+
+    A ``_file_id`` column (compact per-file key), when present, is kept.
+    """
     data = [c.name for c in rules.data_columns]
+    extra = [F.col(FILE_ID)] if FILE_ID in records.columns else []
     return (
         records.na.drop(how="all", subset=data)
         .select(
             F.col(FILE),
+            *extra,
             F.col(INDEX).cast("bigint").alias(INDEX),
             *[newline_to_space(F.col(c)).alias(c) for c in data],
         )
@@ -180,14 +188,17 @@ def annotate(
         rows = norm.repartition(norm.sparkSession.sparkContext.defaultParallelism)
     else:
         rows = norm
+    # Key groups are per file: a compact file id, when the source gives one,
+    # keeps the duplicate table small (a path is ~100 bytes per group).
+    file_key = FILE_ID if FILE_ID in norm.columns else FILE
     with_counts, dups = with_key_counts(
-        with_parsed(rows, rules), rules.key_columns, FILE, budget, count_from=norm
+        with_parsed(rows, rules), rules.key_columns, file_key, budget, count_from=norm
     )
     checks = violation_columns(rules)
     v = F.array_compact(F.array(*checks)) if checks else F.array().cast(
         "array<struct<invalid_reason:string,invalid_code:string,invalid_col_name:string,invalid_col_value:string>>"
     )
-    out = with_counts.withColumn(VIOLATIONS, v).drop(KEY_COUNT)
+    out = with_counts.withColumn(VIOLATIONS, v).drop(KEY_COUNT, FILE_ID)
     return out, [d for d in (dups,) if d is not None]
 
 

@@ -54,12 +54,17 @@ def check_landing(
     listing = list_files(spark, root, rules.source_path, paths).persist(StorageLevel.MEMORY_AND_DISK)
     cached: list[DataFrame] = [listing]
     # Formats present decide which scans run (a handful of distinct values).
-    exts = {r["ext"] for r in listing.select("ext").distinct().collect()}
+    ext_counts = listing.groupBy("ext").count().collect()
+    exts = {r["ext"] for r in ext_counts}
+    nlisted = sum(r["count"] for r in ext_counts)
     rows, csv_facts, json_facts, wb_facts = [], None, None, None
     scan_bases: list[DataFrame] = []
     csv_blocks = None
     if "csv" in exts:
-        scan = scan_csv(spark, root, rules, multi_line=multi_line, paths=paths, cache_scan=cache_scan)
+        scan = scan_csv(
+            spark, root, rules, multi_line=multi_line, paths=paths, cache_scan=cache_scan,
+            file_ids=listing if nlisted * 512 <= broadcast_budget(spark) else None,
+        )
         rows.append(scan.rows)
         csv_facts = scan.facts
         cached += scan.cached
@@ -86,9 +91,10 @@ def check_landing(
     # rows of invalid files go nowhere. The file list is broadcast when small.
     vf = F.broadcast(valid_files) if nfiles * 512 <= broadcast_budget(spark) else valid_files
     if rows:
-        records = rows[0]
+        with_ids = all("_file_id" in r.columns for r in rows)
+        records = rows[0] if with_ids else rows[0].drop("_file_id")
         for r in rows[1:]:
-            records = records.unionByName(r)
+            records = records.unionByName(r if with_ids else r.drop("_file_id"))
         records = records.join(vf.select(PATH), PATH, "left_semi").drop(PATH)
     else:
         schema = "source_filename string, index bigint, " + ", ".join(

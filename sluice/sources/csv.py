@@ -59,6 +59,7 @@ def scan_csv(
     multi_line: bool = True,
     paths: list[str] | None = None,
     cache_scan: bool = True,
+    file_ids: DataFrame | None = None,
 ) -> CsvScan:
     """Scan every CSV landing file of the table once (see module doc).
 
@@ -66,6 +67,8 @@ def scan_csv(
     Cached, the files are parsed once; not cached, they are parsed twice,
     which keeps executor memory and local disk free on very large inputs.
     Either way the ids agree: the same splits give the same ids.
+    ``file_ids`` (``_path``, ``_file_id``) adds the compact file key to the
+    rows through the small block table.
     """
     opts = rules.format_options("csv")
     sep = sep or opts.get("separator") or ","
@@ -172,6 +175,8 @@ def scan_csv(
     blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     nblocks = blocks.count()
     bt = blocks.select(FILE_URI, BLOCK, PATH, "source_filename", "_first", "_offset")
+    if file_ids is not None:
+        bt = bt.join(F.broadcast(file_ids.select(PATH, "_file_id")), PATH, "left")
     # ~ two paths + 3 longs per block; broadcast only under the budget.
     bt = F.broadcast(bt) if nblocks * 512 <= broadcast_budget(spark) else bt
     indexed = numbered.join(bt, [FILE_URI, BLOCK]).withColumn(
@@ -199,6 +204,7 @@ def scan_csv(
         .select(
             F.col(PATH),
             F.col("source_filename"),
+            *([F.col("_file_id")] if file_ids is not None else []),
             F.col("index").cast("bigint").alias("index"),
             *[na_to_null(F.col(c)).alias(name) for c, name in zip(text_cols, data)],
         )

@@ -71,6 +71,9 @@ def list_files(
         relative_name(F.col(PATH), root).alias("source_filename"),
         "length",
         extension(F.col(PATH)).alias("ext"),
+        # Compact per-file key for the key checks (unique; the listing is
+        # cached and re-lists identically, so ids are stable).
+        F.monotonically_increasing_id().alias("_file_id"),
     )
 
 
