@@ -57,13 +57,15 @@ def check_landing(
     ext_counts = listing.groupBy("ext").count().collect()
     exts = {r["ext"] for r in ext_counts}
     nlisted = sum(r["count"] for r in ext_counts)
+    # Compact file ids ride along from the listing when it can be broadcast.
+    file_ids = listing if nlisted * 512 <= broadcast_budget(spark) else None
     rows, csv_facts, json_facts, wb_facts = [], None, None, None
     scan_bases: list[DataFrame] = []
     csv_blocks = None
     if "csv" in exts:
         scan = scan_csv(
             spark, root, rules, multi_line=multi_line, paths=paths, cache_scan=cache_scan,
-            file_ids=listing if nlisted * 512 <= broadcast_budget(spark) else None,
+            file_ids=file_ids,
         )
         rows.append(scan.rows)
         csv_facts = scan.facts
@@ -71,14 +73,14 @@ def check_landing(
         scan_bases.append(scan.base)
         csv_blocks = scan.blocks
     if "json" in exts:
-        scan = scan_json(spark, root, rules, paths)
+        scan = scan_json(spark, root, rules, paths, file_ids=file_ids)
         rows.append(scan.rows)
         json_facts = scan.facts
         scan_bases.append(scan.base)
     if exts & set(WORKBOOK_EXTS):
         from ..sources.workbook import scan_workbooks
 
-        scan = scan_workbooks(spark, root, rules, paths)
+        scan = scan_workbooks(spark, root, rules, paths, file_ids=file_ids)
         rows.append(scan.rows)
         wb_facts = scan.facts
         cached += scan.cached
@@ -95,7 +97,13 @@ def check_landing(
         records = rows[0] if with_ids else rows[0].drop("_file_id")
         for r in rows[1:]:
             records = records.unionByName(r if with_ids else r.drop("_file_id"))
-        records = records.join(vf.select(PATH), PATH, "left_semi").drop(PATH)
+        if with_ids:
+            # semi-join on the 64-bit id rather than on the path text
+            valid_ids = valid_files.join(listing.select(PATH, "_file_id"), PATH).select("_file_id")
+            vi = F.broadcast(valid_ids) if nfiles * 16 <= broadcast_budget(spark) else valid_ids
+            records = records.join(vi, "_file_id", "left_semi").drop(PATH)
+        else:
+            records = records.join(vf.select(PATH), PATH, "left_semi").drop(PATH)
     else:
         schema = "source_filename string, index bigint, " + ", ".join(
             f"`{c.name}` string" for c in rules.data_columns

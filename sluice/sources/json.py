@@ -27,7 +27,13 @@ class JsonScan:
     base: DataFrame | None = None  # the scan itself (its partitioning)
 
 
-def scan_json(spark: SparkSession, root: str, rules: TableRules, paths: list[str] | None = None) -> JsonScan:
+def scan_json(
+    spark: SparkSession,
+    root: str,
+    rules: TableRules,
+    paths: list[str] | None = None,
+    file_ids: DataFrame | None = None,
+) -> JsonScan:
     docs = (
         reader(spark, "json")
         .option("wholetext", "true")
@@ -51,8 +57,14 @@ def scan_json(spark: SparkSession, root: str, rules: TableRules, paths: list[str
         F.size(keys).alias("header_fields"),
     )
     data = rules.data_columns
-    rows = docs.select(PATH, F.posexplode(ARR).alias("index", "_m")).select(
+    ids = []
+    if file_ids is not None:
+        # one row per file here: the compact file id is attached before the explode
+        docs = docs.join(F.broadcast(file_ids.select(PATH, "_file_id")), PATH, "left")
+        ids = [F.col("_file_id")]
+    rows = docs.select(PATH, *ids, F.posexplode(ARR).alias("index", "_m")).select(
         PATH,
+        *ids,
         relative_name(F.col(PATH), root).alias("source_filename"),
         F.col("index").cast("bigint").alias("index"),
         *[F.element_at(F.col("_m"), F.lit(c.expected_file_name)).alias(c.name) for c in data],

@@ -38,7 +38,7 @@ EXCEL_EPOCH = datetime(1899, 12, 30)
 # --------------------------------------------------------------------------
 
 OUT_SCHEMA = (
-    "_path string, kind string, index long, ok boolean, error string, "
+    "_path string, _file_id long, kind string, index long, ok boolean, error string, "
     "header array<string>, cells array<string>"
 )
 
@@ -147,20 +147,22 @@ def _scan_batches(opts: dict):
     def run(batches):
         for pdf in batches:
             out = []
-            for path, content in zip(pdf["path"], pdf["content"]):
+            for path, fid, content in zip(pdf["path"], pdf["_file_id"], pdf["content"]):
                 try:
                     rows = read_sheet(
                         bytes(content), opts.get("sheet_name"), opts.get("data_columns"),
                         opts.get("data_from_rows"),
                     )
                 except Exception as e:  # unreadable workbook: reported per file
-                    out.append((path, "file", None, False, f"{type(e).__name__}: {e}", None, None))
+                    out.append((path, fid, "file", None, False, f"{type(e).__name__}: {e}", None, None))
                     continue
                 header = ["" if v is None else v for v in rows[0]] if rows else []
-                out.append((path, "file", None, True, None, header, None))
+                out.append((path, fid, "file", None, True, None, header, None))
                 for i, row in enumerate(rows[1:]):
-                    out.append((path, "row", i, None, None, None, row))
-            yield pd.DataFrame(out, columns=["_path", "kind", "index", "ok", "error", "header", "cells"])
+                    out.append((path, fid, "row", i, None, None, None, row))
+            yield pd.DataFrame(
+                out, columns=["_path", "_file_id", "kind", "index", "ok", "error", "header", "cells"]
+            )
 
     return run
 
@@ -174,7 +176,11 @@ class WorkbookScan:
 
 
 def scan_workbooks(
-    spark: SparkSession, root: str, rules: TableRules, paths: list[str] | None = None
+    spark: SparkSession,
+    root: str,
+    rules: TableRules,
+    paths: list[str] | None = None,
+    file_ids: DataFrame | None = None,
 ) -> WorkbookScan:
     opts = rules.format_options("xlsx") or rules.format_options("xlsm")
     files = (
@@ -184,6 +190,12 @@ def scan_workbooks(
         .load(inputs(root, rules.source_path, paths))
         .select("path", "content")
     )
+    if file_ids is not None:
+        files = files.join(
+            F.broadcast(file_ids.select(F.col(PATH).alias("path"), "_file_id")), "path", "left"
+        )
+    else:
+        files = files.withColumn("_file_id", F.lit(None).cast("long"))
     parsed = files.mapInPandas(_scan_batches(opts), OUT_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
     expected = F.array(*[F.lit(h) for h in rules.header])
     facts = parsed.where(F.col("kind") == "file").select(
@@ -193,8 +205,10 @@ def scan_workbooks(
         F.coalesce(F.col("header") == expected, F.lit(False)).alias("header_ok"),
     )
     data = rules.data_columns
+    ids = [F.col("_file_id")] if file_ids is not None else []
     rows = parsed.where(F.col("kind") == "row").select(
         PATH,
+        *ids,
         relative_name(F.col(PATH), root).alias("source_filename"),
         F.col("index"),
         *[na_to_null(F.try_element_at("cells", F.lit(i + 1))).alias(c.name) for i, c in enumerate(data)],
