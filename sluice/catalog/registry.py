@@ -25,8 +25,9 @@ def _check(spark: SparkSession, sf: str, name: str):
     return check_records(
         ds.spark_records(spark, sf), ds.rules, pipeline=PIPELINE, dataset=DATASET,
         table=name, ingest_ts=INGEST_TS,
-        # one output per query: nothing to share, so nothing to materialize
-        persist=False, cache_input=True,
+        # one output per query: nothing to share, so nothing to materialize;
+        # table_records already spread a narrow table over the cores
+        persist=False, cache_input=True, spread_rows=False,
     )
 
 
@@ -90,7 +91,7 @@ def _null_dates_pass_violations() -> tuple[Query, str]:
     def run(spark, sf):
         res = check_records(
             ds.spark_records(spark, sf), r, pipeline=PIPELINE, dataset=DATASET, table="orders",
-            ingest_ts=INGEST_TS, persist=False, cache_input=True,
+            ingest_ts=INGEST_TS, persist=False, cache_input=True, spread_rows=False,
         )
         return res.data_invalid.where(F.col("invalid_code") == CODE_PARSE).select(*REPORT)
 
