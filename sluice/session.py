@@ -35,11 +35,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables: the cluster's spark.checkpoint.dir.
 
-    Only when the session names none (local tests) is a fresh local folder set.
+    Only a local-mode session without one (tests) gets a fresh local folder;
+    on a cluster a machine-local folder would not be shared, so it is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="sluice-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
