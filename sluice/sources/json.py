@@ -67,6 +67,6 @@ def scan_json(
         *ids,
         relative_name(F.col(PATH), root).alias("source_filename"),
         F.col("index").cast("bigint").alias("index"),
-        *[F.element_at(F.col("_m"), F.lit(c.expected_file_name)).alias(c.name) for c in data],
+        *[F.try_element_at(F.col("_m"), F.lit(c.expected_file_name)).alias(c.name) for c in data],
     )
     return JsonScan(base=docs, rows=rows, facts=facts, cached=[])
