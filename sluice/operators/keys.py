@@ -13,7 +13,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import broadcast_budget
@@ -30,12 +30,47 @@ def duplicate_groups(df: DataFrame, keys: list[str], file_col: str = "source_fil
     )
 
 
+def key_hashes(keys: list[str]) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes of the key tuple (null distinct from '')."""
+    parts = []
+    for k in keys:
+        parts += [F.col(k).isNull(), F.coalesce(F.col(k), F.lit(""))]
+    return F.xxhash64(*parts), F.xxhash64(F.lit("second hash"), *parts)
+
+
+def duplicate_groups_two_phase(
+    df: DataFrame, keys: list[str], file_col: str = "source_filename", budget: int | None = None
+) -> DataFrame:
+    """Same result as ``duplicate_groups`` without shuffling wide key values.
+
+    Phase 1 groups by (file, 128-bit hash of the keys): only the hashes cross
+    the network, and a hash group of one row is certainly a unique key.
+    Phase 2 counts exactly, by the key values, only the rows of hash groups
+    with more than one member (duplicates, plus any hash collision).
+    """
+    h1, h2 = key_hashes(keys)
+    hashed = df.select(file_col, *keys, h1.alias("_h1"), h2.alias("_h2"))
+    candidates = (
+        hashed.groupBy(file_col, "_h1", "_h2")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > 1)
+        .select(file_col, "_h1", "_h2")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    n = candidates.count()
+    budget = broadcast_budget(df.sparkSession) if budget is None else budget
+    cand = F.broadcast(candidates) if n * 128 <= budget else candidates
+    rows = hashed.join(cand, [file_col, "_h1", "_h2"], "left_semi")
+    return duplicate_groups(rows, keys, file_col)
+
+
 def with_key_counts(
     df: DataFrame,
     keys: list[str],
     file_col: str = "source_filename",
     budget: int | None = None,
     count_from: DataFrame | None = None,
+    two_phase: bool = False,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Add ``_key_count`` (null for unique keys). Returns (frame, cached dup table).
 
@@ -47,7 +82,13 @@ def with_key_counts(
         return df.withColumn(KEY_COUNT, F.lit(None).cast("long")), None
     spark: SparkSession = df.sparkSession
     renamed = {k: f"_dk{i}" for i, k in enumerate([file_col, *keys])}
-    dups = duplicate_groups(count_from if count_from is not None else df, keys, file_col).select(
+    source = count_from if count_from is not None else df
+    groups = (
+        duplicate_groups_two_phase(source, keys, file_col, budget)
+        if two_phase
+        else duplicate_groups(source, keys, file_col)
+    )
+    dups = groups.select(
         *[F.col(k).alias(v) for k, v in renamed.items()], KEY_COUNT
     )
     dups = dups.persist(StorageLevel.MEMORY_AND_DISK)

@@ -191,8 +191,12 @@ def annotate(
     # Key groups are per file: a compact file id, when the source gives one,
     # keeps the duplicate table small (a path is ~100 bytes per group).
     file_key = FILE_ID if FILE_ID in norm.columns else FILE
+    # Free-text keys may be wide (a document as key): count them through
+    # hashes so only 16 bytes per row are shuffled (exact, see keys.py).
+    wide = any(c.type == "STRING" for c in rules.columns if c.unique_identifier)
     with_counts, dups = with_key_counts(
-        with_parsed(rows, rules), rules.key_columns, file_key, budget, count_from=norm
+        with_parsed(rows, rules), rules.key_columns, file_key, budget, count_from=norm,
+        two_phase=wide,
     )
     checks = violation_columns(rules)
     v = F.array_compact(F.array(*checks)) if checks else F.array().cast(
