@@ -60,6 +60,7 @@ def scan_csv(
     paths: list[str] | None = None,
     cache_scan: bool = True,
     file_ids: DataFrame | None = None,
+    utf8_check: str = "decoded",
 ) -> CsvScan:
     """Scan every CSV landing file of the table once (see module doc).
 
@@ -69,6 +70,12 @@ def scan_csv(
     Either way the ids agree: the same splits give the same ids.
     ``file_ids`` (``_path``, ``_file_id``) adds the compact file key to the
     rows through the small block table.
+
+    ``utf8_check`` (multi-line mode, UTF-8 files): ``decoded`` infers invalid
+    bytes from U+FFFD in the decoded records (no extra pass; a file that
+    really contains U+FFFD counts as invalid); ``bytes`` validates the raw
+    bytes exactly with an extra, splittable line pass. Line mode always
+    checks the raw bytes.
     """
     opts = rules.format_options("csv")
     sep = sep or opts.get("separator") or ","
@@ -199,6 +206,15 @@ def scan_csv(
         F.bool_or("_bad_utf8").alias("bad_utf8"),
         F.sum("_n").alias("n_records"),
     ).join(first_data, PATH, "left")
+    if not line_mode and utf8_check == "bytes" and encoding.lower().replace("-", "") == "utf8":
+        raw_ok = (
+            reader(spark, "csv").text(inputs(root, rules.source_path, paths))
+            .groupBy(decoded_path(F.col("_metadata.file_path")).alias(PATH))
+            .agg(F.bool_and(F.is_valid_utf8("value")).alias("_utf8_ok"))
+        )
+        facts = facts.join(raw_ok, PATH, "left").withColumn(
+            "bad_utf8", ~F.coalesce(F.col("_utf8_ok"), F.lit(True))
+        ).drop("_utf8_ok")
     rows = (
         indexed.where(F.col("index") >= 0)
         .select(
