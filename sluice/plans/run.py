@@ -42,6 +42,7 @@ def run_landing(
     multi_line: bool = True,
     materialize_as: str = "stage",
     parallel_tables: int = 1,
+    **check_options,
 ) -> list[TableRun]:
     """Check, report and load every enabled table of the registry.
 
@@ -54,7 +55,8 @@ def run_landing(
 
     ``parallel_tables`` > 1 submits several tables' jobs at once from driver
     threads (independent tables, one scheduler): many small tables then
-    share the cluster instead of running one after another.
+    share the cluster instead of running one after another. Other keyword
+    options (``cache_scan``, ``utf8_check``) go to ``check_landing``.
     """
     tables = []
     for t in config.tables:
@@ -64,7 +66,10 @@ def run_landing(
             tables.append(t)
 
     def one(t) -> TableRun:
-        return _run_table(spark, config, t, landing_root, output_root, export_root, multi_line, materialize_as)
+        return _run_table(
+            spark, config, t, landing_root, output_root, export_root, multi_line, materialize_as,
+            check_options,
+        )
 
     if parallel_tables > 1 and len(tables) > 1:
         from concurrent.futures import ThreadPoolExecutor
@@ -75,7 +80,8 @@ def run_landing(
 
 
 def _run_table(
-    spark, config, t, landing_root, output_root, export_root, multi_line, materialize_as
+    spark, config, t, landing_root, output_root, export_root, multi_line, materialize_as,
+    check_options,
 ) -> TableRun:
     ts = now_utc()
     res = None
@@ -84,6 +90,7 @@ def _run_table(
         res = check_landing(
             spark, landing_root, rules, pipeline=config.pipeline_name, dataset=t.dataset,
             table=t.table, ingest_ts=ts, multi_line=multi_line, materialize_as=materialize_as,
+            **check_options,
         )
         with _REPORT_LOCK:  # the report tables are shared by all tables of the run
             append_reports(

@@ -45,6 +45,7 @@ def table_stream(
     max_files_per_trigger: int = 1000,
     available_now: bool = True,
     multi_line: bool = True,
+    **check_options,
 ) -> StreamingQuery:
     """Start the incremental check of one table. ``available_now`` processes
     what has landed and stops (run it on a schedule); otherwise it keeps
@@ -69,6 +70,7 @@ def table_stream(
         res = check_landing(
             spark, landing_root, rules, pipeline=config.pipeline_name, dataset=table.dataset,
             table=table.table, ingest_ts=now_utc(), multi_line=multi_line, paths=paths,
+            **check_options,
         )
         try:
             _write_batch(conform(res.file_stats, FILE_STATS), quality["file_stats"], batch_id)
