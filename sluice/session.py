@@ -21,7 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", os.environ.get("SLUICE_DRIVER_MEMORY", "4g"))
         # The check projections are wide; a stage whose generated method would
         # exceed HotSpot's JIT limit (8000 bytes) runs interpreted. With this
         # limit Spark falls back to per-operator codegen for such stages only.
