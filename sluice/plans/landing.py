@@ -91,7 +91,7 @@ def check_landing(
     fstats = file_stats(listing, csv_facts, json_facts, wb_facts, pipeline, dataset, table, ts)
     fstats = fstats.persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(fstats)
-    nfiles = fstats.count()
+    nfiles = nlisted  # one file_stats row per listed non-empty file
     valid_files = fstats.where(~F.col("is_invalid")).select(PATH, "source_filename")
     # rows of invalid files go nowhere. The file list is broadcast when small.
     vf = F.broadcast(valid_files) if nfiles * 512 <= broadcast_budget(spark) else valid_files
