@@ -8,6 +8,7 @@ typed valid rows. ``run_landing`` runs the registry and writes the tables.
 
 from .plans import CheckResult, check_landing, check_records, run_landing
 from .rules import ColumnRule, RunConfig, TableConfig, TableRules
+from .sinks import append_reports, export_csv, load_valid
 
 __all__ = [
     "CheckResult",
@@ -15,7 +16,10 @@ __all__ = [
     "RunConfig",
     "TableConfig",
     "TableRules",
+    "append_reports",
     "check_landing",
     "check_records",
+    "export_csv",
+    "load_valid",
     "run_landing",
 ]
