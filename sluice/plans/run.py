@@ -1,4 +1,4 @@
-"""Table-registry run: every enabled table in turn, work on the executors."""
+"""Table-registry run: every enabled table (in turn, or a few at once), work on the executors."""
 
 from __future__ import annotations
 

@@ -1,9 +1,11 @@
 """CSV landing scan (S2) with exact per-file ordinals (I1) and file facts (F1, F2).
 
 Every file of a table is read in one scan, all columns as text, plus one
-extra column and the raw record. From the raw record each row gets its field
-count (separators outside quotes) and an unterminated-quote flag; invalid
-UTF-8 shows up as U+FFFD after decoding.
+extra column and the raw record (multi-line mode: the CSV reader; line mode:
+the text source + ``from_csv``, splittable). From the raw record each row gets
+its field count (separators outside quotes) and an unterminated-quote flag;
+invalid UTF-8 shows up as U+FFFD after decoding (or is checked on the raw
+bytes: line mode, or ``utf8_check='bytes'``).
 
 Row ordinals: blank records are dropped, then ``monotonically_increasing_id``
 numbers the rows inside each scan block. One small aggregate per (file, block)
