@@ -83,3 +83,20 @@ def test_export_sorted_report(spark, landing):
     back = spark.read.option("header", True).option("sep", ";").csv(path).collect()
     keys = [(r.source_filename, int(r["index"])) for r in back]
     assert keys == sorted(keys) and len(keys) == 160  # 80 rows x (null + key)
+
+
+def test_registry_run_exports_reports(spark, landing):
+    out = tempfile.mkdtemp(prefix="sluice-out-")
+    exp = tempfile.mkdtemp(prefix="sluice-export-")
+    landing("drugs/drugs.csv", "atccode;drug\nA;1\nA;2\n")
+    cfg = RunConfig.load(os.path.join(FIXTURES, "config.yml"))
+    cfg = RunConfig(tables=tuple(t for t in cfg.tables if t.name == "drugs"))
+    runs = run_landing(spark, cfg, landing.root, out, export_root=exp)
+    assert runs[0].error is None and not runs[0].loaded  # both rows share a key: nothing valid
+    base = os.path.join(exp, "data_quality", "drugs")
+    read = spark.read.option("header", True).option("sep", ";")
+    assert read.csv(os.path.join(base, "file_stats")).count() == 1
+    assert read.csv(os.path.join(base, "rows_stats")).first().nb_invalid_lines == "2"
+    inv = read.csv(os.path.join(base, "data_invalid")).collect()
+    assert [r["index"] for r in inv] == ["0", "1"]
+    assert {r.invalid_col_value for r in inv} == {"['A']"}
