@@ -93,6 +93,12 @@ class TableRules:
     def header(self) -> list[str]:
         return [c.expected_file_name for c in self.data_columns]
 
+    @property
+    def header_matchable(self) -> bool:
+        """pandas renames a repeated header name ('a', 'a.1'), so a rule set that
+        expects the same name twice can never match a file header."""
+        return len(set(self.header)) == len(self.header)
+
     @property
     def names(self) -> list[str]:
         return [c.name for c in self.columns]

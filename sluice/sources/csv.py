@@ -141,7 +141,7 @@ def scan_csv(
     header_ok = F.lit(True)
     for c, h in zip(text_cols, rules.header):
         header_ok = header_ok & F.coalesce(F.col(c) == F.lit(h), F.lit(False))
-    header_ok = (fields == n) & header_ok
+    header_ok = (fields == n) & header_ok & F.lit(rules.header_matchable)
     numbered = (
         df.select(
             *text_cols,

@@ -53,7 +53,7 @@ def scan_json(
         PATH,
         F.col(ARR).isNotNull().alias("parse_ok"),
         (~F.col("_utf8_ok")).alias("bad_utf8"),
-        F.coalesce(keys == expected, F.lit(False)).alias("header_ok"),
+        (F.coalesce(keys == expected, F.lit(False)) & F.lit(rules.header_matchable)).alias("header_ok"),
         F.size(keys).alias("header_fields"),
     )
     data = rules.data_columns

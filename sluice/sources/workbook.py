@@ -202,7 +202,9 @@ def scan_workbooks(
         PATH,
         F.col("ok").alias("parse_ok"),
         "error",
-        F.coalesce(F.col("header") == expected, F.lit(False)).alias("header_ok"),
+        (F.coalesce(F.col("header") == expected, F.lit(False)) & F.lit(rules.header_matchable)).alias(
+            "header_ok"
+        ),
     )
     data = rules.data_columns
     ids = [F.col("_file_id")] if file_ids is not None else []

@@ -195,3 +195,16 @@ def test_utf8_bytes_check(spark, landing):
     assert decoded["drugs_bad.csv"][0] and exact["drugs_bad.csv"][0]
     assert decoded["drugs_fffd.csv"][0]  # the documented inference
     assert exact["drugs_fffd.csv"] == (False, FILE_OK)
+
+
+def test_repeated_expected_header_never_matches(spark, landing):
+    import dataclasses
+
+    from sluice.rules import ColumnRule
+
+    r = rules("drugs")
+    cols = (ColumnRule("a1", "STRING", "a"), ColumnRule("a2", "STRING", "a"), *r.columns[-2:])
+    rr = dataclasses.replace(r, columns=cols)
+    landing("drugs/drugs.csv", "a;a\n1;2\n")
+    res = check_landing(spark, landing.root, rr, table="drugs", ingest_ts=TS)
+    assert stats(res)["drugs.csv"] == (True, BAD_COLS)
