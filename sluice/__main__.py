@@ -1,6 +1,6 @@
 """Command line: run the table registry on a cluster.
 
-    spark-submit --py-files sluice.zip -m sluice config.yml s3a://landing s3a://warehouse
+    spark-submit --py-files sluice.zip run_sluice.py config.yml s3a://landing s3a://warehouse
 
 (or ``python -m sluice ...`` with pyspark installed). The Spark session comes
 from the environment (spark-submit / spark-defaults), so cluster settings such
