@@ -79,7 +79,7 @@ def check_records(
     persist: bool = True,
     cache_input: bool = True,
     materialize_as: str | None = None,
-    spread_rows: bool | None = None,
+    spread_rows: bool | None = False,
 ) -> CheckResult:
     """Run the row checks over all files of a table at once.
 
@@ -94,9 +94,10 @@ def check_records(
     are kept for the three outputs; by default ``persist`` if ``persist``
     else ``none``.
 
-    ``spread_rows``: when the records have fewer partitions than the default
-    parallelism, the checks run on a round-robin repartition of them (None:
-    decide from the records; True / False: caller's decision).
+    ``spread_rows``: True runs the checks on a round-robin repartition of the
+    records (for inputs narrower than the cluster); None decides from the
+    records' partition count, which plans the records (only cheap for plain
+    scans; ``table_records`` and ``check_landing`` decide this themselves).
     """
     ts = ingest_ts or now_utc()
     if cache_input:
