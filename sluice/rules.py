@@ -13,10 +13,23 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
-# Fixed values shared with the rule files.
+# --- fixed values: rule files and registry format ---------------------------
 LINEAGE_COLUMNS = ("source_filename", "execution_datetime")
 KNOWN_TYPES = ("STRING", "INTEGER", "FLOAT", "FLOAT64", "DATE", "DATETIME")
 WRITE_MODES = ("APPEND", "TRUNCATE")
+# Registry (YAML) keys: per table, then the quality-report section.
+REG_TABLES = "tables"
+REG_TO_REQUEST = "to_request"
+REG_RULES_FILE = "source_file_params"
+REG_DATASET = "destination_bq_dataset_name"
+REG_TABLE = "destination_bq_table_name"
+REG_WRITE_MODE = "write_mode"
+REG_QUALITY = "data_quality"
+REG_QUALITY_DATASET = "bq_dataset_name"
+REG_FILE_STATS = "bq_file_stats_table_name"
+REG_ROWS_STATS = "bq_rows_stats_table_name"
+REG_DATA_INVALID = "bq_data_invalid_table_name"
+# ---------------------------------------------------------------------------
 
 
 class RuleError(ValueError):
@@ -158,28 +171,28 @@ class RunConfig:
     @classmethod
     def from_dict(cls, d: dict[str, Any], base_dir: str | Path = ".") -> "RunConfig":
         tables = []
-        for name, t in (d.get("tables") or {}).items():
-            rules_file = Path(t.get("source_file_params") or t["rules_file"])
-            if not rules_file.is_absolute():
+        for name, t in (d.get(REG_TABLES) or {}).items():
+            rules_file = Path(t.get(REG_RULES_FILE) or t["rules_file"])
+            if not rules_file.is_absolute() and not rules_file.exists():
                 rules_file = Path(base_dir) / rules_file
             tables.append(
                 TableConfig(
                     name=name,
                     rules_file=str(rules_file),
-                    dataset=t.get("destination_bq_dataset_name") or t.get("dataset") or "raw",
-                    table=t.get("destination_bq_table_name") or t.get("table") or name,
-                    write_mode=str(t.get("write_mode") or "APPEND").upper(),
+                    dataset=t.get(REG_DATASET) or t.get("dataset") or "raw",
+                    table=t.get(REG_TABLE) or t.get("table") or name,
+                    write_mode=str(t.get(REG_WRITE_MODE) or "APPEND").upper(),
                     # The registry test is "== False": a missing flag means run.
-                    to_request=t.get("to_request") is not False,
+                    to_request=t.get(REG_TO_REQUEST) is not False,
                 )
             )
-        dq = d.get("data_quality") or {}
+        dq = d.get(REG_QUALITY) or {}
         return cls(
             tables=tuple(tables),
-            quality_dataset=dq.get("bq_dataset_name") or dq.get("dataset") or "data_quality",
-            file_stats_table=dq.get("bq_file_stats_table_name") or "file_stats",
-            rows_stats_table=dq.get("bq_rows_stats_table_name") or "rows_stats",
-            data_invalid_table=dq.get("bq_data_invalid_table_name") or "data_invalid",
+            quality_dataset=dq.get(REG_QUALITY_DATASET) or dq.get("dataset") or "data_quality",
+            file_stats_table=dq.get(REG_FILE_STATS) or "file_stats",
+            rows_stats_table=dq.get(REG_ROWS_STATS) or "rows_stats",
+            data_invalid_table=dq.get(REG_DATA_INVALID) or "data_invalid",
             pipeline_name=d.get("pipeline_name") or "0_landing_to_raw",
         )
 
