@@ -12,12 +12,12 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..rules import ColumnRule, TableRules
+from ..rules import ColumnRule, PIPELINE_NAME, TableRules
 from ..sources.tables import table_records
 from .oracle import ident, na_null
 
 INGEST_TS = "2024-01-01 00:00:00"
-PIPELINE = "0_landing_to_raw"
+PIPELINE = PIPELINE_NAME
 DATASET = "raw"
 
 

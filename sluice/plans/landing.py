@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.filechecks import file_stats
-from ..rules import TableRules
+from ..rules import PIPELINE_NAME, TableRules
 from ..session import broadcast_budget
 from ..sources.csv import scan_csv
 from ..sources.json import scan_json
@@ -32,7 +32,7 @@ def check_landing(
     root: str,
     rules: TableRules,
     *,
-    pipeline: str = "0_landing_to_raw",
+    pipeline: str = PIPELINE_NAME,
     dataset: str = "raw",
     table: str = "table",
     ingest_ts: str | None = None,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.reports import data_invalid, rows_stats
 from ..operators.rowchecks import annotate, normalise, typed_valid
-from ..rules import TableRules
+from ..rules import PIPELINE_NAME, TableRules
 
 
 def now_utc() -> str:
@@ -71,7 +71,7 @@ def check_records(
     records: DataFrame,
     rules: TableRules,
     *,
-    pipeline: str = "0_landing_to_raw",
+    pipeline: str = PIPELINE_NAME,
     dataset: str = "raw",
     table: str = "table",
     ingest_ts: str | None = None,

@@ -17,6 +17,8 @@ from typing import Any
 LINEAGE_COLUMNS = ("source_filename", "execution_datetime")
 KNOWN_TYPES = ("STRING", "INTEGER", "FLOAT", "FLOAT64", "DATE", "DATETIME")
 WRITE_MODES = ("APPEND", "TRUNCATE")
+# Pipeline name written in every report row.
+PIPELINE_NAME = "0_landing_to_raw"
 # Registry (YAML) keys: per table, then the quality-report section.
 REG_TABLES = "tables"
 REG_TO_REQUEST = "to_request"
@@ -166,7 +168,7 @@ class RunConfig:
     file_stats_table: str = "file_stats"
     rows_stats_table: str = "rows_stats"
     data_invalid_table: str = "data_invalid"
-    pipeline_name: str = "0_landing_to_raw"
+    pipeline_name: str = PIPELINE_NAME
 
     @classmethod
     def from_dict(cls, d: dict[str, Any], base_dir: str | Path = ".") -> "RunConfig":
@@ -193,7 +195,7 @@ class RunConfig:
             file_stats_table=dq.get(REG_FILE_STATS) or "file_stats",
             rows_stats_table=dq.get(REG_ROWS_STATS) or "rows_stats",
             data_invalid_table=dq.get(REG_DATA_INVALID) or "data_invalid",
-            pipeline_name=d.get("pipeline_name") or "0_landing_to_raw",
+            pipeline_name=d.get("pipeline_name") or PIPELINE_NAME,
         )
 
     @classmethod
