@@ -66,12 +66,15 @@ def rows_stats(
     table: str,
     ingest_ts,
     files: DataFrame | None = None,
+    files_small: bool = False,
 ) -> DataFrame:
     """A3-A6. ``files`` (one ``source_filename`` per readable file) adds zero rows
-    for files that produced no data rows (header only, all rows blank)."""
+    for files that produced no data rows (header only, all rows blank).
+    ``files_small``: the caller bounded the file count, so the per-file counts
+    are broadcast instead of shuffled for the join."""
     counts = row_counts(annotated)
     if files is not None:
-        counts = files.select(FILE).join(counts, FILE, "left")
+        counts = files.select(FILE).join(F.broadcast(counts) if files_small else counts, FILE, "left")
     return counts.select(
         F.lit(pipeline).alias("pipeline"),
         F.lit(dataset).alias("dataset"),

@@ -124,6 +124,7 @@ def check_landing(
         records, rules, pipeline=pipeline, dataset=dataset, table=table, ingest_ts=ts,
         spread_rows=spread_rows,
         files=valid_files.select("source_filename"), persist=persist,
+        files_small=nfiles * 256 <= broadcast_budget(spark),
         cache_input=False,  # the scan below the records is cached already
         materialize_as=materialize_as,
     )

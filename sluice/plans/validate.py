@@ -80,6 +80,7 @@ def check_records(
     cache_input: bool = True,
     materialize_as: str | None = None,
     spread_rows: bool | None = False,
+    files_small: bool = False,
 ) -> CheckResult:
     """Run the row checks over all files of a table at once.
 
@@ -116,7 +117,7 @@ def check_records(
         else:
             cached = cached + [records]
     return CheckResult(
-        rows_stats=rows_stats(annotated, pipeline, dataset, table, ts, files),
+        rows_stats=rows_stats(annotated, pipeline, dataset, table, ts, files, files_small),
         data_invalid=data_invalid(annotated, pipeline, dataset, table, ts),
         valid=typed_valid(annotated, rules),
         annotated=annotated,
