@@ -72,23 +72,31 @@ def file_stats(
     dataset: str,
     table: str,
     ingest_ts,
+    small: bool = False,
 ) -> DataFrame:
-    """One row per non-empty listed file; keeps ``_path`` for the row filter (F4)."""
+    """One row per non-empty listed file; keeps ``_path`` for the row filter (F4).
+
+    ``small``: the caller bounded the file count; the per-file facts are then
+    broadcast into the listing instead of shuffled."""
     parts = []
     ext = F.col("ext")
+
+    def b(df):
+        return F.broadcast(df) if small else df
+
     if csv_facts is not None:
         parts.append(
-            listing.where(ext == "csv").join(csv_facts, PATH, "left")
+            listing.where(ext == "csv").join(b(csv_facts), PATH, "left")
             .select(PATH, "source_filename", _csv_description().alias("description"))
         )
     if json_facts is not None:
         parts.append(
-            listing.where(ext == "json").join(json_facts, PATH, "left")
+            listing.where(ext == "json").join(b(json_facts), PATH, "left")
             .select(PATH, "source_filename", _json_description().alias("description"))
         )
     if workbook_facts is not None:
         parts.append(
-            listing.where(ext.isin("xlsx", "xlsm")).join(workbook_facts, PATH, "left")
+            listing.where(ext.isin("xlsx", "xlsm")).join(b(workbook_facts), PATH, "left")
             .select(PATH, "source_filename", _workbook_description().alias("description"))
         )
     handled = [k for k, f in (("csv", csv_facts), ("json", json_facts)) if f is not None]

@@ -88,7 +88,10 @@ def check_landing(
         wb_facts = scan.facts
         cached += scan.cached
         scan_bases.append(scan.base)
-    fstats = file_stats(listing, csv_facts, json_facts, wb_facts, pipeline, dataset, table, ts)
+    fstats = file_stats(
+        listing, csv_facts, json_facts, wb_facts, pipeline, dataset, table, ts,
+        small=file_ids is not None,
+    )
     fstats = fstats.persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(fstats)
     nfiles = nlisted  # one file_stats row per listed non-empty file

@@ -207,7 +207,7 @@ def scan_csv(
         F.bool_or("_open_quote").alias("open_quote"),
         F.bool_or("_bad_utf8").alias("bad_utf8"),
         F.sum("_n").alias("n_records"),
-    ).join(first_data, PATH, "left")
+    ).join(F.broadcast(first_data) if file_ids is not None else first_data, PATH, "left")
     if not line_mode and utf8_check == "bytes" and encoding.lower().replace("-", "") == "utf8":
         raw_ok = (
             reader(spark, "csv").text(inputs(root, rules.source_path, paths))
