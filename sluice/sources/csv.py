@@ -37,6 +37,26 @@ BLOCK = "_block"
 REPLACEMENT_CHAR = "�"
 
 
+def spark_charset(encoding: str) -> str:
+    """Python codec name (as the rules give it, for pandas) -> Spark charset."""
+    import codecs
+
+    try:
+        name = codecs.lookup(encoding).name  # canonical Python name
+    except LookupError:
+        return encoding
+    return {
+        "utf-8": "UTF-8",
+        "latin-1": "ISO-8859-1",
+        "iso8859-1": "ISO-8859-1",
+        "ascii": "US-ASCII",
+        "utf-16": "UTF-16",
+        "utf-16-be": "UTF-16BE",
+        "utf-16-le": "UTF-16LE",
+        "utf-32": "UTF-32",
+    }.get(name, name)
+
+
 @dataclass
 class CsvScan:
     rows: DataFrame  # source_filename, index, data columns (NA tokens null)
@@ -81,7 +101,7 @@ def scan_csv(
     """
     opts = rules.format_options("csv")
     sep = sep or opts.get("separator") or ","
-    encoding = encoding or opts.get("encoding") or "utf-8"
+    encoding = spark_charset(encoding or opts.get("encoding") or "utf-8")
     data = [c.name for c in rules.data_columns]
     n = len(data)
     text_cols = [f"_c{i}" for i in range(n)]
@@ -120,7 +140,9 @@ def scan_csv(
             .options(**csv_options)
             .option("encoding", encoding)
             .option("header", "false")
-            .option("multiLine", str(multi_line).lower())
+            # Spark's line-by-line CSV reader keeps no raw record for short
+            # rows, so non-UTF-8 files (no line mode) are read multi-line.
+            .option("multiLine", "true")
             .option("columnNameOfCorruptRecord", RAW)
             .csv(inputs(root, rules.source_path, paths))
             .select(

@@ -208,3 +208,15 @@ def test_repeated_expected_header_never_matches(spark, landing):
     landing("drugs/drugs.csv", "a;a\n1;2\n")
     res = check_landing(spark, landing.root, rr, table="drugs", ingest_ts=TS)
     assert stats(res)["drugs.csv"] == (True, BAD_COLS)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_latin1_encoding(spark, landing, multi_line):
+    import dataclasses
+
+    r = rules("drugs")
+    r = dataclasses.replace(r, formats={"csv": {"separator": ";", "encoding": "latin-1"}})
+    landing("drugs/drugs.csv", "atccode;drug\nA;café\nB;naïve\n".encode("latin-1"), binary=True)
+    res = check_landing(spark, landing.root, r, table="drugs", ingest_ts=TS, multi_line=multi_line)
+    assert stats(res)["drugs.csv"] == (False, FILE_OK)
+    assert sorted(x.drug for x in res.valid.collect()) == ["café", "naïve"]
