@@ -47,6 +47,7 @@ def spark_charset(encoding: str) -> str:
         return encoding
     return {
         "utf-8": "UTF-8",
+        "utf-8-sig": "UTF-8",
         "latin-1": "ISO-8859-1",
         "iso8859-1": "ISO-8859-1",
         "ascii": "US-ASCII",
