@@ -48,3 +48,33 @@ def test_pubmed_golden(spark, landing):
     assert (fs.source_filename, fs.is_invalid, fs.description) == ("pubmed/pubmed_2020.csv", False, "File is VALID")
     assert str(fs.date_ingest) == TS
     res.release()
+
+
+def test_prices_golden(spark, landing):
+    """FLOAT with '.' thousands and ',' decimals, DATETIME format, key (shop, sku)."""
+    landing("prices/prices_2024.csv", (
+        "shop;sku;price;seen_at\n"
+        "S1;10;1.234,5;2024-01-02 03:04:05\n"   # 0 valid: 1234.5
+        "S1;10.0;7;2024-01-02 03:04:05\n"       # 1 valid for the check, key text differs from '10'
+        "S2;;1,2,3;2024-01-02\n"                # 2 price not parsable; seen_at lacks the time
+        "S2;;inf;\n"                            # 3 null seen_at: '1900-01-01' fails the format
+        "S3;5;12L;2024-13-01 00:00:00\n"        # 4 price and seen_at not parsable
+        "S3;5;;2024-02-29 23:59:59\n"           # 5 key (S3, 5) twice
+    ))
+    res = check_landing(spark, landing.root, rules("prices"), table="prices", ingest_ts=TS)
+    inv = sorted((r["index"], r.invalid_code, r.invalid_col_name, r.invalid_col_value)
+                 for r in res.data_invalid.collect())
+    assert inv == sorted([
+        (2, "COLUMN_NOT_PARSABLE", "price", "1,2,3"),
+        (2, "COLUMN_NOT_PARSABLE", "seen_at", "2024-01-02"),
+        (2, "KEY_NOT_UNIQUE", "['shop', 'sku']", "['S2','nan']"),
+        (3, "COLUMN_NOT_PARSABLE", "seen_at", None),
+        (3, "KEY_NOT_UNIQUE", "['shop', 'sku']", "['S2','nan']"),
+        (4, "COLUMN_NOT_PARSABLE", "price", "12L"),
+        (4, "COLUMN_NOT_PARSABLE", "seen_at", "2024-13-01 00:00:00"),
+        (4, "KEY_NOT_UNIQUE", "['shop', 'sku']", "['S3','5']"),
+        (5, "KEY_NOT_UNIQUE", "['shop', 'sku']", "['S3','5']"),
+    ])
+    valid = sorted((r.shop, r.sku, r.price, str(r.seen_at)) for r in res.valid.collect())
+    assert valid == sorted([("S1", 10, 1234.5, "2024-01-02 03:04:05"), ("S1", 10, 7.0, "2024-01-02 03:04:05")])
+    res.release()
