@@ -220,3 +220,31 @@ def test_latin1_encoding(spark, landing, multi_line):
     res = check_landing(spark, landing.root, r, table="drugs", ingest_ts=TS, multi_line=multi_line)
     assert stats(res)["drugs.csv"] == (False, FILE_OK)
     assert sorted(x.drug for x in res.valid.collect()) == ["café", "naïve"]
+
+
+def test_same_results_when_nothing_may_be_broadcast(spark, landing):
+    """Over-budget branches (shuffle joins everywhere) give the same outputs."""
+    landing("drugs/drugs_a.csv", "atccode;drug\nA;1\nA;2\n;\nB;\n")
+    landing("drugs/drugs_b.csv", "atccode;drug\nA;1\nC;3\nC;4\n")
+    landing("drugs/drugs_c.json", '[{"atccode":"J","drug":"x"},{"atccode":"J","drug":null}]')
+    landing("drugs/drugs_d.csv", "drug;atccode\nx;y\n")
+
+    def outputs():
+        res = run(spark, landing, "drugs")
+        out = (
+            sorted(map(tuple, res.file_stats.drop("date_ingest").collect())),
+            sorted(map(tuple, res.rows_stats.drop("date_ingest").collect())),
+            sorted(map(tuple, res.data_invalid.drop("date_ingest").collect()), key=str),
+            sorted(map(tuple, res.valid.drop("execution_datetime").collect()), key=str),
+        )
+        res.release()
+        return out
+
+    default = outputs()
+    spark.conf.set("sluice.broadcast.maxBytes", "1")
+    try:
+        tiny = outputs()
+    finally:
+        spark.conf.unset("sluice.broadcast.maxBytes")
+    assert default == tiny
+    assert len(default[2]) == 8  # a: key A x2 + null drug; b: key C x2; c: key J x2 + null
