@@ -24,13 +24,22 @@ from ..plans.run import target
 from ..plans.validate import now_utc
 from ..rules import RunConfig, TableConfig, TableRules
 from ..schemas import DATA_INVALID, FILE_STATS, ROWS_STATS
-from ..session import scratch_dir
 from ..sinks import conform
 from ..sources.listing import prefix_glob
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
+def default_checkpoint(spark: SparkSession, table: TableConfig) -> str:
+    """Stream state must outlive the application: it goes under the configured
+    spark.checkpoint.dir itself, not the per-application subfolder Spark
+    creates there for RDD checkpoints."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("pass checkpoint= or set spark.checkpoint.dir (a shared folder)")
+    return os.path.join(base, "sluice-streams", table.dataset, table.table)
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/_batch_id={batch_id}")
 
@@ -54,7 +63,7 @@ def table_stream(
         raise ValueError(f"table {table.name}: incremental loads need write_mode APPEND")
     config = config or RunConfig(tables=(table,))
     rules = TableRules.load(table.rules_file)
-    checkpoint = checkpoint or os.path.join(scratch_dir(spark), "streams", table.name)
+    checkpoint = checkpoint or default_checkpoint(spark, table)
     quality = {
         "file_stats": target(output_root, config.quality_dataset, config.file_stats_table),
         "rows_stats": target(output_root, config.quality_dataset, config.rows_stats_table),

@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from conftest import FIXTURES
 
 from sluice.rules import RunConfig
@@ -29,3 +31,21 @@ def test_incremental_landing(spark, landing):
     assert fs.count() == 3  # each file reported once
     inv = spark.read.parquet(os.path.join(out, "data_quality", "data_invalid"))
     assert inv.count() == 2
+
+
+def test_default_checkpoint_is_stable_across_applications(spark):
+    """Without checkpoint=, the stream state lives under spark.checkpoint.dir
+    itself (not the per-application subfolder), so a new application resumes."""
+    from sluice.rules import TableConfig
+    from sluice.streaming.landing import default_checkpoint
+
+    t = TableConfig("drugs", "r.json", "raw", "drugs")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        with pytest.raises(ValueError):
+            default_checkpoint(spark, t)
+        return
+    path = default_checkpoint(spark, t)
+    assert path.startswith(base) and path.endswith(os.path.join("raw", "drugs"))
+    app_dir = spark.sparkContext.getCheckpointDir()
+    assert not app_dir or not path.startswith(app_dir.replace("file:", ""))
