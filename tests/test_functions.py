@@ -13,7 +13,7 @@ NUMBER_CASES = [
     " 12 ", "12", "1.", ".5", "+1.5", "-0", "1e3", "1E+3", "inf", "-inf", "Infinity", "INF",
     "+inf", "nan", "NaN", "1_000", "0x10", "1,5", "1 000", "12L", "1d", "1f", "3D", "1e400",
     "", "  ", "\t5\t", "1e", "e5", ".", "-.5e-3", "1.5.", "00012", "1e-400", "True", "5\n",
-    "12345678901234567890123",
+    "12345678901234567890123", "0x1p3", "1.5E-3", "+.5", "-1.", "1e+", "٣٤",
 ]
 
 
@@ -88,6 +88,9 @@ DATE_CASES = {
     "%d.%m.%y %I:%M %p": ["01.02.20 01:05 PM", "01.02.69 12:05 am", "01.02.68 1:05 pm", "01.02.20 13:05 PM"],
     "%Y%m%d": ["20200102", "2020012", "202011"],
     "%Y-%m-%dT%H:%M:%S.%f": ["2020-01-02T03:04:05.5", "2020-01-02T03:04:05.123456", "2020-01-02T03:04:05"],
+    "%d-%b-%Y": ["01-Jan-2020", "1-jan-2020", "01-JAN-2020", "01-January-2020", "31-Feb-2020", "01-Sept-2020"],
+    "%Y-%j": ["2020-001", "2020-366", "2021-366", "2020-60", "2020-0", "2020-367"],
+    "%B %d, %Y": ["March 3, 2021", "march 03, 2021", "March 3,2021", "March  3, 2021"],
 }
 
 
