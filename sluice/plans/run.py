@@ -85,6 +85,8 @@ def _run_table(
 ) -> TableRun:
     ts = now_utc()
     res = None
+    # Thread-local: with parallel tables each thread labels its own jobs.
+    spark.sparkContext.setJobDescription(f"sluice {t.name}")
     try:
         rules = TableRules.load(t.rules_file)
         res = check_landing(
@@ -115,3 +117,4 @@ def _run_table(
     finally:
         if res is not None:
             res.release()
+        spark.sparkContext.setJobDescription(None)
