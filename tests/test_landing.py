@@ -248,3 +248,12 @@ def test_same_results_when_nothing_may_be_broadcast(spark, landing):
         spark.conf.unset("sluice.broadcast.maxBytes")
     assert default == tiny
     assert len(default[2]) == 8  # a: key A x2 + null drug; b: key C x2; c: key J x2 + null
+
+
+def test_line_mode_refuses_quoted_newlines(spark, landing):
+    """Line mode on a file with a quoted newline reports the file unreadable
+    (an open quote on a line) instead of splitting the record silently."""
+    landing("drugs/drugs.csv", 'atccode;drug\nA;"two\nlines"\nB;ok\n')
+    inv, desc = stats(run(spark, landing, "drugs", multi_line=False))["drugs.csv"]
+    assert inv and desc.startswith("Error when reading the CSV file : ")
+    assert stats(run(spark, landing, "drugs", multi_line=True))["drugs.csv"] == (False, FILE_OK)
