@@ -52,7 +52,9 @@ def col_number(ref: str) -> int:
 
 
 def parse_usecols(spec) -> set[int] | None:
-    if spec is None:
+    """Column positions from 'A:D,F' or a list of positions; None for all
+    columns (and for a list of header names, applied after reading)."""
+    if spec is None or (isinstance(spec, (list, tuple)) and spec and all(isinstance(x, str) for x in spec)):
         return None
     if isinstance(spec, str):
         out: set[int] = set()
@@ -140,7 +142,12 @@ def read_sheet(data: bytes, sheet_name=None, usecols=None, skiprows=None) -> lis
         rows.pop()
     # Columns with no header and no value at all are not part of the sheet.
     width = max((i + 1 for row in rows for i, v in enumerate(row) if v is not None), default=0)
-    return [row[:width] for row in rows]
+    rows = [row[:width] for row in rows]
+    if rows and isinstance(usecols, (list, tuple)) and usecols and all(isinstance(x, str) for x in usecols):
+        # usecols as header names: keep those columns, in sheet order
+        keep_idx = [i for i, h in enumerate(rows[0]) if h in set(usecols)]
+        rows = [[row[i] if i < len(row) else None for i in keep_idx] for row in rows]
+    return rows
 
 
 def _scan_batches(opts: dict):

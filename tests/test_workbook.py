@@ -21,6 +21,8 @@ def test_read_sheet_types_and_options():
     assert rows[1] == ["1", "2.5", "2020-01-01 00:00:00"]
     assert rows[2] == [None, None, None]
     assert read_sheet(data, "data", "A:A", 1) == [["id"], ["1"], [None], ["b"]]
+    assert read_sheet(data, "data", ["when", "id"], 1) == [["id", "when"], ["1", "2020-01-01 00:00:00"], [None, None], ["b", None]]
+    assert read_sheet(data, "data", [0, 2], 1) == [["id", "when"], ["1", "2020-01-01 00:00:00"], [None, None], ["b", None]]
 
 
 def test_workbook_landing(spark, landing):
