@@ -56,9 +56,29 @@ def load_valid(valid: DataFrame, target: str, write_mode: str) -> bool:
     return True
 
 
+# --- fixed values: text forms of the reference's CSV report files ----------
+EXPORT_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+EXPORT_TRUE, EXPORT_FALSE = "True", "False"
+# --------------------------------------------------------------------------
+
+
 def export_csv(df: DataFrame, path: str, order_by: list[str] | None = None) -> None:
     """K1: ';'-separated CSV with a header (report export); optional total order
-    (range-partitioned sort, O1/O2)."""
+    (range-partitioned sort, O1/O2). Timestamps and booleans are written as the
+    reference's report files show them."""
     if order_by:
         df = df.orderBy(*order_by)
-    df.write.mode("overwrite").option("header", True).option("sep", ";").csv(path)
+    df = df.select(
+        *[
+            F.when(F.col(f.name), EXPORT_TRUE).when(~F.col(f.name), EXPORT_FALSE).alias(f.name)
+            if isinstance(f.dataType, T.BooleanType)
+            else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
+    (
+        df.write.mode("overwrite").option("header", True).option("sep", ";")
+        .option("timestampFormat", EXPORT_TIMESTAMP_FORMAT)
+        .option("timestampNTZFormat", EXPORT_TIMESTAMP_FORMAT)
+        .csv(path)
+    )

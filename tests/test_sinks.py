@@ -95,7 +95,9 @@ def test_registry_run_exports_reports(spark, landing):
     assert runs[0].error is None and not runs[0].loaded  # both rows share a key: nothing valid
     base = os.path.join(exp, "data_quality", "drugs")
     read = spark.read.option("header", True).option("sep", ";")
-    assert read.csv(os.path.join(base, "file_stats")).count() == 1
+    fs = read.csv(os.path.join(base, "file_stats")).collect()
+    assert len(fs) == 1 and fs[0].is_invalid == "False"
+    assert len(fs[0].date_ingest) == 19 and fs[0].date_ingest[10] == " "  # 'YYYY-MM-DD HH:MM:SS'
     assert read.csv(os.path.join(base, "rows_stats")).first().nb_invalid_lines == "2"
     inv = read.csv(os.path.join(base, "data_invalid")).collect()
     assert [r["index"] for r in inv] == ["0", "1"]
