@@ -21,10 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back: cuts the
-    lineage and survives the loss of any executor."""
+    lineage and survives the loss of any executor. The driver's garbage is then
+    collected, so that Spark's cleaner drops the shuffle files behind the table."""
     spark = df.sparkSession
     path = new_scratch_path(spark, name)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -93,8 +93,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return hashes[place[new]], place[new], starts[new], starts[last]
 
 
-def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of chunks; a long text in pieces that overlap by SIZE - 1."""
+def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """(first row, bytes, offsets, place in a long text) of chunks; a long text in pieces that overlap by SIZE - 1."""
     for i, j in wordhash.chunks(offsets):
         begin, end = int(offsets[i]), int(offsets[j])
         if end - begin <= _PIECE:
@@ -189,7 +189,7 @@ def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Suffixes in order -> (doc, tag, start, stop, string): repeated stretches
     (string null), and the strings of the first and last group that have no
     earlier one in this bucket (with their hash), for the boundaries."""
-    group, first = None, True  # the group that the last batch ended in
+    group, first, started = None, True, True  # the group that the last batch ended in; still in the first one; no batch yet
     seen = np.empty(0, _U)  # its strings
     held: list[tuple] = []  # its strings without an earlier one here: kept back until it is known to be the last group
 
@@ -233,10 +233,8 @@ def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if first:
                 yield from held
             held = []
-        if first and number[0] == 1 and not len(seen):
-            number_first = 1
-        else:
-            number_first = 0
+        number_first = 1 if started else 0  # the bucket's first group goes by this number here
+        started = False
         leading = own & (number[row] == number_first) & first
         if number[-1] != number_first:
             if leading.any():
@@ -254,49 +252,77 @@ def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _LEADS = wordhash.mix(np.arange(2001, 2001 + LEAD // 8, dtype=_U)) | _U(1)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, spans) -> (doc_id, n_bytes, n_removed, spans, kept)."""
+def _merged(spans: list[dict] | None) -> list[list[int]]:
+    """Maximal runs under the spans; spans that touch are one run."""
+    runs: list[list[int]] = []
+    for a, b in sorted((x["start"], x["stop"]) for x in spans or ()):
+        if runs and a <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], b)
+        else:
+            runs.append([a, b])
+    return runs
+
+
+def _kept(raw: bytes, runs: list) -> bytes:
+    parts, at = [], 0
+    for a, b in runs:
+        parts.append(raw[at:a])
+        at = b
+    return b"".join([*parts, raw[at:]])
+
+
+_RUNS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+_RUNS_SQL = "array<struct<start:bigint,stop:bigint>>"
+
+
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, doc, tag, text, spans) -> (doc_id, doc, tag, n_bytes, runs, kept_sha256)."""
     for batch in batches:
-        out: list[list] = [[], [], [], []]
-        for text, spans in zip(batch.column(1).cast(pa.large_binary()), batch.column(2).to_pylist()):
-            raw = text.as_py()
-            runs: list[list[int]] = []
-            for s in sorted((x["start"], x["stop"]) for x in spans or ()):
-                if runs and s[0] <= runs[-1][1]:
-                    runs[-1][1] = max(runs[-1][1], s[1])
-                else:
-                    runs.append(list(s))
-            kept, at = [], 0
-            for a, b in runs:
-                kept.append(raw[at:a])
-                at = b
-            kept.append(raw[at:])
-            out[0].append(len(raw))
-            out[1].append(sum(b - a for a, b in runs))
-            out[2].append([{"start": a, "stop": b} for a, b in runs])
-            out[3].append(b"".join(kept))
-        spans_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+        size, runs_out, digest = [], [], []
+        for text, spans in zip(batch.column(3).cast(pa.large_binary()), batch.column(4).to_pylist()):
+            raw, runs = text.as_py(), _merged(spans)
+            size.append(len(raw))
+            runs_out.append([{"start": a, "stop": b} for a, b in runs])
+            digest.append(hashlib.sha256(_kept(raw, runs)).hexdigest())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], spans_type), pa.array(out[3], pa.binary())],
-            names=["doc_id", "n_bytes", "n_removed", "spans", "kept"],
+            [*batch.columns[:3], pa.array(size, pa.int64()), pa.array(runs_out, _RUNS), pa.array(digest, pa.string())],
+            names=["doc_id", "doc", "tag", "n_bytes", "runs", "kept_sha256"],
         )
 
 
-def removed(docs: DataFrame, *, doc_id="doc_id", text="text") -> DataFrame:
-    """One row per document: (doc_id, n_bytes, n_removed, spans of removed bytes, kept bytes)."""
-    ship(docs.sparkSession)
+def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     t = whole_text("text")
-    own = only(docs, doc_id=doc_id, text=text).select(
+    return only(docs, doc_id=doc_id, text=text).select(
         "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc"), F.shiftrightunsigned(F.xxhash64(t), 46).alias("tag"), t.alias("text")
     )
+
+
+def _named(df: DataFrame, prefix: str) -> DataFrame:
+    return df.withColumnsRenamed({"doc": f"{prefix}_doc", "tag": f"{prefix}_tag"})
+
+
+def _same(prefix: str):
+    return (F.col("doc") == F.col(f"{prefix}_doc")) & (F.col("tag") == F.col(f"{prefix}_tag"))
+
+
+def repeats(docs: DataFrame, *, doc_id="doc_id", text="text") -> DataFrame:
+    """One row per document: (doc_id, doc, tag, n_bytes, runs, kept_sha256).
+
+    runs: the maximal runs of removed bytes; kept_sha256: digest of what is left."""
+    ship(docs.sparkSession)
+    own = _own(docs, doc_id, text)
     long = own.where(F.octet_length("text") >= SIZE)
     asked = long.select("doc", "tag", "text").mapInArrow(_announce, "hash long, route long, doc long, at long, known boolean")
     dealt = asked.select("route", "doc", "at", "known").repartition("route").sortWithinPartitions("route")
     twice = dealt.mapInArrow(_twice, "doc long, at long")
     ats = twice.groupBy("doc", F.shiftrightunsigned("at", _TAG).alias("tag")).agg(F.collect_set("at").alias("ats"))
-    ats = ats.withColumnsRenamed({"doc": "a_doc", "tag": "a_tag"})
+    # texts without a string that could be a repeat are judged here and travel no further
+    clean = F.col("ats").isNull()
     joined = staged(
-        own.join(ats, (F.col("doc") == F.col("a_doc")) & (F.col("tag") == F.col("a_tag")), "left").select("doc_id", "doc", "tag", "text", "ats"),
+        own.join(_named(ats, "a"), _same("a"), "left").select(
+            "doc_id", "doc", "tag", F.octet_length("text").cast("long").alias("n_bytes"),
+            F.when(clean, F.sha2("text", 256)).alias("sha"), F.when(~clean, F.col("text")).alias("text"), "ats",
+        ),
         "suffix-documents",
     )
     some = joined.where("ats IS NOT NULL")
@@ -307,18 +333,29 @@ def removed(docs: DataFrame, *, doc_id="doc_id", text="text") -> DataFrame:
     earliest = edge.groupBy(F.col("string").alias("e_string")).agg(F.min(F.struct("doc", "tag", "start")).alias("earliest"))
     across = edge.join(earliest, F.col("string") == F.col("e_string")).where(F.struct("doc", "tag", "start") > F.col("earliest"))
     stretches = found.where("string IS NULL").select("doc", "tag", "start", "stop").unionByName(across.select("doc", "tag", "start", "stop"))
-    spans = stretches.groupBy("doc", "tag").agg(F.collect_set(F.struct("start", "stop")).alias("spans")).withColumnsRenamed({"doc": "s_doc", "tag": "s_tag"})
+    spans = stretches.groupBy("doc", "tag").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     kind = own.schema["doc_id"].dataType.simpleString()
-    touched = some.join(spans, (F.col("doc") == F.col("s_doc")) & (F.col("tag") == F.col("s_tag")), "left").select("doc_id", "text", "spans")
-    cut = touched.mapInArrow(_cut, f"doc_id {kind}, n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept binary")
-    whole = joined.where("ats IS NULL").select(
-        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
-        F.array().cast("array<struct<start:bigint,stop:bigint>>").alias("spans"), F.col("text").cast("binary").alias("kept"),
+    judged = some.join(_named(spans, "s"), _same("s"), "left").select("doc_id", "doc", "tag", "text", "spans").mapInArrow(
+        _judge, f"doc_id {kind}, doc long, tag long, n_bytes long, runs {_RUNS_SQL}, kept_sha256 string"
     )
-    return cut.unionByName(whole)
+    whole = joined.where("ats IS NULL").select("doc_id", "doc", "tag", "n_bytes", F.array().cast(_RUNS_SQL).alias("runs"), F.col("sha").alias("kept_sha256"))
+    return judged.unionByName(whole)
+
+
+def removed(docs: DataFrame, *, doc_id="doc_id", text="text") -> DataFrame:
+    """One row per document: (doc_id, kept): the bytes that are left, which may end inside a character."""
+    runs = repeats(docs, doc_id=doc_id, text=text).where(F.size("runs") > 0).select("doc", "tag", "runs").dropDuplicates(["doc", "tag"])
+    raw = F.col("text").cast("binary")
+    # between two runs lies what starts where the one ends
+    starts = F.concat(F.array(F.lit(0).cast("long")), F.col("runs.stop"))
+    stops = F.concat(F.col("runs.start"), F.array(F.octet_length("text").cast("long")))
+    parts = F.transform(F.arrays_zip(starts.alias("a"), stops.alias("b")), lambda x: F.substring(raw, (x["a"] + 1).cast("int"), (x["b"] - x["a"]).cast("int")))
+    left = F.aggregate(parts, F.lit(b""), lambda acc, x: F.concat(acc, x))
+    return _own(docs, doc_id, text).join(_named(runs, "r"), _same("r"), "left").select("doc_id", F.coalesce(left, raw).alias("kept"))
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return removed(docs).select(
-        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    n_removed = F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["stop"] - r["start"])
+    return repeats(docs).select(
+        "doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("runs").cast("long").alias("n_spans"), "kept_sha256"
     )
