@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable
 
@@ -23,11 +25,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back: cuts the
     lineage and survives the loss of any executor. The driver's garbage is then
     collected, so that Spark's cleaner drops the shuffle files behind the table."""
-    spark = df.sparkSession
+    spark, schema = df.sparkSession, df.schema
     path = new_scratch_path(spark, name)
     df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    gc.collect()
+    for _ in range(2):  # the write's last events still hold its plan
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
+    return spark.read.schema(schema).parquet(path)
 
 
 _shipped: set[str] = set()

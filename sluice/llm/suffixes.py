@@ -315,7 +315,7 @@ def repeats(docs: DataFrame, *, doc_id="doc_id", text="text") -> DataFrame:
     asked = long.select("doc", "tag", "text").mapInArrow(_announce, "hash long, route long, doc long, at long, known boolean")
     dealt = asked.select("route", "doc", "at", "known").repartition("route").sortWithinPartitions("route")
     twice = dealt.mapInArrow(_twice, "doc long, at long")
-    ats = twice.groupBy("doc", F.shiftrightunsigned("at", _TAG).alias("tag")).agg(F.collect_set("at").alias("ats"))
+    ats = staged(twice.groupBy("doc", F.shiftrightunsigned("at", _TAG).alias("tag")).agg(F.collect_set("at").alias("ats")), "suffix-anchors")
     # texts without a string that could be a repeat are judged here and travel no further
     clean = F.col("ats").isNull()
     joined = staged(
