@@ -102,7 +102,8 @@ def _joined(docs: DataFrame, other: DataFrame, doc_id: str, text: str, how: str)
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     key = F.coalesce(F.col(f"row.`{text}`").cast("string"), F.lit(""))
     other = other.withColumnsRenamed({"doc_id": "o_id", "text_hash": "o_hash"})
-    return row.join(other, F.col(f"row.`{doc_id}`").eqNullSafe(F.col("o_id")) & (F.xxhash64(key) == F.col("o_hash")), how)
+    # one plan at every size: a merge join
+    return row.join(other.hint("merge"), F.col(f"row.`{doc_id}`").eqNullSafe(F.col("o_id")) & (F.xxhash64(key) == F.col("o_hash")), how)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, doc_id="doc_id", text="text", **names) -> DataFrame:

@@ -147,6 +147,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _with_text(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows with the text of their ``id``; one plan at every size: a merge join."""
+    return rows.hint("merge").join(texts.withColumnRenamed("id", "t_id"), F.col("id") == F.col("t_id"))
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (leader, id) whose texts are alike, as links (a, b).
 
@@ -159,7 +164,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         .unionByName(salts.select("leader", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("leader").alias("id"))),
         "neardup-wanted",
     )
-    rows = wanted.join(texts.withColumnRenamed("id", "t_id"), F.col("id") == F.col("t_id")).select("leader", "salt", "id", "text")
+    rows = _with_text(wanted, texts).select("leader", "salt", "id", "text")
     dealt = rows.repartition("leader", "salt").sortWithinPartitions("leader", "salt", F.col("id") != F.col("leader"))
     return dealt.mapInArrow(_compare, "a long, b long")
 
@@ -266,7 +271,7 @@ def _settled(rest: DataFrame, texts: DataFrame) -> DataFrame:
     cells = staged(
         sized.select("band", "key", "id", F.inline(F.when(asks, F.concat(as_member, as_asker)).otherwise(as_member))), "neardup-cells"
     )
-    rows = cells.join(texts.withColumnRenamed("id", "t_id"), F.col("id") == F.col("t_id")).select("band", "key", "part", "ask", "id", "asks", "text")
+    rows = _with_text(cells, texts).select("band", "key", "part", "ask", "id", "asks", "text")
     where = ["band", "key", "part", "ask"]
     return rows.repartition(*where).sortWithinPartitions(*where).mapInArrow(_cells, "a long, b long")
 
@@ -278,6 +283,9 @@ def links(sketches: DataFrame, texts: DataFrame) -> DataFrame:
     members = sketches.select("id", F.posexplode("bands").alias("band", "key"))
     members = staged(_with_leader(members, _leaders(members)), "neardup-members")
     pairs = members.where("id <> leader").select("leader", "id").distinct()
+    # the texts that any comparison needs are picked out once
+    needed = members.select(F.col("id").alias("n_id")).distinct()
+    texts = staged(texts.join(needed.hint("merge"), F.col("id") == F.col("n_id"), "left_semi"), "neardup-texts")
     found = staged(verified(pairs, texts), "neardup-links")
     labels = components(found)
     rest = staged(_unsettled(members.where("id <> leader").drop("leader"), labels), "neardup-rest")
@@ -310,7 +318,7 @@ def keep_one(docs: DataFrame, *, doc_id="doc_id", text="text") -> DataFrame:
     counted = found.groupBy("doc_id", "class_id").agg(F.count(F.lit(1)).alias("n"))
     first = counted.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("k_id"), "n")
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    kept = row.join(first, F.col(f"row.`{doc_id}`").cast("long").eqNullSafe(F.col("k_id")))
+    kept = row.join(first.hint("merge"), F.col(f"row.`{doc_id}`").cast("long").eqNullSafe(F.col("k_id")))
     once = kept.where((F.col("n") == 1) | F.col("k_id").isNull()).select("row.*")
     again = kept.where((F.col("n") > 1) & F.col("k_id").isNotNull())
     picked = again.groupBy("k_id").agg(F.first("row").alias("row")).select("row.*")
