@@ -61,6 +61,23 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def window_hashes(words: Column, size: int) -> Column:
+    """Hash of each run of ``size`` words: of words, then of pairs, fours, ... that overlap."""
+    def wider(hashes: Column, width: int) -> Column:
+        if width == size:
+            return hashes
+        step = min(width, size - width)
+
+        def join(h: Column) -> Column:
+            pairs = F.transform(F.slice(h, F.lit(1), F.size(h) - step), lambda x, i: F.xxhash64(x, F.get(h, i + step)))
+            return wider(pairs, width + step)
+
+        return let(hashes, join)
+
+    start = F.transform(words, lambda x: F.xxhash64(x))
+    return F.when(F.size(words) >= size, wider(start, 1)).otherwise(F.array().cast("array<bigint>"))
+
+
 def whole_text(text: str) -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, let, only, staged, whole_text
+from .common import ascii_lower, let, only, staged, whole_text, window_hashes
 
 SIZE = 13
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -34,12 +34,17 @@ def words(text: Column) -> Column:
 
 
 def _windows(w: Column, size: int) -> Column:
-    return F.when(
-        F.size(w) >= size,
-        F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.struct(
-            i.alias("at"), F.lit(size).alias("size"), F.xxhash64(F.slice(w, i, F.lit(size))).alias("hash"),
-        )),
-    ).otherwise(F.array().cast("array<struct<at:int,size:int,hash:bigint>>"))
+    return F.transform(
+        window_hashes(w, size), lambda h, i: F.struct((i + 1).alias("at"), F.lit(size).alias("size"), h.alias("hash"))
+    )
+
+
+def _hash_of(gram: Column) -> Column:
+    """The hash of a whole window, by its size."""
+    out = F.lit(None).cast("bigint")
+    for size in range(1, SIZE + 1):
+        out = F.when(F.size(gram) == size, F.element_at(window_hashes(gram, size), 1)).otherwise(out)
+    return out
 
 
 def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -48,7 +53,7 @@ def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str
     at = F.sequence(F.lit(1), F.greatest(F.size("w") - (SIZE - 1), F.lit(1)))
     grams = items.select("item_id", F.explode(F.transform(at, lambda i: F.slice("w", i, F.lit(SIZE)))).alias("gram"))
     return grams.groupBy("gram").agg(F.collect_set("item_id").alias("items")).select(
-        F.size("gram").alias("size"), F.xxhash64("gram").alias("hash"), "gram", "items"
+        F.size("gram").alias("size"), _hash_of(F.col("gram")).alias("hash"), "gram", "items"
     )
 
 

@@ -20,9 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import let, staged, whole_text
+from .common import let, staged, window_hashes
 
 SPACE = r"[\x20\x09-\x0D]"
+NOT_SPACE = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 
@@ -35,6 +36,8 @@ GRID: dict[str, tuple[float, ...]] = {
     "long_words": (9.0, 10.0, 11.0, 12.0, 14.0, 16.0, 20.0, 30.0),
     "short_words": (-4.0, -3.75, -3.5, -3.25, -3.0, -2.75, -2.5, -2.0),
 }
+#: Strata whose cutoffs are broadcast; more are joined by shuffle.
+MANY = 100_000
 RISK = 0.05
 DELTA = 0.05
 
@@ -44,11 +47,7 @@ def _repeated_words(words: Column) -> Column:
 
     Windows are compared by 64-bit hashes within one text; hash and position
     are sorted, so the work is n log n for any number of repeats."""
-    n = F.size(words)
-    hashes = F.when(
-        n > WINDOW,
-        F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(words, i, F.lit(WINDOW)))),
-    ).otherwise(F.array().cast("array<bigint>"))
+    hashes = window_hashes(words, WINDOW)
 
     def covered(h: Column) -> Column:
         order = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -71,27 +70,27 @@ def measures(text: Column) -> Column:
 
     def of_text(t: Column) -> Column:
         words = F.array_remove(F.split(t, SPACE + "+"), "")
-        lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.regexp_replace(x, SPACE + "+", "")) > 0)
-        solid = F.length(F.regexp_replace(t, SPACE + "+", ""))
+        lines = F.filter(F.split(t, "\n"), lambda x: F.regexp_like(x, F.lit(NOT_SPACE)))
         return F.struct(
-            let(words, lambda w: F.struct(F.size(w).alias("n"), _repeated_words(w).alias("rep"))).alias("w"),
+            let(words, lambda w: F.struct(
+                F.size(w).alias("n"), F.length(F.array_join(w, "")).alias("chars"), _repeated_words(w).alias("rep")
+            )).alias("w"),
             let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup"))).alias("l"),
-            solid.alias("chars"),
-            (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).alias("symbols"),
-            (F.length(t) - F.length(F.regexp_replace(t, r"\p{Lu}+", ""))).alias("upper"),
+            F.length(F.regexp_replace(t, f"[^{SYMBOLS}]+", "")).alias("symbols"),
+            F.length(F.regexp_replace(t, r"\P{Lu}+", "")).alias("upper"),
         )
 
     def of_counts(c: Column) -> Column:
         share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
-        n, rep = c["w"]["n"].cast("long"), c["w"]["rep"].cast("long")
+        n, rep, chars = c["w"]["n"].cast("long"), c["w"]["rep"].cast("long"), c["w"]["chars"]
         return F.struct(
-            n.alias("n_words"), c["chars"].cast("long").alias("word_chars"), c["symbols"].cast("long").alias("n_symbols"),
+            n.alias("n_words"), chars.cast("long").alias("word_chars"), c["symbols"].cast("long").alias("n_symbols"),
             c["l"]["dup"].cast("long").alias("n_dup_lines"), rep.alias("n_repeat_words"),
             ((n < 20) | (rep * 100 > n * 30)).alias("base_failed"),
             F.struct(
-                share(c["symbols"], c["chars"]).alias("symbol_share"), share(rep, n).alias("repeat_share"),
-                share(c["l"]["dup"], c["l"]["n"]).alias("dup_line_share"), share(c["upper"], c["chars"]).alias("upper_share"),
-                share(c["chars"], n).alias("long_words"), (-share(c["chars"], n)).alias("short_words"),
+                share(c["symbols"], chars).alias("symbol_share"), share(rep, n).alias("repeat_share"),
+                share(c["l"]["dup"], c["l"]["n"]).alias("dup_line_share"), share(c["upper"], chars).alias("upper_share"),
+                share(chars, n).alias("long_words"), (-share(chars, n)).alias("short_words"),
             ).alias("rules"),
         )
 
@@ -141,20 +140,25 @@ def cutoffs(good: DataFrame, stratum: str, rules: str, grid=GRID, risk: float =
     return proven.groupBy("stratum").agg(F.struct(*chosen).alias("cutoffs"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, *, doc_id="doc_id", text="text", stratum="lang", grid=GRID, risk=RISK, delta=DELTA) -> DataFrame:
-    """(``row``: the input row as a struct, ``m``: its measures, ``rejected_by``, ``kept``)."""
+def judge(docs: DataFrame, labels: DataFrame, *, doc_id="doc_id", text="text", stratum="lang", carry=None, grid=GRID, risk=RISK, delta=DELTA) -> DataFrame:
+    """(``row``: the columns ``carry`` as a struct, ``m``: the measures, ``rejected_by``, ``kept``).
+
+    Texts are measured once, to a table that the labels are then joined with and
+    the verdicts are read from; it holds the columns to carry (all, by default)."""
+    carry = docs.columns if carry is None else carry
+    at = lambda c: F.col(f"`{c}`")
+    measured = staged(docs.select(
+        F.struct(*[at(c) for c in carry]).alias("row"), at(doc_id).alias("id"), at(stratum).alias("s"),
+        measures(F.coalesce(at(text).cast("string"), F.lit(""))).alias("m"),
+    ), "quality-measures")
     good_ids = (
         labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("label_id"))
         .agg(F.min("quality").alias("quality")).where("quality = 1")
     )
-    plain = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{stratum}`").alias("s"), whole_text(text).alias("t"))
-    good = plain.join(good_ids, F.col("id") == F.col("label_id"), "left_semi").select("s", measures(F.col("t"))["rules"].alias("rules"))
+    good = measured.select("id", "s", "m.rules").join(good_ids, F.col("id") == F.col("label_id"), "left_semi")
     chosen = staged(cutoffs(good, "s", "rules", grid, risk, delta), "quality-cutoffs")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).select(
-        "row", F.col(f"row.`{stratum}`").alias("s"),
-        measures(F.coalesce(F.col(f"row.`{text}`").cast("string"), F.lit(""))).alias("m"),
-    )
-    joined = rows.join(chosen, F.col("s").eqNullSafe(F.col("stratum")), "left")
+    joined = measured.join(F.broadcast(chosen), F.col("s").eqNullSafe(F.col("stratum")), "left") if chosen.count() <= MANY else (
+        measured.join(chosen, F.col("s").eqNullSafe(F.col("stratum")), "left"))
     broken = F.array_compact(F.array(*[
         F.when(F.col("m.rules")[rule] > F.col("cutoffs")[rule], F.lit(rule)) for rule in grid
     ]))
@@ -169,8 +173,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return judge(docs, labels).select(
-        F.col("row.doc_id").alias("doc_id"),
+    return judge(docs, labels, carry=["doc_id"]).select(
+        "row.doc_id",
         *[F.col(f"m.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")],
         "kept", F.concat_ws(",", "rejected_by").alias("rejected_by"),
     )
