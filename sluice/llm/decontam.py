@@ -33,10 +33,17 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(text), NOT_WORD), "")
 
 
-def _windows(w: Column, size: int) -> Column:
-    return F.transform(
-        window_hashes(w, size), lambda h, i: F.struct((i + 1).alias("at"), F.lit(size).alias("size"), h.alias("hash"))
-    )
+def _place(n_words: Column, sizes: list[int], index: Column) -> tuple[Column, Column]:
+    """(first word, size) of the window at ``index`` (from 0) of a text's windows of all sizes, one size after the other."""
+    at, size, before = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(0)
+    spans = []
+    for n in sizes:
+        count = F.greatest(n_words - (n - 1), F.lit(0))
+        spans.append((n, before, before + count))
+        before = before + count
+    for n, begin, end in reversed(spans):
+        at, size = F.when(index < end, index - begin + 1).otherwise(at), F.when(index < end, F.lit(n)).otherwise(size)
+    return at, size
 
 
 def _hash_of(gram: Column) -> Column:
@@ -65,16 +72,17 @@ def hits(docs: DataFrame, benchmark: DataFrame, *, doc_id="doc_id", text="text",
     known = {r["size"]: r["n"] for r in grams.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}  # SIZE rows at most
     probe = F.broadcast(grams) if sum(known.values()) * WINDOW_BYTES <= BROADCAST_BYTES else grams
     own = only(docs, doc_id=doc_id, text=text).select("doc_id", whole_text("text").alias("t"))
-    found = (lambda w: F.concat(*[_windows(w, n) for n in sorted(known) or [SIZE]]))
+    sizes = sorted(known, reverse=True) or [SIZE]
     each = own.select("doc_id", F.xxhash64("t").alias("text_hash"), words(F.col("t")).alias("w")).select(
-        "doc_id", "text_hash", "w", F.explode(let(F.col("w"), found)).alias("x")
+        "doc_id", "text_hash", "w", F.posexplode(let(F.col("w"), lambda w: F.concat(*[window_hashes(w, n) for n in sizes]))).alias("index", "hash")
+    )
+    probe = probe.select(F.col("hash").alias("g_hash"), "gram", "items")
+    at, size = _place(F.size("w"), sizes, F.col("index"))
+    verified = each.join(probe, F.col("hash") == F.col("g_hash")).select("doc_id", "text_hash", "w", "gram", "items", at.alias("at"), size.alias("size")).where(
+        F.slice("w", F.col("at"), F.col("size")) == F.col("gram")
     )
-    probe = probe.select(F.col("hash").alias("g_hash"), F.col("size").alias("g_size"), "gram", "items")
-    verified = each.join(
-        probe, (F.col("x.hash") == F.col("g_hash")) & (F.col("x.size") == F.col("g_size"))
-    ).where(F.slice("w", F.col("x.at"), F.col("x.size")) == F.col("gram"))
     per_doc = verified.groupBy("doc_id", "text_hash").agg(
-        F.collect_set(F.struct("x.at", "x.size")).alias("spans"),
+        F.collect_set(F.struct("at", "size")).alias("spans"),
         F.collect_set("items").alias("items"),
     )
     return per_doc.select("doc_id", "text_hash", F.array_sort("spans").alias("spans"), F.array_distinct(F.flatten("items")).alias("items"))
