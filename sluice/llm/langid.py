@@ -27,10 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import only, ship, uniform, whole_text
+from .common import only, ship, staged, uniform, whole_text
 
 PROFILE = 400
 SAMPLE = 1500
+#: Languages whose sample shares are broadcast; more are joined by shuffle.
+MANY = 100_000
 UNKNOWN = "und"
 
 
@@ -64,6 +66,8 @@ def fit(docs: DataFrame, trains: Column, *, doc_id="doc_id", text="text", lang="
     ship(docs.sparkSession)
     own = only(docs, doc_id=doc_id, text=text, lang=lang).where(trains & F.col("text").isNotNull() & F.col("lang").isNotNull())
     share = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select(F.col("lang").alias("of"), (F.lit(float(sample)) / F.col("n")).alias("share"))
+    share = staged(share, "language-shares")
+    share = F.broadcast(share) if share.count() <= MANY else share  # a row per language: texts stay where they are
     chosen = own.join(share, F.col("lang") == F.col("of")).where(uniform(F.col("doc_id"), "langid") < F.col("share")).select("lang", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
