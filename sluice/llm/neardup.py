@@ -295,7 +295,7 @@ def links(sketches: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, *, doc_id="doc_id", text="text") -> DataFrame:
-    """One row per document: (doc_id, class_id), the least doc_id of its class."""
+    """One row per document: (doc_id, class_id, text_hash); a class has its least doc_id."""
     ship(docs.sparkSession)
     own = only(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long").alias("doc_id"), whole_text("text").alias("text"))
     sums = F.sha2("text", 256)
@@ -307,18 +307,22 @@ def classes(docs: DataFrame, *, doc_id="doc_id", text="text") -> DataFrame:
     joined = links(staged(sketches, "neardup-firsts"), own.select(F.col("doc_id").alias("id"), "text"))
     labels = components(joined).withColumnsRenamed({"id": "c_id", "label": "c_label"})
     text_class = firsts.join(labels, F.col("id") == F.col("c_id"), "left").select(F.col("sum"), F.coalesce("c_label", "id").alias("class_id"))
-    rows = own.select("doc_id", F.when(~wordless, sums).alias("own_sum"))
-    return rows.join(text_class, F.col("own_sum") == F.col("sum"), "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    rows = own.select("doc_id", F.when(~wordless, sums).alias("own_sum"), F.xxhash64("text").alias("text_hash"))
+    return rows.join(text_class, F.col("own_sum") == F.col("sum"), "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "text_hash")
 
 
 def keep_one(docs: DataFrame, *, doc_id="doc_id", text="text") -> DataFrame:
     """The rows of ``docs`` whose document is the first of its class, each id once;
     rows with a null id stay if their class has no other id."""
     found = staged(classes(docs, doc_id=doc_id, text=text), "neardup-classes")
-    counted = found.groupBy("doc_id", "class_id").agg(F.count(F.lit(1)).alias("n"))
-    first = counted.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("k_id"), "n")
+    # a null id says nothing: such a row is known by its text
+    nameless = F.when(F.col("doc_id").isNull(), F.col("text_hash"))
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(
+        F.col("doc_id").alias("k_id"), nameless.alias("k_hash")).agg(F.count(F.lit(1)).alias("n"))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    kept = row.join(first.hint("merge"), F.col(f"row.`{doc_id}`").cast("long").eqNullSafe(F.col("k_id")))
+    own_id = F.col(f"row.`{doc_id}`").cast("long")
+    own_hash = F.when(own_id.isNull(), F.xxhash64(F.coalesce(F.col(f"row.`{text}`").cast("string"), F.lit(""))))
+    kept = row.join(first.hint("merge"), own_id.eqNullSafe(F.col("k_id")) & own_hash.eqNullSafe(F.col("k_hash")))
     once = kept.where((F.col("n") == 1) | F.col("k_id").isNull()).select("row.*")
     again = kept.where((F.col("n") > 1) & F.col("k_id").isNotNull())
     picked = again.groupBy("k_id").agg(F.first("row").alias("row")).select("row.*")
@@ -326,4 +330,4 @@ def keep_one(docs: DataFrame, *, doc_id="doc_id", text="text") -> DataFrame:
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return classes(docs)
+    return classes(docs).drop("text_hash")
