@@ -187,7 +187,8 @@ def valid_sql(rules: TableRules, text_sql, ingest_ts, replace: dict[str, str] |
             cols.append(f"{sql_value(rule, c)} AS {c}")
         elif rule.type == "INTEGER":
             d = sql_value(rule, c)
-            cols.append(f"(CASE WHEN {d} = floor({d}) AND abs({d}) < 9.2e18 THEN CAST({d} AS BIGINT) END) AS {c}")
+            e = f"TRY_CAST(trim({c}) AS DECIMAL(38,9))"  # from the text: a double would lose digits
+            cols.append(f"(CASE WHEN {d} IS NOT NULL AND {e} = floor({e}) THEN TRY_CAST({e} AS BIGINT) END) AS {c}")
         elif rule.type == "DATE":
             cols.append(f"CAST({sql_value(rule, c)} AS DATE) AS {c}")
         else:

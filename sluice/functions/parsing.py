@@ -111,10 +111,14 @@ def integer_number(text: Column) -> Column:
     return NumberParser(integer=True)(text)
 
 
-def integral(value: Column) -> Column:
-    """Typed value of an INTEGER column: bigint when the number is integral."""
-    ok = (value == F.floor(value)) & (F.abs(value) < F.lit(9.2e18))
-    return F.when(ok, value.cast("bigint"))
+def integral(text: Column, value: Column) -> Column:
+    """Typed value of an INTEGER column whose parsed number is ``value``: the
+    bigint that the text says, digit by digit (no detour through a double);
+    null when the number is not integral or no bigint."""
+    s = F.btrim(text, F.lit(ASCII_SPACE))
+    exact = s.try_cast("decimal(38,9)")  # 1e3, 10.0
+    whole = F.when((value == F.floor(value)) & (exact == F.floor(exact)), exact.try_cast("bigint"))
+    return F.when(value.isNotNull(), F.coalesce(s.try_cast("bigint"), whole))
 
 
 @dataclass(frozen=True)

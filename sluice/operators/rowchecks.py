@@ -214,9 +214,11 @@ def _typed(rule: ColumnRule, annotated_cols: set[str]) -> Column:
     return F.when(text.isNotNull(), value)
 
 
-def typed_valid(annotated: DataFrame, rules: TableRules) -> DataFrame:
-    """R5 + R6: rows without violations, typed per rule, rule column order."""
-    cols = []
+def typed_valid(annotated: DataFrame, rules: TableRules, extra: tuple[str, str] | None = None) -> DataFrame:
+    """R5 + R6: rows without violations, typed per rule, rule column order.
+
+    ``extra``: names under which the file and its row index come along (O2)."""
+    cols = [F.col(c).alias(name) for c, name in zip(("source_filename", "index"), extra)] if extra else []
     have = set(annotated.columns)
     for rule in rules.columns:
         c = F.col(rule.name)
@@ -227,7 +229,7 @@ def typed_valid(annotated: DataFrame, rules: TableRules) -> DataFrame:
         elif rule.type in ("FLOAT", "FLOAT64"):
             cols.append(_typed(rule, have).alias(rule.name))
         elif rule.type == "INTEGER":
-            cols.append(integral(_typed(rule, have)).alias(rule.name))
+            cols.append(integral(c, _typed(rule, have)).alias(rule.name))
         elif rule.type == "DATE":
             cols.append(_typed(rule, have).cast("date").alias(rule.name))
         else:  # DATETIME

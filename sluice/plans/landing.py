@@ -41,7 +41,6 @@ def check_landing(
     paths: list[str] | None = None,
     materialize_as: str | None = None,
     cache_scan: bool = True,
-    utf8_check: str = "decoded",
 ) -> CheckResult:
     """Check every landing file of one table: returns the four outputs.
 
@@ -50,8 +49,6 @@ def check_landing(
     to the given landing files (incremental runs); by default every file
     under the table's prefix is checked. ``cache_scan=False`` parses the CSV
     files twice instead of caching the parsed records (very large inputs).
-    ``utf8_check='bytes'`` validates UTF-8 on the raw bytes in multi-line
-    mode (one extra splittable pass) instead of inferring it from U+FFFD.
     """
     ts = ingest_ts or now_utc()
     listing = list_files(spark, root, rules.source_path, paths).persist(StorageLevel.MEMORY_AND_DISK)
@@ -68,7 +65,7 @@ def check_landing(
     if "csv" in exts:
         scan = scan_csv(
             spark, root, rules, multi_line=multi_line, paths=paths, cache_scan=cache_scan,
-            file_ids=file_ids, utf8_check=utf8_check,
+            file_ids=file_ids,
         )
         rows.append(scan.rows)
         csv_facts = scan.facts

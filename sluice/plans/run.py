@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.rowchecks import typed_valid
 from ..rules import RunConfig, TableRules
 from ..sinks import append_reports, export_csv, load_valid
 from .landing import check_landing
@@ -56,7 +57,7 @@ def run_landing(
     ``parallel_tables`` > 1 submits several tables' jobs at once from driver
     threads (independent tables, one scheduler): many small tables then
     share the cluster instead of running one after another. Other keyword
-    options (``cache_scan``, ``utf8_check``) go to ``check_landing``.
+    options (``cache_scan``) go to ``check_landing``.
     """
     tables = []
     for t in config.tables:
@@ -106,6 +107,8 @@ def _run_table(
             export_csv(res.file_stats, f"{base}/file_stats")
             export_csv(res.rows_stats, f"{base}/rows_stats")
             export_csv(res.data_invalid, f"{base}/data_invalid", ["table", "source_filename", "index"])
+            in_order = typed_valid(res.annotated, rules, extra=("_file", "_index"))
+            export_csv(in_order, f"{base}/data_valid", ["_file", "_index"], drop=["_file", "_index"])
         loaded = load_valid(res.valid, target(output_root, t.dataset, t.table), t.write_mode)
         counts = res.file_stats.agg(
             F.count(F.lit(1)).alias("files"), F.count_if("is_invalid").alias("bad")

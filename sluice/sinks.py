@@ -59,15 +59,21 @@ def load_valid(valid: DataFrame, target: str, write_mode: str) -> bool:
 # --- fixed values: text forms of the reference's CSV report files ----------
 EXPORT_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 EXPORT_TRUE, EXPORT_FALSE = "True", "False"
+# quotes doubled, blanks kept
+EXPORT_OPTIONS = {
+    "header": "true", "sep": ";", "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 # --------------------------------------------------------------------------
 
 
-def export_csv(df: DataFrame, path: str, order_by: list[str] | None = None) -> None:
+def export_csv(df: DataFrame, path: str, order_by: list[str] | None = None, drop: list[str] | None = None) -> None:
     """K1: ';'-separated CSV with a header (report export); optional total order
     (range-partitioned sort, O1/O2). Timestamps and booleans are written as the
     reference's report files show them."""
     if order_by:
         df = df.orderBy(*order_by)
+    df = df.drop(*(drop or ()))  # columns that only order the rows
     df = df.select(
         *[
             F.when(F.col(f.name), EXPORT_TRUE).when(~F.col(f.name), EXPORT_FALSE).alias(f.name)
@@ -77,7 +83,7 @@ def export_csv(df: DataFrame, path: str, order_by: list[str] | None = None) -> N
         ]
     )
     (
-        df.write.mode("overwrite").option("header", True).option("sep", ";")
+        df.write.mode("overwrite").options(**EXPORT_OPTIONS)
         .option("timestampFormat", EXPORT_TIMESTAMP_FORMAT)
         .option("timestampNTZFormat", EXPORT_TIMESTAMP_FORMAT)
         .csv(path)

@@ -4,8 +4,7 @@ Every file of a table is read in one scan, all columns as text, plus one
 extra column and the raw record (multi-line mode: the CSV reader; line mode:
 the text source + ``from_csv``, splittable). From the raw record each row gets
 its field count (separators outside quotes) and an unterminated-quote flag;
-invalid UTF-8 shows up as U+FFFD after decoding (or is checked on the raw
-bytes: line mode, or ``utf8_check='bytes'``).
+invalid UTF-8 is found on the raw bytes.
 
 Row ordinals: blank records are dropped, then ``monotonically_increasing_id``
 numbers the rows inside each scan block. One small aggregate per (file, block)
@@ -83,7 +82,6 @@ def scan_csv(
     paths: list[str] | None = None,
     cache_scan: bool = True,
     file_ids: DataFrame | None = None,
-    utf8_check: str = "decoded",
 ) -> CsvScan:
     """Scan every CSV landing file of the table once (see module doc).
 
@@ -94,11 +92,9 @@ def scan_csv(
     ``file_ids`` (``_path``, ``_file_id``) adds the compact file key to the
     rows through the small block table.
 
-    ``utf8_check`` (multi-line mode, UTF-8 files): ``decoded`` infers invalid
-    bytes from U+FFFD in the decoded records (no extra pass; a file that
-    really contains U+FFFD counts as invalid); ``bytes`` validates the raw
-    bytes exactly with an extra, splittable line pass. Line mode always
-    checks the raw bytes.
+    UTF-8 files are validated on their raw bytes: in multi-line mode by an
+    extra, splittable line pass, in line mode on the lines themselves. In
+    other encodings U+FFFD in the decoded records marks bytes that they lack.
     """
     opts = rules.format_options("csv")
     sep = sep or opts.get("separator") or ","
@@ -231,7 +227,7 @@ def scan_csv(
         F.bool_or("_bad_utf8").alias("bad_utf8"),
         F.sum("_n").alias("n_records"),
     ).join(F.broadcast(first_data) if file_ids is not None else first_data, PATH, "left")
-    if not line_mode and utf8_check == "bytes" and encoding.lower().replace("-", "") == "utf8":
+    if not line_mode and encoding.lower().replace("-", "") == "utf8":
         raw_ok = (
             reader(spark, "csv").text(inputs(root, rules.source_path, paths))
             .groupBy(decoded_path(F.col("_metadata.file_path")).alias(PATH))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..rules import TableRules
@@ -27,6 +27,11 @@ class JsonScan:
     base: DataFrame | None = None  # the scan itself (its partitioning)
 
 
+def _last(members: Column, name: str) -> Column:
+    """Value of a member; of several with the name, the last one's."""
+    return F.try_element_at(F.filter(F.map_entries(members), lambda e: e["key"] == name), F.lit(-1))["value"]
+
+
 def scan_json(
     spark: SparkSession,
     root: str,
@@ -67,6 +72,6 @@ def scan_json(
         *ids,
         relative_name(F.col(PATH), root).alias("source_filename"),
         F.col("index").cast("bigint").alias("index"),
-        *[F.try_element_at(F.col("_m"), F.lit(c.expected_file_name)).alias(c.name) for c in data],
+        *[_last(F.col("_m"), c.expected_file_name).alias(c.name) for c in data],
     )
     return JsonScan(base=docs, rows=rows, facts=facts, cached=[])

@@ -15,6 +15,7 @@ way (TRUNCATE would keep only the last batch).
 from __future__ import annotations
 
 import os
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -40,8 +41,10 @@ def default_checkpoint(spark: SparkSession, table: TableConfig) -> str:
     return os.path.join(base, "sluice-streams", table.dataset, table.table)
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/_batch_id={batch_id}")
+def _write_batch(df: DataFrame, path: str, batch_id: int, table: TableConfig | None = None) -> None:
+    """One folder per batch, and per table where tables share the target."""
+    own = f"/_stream={quote(f'{table.dataset}.{table.table}', safe='')}" if table else ""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}{own}/_batch_id={batch_id}")
 
 
 def table_stream(
@@ -82,9 +85,9 @@ def table_stream(
             **check_options,
         )
         try:
-            _write_batch(conform(res.file_stats, FILE_STATS), quality["file_stats"], batch_id)
-            _write_batch(conform(res.rows_stats, ROWS_STATS), quality["rows_stats"], batch_id)
-            _write_batch(conform(res.data_invalid, DATA_INVALID), quality["data_invalid"], batch_id)
+            _write_batch(conform(res.file_stats, FILE_STATS), quality["file_stats"], batch_id, table)
+            _write_batch(conform(res.rows_stats, ROWS_STATS), quality["rows_stats"], batch_id, table)
+            _write_batch(conform(res.data_invalid, DATA_INVALID), quality["data_invalid"], batch_id, table)
             if not res.valid.isEmpty():
                 _write_batch(res.valid, valid_target, batch_id)
         finally:

@@ -109,3 +109,12 @@ def test_strptime_matches_pandas(spark, fmt):
 def test_unsupported_directive_rejected():
     with pytest.raises(ValueError):
         compile_strptime("%d %Z")
+
+
+def test_integer_values_are_exact(spark):
+    from sluice.functions.parsing import integer_number, integral
+
+    texts = ["9007199254740993", "9223372036854775807", "-9223372036854775808", " 12 ", "1e3", "10.0", "10.05", "9223372036854775808", "x", None, "inf"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(integral(F.col("t"), integer_number(F.col("t")))).collect()]
+    assert got == [9007199254740993, 2**63 - 1, -(2**63), 12, 1000, 10, None, None, None, None, None]

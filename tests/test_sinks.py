@@ -102,3 +102,10 @@ def test_registry_run_exports_reports(spark, landing):
     inv = read.csv(os.path.join(base, "data_invalid")).collect()
     assert [r["index"] for r in inv] == ["0", "1"]
     assert {r.invalid_col_value for r in inv} == {"['A']"}
+
+
+def test_export_keeps_blanks_and_doubles_quotes(spark, tmp_path):
+    df = spark.createDataFrame([("  x 1 ", 'he said "no"; ok', 2), ("b", "c", 1)], "a string, b string, i int")
+    export_csv(df, str(tmp_path / "out"), ["i"], drop=["i"])
+    lines = [x for p in sorted((tmp_path / "out").glob("part-*")) for x in p.read_text().splitlines() if x != "a;b"]
+    assert lines == ["b;c", '  x 1 ;"he said ""no""; ok"']

@@ -49,3 +49,15 @@ def test_default_checkpoint_is_stable_across_applications(spark):
     assert path.startswith(base) and path.endswith(os.path.join("raw", "drugs"))
     app_dir = spark.sparkContext.getCheckpointDir()
     assert not app_dir or not path.startswith(app_dir.replace("file:", ""))
+
+
+def test_two_tables_keep_their_reports_apart(spark, tmp_path):
+    from sluice.streaming.landing import _write_batch
+    from sluice.rules import TableConfig
+
+    path = str(tmp_path / "file_stats")
+    tables = [t for t in RunConfig.load(os.path.join(FIXTURES, "config.yml")).tables][:2]
+    assert all(isinstance(t, TableConfig) for t in tables)
+    for n, t in enumerate(tables):
+        _write_batch(spark.range(n + 1), path, 0, t)
+    assert spark.read.parquet(path).count() == 3
