@@ -64,21 +64,34 @@ def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str
     )
 
 
+def _by_shuffle(own: DataFrame, each: Column, probe: DataFrame) -> DataFrame:
+    """Document windows in a set too large to broadcast: hashes alone are shuffled
+    (no words), then each document with a hit is read once more."""
+    light = own.select("doc_id", "text_hash", each).join(probe.hint("merge"), F.col("hash") == F.col("g_hash"))
+    per_doc = light.groupBy(F.col("doc_id").alias("h_id"), F.col("text_hash").alias("h_hash")).agg(
+        F.collect_set(F.struct("index", "gram", "items")).alias("found")
+    )
+    again = own.join(per_doc.hint("merge"), F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("text_hash") == F.col("h_hash")))
+    return again.select("doc_id", "text_hash", "w", F.inline("found"))
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, *, doc_id="doc_id", text="text", item_id="item_id", item_text="text") -> DataFrame:
     """(doc_id, text_hash, spans, items) of each document that has a hit.
 
     spans: (first word, number of words) of each verified window, by first word."""
     grams = staged(benchmark_windows(benchmark, item_id, item_text), "benchmark-windows")
     known = {r["size"]: r["n"] for r in grams.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}  # SIZE rows at most
-    probe = F.broadcast(grams) if sum(known.values()) * WINDOW_BYTES <= BROADCAST_BYTES else grams
     own = only(docs, doc_id=doc_id, text=text).select("doc_id", whole_text("text").alias("t"))
+    own = own.select("doc_id", F.xxhash64("t").alias("text_hash"), words(F.col("t")).alias("w"))
     sizes = sorted(known, reverse=True) or [SIZE]
-    each = own.select("doc_id", F.xxhash64("t").alias("text_hash"), words(F.col("t")).alias("w")).select(
-        "doc_id", "text_hash", "w", F.posexplode(let(F.col("w"), lambda w: F.concat(*[window_hashes(w, n) for n in sizes]))).alias("index", "hash")
-    )
-    probe = probe.select(F.col("hash").alias("g_hash"), "gram", "items")
+    each = F.posexplode(let(F.col("w"), lambda w: F.concat(*[window_hashes(w, n) for n in sizes]))).alias("index", "hash")
+    probe = grams.select(F.col("hash").alias("g_hash"), "gram", "items")
+    if sum(known.values()) * WINDOW_BYTES <= BROADCAST_BYTES:
+        found = own.select("doc_id", "text_hash", "w", each).join(F.broadcast(probe), F.col("hash") == F.col("g_hash"))
+    else:
+        found = _by_shuffle(own, each, probe)
     at, size = _place(F.size("w"), sizes, F.col("index"))
-    verified = each.join(probe, F.col("hash") == F.col("g_hash")).select("doc_id", "text_hash", "w", "gram", "items", at.alias("at"), size.alias("size")).where(
+    verified = found.select("doc_id", "text_hash", "w", "gram", "items", at.alias("at"), size.alias("size")).where(
         F.slice("w", F.col("at"), F.col("size")) == F.col("gram")
     )
     per_doc = verified.groupBy("doc_id", "text_hash").agg(
