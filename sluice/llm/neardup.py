@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash
@@ -46,6 +46,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 28, 5
 #: Members checked by one task against a copy of their leader.
 SALT_ROWS = 2000
+#: Tasks that the members of one bucket are spread over in joins by bucket (bits of a long).
+SPREAD = 64
 #: Texts of a bucket that are compared with each other in one go.
 CELL = 2000
 
@@ -169,22 +171,37 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_compare, "a long, b long")
 
 
-def _leaders(members: DataFrame) -> DataFrame:
-    """(bucket columns, leader) of the buckets of two members or more."""
-    return members.groupBy("band", "key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+def _part() -> Column:
+    """The part of its bucket that a member is in."""
+    return F.pmod(F.xxhash64("id"), F.lit(SPREAD)).cast("int")
+
+
+def _parts() -> Column:
+    """Aggregate: the parts that a bucket has members in, as bits."""
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), _part())).alias("parts")
 
 
-def _with_leader(members: DataFrame, leaders: DataFrame) -> DataFrame:
-    right = leaders.withColumnsRenamed({"band": "l_band", "key": "l_key"})
-    return members.join(right, (F.col("band") == F.col("l_band")) & (F.col("key") == F.col("l_key"))).drop("l_band", "l_key")
+def _by_bucket(members: DataFrame, buckets: DataFrame, how: str) -> DataFrame:
+    """Members joined with their bucket's row, which is copied to each part the
+    bucket has members in: a bucket with a third of all rows is many tasks."""
+    every = F.sequence(F.lit(0), F.lit(SPREAD - 1))
+    held = F.filter(every, lambda p: F.call_function("getbit", F.col("parts"), p) == 1)
+    right = buckets.withColumn("b_part", F.explode(held)).withColumnsRenamed({"band": "b_band", "key": "b_key"}).drop("parts")
+    same = (F.col("band") == F.col("b_band")) & (F.col("key") == F.col("b_key")) & (F.col("part") == F.col("b_part"))
+    return members.withColumn("part", _part()).join(right, same, how).drop("part", "b_band", "b_key", "b_part")
+
+
+def _leaders(members: DataFrame) -> DataFrame:
+    """(bucket columns, leader, parts) of the buckets of two members or more."""
+    return members.groupBy("band", "key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n"), _parts()).where("n > 1").drop("n")
 
 
 def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one component; without other labels a text is its own."""
     own = labels.withColumnsRenamed({"id": "c_id", "label": "c_label"})
     labelled = members.drop("label").join(own, F.col("id") == F.col("c_id"), "left").select("band", "key", "id", F.coalesce("c_label", "id").alias("label"))
-    mixed = labelled.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select(F.col("band").alias("m_band"), F.col("key").alias("m_key"))
-    return labelled.join(mixed, (F.col("band") == F.col("m_band")) & (F.col("key") == F.col("m_key")), "left_semi")
+    mixed = labelled.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y"), _parts()).where("x <> y").drop("x", "y")
+    return _by_bucket(labelled, mixed, "left_semi")
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,18 +273,19 @@ def _settled(rest: DataFrame, texts: DataFrame) -> DataFrame:
     other; the others ask all members. Members and askers are dealt over cells
     of CELL each, so a bucket of any size is worked on in blocks."""
     spot = ["band", "key"]
-    sizes = rest.groupBy(*spot, "label").agg(F.count(F.lit(1)).alias("n")).groupBy(*spot).agg(
-        F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n")
+    # a label's rows are counted over all its parts first
+    sizes = rest.groupBy(*spot, "label").agg(F.count(F.lit(1)).alias("n"), _parts()).groupBy(*spot).agg(
+        F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.bit_or("parts").alias("parts")
     ).select(
-        F.col("band").alias("z_band"), F.col("key").alias("z_key"), F.col("most.label").alias("most"),
-        F.ceil(F.col("n") / CELL).cast("int").alias("parts"), F.ceil((F.col("n") - F.col("most.n")) / CELL).cast("int").alias("asking"),
+        *spot, "parts", F.col("most.label").alias("most"),
+        F.ceil(F.col("n") / CELL).cast("int").alias("cells"), F.ceil((F.col("n") - F.col("most.n")) / CELL).cast("int").alias("asking"),
     )
-    sized = rest.join(sizes, (F.col("band") == F.col("z_band")) & (F.col("key") == F.col("z_key")))
+    sized = _by_bucket(rest, sizes, "inner")
     asks = F.col("label") != F.col("most")
     every = lambda n: F.sequence(F.lit(0), n - 1)
-    part, ask = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"), F.pmod(F.xxhash64("id"), F.col("asking")).cast("int")
+    part, ask = F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"), F.pmod(F.xxhash64("id"), F.col("asking")).cast("int")
     as_member = F.transform(every(F.col("asking")), lambda k: F.struct(part.alias("part"), k.alias("ask"), (asks & (k == ask)).alias("asks")))
-    as_asker = F.transform(F.filter(every(F.col("parts")), lambda p: p != part), lambda p: F.struct(p.alias("part"), ask.alias("ask"), F.lit(True).alias("asks")))
+    as_asker = F.transform(F.filter(every(F.col("cells")), lambda p: p != part), lambda p: F.struct(p.alias("part"), ask.alias("ask"), F.lit(True).alias("asks")))
     cells = staged(
         sized.select("band", "key", "id", F.inline(F.when(asks, F.concat(as_member, as_asker)).otherwise(as_member))), "neardup-cells"
     )
@@ -281,7 +299,7 @@ def links(sketches: DataFrame, texts: DataFrame) -> DataFrame:
 
     ``sketches``: (id, bands) of distinct texts; ``texts``: (id, text)."""
     members = sketches.select("id", F.posexplode("bands").alias("band", "key"))
-    members = staged(_with_leader(members, _leaders(members)), "neardup-members")
+    members = staged(_by_bucket(members, _leaders(members), "inner"), "neardup-members")
     pairs = members.where("id <> leader").select("leader", "id").distinct()
     # the texts that any comparison needs are picked out once
     needed = members.select(F.col("id").alias("n_id")).distinct()

@@ -90,6 +90,17 @@ def test_near_duplicates(docs):
     assert Counter(i for i, _ in rows_of(kept)) == Counter([i for i in label if label[i] == i] + [None])
 
 
+def test_near_duplicates_of_one_hot_bucket(spark):
+    """A third of all texts are near copies of one text: one class, however the bucket is spread."""
+    rnd = random.Random(3)
+    base = [f"b{i}" for i in range(400)]
+    rows = [(k, " ".join(base[:k] + ["x%d" % k] + base[k + 1:])) for k in range(200)]
+    rows += [(1000 + k, " ".join(f"r{rnd.random()}" for _ in range(30))) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in neardup.query(df).collect()}
+    assert got == {i: 0 if i < 1000 else i for i, _ in rows}
+
+
 def test_bagminhash_is_unbiased():
     import numpy as np
 
@@ -303,7 +314,9 @@ def test_language_id_accuracy(spark):
     assert judged.where("lang = lang_pred").count() >= 0.95 * judged.count()
 
 
-def test_decontamination(docs, spark):
+@pytest.mark.parametrize("limit", [decontam.BROADCAST_BYTES, -1])
+def test_decontamination(docs, spark, monkeypatch, limit):
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", limit)  # -1: a set of windows too large to broadcast
     _, bench = _texts()
     items = [(1, bench), (2, bench), (3, "Same, FEW words"), (4, None), (5, "!!"), (None, "a"), (1, bench)]
     bm = spark.createDataFrame(items, "item_id long, text string")
