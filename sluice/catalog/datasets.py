@@ -340,5 +340,49 @@ EVENTS_JSON_SQL = _text_sql(
     "events",
 )
 
-# Lineitem as landing files: one file per return flag.
-LINEITEM_BY_FLAG_SQL = LINEITEM_SQL.replace("'lineitem/lineitem.csv' AS source_filename", "l_returnflag AS source_filename", 1)
+
+def _in_files(text_sql: str) -> str:
+    """Rows as landing files hold them: ``index`` is the place in the file, ordered by the row key."""
+    place = 'row_number() OVER (PARTITION BY source_filename ORDER BY "index") - 1'
+    return f'SELECT * REPLACE ({place} AS "index") FROM ({text_sql})'
+
+
+EVENTS_JSON_SQL = _in_files(EVENTS_JSON_SQL)
+# Orders and lineitem as landing files: by status / return flag and a million keys.
+ORDERS_FILES_SQL = _in_files(ORDERS_SQL.replace(
+    "'orders/' || o_orderstatus || '.csv' AS source_filename",
+    "o_orderstatus || '_' || CAST(o_orderkey // 1000000 AS VARCHAR) AS source_filename", 1,
+))
+LINEITEM_FILES_SQL = _in_files(LINEITEM_SQL.replace(
+    "'lineitem/lineitem.csv' AS source_filename",
+    "l_returnflag || '_' || CAST(l_orderkey // 1000000 AS VARCHAR) AS source_filename", 1,
+))
+
+
+# Orders with keys of 16 to 19 digits, some of them beyond bigint.
+def _wide_keys_spark(spark: SparkSession, sf: str) -> DataFrame:
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    k = F.col("o_orderkey")
+    n = k.cast("decimal(19,0)")
+    at = lambda digits: F.lit(digits).cast("decimal(19,0)")
+    texts = {
+        "o_orderkey": F.when(k % 11 == 0, _s(at("9223372036854775807") + n))
+        .when(k % 2 == 0, _s(at("9223372036854775807") - n))
+        .otherwise(_s(at("9007199254740993") + n)),
+    }
+    return table_records(o, WIDE_KEYS, F.lit("orders/wide.csv"), k, texts)
+
+
+WIDE_KEYS = rules_of(col("o_orderkey", "INTEGER", "REQUIRED", key=True), col("o_custkey", "INTEGER"))
+WIDE_KEYS_SQL = _text_sql(
+    "'orders/wide.csv'",
+    "o_orderkey",
+    {
+        "o_orderkey": "CAST(CASE WHEN o_orderkey % 11 = 0 THEN CAST(9223372036854775807 AS HUGEINT) + o_orderkey "
+        "WHEN o_orderkey % 2 = 0 THEN CAST(9223372036854775807 AS HUGEINT) - o_orderkey "
+        "ELSE CAST(9007199254740993 AS HUGEINT) + o_orderkey END AS VARCHAR)",
+        "o_custkey": "CAST(o_custkey AS VARCHAR)",
+    },
+    "orders",
+)
+DATASETS["wide_keys"] = Dataset("wide_keys", WIDE_KEYS, _wide_keys_spark, WIDE_KEYS_SQL)

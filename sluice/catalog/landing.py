@@ -37,10 +37,22 @@ def label(source_filename: str = "source_filename"):
     return F.regexp_extract(F.col(source_filename), FILE_TAG + "=([^/]+)/", 1)
 
 
-def _write_csv(records: DataFrame, file_tag, path: str, header: list[str], names: list[str]) -> None:
+#: Keys of a table in one landing file at most: files grow in number, not in size.
+FILE_KEYS = 1_000_000
+
+
+def file_tag(value, key):
+    """One file per value and FILE_KEYS keys."""
+    return F.concat_ws("_", value, F.floor(key / FILE_KEYS).cast("string"))
+
+
+def _write_csv(records: DataFrame, tag, order, path: str, header: list[str], names: list[str]) -> None:
+    """One file per tag, its rows by ``order``."""
+    cells = [F.col(n).alias(h) for n, h in zip(names, header)]
+    dealt = records.select(tag.alias(FILE_TAG), order.alias("_order"), *cells).repartition(FILE_TAG)
     (
-        records.select(file_tag.alias(FILE_TAG), *[F.col(n).alias(h) for n, h in zip(names, header)])
-        .repartition(FILE_TAG)
+        dealt.sortWithinPartitions(FILE_TAG, "_order")
+        .drop("_order")
         .write.partitionBy(FILE_TAG)
         .options(**CSV_WRITE)
         .csv(path)
@@ -48,7 +60,7 @@ def _write_csv(records: DataFrame, file_tag, path: str, header: list[str], names
 
 
 def orders_landing(spark: SparkSession, sf: str) -> str:
-    """root/orders/orders_csv/_file=<status>/part-*.csv (one file per status),
+    """root/orders/orders_csv/_file=<status>_<n>/part-*.csv (by status and key range),
     plus files that must fail the file checks: customer rows (wrong header)
     and region rows as .txt (unknown extension)."""
     key = _key(spark, sf, "orders")
@@ -60,14 +72,14 @@ def orders_landing(spark: SparkSession, sf: str) -> str:
     names = [c.name for c in rules.data_columns]
     recs = ds.spark_records(spark, sf)
     _write_csv(
-        recs, F.regexp_extract("source_filename", r"orders/(.+)\.csv", 1),
+        recs, file_tag(F.regexp_extract("source_filename", r"orders/(.+)\.csv", 1), F.col("index")), F.col("index"),
         f"{root}/orders/orders_csv", rules.header, names,
     )
     cust = spark.read.parquet(f"{sf}/customer.parquet")
     cols = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
     _write_csv(
-        cust.select(*[F.col(c).cast("string").alias(c) for c in cols]),
-        F.col("c_mktsegment"), f"{root}/orders/orders_customer", cols, cols,
+        cust.select(*[F.col(c).cast("string").alias(c) for c in cols], F.col("c_custkey").alias("key")),
+        file_tag(F.col("c_mktsegment"), F.col("key")), F.col("key"), f"{root}/orders/orders_customer", cols, cols,
     )
     region = spark.read.parquet(f"{sf}/region.parquet")
     region.select(F.concat_ws(";", F.col("r_regionkey").cast("string"), "r_name")).coalesce(1).write.text(
@@ -161,8 +173,8 @@ def events_json_rules():
 
 
 def lineitem_landing(spark: SparkSession, sf: str) -> str:
-    """root/lineitem/lineitem_csv/_file=<returnflag>/part-*.csv: one big file per
-    return flag, read in line mode (splittable) by the landing query."""
+    """root/lineitem/lineitem_csv/_file=<returnflag>_<n>/part-*.csv: big files by
+    return flag and key range, read in line mode (splittable) by the landing query."""
     key = _key(spark, sf, "lineitem")
     if key in _CACHE:
         return _CACHE[key]
@@ -170,7 +182,7 @@ def lineitem_landing(spark: SparkSession, sf: str) -> str:
     ds = DATASETS["lineitem"]
     names = [c.name for c in ds.rules.data_columns]
     _write_csv(
-        ds.spark_records(spark, sf), F.col("l_returnflag"),
+        ds.spark_records(spark, sf), file_tag(F.col("l_returnflag"), F.floor(F.col("index") / 10)), F.col("index"),
         f"{root}/lineitem/lineitem_csv", ds.rules.header, names,
     )
     _CACHE[key] = root

@@ -7,10 +7,23 @@ a text CTE that the caller writes by hand for each driver table.
 
 from __future__ import annotations
 
-from ..functions.parsing import NULL_DATE_TEXT, NULL_NUMBER_TEXT
-from ..functions.text import NA_TOKENS
 from ..rules import LINEAGE_COLUMNS, ColumnRule, TableRules
-from ..schemas import CODE_KEY, CODE_NULL, CODE_PARSE, REASON_KEY, REASON_PARSE, REASON_REQUIRED
+
+# --- fixed values, written out here so that a wrong text in the engine shows ---
+CODE_NULL = "NULL_VALUE_NOT_EXPECTED"
+CODE_KEY = "KEY_NOT_UNIQUE"
+CODE_PARSE = "COLUMN_NOT_PARSABLE"
+REASON_REQUIRED = "{col} is NULL whereas it is REQUIRED"
+REASON_KEY = "{cols} is not unique : {n} occurences"
+REASON_PARSE = "{col} is not parsable to {type}"
+NULL_NUMBER_TEXT = "0"
+NULL_DATE_TEXT = "1900-01-01"
+NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
+    "nan", "null",
+)
+# -------------------------------------------------------------------------------
 
 
 def q(s: str) -> str:

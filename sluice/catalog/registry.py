@@ -133,6 +133,8 @@ def table_queries() -> dict[str, tuple[Query, str]]:
         "valid_typed": _valid("orders"),
         "lineitem_valid_typed": _valid("lineitem"),
         "customer_valid_typed": _valid("customer"),
+        # R6: every digit of a long key
+        "integer_exact_typed": _valid("wide_keys"),
     }
 
 
@@ -158,7 +160,7 @@ def _with_label(df: DataFrame) -> DataFrame:
     return df.select(*[lab.alias("landing_file") if c == "source_filename" else F.col(c) for c in cols])
 
 
-_ORDERS_LABEL = r"regexp_extract(k.source_filename, 'orders/(.+)\.csv', 1) AS landing_file"
+_ORDERS_LABEL = "k.source_filename AS landing_file"
 _DQ = f"{oracle.q(PIPELINE)} AS pipeline, {oracle.q(DATASET)} AS dataset, 'orders' AS \"table\""
 _TS_SQL = f"CAST({oracle.q(INGEST_TS)} AS TIMESTAMP) AS date_ingest"
 _BAD_COLS = "'Columns do not respect the columns definition'"
@@ -167,7 +169,8 @@ _BAD_COLS = "'Columns do not respect the columns definition'"
 def landing_queries() -> dict[str, tuple[Query, str]]:
     ds = DATASETS["orders"]
     ev = DATASETS["events"]
-    from .datasets import EVENTS_JSON_SQL, LINEITEM_BY_FLAG_SQL
+    from .landing import label
+    from .datasets import EVENTS_JSON_SQL, LINEITEM_FILES_SQL, ORDERS_FILES_SQL
 
     def file_stats(spark, sf):
         return _with_label(_landing_check(spark, sf).file_stats)
@@ -176,7 +179,7 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         return _with_label(_landing_check(spark, sf).rows_stats)
 
     def data_invalid(spark, sf):
-        return _with_label(_landing_check(spark, sf).data_invalid).drop("index")
+        return _with_label(_landing_check(spark, sf).data_invalid)
 
     def valid(spark, sf):
         return _with_label(_landing_check(spark, sf).valid)
@@ -196,7 +199,7 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         return a.join(b, "landing_file", "full")
 
     def lineitem_rows_stats(spark, sf):
-        from .landing import label, lineitem_landing, lineitem_landing_rules
+        from .landing import lineitem_landing, lineitem_landing_rules
         from ..plans.landing import check_landing
 
         root = lineitem_landing(spark, sf)
@@ -208,8 +211,8 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
             "source_filename", "landing_file"
         )
 
-    def json_rows_stats(spark, sf):
-        from .landing import events_json_landing, events_json_rules, label
+    def json_check(spark, sf):
+        from .landing import events_json_landing, events_json_rules
         from ..plans.landing import check_landing
 
         root = events_json_landing(spark, sf)
@@ -217,18 +220,26 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
             spark, root, events_json_rules(), pipeline=PIPELINE, dataset=DATASET, table="events",
             ingest_ts=INGEST_TS, persist=False,
         )
-        return res.rows_stats.withColumn("source_filename", label()).withColumnRenamed("source_filename", "landing_file")
+        return lambda df: df.withColumn("source_filename", label()).withColumnRenamed("source_filename", "landing_file"), res
+
+    def json_rows_stats(spark, sf):
+        labelled, res = json_check(spark, sf)
+        return labelled(res.rows_stats)
+
+    def json_data_invalid(spark, sf):
+        labelled, res = json_check(spark, sf)
+        return labelled(res.data_invalid)
 
     file_stats_sql = (
         f"SELECT {_DQ}, landing_file, {_TS_SQL}, is_invalid, description FROM ("
-        "SELECT DISTINCT o_orderstatus AS landing_file, false AS is_invalid, 'File is VALID' AS description FROM orders "
-        f"UNION ALL SELECT DISTINCT c_mktsegment, true, {_BAD_COLS} FROM customer "
+        "SELECT DISTINCT o_orderstatus || '_' || CAST(o_orderkey // 1000000 AS VARCHAR) AS landing_file, false AS is_invalid, 'File is VALID' AS description FROM orders "
+        f"UNION ALL SELECT DISTINCT c_mktsegment || '_' || CAST(c_custkey // 1000000 AS VARCHAR), true, {_BAD_COLS} FROM customer "
         f"UNION ALL SELECT DISTINCT 'region', true, {_BAD_COLS} FROM region "
         "UNION ALL SELECT DISTINCT 'wide', true, 'Error when reading the CSV file : "
         "Error tokenizing data. Expected 7 fields, saw 8' FROM nation)"
     )
-    valid_label = {"source_filename": "regexp_extract(source_filename, 'orders/(.+)\\.csv', 1) AS landing_file"}
-    valid_sql = oracle.valid_sql(ds.rules, ds.text_sql, INGEST_TS, replace=valid_label)
+    valid_label = {"source_filename": "source_filename AS landing_file"}
+    valid_sql = oracle.valid_sql(ds.rules, ORDERS_FILES_SQL, INGEST_TS, replace=valid_label)
     sink_sql = (
         f"SELECT landing_file, count(*) * 2 AS rows_after_two_appends, count(*) AS rows_after_truncate "
         f"FROM ({valid_sql}) GROUP BY landing_file"
@@ -237,14 +248,14 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         "landing_file_stats": (file_stats, file_stats_sql),
         "landing_rows_stats": (
             rows_stats,
-            oracle.rows_stats_sql(ds.rules, ds.text_sql, INGEST_TS, PIPELINE, DATASET, "orders", file_col=_ORDERS_LABEL),
+            oracle.rows_stats_sql(ds.rules, ORDERS_FILES_SQL, INGEST_TS, PIPELINE, DATASET, "orders", file_col=_ORDERS_LABEL),
         ),
         "landing_data_invalid": (
             data_invalid,
             oracle.data_invalid_sql(
-                ds.rules, ds.text_sql, INGEST_TS, PIPELINE, DATASET, "orders",
+                ds.rules, ORDERS_FILES_SQL, INGEST_TS, PIPELINE, DATASET, "orders",
                 columns=[
-                    _DQ, r"regexp_extract(source_filename, 'orders/(.+)\.csv', 1) AS landing_file",
+                    _DQ, "source_filename AS landing_file", '"index"',
                     "r AS invalid_reason", "c AS invalid_code", "cn AS invalid_col_name",
                     "cv AS invalid_col_value", _TS_SQL,
                 ],
@@ -255,10 +266,21 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         "landing_lineitem_rows_stats": (
             lineitem_rows_stats,
             oracle.rows_stats_sql(
-                DATASETS["lineitem"].rules, LINEITEM_BY_FLAG_SQL, INGEST_TS, PIPELINE, DATASET,
+                DATASETS["lineitem"].rules, LINEITEM_FILES_SQL, INGEST_TS, PIPELINE, DATASET,
                 "lineitem", file_col="k.source_filename AS landing_file",
             ),
         ),
+        "json_landing_data_invalid": (
+            json_data_invalid,
+            oracle.data_invalid_sql(
+                ev.rules, EVENTS_JSON_SQL, INGEST_TS, PIPELINE, DATASET, "events",
+                columns=[
+                    _DQ.replace("'orders'", "'events'"), "source_filename AS landing_file", '"index"',
+                    "r AS invalid_reason", "c AS invalid_code", "cn AS invalid_col_name",
+                    "cv AS invalid_col_value", _TS_SQL,
+                ],
+            ),
+        ),
         "json_landing_rows_stats": (
             json_rows_stats,
             oracle.rows_stats_sql(

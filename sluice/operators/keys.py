@@ -39,7 +39,11 @@ def key_hashes(keys: list[str]) -> tuple[Column, Column]:
 
 
 def duplicate_groups_two_phase(
-    df: DataFrame, keys: list[str], file_col: str = "source_filename", budget: int | None = None
+    df: DataFrame,
+    keys: list[str],
+    file_col: str = "source_filename",
+    budget: int | None = None,
+    cached: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Same result as ``duplicate_groups`` without shuffling wide key values.
 
@@ -47,6 +51,8 @@ def duplicate_groups_two_phase(
     the network, and a hash group of one row is certainly a unique key.
     Phase 2 counts exactly, by the key values, only the rows of hash groups
     with more than one member (duplicates, plus any hash collision).
+    The hash groups are persisted; they are added to ``cached`` for the caller
+    to release.
     """
     h1, h2 = key_hashes(keys)
     hashed = df.select(file_col, *keys, h1.alias("_h1"), h2.alias("_h2"))
@@ -57,6 +63,8 @@ def duplicate_groups_two_phase(
         .select(file_col, "_h1", "_h2")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    if cached is not None:
+        cached.append(candidates)
     n = candidates.count()
     budget = broadcast_budget(df.sparkSession) if budget is None else budget
     cand = F.broadcast(candidates) if n * 128 <= budget else candidates
@@ -83,8 +91,9 @@ def with_key_counts(
     spark: SparkSession = df.sparkSession
     renamed = {k: f"_dk{i}" for i, k in enumerate([file_col, *keys])}
     source = count_from if count_from is not None else df
+    held: list[DataFrame] = []
     groups = (
-        duplicate_groups_two_phase(source, keys, file_col, budget)
+        duplicate_groups_two_phase(source, keys, file_col, budget, held)
         if two_phase
         else duplicate_groups(source, keys, file_col)
     )
@@ -98,6 +107,8 @@ def with_key_counts(
         [F.coalesce(F.length(F.col(v)), F.lit(0)) + F.lit(8) for v in renamed.values()],
     )
     rows, nbytes = dups.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    for candidates in held:  # the duplicate table is materialized now
+        candidates.unpersist()
     budget = broadcast_budget(spark) if budget is None else budget
     right = F.broadcast(dups) if nbytes <= budget else dups
     cond = reduce(

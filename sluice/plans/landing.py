@@ -48,7 +48,8 @@ def check_landing(
     file) when no value holds a quoted newline. ``paths`` restricts the run
     to the given landing files (incremental runs); by default every file
     under the table's prefix is checked. ``cache_scan=False`` parses the CSV
-    files twice instead of caching the parsed records (very large inputs).
+    and JSON files anew for each step (block table, key sizes, checks) instead
+    of caching the parsed records (very large inputs).
     """
     ts = ingest_ts or now_utc()
     listing = list_files(spark, root, rules.source_path, paths).persist(StorageLevel.MEMORY_AND_DISK)
@@ -73,9 +74,10 @@ def check_landing(
         scan_bases.append(scan.base)
         csv_blocks = scan.blocks
     if "json" in exts:
-        scan = scan_json(spark, root, rules, paths, file_ids=file_ids)
+        scan = scan_json(spark, root, rules, paths, file_ids=file_ids, cache_scan=cache_scan)
         rows.append(scan.rows)
         json_facts = scan.facts
+        cached += scan.cached
         scan_bases.append(scan.base)
     if exts & set(WORKBOOK_EXTS):
         from ..sources.workbook import scan_workbooks

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,7 @@ def scan_json(
     rules: TableRules,
     paths: list[str] | None = None,
     file_ids: DataFrame | None = None,
+    cache_scan: bool = True,
 ) -> JsonScan:
     docs = (
         reader(spark, "json")
@@ -49,6 +51,10 @@ def scan_json(
             F.from_json("value", "array<map<string,string>>").alias(ARR),
         )
     )
+    cached = []
+    if cache_scan:  # facts, key sizes and checks read the parsed documents
+        docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
+        cached = [docs]
     # Columns in order of first appearance across the records.
     keys = F.array_distinct(
         F.flatten(F.transform(F.col(ARR), lambda m: F.coalesce(F.map_keys(m), F.array().cast("array<string>"))))
@@ -74,4 +80,4 @@ def scan_json(
         F.col("index").cast("bigint").alias("index"),
         *[_last(F.col("_m"), c.expected_file_name).alias(c.name) for c in data],
     )
-    return JsonScan(base=docs, rows=rows, facts=facts, cached=[])
+    return JsonScan(base=docs, rows=rows, facts=facts, cached=cached)

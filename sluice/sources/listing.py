@@ -39,8 +39,8 @@ def relative_name(path: Column, root: str) -> Column:
 
 
 def inputs(root: str, source_path: str, paths: list[str] | None = None):
-    """What the readers load: an explicit file list, or the prefix glob."""
-    return list(paths) if paths else prefix_glob(root, source_path)
+    """What the readers load: an explicit file list, taken literally, or the prefix glob."""
+    return [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths] if paths else prefix_glob(root, source_path)
 
 
 def list_files(
@@ -59,8 +59,8 @@ def list_files(
             .select(F.col("path").alias(PATH), "length")
         )
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+        if paths or "PATH_NOT_FOUND" not in str(e):
+            raise  # a file that was named must be there
         # Nothing landed under the prefix: empty outputs, as for an empty listing.
         listing = spark.createDataFrame([], "path string, length long").select(
             F.col("path").alias(PATH), "length"
