@@ -128,3 +128,15 @@ def test_two_phase_key_count_equals_direct(spark):
     for budget in (0, 10**9):
         got = sorted(map(tuple, duplicate_groups_two_phase(df, ["k1", "k2"], budget=budget).collect()), key=key)
         assert got == want
+
+
+def test_key_count_releases_its_hash_groups(spark):
+    from sluice.operators.keys import with_key_counts
+
+    persistent = spark.sparkContext._jsc.getPersistentRDDs
+    before = persistent().size()
+    df = spark.createDataFrame([("f", "a"), ("f", "a"), ("f", "b")], "source_filename string, k string")
+    out, dups = with_key_counts(df, ["k"], two_phase=True)
+    assert sorted(r["_key_count"] or 1 for r in out.collect()) == [1, 2, 2]
+    dups.unpersist()
+    assert persistent().size() <= before

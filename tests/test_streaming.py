@@ -61,3 +61,25 @@ def test_two_tables_keep_their_reports_apart(spark, tmp_path):
     for n, t in enumerate(tables):
         _write_batch(spark.range(n + 1), path, 0, t)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_names_are_literal(spark, landing):
+    """A name with glob characters means that file alone; no other file is read twice or lost."""
+    from pyspark.errors import AnalysisException
+
+    from sluice.plans.landing import check_landing
+    from sluice.rules import TableRules
+
+    cfg = RunConfig.load(os.path.join(FIXTURES, "config.yml"))
+    drugs = next(t for t in cfg.tables if t.name == "drugs")
+    out, ckpt = tempfile.mkdtemp(prefix="sluice-stream-out-"), tempfile.mkdtemp(prefix="sluice-stream-ckpt-")
+    names = ["drugs_1.csv", "drugs_[1].csv", "drugs_[2].csv", "drugs_{a,b}.csv", "drugs_*.csv", "drugs_?.csv"]
+    for i, name in enumerate(names):
+        landing(f"drugs/{name}", f"atccode;drug\nK{i};1\n")
+    table_stream(spark, drugs, landing.root, out, cfg, checkpoint=ckpt).awaitTermination(120)
+    valid = spark.read.parquet(os.path.join(out, "raw", "drugs"))
+    assert sorted(r.atcode for r in valid.collect()) == [f"K{i}" for i in range(len(names))]
+    fs = spark.read.parquet(os.path.join(out, "data_quality", "file_stats"))
+    assert sorted(r.source_filename.split("/")[-1] for r in fs.collect()) == sorted(names)
+    with pytest.raises(AnalysisException):
+        check_landing(spark, landing.root, TableRules.load(drugs.rules_file), paths=[f"{landing.root}/drugs/none.csv"])
