@@ -27,14 +27,14 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("output_root", nargs="?", default=None,
                    help="root for report / raw tables (default: catalog tables dataset.table)")
     p.add_argument("--export-root", default=None, help="also write ';' CSV reports here")
-    p.add_argument("--line-mode", action="store_true", help="splittable CSV (no quoted newlines)")
+    p.add_argument("--line-mode", action="store_true", help="read all CSV by lines (quoted newlines refused)")
     p.add_argument("--parallel-tables", type=int, default=1)
     p.add_argument("--materialize", default="stage", choices=["stage", "persist", "none"])
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName("sluice").getOrCreate()
     runs = run_landing(
         spark, RunConfig.load(args.config), args.landing_root, args.output_root,
-        export_root=args.export_root, multi_line=not args.line_mode,
+        export_root=args.export_root, multi_line=False if args.line_mode else None,
         materialize_as=args.materialize, parallel_tables=args.parallel_tables,
     )
     for r in runs:

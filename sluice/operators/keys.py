@@ -4,8 +4,9 @@
 one task. Instead the group sizes are a partial (map-side combined)
 aggregate, only groups with more than one member are kept, and those are
 joined back on the null-safe key. The duplicate table is broadcast only when
-its measured size is under the budget; otherwise a shuffle join is used and
-AQE's skew-join split handles a hot key on the big side.
+its measured size is under the budget; otherwise a shuffle join on the file and
+two hashes of the key is used (no key text is sorted), the key values decide
+after the match, and AQE's skew-join split handles a hot key on the big side.
 """
 
 from __future__ import annotations
@@ -110,11 +111,19 @@ def with_key_counts(
     for candidates in held:  # the duplicate table is materialized now
         candidates.unpersist()
     budget = broadcast_budget(spark) if budget is None else budget
+    same_key = [F.col(k).eqNullSafe(F.col(renamed[k])) for k in keys]
+    same_file = F.col(file_col) == F.col(renamed[file_col])
+    if nbytes > budget:
+        h1, h2 = key_hashes([renamed[k] for k in keys])
+        hashed = dups.withColumns({"_dh1": h1, "_dh2": h2})
+        # Equal hashes of different duplicate keys would match a row twice.
+        if hashed.select(renamed[file_col], "_dh1", "_dh2").distinct().count() == rows:
+            h1, h2 = key_hashes(keys)
+            out = df.withColumns({"_h1": h1, "_h2": h2}).join(
+                hashed, same_file & (F.col("_h1") == F.col("_dh1")) & (F.col("_h2") == F.col("_dh2")), "left"
+            )
+            out = out.withColumn(KEY_COUNT, F.when(reduce(Column.__and__, same_key), F.col(KEY_COUNT)))
+            return out.drop("_h1", "_h2", "_dh1", "_dh2", *renamed.values()), dups
     right = F.broadcast(dups) if nbytes <= budget else dups
-    cond = reduce(
-        lambda a, b: a & b,
-        [df[file_col] == right[renamed[file_col]]]
-        + [df[k].eqNullSafe(right[renamed[k]]) for k in keys],
-    )
-    out = df.join(right, cond, "left").drop(*renamed.values())
+    out = df.join(right, reduce(Column.__and__, same_key, same_file), "left").drop(*renamed.values())
     return out, dups

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,15 +11,35 @@ from pyspark.sql import functions as F
 from ..operators.filechecks import file_stats
 from ..rules import PIPELINE_NAME, TableRules
 from ..session import broadcast_budget
-from ..sources.csv import scan_csv
+from ..sources.csv import BLOCK_BYTES, FILE_BYTES, SEEDS, scan_csv, scan_csv_files
 from ..sources.json import scan_json
-from ..sources.listing import PATH, list_files
+from ..sources.listing import FILE_ID, PATH, list_files
 from .validate import CheckResult, check_records, now_utc
 
 WORKBOOK_EXTS = ("xlsx", "xlsm")
+SKEW_FACTOR = 4
 
 
-SKEW_FACTOR = 4
+def _listed(spark: SparkSession, root: str, rules: TableRules, paths: list[str] | None):
+    """Cached listing, {extension: files, bytes, biggest}, and the seed under
+    which all file keys differ (the first one, but for a 64-bit collision)."""
+    for seed in SEEDS:
+        listing = list_files(spark, root, rules.source_path, paths, seed).persist(StorageLevel.MEMORY_AND_DISK)
+        keys = listing.groupBy(FILE_ID).agg(
+            F.count(F.lit(1)).alias("n"), F.min("ext").alias("ext"), F.max("length").alias("length")
+        )
+        # Formats present decide which scans run (a handful of distinct values).
+        formats = {
+            r["ext"]: r.asDict()
+            for r in keys.groupBy("ext").agg(
+                F.sum("n").alias("files"), F.max("n").alias("most"),
+                F.sum("length").alias("bytes"), F.max("length").alias("biggest"),
+            ).collect()
+        }
+        if all(f["most"] == 1 for f in formats.values()):
+            return listing, formats, seed
+        listing.unpersist()
+    raise RuntimeError("the listing names a file twice")
 
 
 def skewed_blocks(blocks: DataFrame, parallelism: int) -> bool:
@@ -36,7 +58,7 @@ def check_landing(
     dataset: str = "raw",
     table: str = "table",
     ingest_ts: str | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     persist: bool = True,
     paths: list[str] | None = None,
     materialize_as: str | None = None,
@@ -44,87 +66,72 @@ def check_landing(
 ) -> CheckResult:
     """Check every landing file of one table: returns the four outputs.
 
-    ``multi_line=False`` makes big CSV files splittable (several tasks per
-    file) when no value holds a quoted newline. ``paths`` restricts the run
+    UTF-8 CSV files are split by lines unless a value holds a quoted newline,
+    file by file (``scan_csv_files``); ``multi_line`` forces one mode on all:
+    True reads record by record (one task a file), False by lines (a quoted
+    newline then makes its file unreadable). ``paths`` restricts the run
     to the given landing files (incremental runs); by default every file
     under the table's prefix is checked. ``cache_scan=False`` parses the CSV
     and JSON files anew for each step (block table, key sizes, checks) instead
     of caching the parsed records (very large inputs).
     """
     ts = ingest_ts or now_utc()
-    listing = list_files(spark, root, rules.source_path, paths).persist(StorageLevel.MEMORY_AND_DISK)
+    paths = list(dict.fromkeys(paths)) if paths else None
+    listing, formats, seed = _listed(spark, root, rules, paths)
     cached: list[DataFrame] = [listing]
-    # Formats present decide which scans run (a handful of distinct values).
-    ext_counts = listing.groupBy("ext").count().collect()
-    exts = {r["ext"] for r in ext_counts}
-    nlisted = sum(r["count"] for r in ext_counts)
-    # Compact file ids ride along from the listing when it can be broadcast.
-    file_ids = listing if nlisted * 512 <= broadcast_budget(spark) else None
-    rows, csv_facts, json_facts, wb_facts = [], None, None, None
-    scan_bases: list[DataFrame] = []
-    csv_blocks = None
-    if "csv" in exts:
-        scan = scan_csv(
-            spark, root, rules, multi_line=multi_line, paths=paths, cache_scan=cache_scan,
-            file_ids=file_ids,
-        )
-        rows.append(scan.rows)
-        csv_facts = scan.facts
-        cached += scan.cached
-        scan_bases.append(scan.base)
-        csv_blocks = scan.blocks
-    if "json" in exts:
-        scan = scan_json(spark, root, rules, paths, file_ids=file_ids, cache_scan=cache_scan)
-        rows.append(scan.rows)
+    nfiles = sum(f["files"] for f in formats.values())
+    small = nfiles * FILE_BYTES <= broadcast_budget(spark)
+    parallelism = spark.sparkContext.defaultParallelism
+    # Checks are CPU work per row. A scan with a block far beyond its fair share
+    # (a large file that one task must read) deals its own rows out again.
+    parts, rows, csv_facts, json_facts, wb_facts = 0, [], None, None, None
+    if "csv" in formats:
+        if multi_line is None:
+            scans = scan_csv_files(spark, root, rules, paths, cache_scan, seed)
+        else:
+            scans = [scan_csv(spark, root, rules, multi_line=multi_line, paths=paths, cache_scan=cache_scan, seed=seed)]
+        for scan in scans:
+            uneven = skewed_blocks(scan.blocks, parallelism)
+            rows.append(scan.rows.repartition(parallelism) if uneven else scan.rows)
+            csv_facts = scan.facts if csv_facts is None else csv_facts.unionByName(scan.facts)
+            cached += scan.cached
+            parts += parallelism if uneven else scan.nblocks
+    if "json" in formats:
+        scan = scan_json(spark, root, rules, paths, cache_scan=cache_scan, seed=seed)
+        f = formats["json"]
+        uneven = f["biggest"] > SKEW_FACTOR * f["bytes"] / parallelism
+        rows.append(scan.rows.repartition(parallelism) if uneven else scan.rows)
         json_facts = scan.facts
         cached += scan.cached
-        scan_bases.append(scan.base)
-    if exts & set(WORKBOOK_EXTS):
+        parts += parallelism if uneven else f["files"]
+    if set(formats) & set(WORKBOOK_EXTS):
         from ..sources.workbook import scan_workbooks
 
-        scan = scan_workbooks(spark, root, rules, paths, file_ids=file_ids)
+        scan = scan_workbooks(spark, root, rules, paths, seed=seed)
         rows.append(scan.rows)
         wb_facts = scan.facts
         cached += scan.cached
-        scan_bases.append(scan.base)
+        parts += sum(formats[e]["files"] for e in WORKBOOK_EXTS if e in formats)
     fstats = file_stats(
-        listing, csv_facts, json_facts, wb_facts, pipeline, dataset, table, ts,
-        small=file_ids is not None,
+        listing, csv_facts, json_facts, wb_facts, pipeline, dataset, table, ts, small=small,
     )
     fstats = fstats.persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(fstats)
-    nfiles = nlisted  # one file_stats row per listed non-empty file
+    # One row per listed file; names and ids of the valid ones.
     valid_files = fstats.where(~F.col("is_invalid")).select(PATH, "source_filename")
-    # rows of invalid files go nowhere. The file list is broadcast when small.
-    vf = F.broadcast(valid_files) if nfiles * 512 <= broadcast_budget(spark) else valid_files
     if rows:
-        with_ids = all("_file_id" in r.columns for r in rows)
-        records = rows[0] if with_ids else rows[0].drop("_file_id")
-        for r in rows[1:]:
-            records = records.unionByName(r if with_ids else r.drop("_file_id"))
-        if with_ids:
-            # semi-join on the 64-bit id rather than on the path text
-            valid_ids = valid_files.join(listing.select(PATH, "_file_id"), PATH).select("_file_id")
-            vi = F.broadcast(valid_ids) if nfiles * 16 <= broadcast_budget(spark) else valid_ids
-            records = records.join(vi, "_file_id", "left_semi").drop(PATH)
-        else:
-            records = records.join(vf.select(PATH), PATH, "left_semi").drop(PATH)
+        # rows of invalid files go nowhere (semi-join on the 64-bit file key).
+        ids = valid_files.join(listing.select(PATH, FILE_ID), PATH).select(FILE_ID)
+        ids = F.broadcast(ids) if nfiles * BLOCK_BYTES <= broadcast_budget(spark) else ids
+        records = reduce(DataFrame.unionByName, rows).join(ids, FILE_ID, "left_semi")
     else:
         schema = "source_filename string, index bigint, " + ", ".join(
             f"`{c.name}` string" for c in rules.data_columns
         )
         records = spark.createDataFrame([], schema)
-    # Checks are CPU work per row: spread the rows when the scans are narrower
-    # than the cluster (few multi-line files = few tasks) or skewed (one file
-    # holding a large share of the rows is one task in multi-line mode).
-    parallelism = spark.sparkContext.defaultParallelism
-    scan_parts = sum(df.rdd.getNumPartitions() for df in scan_bases)
-    spread_rows = scan_parts < parallelism or (
-        csv_blocks is not None and skewed_blocks(csv_blocks, parallelism)
-    )
     result = check_records(
         records, rules, pipeline=pipeline, dataset=dataset, table=table, ingest_ts=ts,
-        spread_rows=spread_rows,
+        spread_rows=0 < parts < parallelism,  # fewer scan tasks than task slots
         files=valid_files.select("source_filename"), persist=persist,
         files_small=nfiles * 256 <= broadcast_budget(spark),
         cache_input=False,  # the scan below the records is cached already

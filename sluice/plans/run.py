@@ -40,7 +40,7 @@ def run_landing(
     landing_root: str,
     output_root: str | None = None,
     export_root: str | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     materialize_as: str = "stage",
     parallel_tables: int = 1,
     **check_options,

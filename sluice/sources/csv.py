@@ -9,8 +9,10 @@ invalid UTF-8 is found on the raw bytes.
 Row ordinals: blank records are dropped, then ``monotonically_increasing_id``
 numbers the rows inside each scan block. One small aggregate per (file, block)
 gives the block's first id and size; a running sum over the blocks of a file
-gives each block's offset. The block table is joined back (broadcast when its
-measured size is under budget). No global sort, no shuffle of the rows.
+gives each block's offset. What is joined back is two numbers a block (a 64-bit
+key, proven unique, and the shift from row id to ordinal), so that a million
+blocks are still broadcast; names are joined per file. No global sort, no
+shuffle of the rows.
 """
 
 from __future__ import annotations
@@ -26,13 +28,17 @@ from ..functions.parsing import ASCII_SPACE
 from ..functions.text import count_char, na_to_null, open_quote, unquoted
 from ..rules import TableRules
 from ..session import broadcast_budget
-from .listing import PATH, decoded_path, inputs, reader, relative_name
+from .listing import FILE_ID, FILE_URI, PATH, decoded_path, file_id, inputs, reader, relative_name
 
 RAW = "_raw"
-FILE_URI = "_file_uri"  # _metadata.file_path as Spark gives it (percent-encoded)
 EXTRA = "_extra"
 RID = "_rid"
 BLOCK = "_block"
+BLOCK_KEY = "_block_key"
+#: Memory of a broadcast row: a long key and one long; a long key and a name.
+BLOCK_BYTES, FILE_BYTES = 64, 512
+#: Seeds tried until the 64-bit keys of all blocks (or files) differ.
+SEEDS = range(8)
 REPLACEMENT_CHAR = "�"
 
 
@@ -62,8 +68,12 @@ class CsvScan:
     rows: DataFrame  # source_filename, index, data columns (NA tokens null)
     facts: DataFrame  # _path, header_fields, header_ok, max_fields, open_quote, bad_utf8, n_records, first_fields
     cached: list
-    base: DataFrame | None = None  # the scan itself (its partitioning)
     blocks: DataFrame | None = None  # rows per (file, block), cached
+    nblocks: int = 0
+
+
+def block_key(seed: int):
+    return F.xxhash64(F.lit(seed), F.col(FILE_ID), F.col(BLOCK))
 
 
 def _fields(raw_unq, sep: str):
@@ -81,16 +91,17 @@ def scan_csv(
     multi_line: bool = True,
     paths: list[str] | None = None,
     cache_scan: bool = True,
-    file_ids: DataFrame | None = None,
+    seed: int = 0,
+    skip_open: bool = False,
 ) -> CsvScan:
     """Scan every CSV landing file of the table once (see module doc).
 
-    ``cache_scan``: the numbered records feed two passes (block table, rows).
-    Cached, the files are parsed once; not cached, they are parsed twice,
-    which keeps executor memory and local disk free on very large inputs.
-    Either way the ids agree: the same splits give the same ids.
-    ``file_ids`` (``_path``, ``_file_id``) adds the compact file key to the
-    rows through the small block table.
+    ``cache_scan``: the numbered records feed four passes (block table, first
+    data row, key sizes, rows). Cached, the files are parsed once; not cached,
+    once for each pass, which keeps executor memory and local disk free on very
+    large inputs. Either way the ids agree: the same splits give the same ids.
+    ``seed`` is that of the listing's file keys. ``skip_open`` leaves out the
+    rows of files in which a line ends inside quotes (see ``scan_csv_files``).
 
     UTF-8 files are validated on their raw bytes: in multi-line mode by an
     extra, splittable line pass, in line mode on the lines themselves. In
@@ -113,7 +124,7 @@ def scan_csv(
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
     }
-    line_mode = not multi_line and encoding.lower().replace("-", "").replace("_", "") == "utf8"
+    line_mode = not multi_line and _is_utf8(encoding)
     if line_mode:
         # One record per line: the text source splits big files into blocks and
         # keeps the raw line; from_csv tokenizes it with the same options.
@@ -167,6 +178,7 @@ def scan_csv(
             RAW,
             bad_utf8.alias("_bad_utf8"),
             F.col("_file_path").alias(FILE_URI),
+            file_id(F.col("_file_path"), seed).alias(FILE_ID),
             F.col("_file_block").alias(BLOCK),
         )
         # Blank and whitespace-only records are not rows (must precede numbering).
@@ -174,6 +186,7 @@ def scan_csv(
         .select(
             *text_cols,
             FILE_URI,
+            FILE_ID,
             BLOCK,
             fields.alias("_fields"),
             F.coalesce(open_quote(unq, sep), F.lit(False)).alias("_open_quote"),
@@ -185,9 +198,8 @@ def scan_csv(
     if cache_scan:
         numbered = numbered.persist(StorageLevel.MEMORY_AND_DISK)
     # One row per (file, block): map-side combined, so the shuffle is tiny.
-    # Per-file texts (decoded path, report name) are computed here, once per
-    # block, and joined back, instead of once per row.
-    blocks = numbered.groupBy(FILE_URI, BLOCK).agg(
+    # Per-file texts (decoded path, report name) are computed here, once per block.
+    blocks = numbered.groupBy(FILE_ID, FILE_URI, BLOCK).agg(
         F.min(RID).alias("_first"),
         F.count(F.lit(1)).alias("_n"),
         F.min_by("_fields", RID).alias("_first_fields"),
@@ -197,18 +209,29 @@ def scan_csv(
         F.bool_or("_bad_utf8").alias("_bad_utf8"),
     )
     w = Window.partitionBy(FILE_URI).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0))).withColumn(
-        PATH, decoded_path(F.col(FILE_URI))
+    blocks = blocks.select(
+        "*",
+        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"),
+        F.bool_or("_open_quote").over(Window.partitionBy(FILE_URI)).alias("_file_open"),
+        *[block_key(s).alias(f"_k{s}") for s in SEEDS],
+        decoded_path(F.col(FILE_URI)).alias(PATH),
     ).withColumn("source_filename", relative_name(F.col(PATH), root))
     blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
-    nblocks = blocks.count()
-    bt = blocks.select(FILE_URI, BLOCK, PATH, "source_filename", "_first", "_offset")
-    if file_ids is not None:
-        bt = bt.join(F.broadcast(file_ids.select(PATH, "_file_id")), PATH, "left")
-    # ~ two paths + 3 longs per block; broadcast only under the budget.
-    bt = F.broadcast(bt) if nblocks * 512 <= broadcast_budget(spark) else bt
-    indexed = numbered.join(bt, [FILE_URI, BLOCK]).withColumn(
-        "index", F.col("_offset") + F.col(RID) - F.col("_first") - 1
+    nblocks, nfiles, first_key = blocks.agg(
+        F.count(F.lit(1)), F.count_if(F.col("_offset") == 0), F.count_distinct("_k0")
+    ).first()
+    key = 0
+    if first_key < nblocks:  # two blocks share a key: take another seed
+        distinct = blocks.agg(*[F.count_distinct(f"_k{s}") for s in SEEDS]).first()
+        key = next(s for s in SEEDS if distinct[s] == nblocks)
+    budget = broadcast_budget(spark)
+    kept = blocks.where(~F.col("_file_open")) if skip_open else blocks
+    # ordinal = row id + shift; the header is ordinal -1
+    shifts = kept.select(F.col(f"_k{key}").alias(BLOCK_KEY), (F.col("_offset") - F.col("_first") - 1).alias("_shift"))
+    shifts = F.broadcast(shifts) if nblocks * BLOCK_BYTES <= budget else shifts
+    indexed = (
+        numbered.withColumn(BLOCK_KEY, block_key(key)).join(shifts, BLOCK_KEY).drop(BLOCK_KEY)
+        .withColumn("index", F.col("_shift") + F.col(RID))
     )
     # File facts. The header is the first record of the first block. pandas
     # takes the first data row's extra fields (if any) as index columns, so a
@@ -217,33 +240,70 @@ def scan_csv(
     # (The coalesce keeps a data column in the query: Spark refuses a raw-file
     # query that reads only the corrupt-record column.)
     first_data = indexed.where(F.col("index") == 0).select(
-        PATH, F.coalesce(F.col("_fields"), F.length(text_cols[0])).alias("first_fields")
+        FILE_ID, F.coalesce(F.col("_fields"), F.length(text_cols[0])).alias("first_fields")
     )
-    facts = blocks.groupBy(PATH).agg(
+    small = nfiles * BLOCK_BYTES <= budget
+    facts = kept.groupBy(FILE_ID, PATH).agg(
         F.min_by("_first_fields", BLOCK).alias("header_fields"),
         F.min_by("_first_header_ok", BLOCK).alias("header_ok"),
         F.max("_max_fields").alias("max_fields"),
         F.bool_or("_open_quote").alias("open_quote"),
         F.bool_or("_bad_utf8").alias("bad_utf8"),
         F.sum("_n").alias("n_records"),
-    ).join(F.broadcast(first_data) if file_ids is not None else first_data, PATH, "left")
-    if not line_mode and encoding.lower().replace("-", "") == "utf8":
+    ).join(F.broadcast(first_data) if small else first_data, FILE_ID, "left")
+    if not line_mode and _is_utf8(encoding):
         raw_ok = (
             reader(spark, "csv").text(inputs(root, rules.source_path, paths))
-            .groupBy(decoded_path(F.col("_metadata.file_path")).alias(PATH))
+            .groupBy(file_id(F.col("_metadata.file_path"), seed).alias(FILE_ID))
             .agg(F.bool_and(F.is_valid_utf8("value")).alias("_utf8_ok"))
         )
-        facts = facts.join(raw_ok, PATH, "left").withColumn(
+        facts = facts.join(raw_ok, FILE_ID, "left").withColumn(
             "bad_utf8", ~F.coalesce(F.col("_utf8_ok"), F.lit(True))
         ).drop("_utf8_ok")
-    rows = (
-        indexed.where(F.col("index") >= 0)
-        .select(
-            F.col(PATH),
-            F.col("source_filename"),
-            *([F.col("_file_id")] if file_ids is not None else []),
-            F.col("index").cast("bigint").alias("index"),
-            *[na_to_null(F.col(c)).alias(name) for c, name in zip(text_cols, data)],
-        )
+    rows = indexed.where(F.col("index") >= 0)
+    if nfiles * FILE_BYTES <= budget:
+        names = blocks.where(F.col("_offset") == 0).select(FILE_ID, "source_filename")
+        rows = rows.join(F.broadcast(names), FILE_ID)
+    else:  # too many names to broadcast: each row's is made from its URI, nothing is shuffled
+        rows = rows.withColumn("source_filename", relative_name(decoded_path(F.col(FILE_URI)), root))
+    rows = rows.select(
+        FILE_ID,
+        "source_filename",
+        F.col("index").cast("bigint").alias("index"),
+        *[na_to_null(F.col(c)).alias(name) for c, name in zip(text_cols, data)],
     )
-    return CsvScan(base=numbered, blocks=blocks, rows=rows, facts=facts, cached=[numbered, blocks] if cache_scan else [blocks])
+    return CsvScan(
+        rows=rows, facts=facts.drop(FILE_ID), cached=[numbered, blocks] if cache_scan else [blocks],
+        blocks=blocks, nblocks=nblocks,
+    )
+
+
+def _is_utf8(encoding: str) -> bool:
+    return encoding.lower().replace("-", "").replace("_", "") == "utf8"
+
+
+def scan_csv_files(
+    spark: SparkSession,
+    root: str,
+    rules: TableRules,
+    paths: list[str] | None = None,
+    cache_scan: bool = True,
+    seed: int = 0,
+) -> list[CsvScan]:
+    """Scans that together hold every CSV file once, each in the mode it needs.
+
+    All files are read by lines first (big files are split). Those in which a
+    line ends inside quotes, so that a value may hold a newline, are read again
+    record by record, one task a file. Other encodings than UTF-8 are read
+    record by record at once.
+    """
+    encoding = spark_charset(rules.format_options("csv").get("encoding") or "utf-8")
+    options = {"cache_scan": cache_scan, "seed": seed}
+    if not _is_utf8(encoding):
+        return [scan_csv(spark, root, rules, multi_line=True, paths=paths, **options)]
+    lines = scan_csv(spark, root, rules, multi_line=False, paths=paths, skip_open=True, **options)
+    # File names only, as the driver's file index holds them anyway.
+    quoted = [r[0] for r in lines.blocks.where("_file_open").select(PATH).distinct().collect()]
+    if not quoted:
+        return [lines]
+    return [lines, scan_csv(spark, root, rules, multi_line=True, paths=quoted, **options)]

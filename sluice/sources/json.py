@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..rules import TableRules
-from .listing import PATH, decoded_path, inputs, reader, relative_name
+from .listing import FILE_ID, PATH, decoded_path, file_id, inputs, reader, relative_name
 
 ARR = "_arr"
 
@@ -25,7 +25,6 @@ class JsonScan:
     rows: DataFrame  # _path, source_filename, index, data columns
     facts: DataFrame  # _path, parse_ok, bad_utf8, header_ok, header_fields
     cached: list
-    base: DataFrame | None = None  # the scan itself (its partitioning)
 
 
 def _last(members: Column, name: str) -> Column:
@@ -38,8 +37,8 @@ def scan_json(
     root: str,
     rules: TableRules,
     paths: list[str] | None = None,
-    file_ids: DataFrame | None = None,
     cache_scan: bool = True,
+    seed: int = 0,
 ) -> JsonScan:
     docs = (
         reader(spark, "json")
@@ -47,6 +46,7 @@ def scan_json(
         .text(inputs(root, rules.source_path, paths))
         .select(
             decoded_path(F.col("_metadata.file_path")).alias(PATH),
+            file_id(F.col("_metadata.file_path"), seed).alias(FILE_ID),
             F.is_valid_utf8("value").alias("_utf8_ok"),
             F.from_json("value", "array<map<string,string>>").alias(ARR),
         )
@@ -68,16 +68,10 @@ def scan_json(
         F.size(keys).alias("header_fields"),
     )
     data = rules.data_columns
-    ids = []
-    if file_ids is not None:
-        # one row per file here: the compact file id is attached before the explode
-        docs = docs.join(F.broadcast(file_ids.select(PATH, "_file_id")), PATH, "left")
-        ids = [F.col("_file_id")]
-    rows = docs.select(PATH, *ids, F.posexplode(ARR).alias("index", "_m")).select(
-        PATH,
-        *ids,
+    rows = docs.select(PATH, FILE_ID, F.posexplode(ARR).alias("index", "_m")).select(
+        FILE_ID,
         relative_name(F.col(PATH), root).alias("source_filename"),
         F.col("index").cast("bigint").alias("index"),
         *[_last(F.col("_m"), c.expected_file_name).alias(c.name) for c in data],
     )
-    return JsonScan(base=docs, rows=rows, facts=facts, cached=cached)
+    return JsonScan(rows=rows, facts=facts, cached=cached)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.text import extension
 
 PATH = "_path"
+FILE_URI = "_file_uri"  # _metadata.file_path as Spark gives it (percent-encoded)
+FILE_ID = "_file_id"
 
 
 def prefix_glob(root: str, source_path: str) -> str:
@@ -24,6 +26,12 @@ def decoded_path(c: Column) -> Column:
     return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
 
 
+def file_id(uri: Column, seed: int = 0) -> Column:
+    """Compact key of a file, the same in the listing and in every scan. The
+    run picks a seed under which no two of its files share a key."""
+    return F.xxhash64(F.lit(seed), uri)
+
+
 def absolute_root(root: str) -> str:
     """A local relative root is made absolute (Spark reports absolute paths)."""
     if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", root) or root.startswith("/"):
@@ -44,9 +52,9 @@ def inputs(root: str, source_path: str, paths: list[str] | None = None):
 
 
 def list_files(
-    spark: SparkSession, root: str, source_path: str, paths: list[str] | None = None
+    spark: SparkSession, root: str, source_path: str, paths: list[str] | None = None, seed: int = 0
 ) -> DataFrame:
-    """(_path, source_filename, length, ext) of every non-empty landing file.
+    """(_path, source_filename, length, ext, _file_id) of every non-empty landing file.
 
     ``binaryFile`` with only path/length selected lists without reading
     content; 0-byte objects get no row at all (no file_stats either).
@@ -56,24 +64,20 @@ def list_files(
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .load(inputs(root, source_path, paths))
-            .select(F.col("path").alias(PATH), "length")
+            .select(F.col("path").alias(PATH), F.col("_metadata.file_path").alias(FILE_URI), "length")
         )
     except AnalysisException as e:
         if paths or "PATH_NOT_FOUND" not in str(e):
             raise  # a file that was named must be there
         # Nothing landed under the prefix: empty outputs, as for an empty listing.
-        listing = spark.createDataFrame([], "path string, length long").select(
-            F.col("path").alias(PATH), "length"
-        )
+        listing = spark.createDataFrame([], f"{PATH} string, {FILE_URI} string, length long")
     listing = listing.where(F.col("length") > 0)
     return listing.select(
         PATH,
         relative_name(F.col(PATH), root).alias("source_filename"),
         "length",
         extension(F.col(PATH)).alias("ext"),
-        # Compact per-file key for the key checks (unique; the listing is
-        # cached and re-lists identically, so ids are stable).
-        F.monotonically_increasing_id().alias("_file_id"),
+        file_id(F.col(FILE_URI), seed).alias(FILE_ID),
     )
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import na_to_null
 from ..rules import TableRules
-from .listing import PATH, inputs, relative_name
+from .listing import FILE_ID, PATH, file_id, inputs, relative_name
 
 NS = {
     "m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
@@ -179,7 +179,6 @@ class WorkbookScan:
     rows: DataFrame
     facts: DataFrame
     cached: list
-    base: DataFrame | None = None  # the scan itself (its partitioning)
 
 
 def scan_workbooks(
@@ -187,7 +186,7 @@ def scan_workbooks(
     root: str,
     rules: TableRules,
     paths: list[str] | None = None,
-    file_ids: DataFrame | None = None,
+    seed: int = 0,
 ) -> WorkbookScan:
     opts = rules.format_options("xlsx") or rules.format_options("xlsm")
     files = (
@@ -195,14 +194,8 @@ def scan_workbooks(
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.xls[xm]")
         .load(inputs(root, rules.source_path, paths))
-        .select("path", "content")
+        .select("path", "content", file_id(F.col("_metadata.file_path"), seed).alias(FILE_ID))
     )
-    if file_ids is not None:
-        files = files.join(
-            F.broadcast(file_ids.select(F.col(PATH).alias("path"), "_file_id")), "path", "left"
-        )
-    else:
-        files = files.withColumn("_file_id", F.lit(None).cast("long"))
     parsed = files.mapInPandas(_scan_batches(opts), OUT_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
     expected = F.array(*[F.lit(h) for h in rules.header])
     facts = parsed.where(F.col("kind") == "file").select(
@@ -214,12 +207,10 @@ def scan_workbooks(
         ),
     )
     data = rules.data_columns
-    ids = [F.col("_file_id")] if file_ids is not None else []
     rows = parsed.where(F.col("kind") == "row").select(
-        PATH,
-        *ids,
+        FILE_ID,
         relative_name(F.col(PATH), root).alias("source_filename"),
         F.col("index"),
         *[na_to_null(F.try_element_at("cells", F.lit(i + 1))).alias(c.name) for i, c in enumerate(data)],
     )
-    return WorkbookScan(base=parsed, rows=rows, facts=facts, cached=[parsed])
+    return WorkbookScan(rows=rows, facts=facts, cached=[parsed])

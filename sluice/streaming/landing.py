@@ -56,7 +56,7 @@ def table_stream(
     checkpoint: str | None = None,
     max_files_per_trigger: int = 1000,
     available_now: bool = True,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     **check_options,
 ) -> StreamingQuery:
     """Start the incremental check of one table. ``available_now`` processes

@@ -67,7 +67,7 @@ def test_scan_matches_pandas(spark, landing, crlf, bom, multi_line):
         files[name] = pandas_rows(text)
     r = rules("drugs")
     scan = scan_csv(spark, landing.root, r, multi_line=multi_line)
-    norm = normalise(scan.rows.drop("_path"), r, "2024-01-01 00:00:00")
+    norm = normalise(scan.rows, r, "2024-01-01 00:00:00")
     got = {}
     for row in norm.collect():
         got.setdefault(row.source_filename, []).append((row["index"], row.atcode, row.drug))
