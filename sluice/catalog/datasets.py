@@ -386,3 +386,26 @@ WIDE_KEYS_SQL = _text_sql(
     "orders",
 )
 DATASETS["wide_keys"] = Dataset("wide_keys", WIDE_KEYS, _wide_keys_spark, WIDE_KEYS_SQL)
+
+
+# Documents with separators, quotes and outer blanks in a value, in files of 10,000 keys.
+def _noted_spark(spark: SparkSession, sf: str) -> DataFrame:
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    k = F.col("doc_id")
+    note = F.concat(F.lit("  "), F.col("lang"), F.lit(' "'), F.col("source"), F.lit('"; '))
+    file = F.concat_ws("_", "lang", F.floor(k / 10_000).cast("string"))
+    return table_records(d, NOTED, file, k, {"note": note})
+
+
+NOTED = rules_of(col("doc_id", "INTEGER", "REQUIRED", key=True), col("text"), col("note"))
+NOTED_SQL = _text_sql(
+    "lang || '_' || CAST(doc_id // 10000 AS VARCHAR)",
+    "doc_id",
+    {
+        "doc_id": "CAST(doc_id AS VARCHAR)",
+        "text": "text",
+        "note": "'  ' || lang || ' \"' || source || '\"; '",
+    },
+    "documents",
+)
+DATASETS["noted"] = Dataset("noted", NOTED, _noted_spark, NOTED_SQL)

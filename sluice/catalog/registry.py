@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.rowchecks import normalise
@@ -139,14 +140,14 @@ def table_queries() -> dict[str, tuple[Query, str]]:
 
 
 # ------------------------------------------------------------- landing ----
-def _landing_check(spark, sf):
+def _landing_check(spark, sf, **options):
     from .landing import orders_landing, orders_landing_rules
     from ..plans.landing import check_landing
 
     root = orders_landing(spark, sf)
     return check_landing(
         spark, root, orders_landing_rules(), pipeline=PIPELINE, dataset=DATASET, table="orders",
-        ingest_ts=INGEST_TS, persist=False,
+        ingest_ts=INGEST_TS, persist=False, **options,
     )
 
 
@@ -188,16 +189,57 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         from ..session import new_scratch_path
         from ..sinks import load_valid, read_table
 
-        v = _landing_check(spark, sf).valid
+        res = _landing_check(spark, sf, materialize_as="stage")
+        v = res.valid
         twice, trunc = new_scratch_path(spark, "sink-append"), new_scratch_path(spark, "sink-truncate")
         load_valid(v, twice, "APPEND")
         load_valid(v, twice, "APPEND")
         load_valid(v, trunc, "APPEND")
         load_valid(v, trunc, "TRUNCATE")
+        res.release()
         a = _with_label(read_table(spark, twice)).groupBy("landing_file").agg(F.count(F.lit(1)).alias("rows_after_two_appends"))
         b = _with_label(read_table(spark, trunc)).groupBy("landing_file").agg(F.count(F.lit(1)).alias("rows_after_truncate"))
         return a.join(b, "landing_file", "full")
 
+    def reports_roundtrip(spark, sf):
+        """Reports appended twice (K2), valid rows loaded once and kept by an empty load (K4)."""
+        from ..session import new_scratch_path
+        from ..sinks import append_reports, load_valid, read_table
+
+        res = _landing_check(spark, sf, materialize_as="stage")
+        names = ("file_stats", "rows_stats", "data_invalid", "valid")
+        paths = {n: new_scratch_path(spark, n) for n in names}
+        for _ in range(2):
+            append_reports(res, *[paths[n] for n in names[:3]])
+        load_valid(res.valid, paths["valid"], "TRUNCATE")
+        load_valid(res.valid.where(F.lit(False)), paths["valid"], "TRUNCATE")
+        res.release()
+        counts = [
+            _with_label(read_table(spark, paths[n])).groupBy("landing_file")
+            .agg(F.count(F.lit(1)).alias("n")).withColumn("report", F.lit(n))
+            for n in names
+        ]
+        return reduce(DataFrame.unionByName, counts)
+
+    def export_roundtrip(spark, sf):
+        """Exported valid rows as they stand in the CSV files, in the files' order."""
+        from ..operators.rowchecks import typed_valid
+        from ..session import new_scratch_path
+        from ..sinks import EXPORT_OPTIONS, export_csv
+
+        res, path = _check(spark, sf, "noted"), new_scratch_path(spark, "export")
+        ordered = typed_valid(res.annotated, DATASETS["noted"].rules, extra=("_file", "_index"))
+        export_csv(ordered, path, ["_file", "_index"], drop=["_file", "_index"])
+        res.release()
+        schema = "doc_id bigint, text string, note string, source_filename string, execution_datetime string"
+        rows = spark.read.schema(schema).options(**EXPORT_OPTIONS).csv(path).select(
+            "*", F.struct("_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id()).alias("_at")
+        )
+        in_file = Window.partitionBy("source_filename").orderBy("_at")  # files of 10,000 keys at most
+        return rows.select(
+            "source_filename", "doc_id", "text", "note", (F.row_number().over(in_file) - 1).alias("place")
+        )
+
     def lineitem_rows_stats(spark, sf):
         from .landing import lineitem_landing, lineitem_landing_rules
         from ..plans.landing import check_landing
@@ -226,6 +268,10 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         labelled, res = json_check(spark, sf)
         return labelled(res.rows_stats)
 
+    def json_file_stats(spark, sf):
+        labelled, res = json_check(spark, sf)
+        return labelled(res.file_stats)
+
     def json_data_invalid(spark, sf):
         labelled, res = json_check(spark, sf)
         return labelled(res.data_invalid)
@@ -238,29 +284,50 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         "UNION ALL SELECT DISTINCT 'wide', true, 'Error when reading the CSV file : "
         "Error tokenizing data. Expected 7 fields, saw 8' FROM nation)"
     )
+    json_file_stats_sql = (
+        f"SELECT {_DQ.replace("'orders'", "'events'")}, landing_file, {_TS_SQL}, is_invalid, description FROM ("
+        "SELECT DISTINCT strftime(ts, '%Y-%m-%d') || '_' || CAST(event_id // 1000 AS VARCHAR) AS landing_file, "
+        "false AS is_invalid, 'File is VALID' AS description FROM events "
+        "UNION ALL SELECT r_name, true, 'Error when reading the JSON file : "
+        "document is not a JSON array of objects' FROM region)"
+    )
     valid_label = {"source_filename": "source_filename AS landing_file"}
     valid_sql = oracle.valid_sql(ds.rules, ORDERS_FILES_SQL, INGEST_TS, replace=valid_label)
     sink_sql = (
         f"SELECT landing_file, count(*) * 2 AS rows_after_two_appends, count(*) AS rows_after_truncate "
         f"FROM ({valid_sql}) GROUP BY landing_file"
     )
+    rows_stats_sql = oracle.rows_stats_sql(
+        ds.rules, ORDERS_FILES_SQL, INGEST_TS, PIPELINE, DATASET, "orders", file_col=_ORDERS_LABEL
+    )
+    data_invalid_sql = oracle.data_invalid_sql(
+        ds.rules, ORDERS_FILES_SQL, INGEST_TS, PIPELINE, DATASET, "orders",
+        columns=[
+            _DQ, "source_filename AS landing_file", '"index"',
+            "r AS invalid_reason", "c AS invalid_code", "cn AS invalid_col_name",
+            "cv AS invalid_col_value", _TS_SQL,
+        ],
+    )
+    reports_sql = " UNION ALL ".join(
+        f"SELECT landing_file, {times} * count(*) AS n, {oracle.q(name)} AS report FROM ({sql}) GROUP BY landing_file"
+        for name, times, sql in (
+            ("file_stats", 2, file_stats_sql), ("rows_stats", 2, rows_stats_sql),
+            ("data_invalid", 2, data_invalid_sql), ("valid", 1, valid_sql),
+        )
+    )
+    noted = DATASETS["noted"]
+    export_sql = (
+        "SELECT source_filename, doc_id, text, note, "
+        "row_number() OVER (PARTITION BY source_filename ORDER BY doc_id) - 1 AS place "
+        f"FROM ({oracle.valid_sql(noted.rules, noted.text_sql, INGEST_TS)})"
+    )
     return {
         "landing_file_stats": (file_stats, file_stats_sql),
-        "landing_rows_stats": (
-            rows_stats,
-            oracle.rows_stats_sql(ds.rules, ORDERS_FILES_SQL, INGEST_TS, PIPELINE, DATASET, "orders", file_col=_ORDERS_LABEL),
-        ),
-        "landing_data_invalid": (
-            data_invalid,
-            oracle.data_invalid_sql(
-                ds.rules, ORDERS_FILES_SQL, INGEST_TS, PIPELINE, DATASET, "orders",
-                columns=[
-                    _DQ, "source_filename AS landing_file", '"index"',
-                    "r AS invalid_reason", "c AS invalid_code", "cn AS invalid_col_name",
-                    "cv AS invalid_col_value", _TS_SQL,
-                ],
-            ),
-        ),
+        "reports_roundtrip": (reports_roundtrip, reports_sql),
+        "export_roundtrip": (export_roundtrip, export_sql),
+        "json_landing_file_stats": (json_file_stats, json_file_stats_sql),
+        "landing_rows_stats": (rows_stats, rows_stats_sql),
+        "landing_data_invalid": (data_invalid, data_invalid_sql),
         "landing_valid_typed": (valid, valid_sql),
         "sink_roundtrip": (sink_roundtrip, sink_sql),
         "landing_lineitem_rows_stats": (

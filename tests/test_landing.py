@@ -255,3 +255,58 @@ def test_line_mode_refuses_quoted_newlines(spark, landing):
     inv, desc = stats(run(spark, landing, "drugs", multi_line=False))["drugs.csv"]
     assert inv and desc.startswith("Error when reading the CSV file : ")
     assert stats(run(spark, landing, "drugs", multi_line=True))["drugs.csv"] == (False, FILE_OK)
+
+
+def test_each_file_is_read_in_the_mode_it_needs(spark, landing):
+    """Quoted newlines in one file do not keep the others from being split."""
+    from sluice.sources.csv import scan_csv_files
+
+    body = "".join(f"K{i};drug {i}\n" for i in range(3000))
+    landing("drugs/drugs_big.csv", "atccode;drug\n" + body)
+    landing("drugs/drugs_quoted.csv", 'atccode;drug\nA;"two\nlines"\nA;"x;y"\n')
+    landing("drugs/drugs_open.csv", 'atccode;drug\nA;"never closed\n')
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines, records = scan_csv_files(spark, landing.root, rules("drugs"))
+        sizes = {r.source_filename: r["count"] for r in lines.blocks.groupBy("source_filename").count().collect()}
+        assert sizes["drugs/drugs_big.csv"] > 5
+        assert records.rows.select("source_filename").distinct().count() == 2
+        for df in lines.cached + records.cached:
+            df.unpersist()
+        got = []
+        for multi_line in (None, True):
+            res = run(spark, landing, "drugs", multi_line=multi_line)
+            s = stats(res)
+            assert s["drugs_open.csv"][0] and not s["drugs_quoted.csv"][0] and not s["drugs_big.csv"][0]
+            got.append((sorted(map(tuple, res.data_invalid.collect())), sorted(map(tuple, res.valid.drop("execution_datetime").collect())), s))
+            res.release()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got[0] == got[1]
+    assert len(got[0][0]) == 2 and len(got[0][1]) == 3000
+
+
+def test_blocks_are_broadcast_up_to_64_bytes_each(spark, landing):
+    """A million blocks take 64 MB: the rows meet no shuffle on their way to the checks."""
+    from sluice.sources.csv import BLOCK_BYTES, scan_csv
+
+    landing("drugs/drugs_big.csv", "atccode;drug\n" + "".join(f"K{i};drug {i}\n" for i in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    joined = {}
+    try:
+        for spare in (0, -1):
+            blocks = scan_csv(spark, landing.root, rules("drugs"), multi_line=False).nblocks
+            assert blocks > 8
+            spark.conf.set("sluice.broadcast.maxBytes", str(BLOCK_BYTES * blocks + spare))
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            scan = scan_csv(spark, landing.root, rules("drugs"), multi_line=False)
+            plan = scan.rows._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+            joined[spare] = "SortMergeJoin" in plan
+            assert sorted(r["index"] for r in scan.rows.collect()) == list(range(3000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("sluice.broadcast.maxBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert joined == {0: False, -1: True}

@@ -140,3 +140,19 @@ def test_key_count_releases_its_hash_groups(spark):
     assert sorted(r["_key_count"] or 1 for r in out.collect()) == [1, 2, 2]
     dups.unpersist()
     assert persistent().size() <= before
+
+
+def test_key_join_beyond_the_budget_sorts_hashes_only(spark):
+    from sluice.operators.keys import with_key_counts
+
+    rows = [("f", "a" * 500, None), ("f", "a" * 500, None), ("f", "b", "c"), ("g", None, None), ("g", None, None)]
+    df = spark.createDataFrame(rows, "source_filename string, k1 string, k2 string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out, dups = with_key_counts(df, ["k1", "k2"], budget=0)
+        assert sorted(r["_key_count"] or 1 for r in out.collect()) == [1, 2, 2, 2, 2]
+        joins = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "SortMergeJoin" in x]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert joins and all("k1" not in x and "_h1" in x for x in joins)
+    dups.unpersist()
