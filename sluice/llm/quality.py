@@ -1,11 +1,15 @@
 """Quality rules with risk-controlled cutoffs (DataFrame expressions only).
 
-Every rule compares one measure of a text with a cutoff. The cutoff of a rule
-in a stratum (a language) is the strictest of a fixed grid for which labelled
-good documents prove, by an exact binomial bound, that the rule rejects at most
-``risk`` of the good documents there. All rules, cutoffs and strata are tested
-together: each test gets an equal share of ``delta`` (Bonferroni). A stratum
-with too few labels proves nothing, so no rule applies in it.
+Every rule compares one measure of a text with a cutoff. The cutoffs of a
+stratum (a language) lie on one path that is fixed beforehand: it starts without
+any rule, and each step makes one rule one cutoff of its grid stricter, all rules
+in turn, lenient to strict. A step is proven if labelled good documents show, by
+an exact binomial bound, that all rules as they are then reject together at most
+``risk`` of the good documents there. Steps are tested in order up to the first
+failure, so they need no correction among themselves (fixed sequence); strata
+share ``delta`` equally. A stratum with too few labels proves nothing, so no rule
+applies in it: without any good document rejected it takes
+ln(strata / delta) / -ln(1 - risk) good ones (86 with four strata).
 
 Defined results: a null or empty text has no words and fails the base rule; a
 null language is a stratum of its own; labels of an unknown document, null
@@ -116,28 +120,34 @@ def binomial_tail(k: Column, n: Column, risk: float) -> Column:
     return F.when(k < n * risk, F.exp(log_top) * below).otherwise(F.lit(1.0))
 
 
+def path(grid=GRID) -> list[tuple[str, float]]:
+    """(rule, cutoff) of each step: every rule's most lenient cutoff, then the next ones."""
+    lenient = {rule: sorted(cuts, reverse=True) for rule, cuts in grid.items()}
+    return [(rule, cuts[i]) for i in range(max(map(len, lenient.values()))) for rule, cuts in lenient.items() if i < len(cuts)]
+
+
 def cutoffs(good: DataFrame, stratum: str, rules: str, grid=GRID, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """One row per stratum: the chosen cutoff of each rule (null: none is proven).
+    """One row per stratum with a proven step: the cutoff of each rule there (null: none yet).
 
     ``good``: labelled good documents with their stratum and the struct of
-    measures. One aggregate counts all rules and cutoffs; what follows has one
-    row per (stratum, rule, cutoff), whatever the number of labels."""
-    tests = [(rule, cut) for rule, cuts in grid.items() for cut in cuts]
-    counts = good.groupBy(F.col(stratum).alias("stratum")).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count(F.when(F.col(rules)[rule] > cut, 1)).alias(f"k{i}") for i, (rule, cut) in enumerate(tests)],
+    measures. One aggregate counts all steps by the first that rejects a document;
+    what follows has one row per (stratum, step), whatever the number of labels."""
+    steps = path(grid)
+    # steps only get stricter: from the first one that rejects a document all others do
+    first = F.coalesce(*[F.when(F.col(rules)[rule] > cut, i) for i, (rule, cut) in enumerate(steps)], F.lit(len(steps)))
+    counts = good.select(F.col(stratum).alias("stratum"), first.alias("first")).groupBy("stratum").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count(F.when(F.col("first") <= i, 1)).alias(f"k{i}") for i in range(len(steps))],
     )
     tested = counts.withColumn("strata", F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))).select(
         "stratum", "n", "strata",
-        F.inline(F.array(*[
-            F.struct(F.lit(rule).alias("rule"), F.lit(cut).alias("cut"), F.col(f"k{i}").alias("k"))
-            for i, (rule, cut) in enumerate(tests)
-        ])),
+        F.posexplode(F.array(*[F.col(f"k{i}") for i in range(len(steps))])).alias("step", "k"),
     )
-    per_rule = risk / len(grid)
-    proven = tested.where(binomial_tail(F.col("k"), F.col("n"), per_rule) <= F.lit(delta) / (F.col("strata") * len(tests)))
-    chosen = [F.min(F.when(F.col("rule") == rule, F.col("cut"))).alias(rule) for rule in grid]
-    return proven.groupBy("stratum").agg(F.struct(*chosen).alias("cutoffs"))
+    failed = binomial_tail(F.col("k"), F.col("n"), risk) > F.lit(delta) / F.col("strata")
+    proven = tested.groupBy("stratum").agg(
+        F.coalesce(F.min(F.when(failed, F.col("step"))), F.lit(len(steps))).alias("proven")
+    ).where("proven > 0")
+    chosen = [F.array_min(F.array(*[F.when(F.col("proven") > i, F.lit(cut)) for i, (r, cut) in enumerate(steps) if r == rule])).alias(rule) for rule in grid]
+    return proven.select("stratum", F.struct(*chosen).alias("cutoffs"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, doc_id="doc_id", text="text", stratum="lang", carry=None, grid=GRID, risk=RISK, delta=DELTA) -> DataFrame:

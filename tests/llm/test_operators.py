@@ -279,6 +279,29 @@ def test_quality_cutoffs(spark):
     assert few.count() == 0
 
 
+def test_quality_small_strata(spark):
+    """A few hundred good labels prove cutoffs: together the rules reject at most the risk, and one step more would fail."""
+    sizes = {"en": 300, "de": 120, None: 90, "fr": 80}
+    rules = {r: F.lit(-9.0) for r in quality.GRID}
+    # of the 300 English ones 3 have many symbols, 3 others long words
+    rules["symbol_share"] = F.when((F.col("s") == "en") & (F.col("i") < 3), 0.12).otherwise(0.0)
+    rules["long_words"] = F.when((F.col("s") == "en") & F.col("i").between(3, 5), 11.5).otherwise(4.0)
+    rows = [(s, i) for s, n in sizes.items() for i in range(n)]
+    good = spark.createDataFrame(rows, "s string, i int").select("s", F.struct(*[c.cast("double").alias(r) for r, c in rules.items()]).alias("rules"))
+    got = {r["stratum"]: r["cutoffs"].asDict() for r in quality.cutoffs(good, "s", "rules").collect()}
+    strict = {r: cuts[0] for r, cuts in quality.GRID.items()}
+    assert got["de"] == strict and got[None] == strict
+    assert "fr" not in got  # 0.95 ** 80 is over 0.05 / 4
+    # P(Binomial(300, 0.05) <= 6) is 0.0065, so both groups together are proven
+    assert got["en"] == strict
+    more = good.where("s = 'en'").unionByName(good.where("s = 'en' AND (rules.symbol_share > 0 OR rules.long_words > 10)"))
+    # 6 + 6 of 306: the step that rejects the second group too (long words over 11) fails, so the path ends there
+    stopped = quality.cutoffs(more, "s", "rules", delta=0.01).first()["cutoffs"]
+    level = lambda r: quality.GRID[r].index(stopped[r])
+    assert stopped["symbol_share"] == 0.06 and stopped["long_words"] == 12.0
+    assert {level(r) for r in quality.GRID} <= {2, 3}
+
+
 def test_url_cascade(spark):
     urls = ["http://a.b.org/x", "https://M.Example.org/es/1?q#f", "https://x.example.org/en/12", "http://s.com/fr/9", "http://s.com/de/", "nothing", None, "http://", "ftp://h.net", "http://s.com/de/"]
     urls += [f"http://h{i % 700}.d{i % 90}.net/p{i}" for i in range(2000)]
