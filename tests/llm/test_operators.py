@@ -4,6 +4,7 @@ ties, repeated rows, empty tables, extra columns whose names clash."""
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -210,6 +211,25 @@ def test_resharding(docs, spark, tmp_path):
     assert Counter((r[0], r[1]) for r in new.select("doc_id", "shard").collect()) == Counter((r[0], r[1]) for r in moves.select("doc_id", "shard").collect())
 
 
+def test_reshard_writes_files(docs, spark, tmp_path, monkeypatch):
+    """The query's result is what the shards' files hold: every row whole, also repeated and null-id ones that a cut parts."""
+    monkeypatch.setattr(resharding, "BLOCK_ROWS", 20)
+    path = str(tmp_path / "shards")
+    monkeypatch.setattr(resharding, "new_scratch_path", lambda s, name: path)
+    many = spark.range(600).select(F.when(F.col("id") > 150, F.col("id")).alias("doc_id"), F.concat(F.lit("é"), F.repeat(F.lit("x"), (F.col("id") % 7).cast("int"))).alias("text"))
+    every = docs.select("doc_id", "text", "shard", "size", "band").unionByName(many.select("*", *[F.lit("clash").alias(c) for c in ("shard", "size", "band")]))
+    got = resharding.query(every).collect()
+    files = spark.read.parquet(path).select("doc_id", "text", "size", "band", "shard").collect()
+    assert Counter((r["doc_id"], r["text"], r["size"], r["band"]) for r in files) == Counter((r["doc_id"], r["text"], "clash", "clash") for r in every.collect())
+    measure = lambda t: (len((t or "").encode()) + 16, zlib.crc32((t or "").encode()))
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"], r["shard"]) for r in got) == Counter((r["doc_id"], *measure(r["text"]), r["shard"]) for r in files)
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert max(slots) >= resharding.OLD_SHARDS and all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert any(r["old_shard"] != r["shard"] for r in got) and all(r["old_shard"] == zlib.crc32(str(r["doc_id"] if r["doc_id"] is not None else "").encode()) % 32 for r in got)
+
+
 def brute_suffixes(rows):
     seen, out = {}, {}
     for i, t in sorted(set(rows), key=lambda x: (x[0] is not None, x[0] or 0)):
