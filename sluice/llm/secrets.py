@@ -3,7 +3,7 @@
 Ordinary words are few tokens of a byte-pair vocabulary; random strings fall
 apart into many. A run of key characters whose characters per token stay at or
 under MAX_RATIO is reported as ``random``, unless it is a known digest (hex of a
-usual digest length), a UUID, a number, or made of letters only. The fixed
+usual digest length), a UUID or a number. The fixed
 patterns (assign, access, hex) are reported whatever the test says; a random
 span that overlaps one of theirs is not reported again.
 
@@ -37,7 +37,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CHARS)
 DIGESTS = {32, 40, 48, 56, 64, 96, 128}
-IDENTIFIER = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9+/_=-]+|[A-Za-z+/_=-]+", re.A)
+IDENTIFIER = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9+/_=-]+", re.A)
 HEX_WORD = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 KINDS = ("assign", "access", "hex", "random")
 #: Splits a run into letters, digits and the rest before the vocabulary's merges.

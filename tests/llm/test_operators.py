@@ -68,6 +68,19 @@ def test_secrets(docs):
     assert any("random:" in r[5] for r in got)
 
 
+def spans_of(text):
+    return secrets.random_spans(text, secrets.base_spans(text), secrets.VOCABULARY, secrets.MAX_RATIO)
+
+
+def test_secrets_of_letters_only():
+    rnd = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(rnd.choices(letters, k=k)) for k in (20, 32, 40) for _ in range(100)]
+    assert sum(spans_of(f"see {k} there") == [(4, 3, 4 + len(k))] for k in keys) >= 297
+    for plain in ("getUserNameFromDatabase", "InternalServerErrorException", "client_authorization_header", "-" * 40, "1234567890" * 3, "2024-11-05/2024-11-06/17", "550e8400-e29b-41d4-a716-446655440000"):
+        assert not spans_of(plain), plain
+
+
 def shingle_bag(t):
     w = re.findall(SPACE, t.translate({c: c + 32 for c in range(65, 91)}))
     return Counter(zip(*[w[k:] for k in range(5)])) if len(w) >= 5 else Counter([tuple(w)] if w else [])
