@@ -1,11 +1,13 @@
 """Secret scan: fixed patterns, and a token-efficiency test for random strings.
 
 Ordinary words are few tokens of a byte-pair vocabulary; random strings fall
-apart into many. A run of key characters whose characters per token stay at or
-under MAX_RATIO is reported as ``random``, unless it is a known digest (hex of a
-usual digest length), a UUID or a number. The fixed
-patterns (assign, access, hex) are reported whatever the test says; a random
-span that overlaps one of theirs is not reported again.
+apart into many. A run of key characters is cut at + / _ = -, and each maximal
+stretch of its parts that has MIN_CHARS characters and at most MAX_RATIO characters
+per token is reported as ``random`` (stretches that overlap as one span), so words
+that are joined to a random string do not hide it. Known digests (hex of a usual
+digest length) and UUIDs end a stretch; numbers alone are not reported. The fixed
+patterns (assign, access, hex) are reported whatever the test says; their spans
+end a stretch too.
 
 The vocabulary's file is a parameter; each worker loads it once. Texts are
 scanned whole, each by itself: nothing is shuffled.
@@ -19,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,6 +42,8 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CHARS)
 DIGESTS = {32, 40, 48, 56, 64, 96, 128}
 IDENTIFIER = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9+/_=-]+", re.A)
 HEX_WORD = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+PART = re.compile(r"[A-Za-z0-9]+|[+/_=-]+")
+UUID = re.compile(r"(?<![A-Za-z0-9])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9])")
 KINDS = ("assign", "access", "hex", "random")
 #: Splits a run into letters, digits and the rest before the vocabulary's merges.
 PATTERN = r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]+"
@@ -63,19 +68,49 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def stretches(parts: list[tuple[int, int]], scores: list[int]) -> list[tuple[int, int]]:
+    """(start, end) of the maximal stretches of adjoining parts whose scores sum to
+    0 or more and that have MIN_CHARS characters, by start; those that overlap as one."""
+    sums = list(accumulate(scores, initial=0))
+    best = list(accumulate(reversed(sums), max))[::-1]  # the greatest sum from each place on
+    out: list[tuple[int, int]] = []
+    least, j = float("inf"), 0
+    for i, total in enumerate(sums[:-1]):
+        if total >= least:  # an earlier start reaches as far
+            continue
+        least = total
+        reach = j
+        while j + 1 < len(sums) and best[j + 1] >= total:
+            j += 1
+        if j > max(reach, i) and parts[j - 1][1] - parts[i][0] >= MIN_CHARS:
+            start, end = parts[i][0], parts[j - 1][1]
+            if out and start < out[-1][1]:
+                start = out.pop()[0]
+            out.append((start, end))
+    return out
+
+
 def random_spans(text: str, known: list[tuple[int, int, int]], path: str, max_ratio: float) -> list[tuple[int, int, int]]:
-    out, i = [], 0
-    by_end = sorted((e, s) for s, _, e in known)
+    out, encode = [], None
+    fixed, i = sorted((s, e) for s, _, e in known), 0
     for m in RUN.finditer(text):
-        run = m[0]
-        if IDENTIFIER.fullmatch(run) or HEX_WORD.fullmatch(run) and len(run) in DIGESTS:
+        run, first = m[0], m.start()
+        if IDENTIFIER.fullmatch(run):
             continue
-        while i < len(by_end) and by_end[i][0] <= m.start():
+        while i < len(fixed) and fixed[i][1] <= first:
             i += 1
-        if any(s < m.end() for _, s in by_end[i:i + 4]):
-            continue
-        if len(run) <= max_ratio * len(_encoding(path).encode_ordinary(run)):
-            out.append((m.start(), 3, m.end()))
+        walls = [(max(s, first), e) for s, e in takewhile(lambda x: x[0] < m.end(), fixed[i:]) if e > first]
+        walls += [(first + u.start(), first + u.end()) for u in UUID.finditer(run)]
+        walls += [(first + h.start(), first + h.end()) for h in PART.finditer(run) if len(h[0]) in DIGESTS and HEX_WORD.fullmatch(h[0])]
+        at = first
+        for s, e in [*sorted(walls), (m.end(), m.end())]:
+            if s - at >= MIN_CHARS:
+                encode = encode or _encoding(path).encode_ordinary
+                parts = [(p.start(), p.end()) for p in PART.finditer(text, at, s)]
+                # the vocabulary's merges stay within letters, digits or the rest, so a stretch has its parts' tokens
+                scores = [round(max_ratio * 1e6) * len(encode(text[a:b])) - 1_000_000 * (b - a) for a, b in parts]
+                out += [(a, 3, b) for a, b in stretches(parts, scores) if not IDENTIFIER.fullmatch(text, a, b)]
+            at = max(at, e)
     return out
 
 

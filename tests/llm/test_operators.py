@@ -81,6 +81,40 @@ def test_secrets_of_letters_only():
         assert not spans_of(plain), plain
 
 
+def test_secrets_inside_runs():
+    rnd = random.Random(4)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for before, after in (("documents/archive/downloads/reports/", ""), ("client_authorization_header=", "/documents/archive"), ("hooks/services/incoming/", "_production_environment")):
+        keys = ["".join(rnd.choices(chars, k=k)) for k in (20, 32, 40) for _ in range(100)]
+        found = [spans_of(f"see {before}{k}{after} there") for k in keys]
+        assert sum(len(f) == 1 and f[0][0] <= 4 + len(before) and f[0][2] >= 4 + len(before) + len(k) for f, k in zip(found, keys)) >= 295
+    digest, uuid = "0F" * 16, "550e8400-e29b-41d4-a716-446655440000"
+    for plain in ("documents/archive/downloads/reports/production", f"documents/archive/{uuid}/reports", f"archive/{digest}/reports", f"archive={'0f' * 20}_reports"):
+        assert not spans_of(plain), plain
+    key = "zq8Kp2Xv9Lm4Tr7Wn3Yb6"
+    assert len(spans_of(f"{key}/{uuid}/documents/archive/downloads/reports/{key}")) == 2
+    # beside a span of a fixed pattern
+    assert [s[0] for s in spans_of(f"{key}/archive/api_key=hunter22abc")] == [0]
+
+
+def test_secret_stretches():
+    """Against every stretch: those at or over 0 that no longer one holds, joined where they overlap."""
+    rnd = random.Random(5)
+    for _ in range(300):
+        ends = [0]
+        for _ in range(rnd.randint(0, 12)):
+            ends.append(ends[-1] + rnd.randint(1, 15))
+        parts, scores = list(zip(ends, ends[1:])), [rnd.randint(-6, 5) for _ in ends[1:]]
+        good = [(i, j) for i in range(len(parts)) for j in range(i + 1, len(parts) + 1) if sum(scores[i:j]) >= 0]
+        longest = [(i, j) for i, j in good if not any((a, b) != (i, j) and a <= i and j <= b for a, b in good)]
+        want = []
+        for i, j in sorted(longest):
+            a, b = parts[i][0], parts[j - 1][1]
+            if b - a >= secrets.MIN_CHARS:
+                want.append((want.pop()[0] if want and a < want[-1][1] else a, b))
+        assert secrets.stretches(parts, scores) == want
+
+
 def shingle_bag(t):
     w = re.findall(SPACE, t.translate({c: c + 32 for c in range(65, 91)}))
     return Counter(zip(*[w[k:] for k in range(5)])) if len(w) >= 5 else Counter([tuple(w)] if w else [])
