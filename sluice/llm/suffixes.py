@@ -26,7 +26,7 @@ need the bucket in memory.
 
 Defined results: a null text is empty; a text under SIZE bytes keeps all; rows
 with the same id and text are one document and get the same result; rows that
-share an id but not the text are ordered by a hash of the text; a null doc_id
+share an id but not the text are told apart and ordered by a 64-bit hash of the text; a null doc_id
 comes before all others; an empty table gives no row; extra columns play no part.
 """
 
@@ -51,9 +51,9 @@ _PIECE = (1 << _PLACE_BITS) - 2 * SIZE
 _U = np.uint64
 FIRST_ID = -(1 << 63)
 
-#: How an anchor travels: 18 bits of the text's hash, its place, and how far
-#: before it its strings start (most and least), 7 bits each.
-_TAG, _AT, _MOST = 45, 14, 7
+#: How an anchor travels beside its document's id and the text's hash: its place,
+#: and how far before it its strings start (most and least), 7 bits each.
+_AT, _MOST = 14, 7
 
 
 def _rolling(data: np.ndarray, size: int) -> np.ndarray:
@@ -106,7 +106,7 @@ def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.nda
 
 
 def _announce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, tag, text) -> (hash, route, doc, at, known): anchors, and whether the batch holds the hash twice."""
+    """(doc, tag, text) -> (hash, route, doc, tag, at, known): anchors, and whether the batch holds the hash twice."""
     for batch in batches:
         data, offsets = wordhash.texts(batch.column(2))
         docs, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
@@ -115,57 +115,60 @@ def _announce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(hashes):
                 continue
             row = np.searchsorted(marks, place, "right") - 1
-            at = (tags[first + row] << _TAG) | ((place - marks[row] + shift) << _AT) | ((place - start) << _MOST) | (place - last)
-            doc = docs[first + row]
+            at = ((place - marks[row] + shift) << _AT) | ((place - start) << _MOST) | (place - last)
+            doc, tag = docs[first + row], tags[first + row]
             order = np.argsort(hashes, kind="stable")
-            hashes, doc, at = hashes[order], doc[order], at[order]
+            hashes, doc, tag, at = hashes[order], doc[order], tag[order], at[order]
             same = hashes[1:] == hashes[:-1]
             known = np.concatenate(([False], same)) | np.concatenate((same, [False]))
             again = np.concatenate(([False], same))  # met in the batch already: need not ask
-            route = np.where(again, wordhash.mix(at.astype(_U) + doc.astype(_U)), hashes)
+            route = np.where(again, wordhash.mix(at.astype(_U) + doc.astype(_U) + tag.astype(_U)), hashes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (hashes.astype(np.int64), route.astype(np.int64), doc, at)] + [pa.array(known)],
-                names=["hash", "route", "doc", "at", "known"],
+                [pa.array(x) for x in (hashes.astype(np.int64), route.astype(np.int64), doc, tag, at)] + [pa.array(known)],
+                names=["hash", "route", "doc", "tag", "at", "known"],
             )
 
 
 def _twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (route, doc, at, known) by route: those whose route occurs again, or that are known."""
-    route, doc, at, known = (np.empty(0, t) for t in (np.int64, np.int64, np.int64, bool))
+    """Rows (route, doc, tag, at, known) by route: those whose route occurs again, or that are known."""
+    route, doc, tag, at, known = (np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.int64, bool))
 
     def out(n: int) -> pa.RecordBatch:
         same = route[1:] == route[:-1]
         keep = (known | np.concatenate(([False], same)) | np.concatenate((same, [False])))[:n]
-        return pa.RecordBatch.from_arrays([pa.array(doc[:n][keep]), pa.array(at[:n][keep])], names=["doc", "at"])
+        return pa.RecordBatch.from_arrays([pa.array(x[:n][keep]) for x in (doc, tag, at)], names=["doc", "tag", "at"])
 
     for batch in batches:
-        new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
-        route, doc, at, known = (np.concatenate(x) for x in zip((route, doc, at, known), new))
+        new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
+        route, doc, tag, at, known = (np.concatenate(x) for x in zip((route, doc, tag, at, known), new))
         if len(route) > 2:
             n = len(route) - 1
             yield out(n)
             # the last row of what was judged tells the next one whether it is the same
             known[n] |= route[n] == route[n - 1]
             keep_back = slice(n, None)
-            route, doc, at, known = route[keep_back], doc[keep_back], at[keep_back], known[keep_back]
+            route, doc, tag, at, known = (x[keep_back] for x in (route, doc, tag, at, known))
     if len(route):
         yield out(len(route))
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text, ats) -> (lead, doc, at, left, right): the suffixes that travel."""
+    """(doc, tag, text, ats) -> (lead, doc, tag, at, body): the suffixes that travel."""
     for batch in batches:
-        for doc, text, ats in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+        for doc, tag, text, ats in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
             raw = text.as_buffer().to_pybytes() if hasattr(text, "as_buffer") and text.as_buffer() is not None else b""
             at = np.asarray(ats.values)
-            place, most, least = (at >> _AT) & 0x7FFFFFFF, (at >> _MOST) & 127, at & 127
+            place, most, least = at >> _AT, (at >> _MOST) & 127, at & 127
             bodies = [raw[p - a:p - b + SIZE] for p, a, b in zip(place.tolist(), most.tolist(), least.tolist())]
             leads = [raw[p:p + LEAD] for p in place.tolist()]
             for i in range(0, len(at), 20_000):
                 part = slice(i, i + 20_000)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(leads[part], pa.binary()), pa.array([doc] * len(at[part]), pa.int64()), pa.array(at[part]), pa.array(bodies[part], pa.binary())],
-                    names=["lead", "doc", "at", "body"],
+                    [
+                        pa.array(leads[part], pa.binary()), *[pa.array(np.full(len(at[part]), x, np.int64)) for x in (doc, tag)],
+                        pa.array(at[part]), pa.array(bodies[part], pa.binary()),
+                    ],
+                    names=["lead", "doc", "tag", "at", "body"],
                 )
 
 
@@ -200,8 +203,8 @@ def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        leads, doc, at, bodies = (batch.column(k) for k in range(4))
-        doc, at = doc.to_numpy(), at.to_numpy()
+        leads, doc, tags, at, bodies = (batch.column(k) for k in range(5))
+        doc, tag, at = doc.to_numpy(), tags.to_numpy(), at.to_numpy()
         raw, marks = wordhash.texts(leads)
         words = raw[marks[0]:marks[-1]].reshape(-1, LEAD)
         new = np.concatenate(([words[0].tobytes() != group], (words[1:] != words[:-1]).any(axis=1)))
@@ -211,7 +214,7 @@ def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead_hash = wordhash.mix((words.view(_U).reshape(-1, LEAD // 8) * _LEADS).sum(axis=1, dtype=_U))
         row, before, string = _expand(bodies, at)
         string = wordhash.mix(string + lead_hash[row] + before.astype(_U) * _U(0xA24BAED4963EE407))
-        place, tag = (at >> _AT) & 0x7FFFFFFF, at >> _TAG
+        place = at >> _AT
         start = place[row] - before
         # rows are in the order of document and place: the first of equal strings is the earliest
         _, index, inverse = np.unique(string, return_index=True, return_inverse=True)
@@ -293,7 +296,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     t = whole_text("text")
     return only(docs, doc_id=doc_id, text=text).select(
-        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc"), F.shiftrightunsigned(F.xxhash64(t), 46).alias("tag"), t.alias("text")
+        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc"), F.xxhash64(t).alias("tag"), t.alias("text")
     )
 
 
@@ -312,10 +315,10 @@ def repeats(docs: DataFrame, *, doc_id="doc_id", text="text") -> DataFrame:
     ship(docs.sparkSession)
     own = _own(docs, doc_id, text)
     long = own.where(F.octet_length("text") >= SIZE)
-    asked = long.select("doc", "tag", "text").mapInArrow(_announce, "hash long, route long, doc long, at long, known boolean")
-    dealt = asked.select("route", "doc", "at", "known").repartition("route").sortWithinPartitions("route")
-    twice = dealt.mapInArrow(_twice, "doc long, at long")
-    ats = staged(twice.groupBy("doc", F.shiftrightunsigned("at", _TAG).alias("tag")).agg(F.collect_set("at").alias("ats")), "suffix-anchors")
+    asked = long.select("doc", "tag", "text").mapInArrow(_announce, "hash long, route long, doc long, tag long, at long, known boolean")
+    dealt = asked.select("route", "doc", "tag", "at", "known").repartition("route").sortWithinPartitions("route")
+    twice = dealt.mapInArrow(_twice, "doc long, tag long, at long")
+    ats = staged(twice.groupBy("doc", "tag").agg(F.collect_set("at").alias("ats")), "suffix-anchors")
     # texts without a string that could be a repeat are judged here and travel no further
     clean = F.col("ats").isNull()
     joined = staged(
@@ -326,8 +329,8 @@ def repeats(docs: DataFrame, *, doc_id="doc_id", text="text") -> DataFrame:
         "suffix-documents",
     )
     some = joined.where("ats IS NOT NULL")
-    suffixes = some.select("doc", "text", F.array_sort("ats").alias("ats")).mapInArrow(_suffixes, "lead binary, doc long, at long, body binary")
-    buckets = suffixes.repartitionByRange("lead", "doc", "at").sortWithinPartitions("lead", "doc", "at")
+    suffixes = some.select("doc", "tag", "text", F.array_sort("ats").alias("ats")).mapInArrow(_suffixes, "lead binary, doc long, tag long, at long, body binary")
+    buckets = suffixes.repartitionByRange("lead", "doc", "tag", "at").sortWithinPartitions("lead", "doc", "tag", "at")
     found = staged(buckets.mapInArrow(_sort_bucket, "doc long, tag long, start long, stop long, string long"), "suffix-repeats")
     edge = found.where("string IS NOT NULL")
     earliest = edge.groupBy(F.col("string").alias("e_string")).agg(F.min(F.struct("doc", "tag", "start")).alias("earliest"))

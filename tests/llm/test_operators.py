@@ -310,6 +310,29 @@ def test_suffixes(docs, spark, parts):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_suffixes_of_many_texts_without_an_id(spark):
+    """Null ids, and one id for many texts: each text is its own document, in the order of its hash."""
+    rnd = random.Random(11)
+    word = lambda n: "".join(rnd.choices("abcdefghij ", k=n))
+    passages = [word(rnd.randint(100, 180)) for _ in range(60)]
+    texts = {word(rnd.randint(0, 300)) + rnd.choice(passages) + word(rnd.randint(0, 90)) for _ in range(3000)}
+    rows = [(None if i % 2 else 7, t) for i, t in enumerate(sorted(texts))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hashes = {r["text"]: r["h"] for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    seen, want = set(), Counter()
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, hashes[r[1]])):
+        b, gone = t.encode(), bytearray(len(t))
+        for s in range(len(b) - 99):
+            if b[s:s + 100] in seen:
+                gone[s:s + 100] = b"\1" * 100
+            seen.add(b[s:s + 100])
+        want[i, len(b), sum(gone), hashlib.sha256(bytes(c for c, g in zip(b, gone) if not g)).hexdigest()] += 1
+    got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in suffixes.query(df).collect())
+    assert got == want
+    left = Counter((r["doc_id"], hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in suffixes.removed(df).collect())
+    assert left == Counter({(i, d): n for (i, _, _, d), n in want.items()})
+
+
 def test_quality_counts(docs, spark):
     labels = spark.createDataFrame([(6, 1, 0), (7, None, None), (None, 1, 0), (999, 1, 0), (6, 1, 0)], "doc_id long, quality int, toxic int")
     got = Counter(tuple(r)[:8] for r in quality.query(docs, labels).collect())
