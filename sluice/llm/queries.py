@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, langid, mixing, neardup, quality, resharding, secrets, suffixes, urlfilter
+from . import chat, decontam, langid, mixing, neardup, periodic, quality, resharding, secrets, suffixes, urlfilter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,5 +34,6 @@ def llm_queries() -> dict[str, tuple[Query, str | None]]:
         "op8_url_cascade": (_over(urlfilter.query, "pages"), urlfilter.ORACLE),
         "op9_language_id": (_over(langid.query, "documents"), None),
         "op10_decontaminate": (_over(decontam.query, "documents", "benchmark"), None),
+        "op11_periodic_runs": (_over(periodic.query, "documents"), None),
         "pipeline": (_pipeline, None),
     }
