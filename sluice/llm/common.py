@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_scratch_path
+from ..session import delete_path, new_scratch_path
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -33,7 +33,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     for _ in range(2):  # the write's last events still hold its plan
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.2)
-    return spark.read.schema(schema).parquet(path)
+    read = spark.read.schema(schema).parquet(path)
+    read.staged_at = path
+    return read
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in tables:
+        delete_path(df.sparkSession, df.staged_at)
 
 
 _shipped: set[str] = set()
