@@ -48,8 +48,8 @@ SUPPORT = 100
 SHARDS = 8
 TOP = 2000
 UNKNOWN = "und"
-#: Bytes of text that are worked on in one go, and phrases held back before they are sent on.
-CHUNK, HELD = 4_000_000, 2_000_000
+#: Bytes of text that are worked on in one go, and counted phrases held back before they are sent on.
+CHUNK, HELD = 1_000_000, 200_000
 #: Bytes of a bit table: 16 bits a frequent phrase, at most so many.
 MOST_BYTES = 64 * 1024 * 1024
 #: Memory of a frequent phrase in a broadcast; rows (a language, or one in a shard) that are broadcast.
@@ -66,47 +66,15 @@ _TABLE[9] = 32
 for _c in b".,;:!?\n\x0b\x0c\r":
     _TABLE[_c] = 255
 _TABLE = bytes(_TABLE)
-_STEPS = wordhash.mix(np.arange(501, 501 + 64, dtype=_U)) | _U(1)
+_STEPS = wordhash.mix(np.arange(501, 601, dtype=_U)) | _U(1)
 
 
-class _Names(dict):
-    """Word -> number, in order of appearance; the mark between pieces is 0."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
-
-
-class Stretch:
-    """Words of a stretch of text as numbers: ``words``, ``codes`` (0 between pieces); the
-    first ``skip`` words have been seen in the stretch before."""
-
-    def __init__(self, words: list[bytes], skip: int):
-        names = _Names({_END: 0})
-        self.words, self.skip = words, skip
-        self.codes = np.fromiter(map(names.__getitem__, words), np.int64, len(words))
-        self.names = names
-
-    def hashes(self, lang: str) -> np.ndarray:
-        seed = xxhash.xxh3_64_intdigest(lang.encode())
-        own = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in self.names), _U, len(self.names))
-        return own[self.codes]
-
-    def inside(self, most: int) -> Iterator[tuple[int, np.ndarray]]:
-        """(size, whether a phrase of that size starts at each place and ends in what is new)."""
-        solid = self.codes != 0
-        ok = solid
-        for size in range(1, most + 1):
-            if size > 1:
-                ok = ok[:-1] & solid[size - 1:]
-            yield size, ok & (np.arange(len(ok)) + size > self.skip)
-
-
-def stretches(text: bytes, longest: int, chunk: int = CHUNK) -> Iterator[Stretch]:
-    """Stretches of about ``chunk`` bytes that end between pieces, or else between
-    words and then begin with the last ``longest`` - 1 words before."""
+def stretches(text: bytes, longest: int, chunk: int) -> Iterator[tuple[bytes, int]]:
+    """Text in lower case, pieces ended by _END, in parts of about ``chunk`` bytes that end
+    between pieces, or else between words; such a part's last words come first in the
+    next one, which says how many they are."""
     text = text.translate(_TABLE)
-    at, tail = 0, []
+    at, tail, skip = 0, b"", 0
     while at < len(text):
         end, cut = len(text), False
         if end - at > chunk:
@@ -115,22 +83,41 @@ def stretches(text: bytes, longest: int, chunk: int = CHUNK) -> Iterator[Stretch
                 end = text.find(b" ", at + chunk)
                 cut = end >= 0
             end = len(text) if end < 0 else end
-        words = tail + text[at:end].replace(_END, b" \xff ").split()
-        if words:
-            yield Stretch(words, len(tail))
-        tail = words[len(words) - min(len(words), longest - 1):] if cut else []
-        at = end
-
-
-def phrase_hashes(found: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the ``size`` words from each place on."""
-    n = len(found) - size + 1
-    out = np.full(max(0, n), _STEPS[40 + size % 20], _U)
-    for k in range(size if n > 0 else 0):
+        part = tail + text[at:end]
+        yield part, skip
+        last = part[part.rfind(_END) + 1:].split()[1 - longest:] if cut and longest > 1 else []
+        tail, skip, at = b" ".join(last), len(last), end
+
+
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, piece) of each word."""
+    data = np.frombuffer(text, np.uint8)
+    mark = data == 255
+    solid = ~(mark | (data == 32))
+    edges = np.diff(solid.view(np.int8), prepend=0, append=0)
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    power, inverse = wordhash.powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, _U)
+    np.cumsum(wordhash.BYTES[data] * power[:len(data)], out=sums[1:])
+    found = wordhash.mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(_U))
+    return found, np.searchsorted(np.flatnonzero(mark), starts)
+
+
+def phrase_hashes(found: np.ndarray, size: int, lang: str) -> np.ndarray:
+    """Hash of the ``size`` words from each place on, in a language."""
+    n = max(0, len(found) - size + 1)
+    out = np.full(n, xxhash.xxh3_64_intdigest(lang.encode(), size), _U)
+    for k in range(size if n else 0):
         out += found[k:k + n] * _STEPS[k]
     return wordhash.mix(out)
 
 
+def phrases_at(piece: np.ndarray, size: int, skip: int) -> np.ndarray:
+    """Whether the ``size`` words from each place on are in one piece and not all among the first ``skip``."""
+    n = max(0, len(piece) - size + 1)
+    return (piece[:n] == piece[size - 1:]) & (np.arange(n) + size > skip)
+
+
 class Bits:
     """A table of bits, one for each hash in it (and by chance for some others)."""
 
@@ -143,7 +130,7 @@ class Bits:
 
 
 def in_shard(hashes: np.ndarray, shard: int | np.ndarray) -> np.ndarray:
-    return wordhash.mix(hashes + (np.asarray([shard], _U) if isinstance(shard, int) else shard) * _STEPS[63])
+    return wordhash.mix(hashes + (np.asarray([shard], _U) if isinstance(shard, int) else shard) * _STEPS[99])
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[tuple[tuple, bytes]]:
@@ -163,7 +150,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[tuple[t
             if size[key] >= chunk:
                 total -= size.pop(key)
                 yield key, _END.join(held.pop(key))
-            elif total >= 16 * chunk:  # many keys: the fullest goes
+            elif total >= 8 * chunk:  # many keys: the fullest goes
                 most = max(size, key=size.__getitem__)
                 total -= size.pop(most)
                 yield most, _END.join(held.pop(most))
@@ -171,63 +158,71 @@ def _gathered(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[tuple[t
         yield key, _END.join(held.pop(key))
 
 
-def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of hashes, added up."""
-    keys, n = (np.concatenate(x) for x in zip(*parts))
-    order = np.argsort(keys, kind="stable")
-    keys, n = keys[order], n[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return keys[first], np.add.reduceat(n, first)
-
-
-_MINED = "lang string, shard int, phrase long, n long"
+_MINED = "phrase long, tag long, n long"
 
 
 def _mine(longest: int, pairs=None, chunk: int = CHUNK) -> Callable:
-    """(lang, shard, text) -> counts of hashed phrases by shard: of pairs, or of longer
-    phrases whose pairs are all in the broadcast table ``pairs``."""
+    """(lang, shard, tag, text) -> (phrase, tag, n): counts of hashed phrases, of pairs, or of
+    longer phrases whose pairs are all in the broadcast table ``pairs``."""
 
     def mined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = None if pairs is None else Bits(np.frombuffer(pairs.value, _U))
-        held: dict[tuple, list[tuple[np.ndarray, np.ndarray]]] = {}
-        waiting = 0
-
-        def sent(key: tuple) -> pa.RecordBatch:
-            keys, n = _added(held.pop(key))
-            same = [pa.array([key[0]] * len(n), pa.string()), pa.array(np.full(len(n), key[1], np.int32))]
-            return pa.RecordBatch.from_arrays([*same, pa.array(keys.view(np.int64)), pa.array(n)], names=["lang", "shard", "phrase", "n"])
-
-        for key, text in _gathered(batches, chunk):
-            for stretch in stretches(text, longest, chunk):
-                found = stretch.hashes(key[0])
-                for size, ok in stretch.inside(longest if table else 2):
-                    if size == 1:
-                        continue
-                    hashes = phrase_hashes(found, size)
-                    if table and size == 2:
-                        frequent = all_frequent = table.holds(in_shard(hashes, key[1]))
-                        continue
-                    if table:
+        for (lang, shard, tag), text in _gathered(batches, chunk):
+            for part, skip in stretches(text, longest, chunk):
+                found, piece = word_hashes(part)
+                wanted = []
+                pair = phrase_hashes(found, 2, lang)
+                if table is None:
+                    wanted.append(pair[phrases_at(piece, 2, skip)])
+                else:
+                    frequent = all_frequent = table.holds(in_shard(pair, shard))
+                    for size in range(3, longest + 1):
                         all_frequent = all_frequent[:-1] & frequent[size - 2:]
-                        ok = ok & all_frequent
-                    keys, n = np.unique(hashes[ok], return_counts=True)
-                    if len(keys):
-                        held.setdefault(key, []).append((keys, n))
-                        waiting += len(keys)
-                if waiting > 2 * HELD:
-                    for k in list(held):
-                        held[k] = [_added(held[k])]
-                    waiting = sum(len(p[0][0]) for p in held.values())
-                    if waiting > HELD:
-                        for k in list(held):
-                            yield sent(k)
-                        waiting = 0
-        for k in list(held):
-            yield sent(k)
+                        wanted.append(phrase_hashes(found, size, lang)[phrases_at(piece, size, skip) & all_frequent])
+                phrases, n = np.unique(np.concatenate([np.empty(0, _U), *wanted]), return_counts=True)
+                if len(phrases):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(phrases.view(np.int64)), pa.array(np.full(len(n), tag)), pa.array(n)], names=["phrase", "tag", "n"]
+                    )
 
     return mined
 
 
+def _reaching(shards: int) -> Callable:
+    """(phrase, tag, n) in order -> (shard, phrase) of those that reach the support in their tag."""
+
+    def reaching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrase, tag, n = (np.empty(0, np.int64) for _ in range(3))
+
+        def out(ends: int) -> pa.RecordBatch:
+            """Of the rows before ``ends``, whose counts are all there."""
+            first = np.flatnonzero(np.concatenate(([True], (phrase[1:ends] != phrase[:ends - 1]) | (tag[1:ends] != tag[:ends - 1]))))
+            enough = first[np.add.reduceat(n[:ends], first) >= tag[first] // shards]
+            return pa.RecordBatch.from_arrays([pa.array((tag[enough] % shards).astype(np.int32)), pa.array(phrase[enough])], names=["shard", "phrase"])
+
+        for batch in batches:
+            phrase, tag, n = (np.concatenate((old, batch.column(k).to_numpy())) for k, old in enumerate((phrase, tag, n)))
+            new = np.flatnonzero((phrase[1:] != phrase[:-1]) | (tag[1:] != tag[:-1]))
+            if len(new):
+                ends = int(new[-1]) + 1
+                yield out(ends)
+                phrase, tag, n = phrase[ends:], tag[ends:], n[ends:]
+            elif len(n):  # one phrase so far
+                phrase, tag, n = phrase[:1], tag[:1], n.sum(keepdims=True)
+        if len(n):
+            yield out(len(n))
+
+    return reaching
+
+
+class _Names(dict):
+    """Word -> number, in order of appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 def _count(longest: int, candidates, chunk: int = CHUNK) -> Callable:
     """(lang, text) -> (lang, size, phrase, n): all words (size 0), single words, phrases among the candidates."""
 
@@ -247,29 +242,32 @@ def _count(longest: int, candidates, chunk: int = CHUNK) -> Callable:
                 )
 
         for (lang,), text in _gathered(batches, chunk):
-            own = held.setdefault(lang, {})
-            for stretch in stretches(text, longest, chunk):
-                found = stretch.hashes(lang)
-                for size, ok in stretch.inside(longest):
-                    if size > 1:
-                        hashes = phrase_hashes(found, size)
-                        ok = ok & table.holds(hashes)
-                    places = np.flatnonzero(ok)
+            for part, skip in stretches(text, longest, chunk):
+                words = part.replace(_END, b" ").split()
+                if not words:
+                    continue
+                own = held.setdefault(lang, {})
+                found, piece = word_hashes(part)
+                names = _Names()
+                codes = np.fromiter(map(names.__getitem__, words), np.int64, len(words))
+                own[0, b""] = own.get((0, b""), 0) + len(words) - skip
+                often = np.bincount(codes[skip:], minlength=len(names))
+                for word, k in zip(names, often.tolist()):
+                    own[1, word] = own.get((1, word), 0) + k
+                for size in range(2, longest + 1):
+                    hashes = phrase_hashes(found, size, lang)
+                    places = np.flatnonzero(phrases_at(piece, size, skip) & table.holds(hashes))
                     if not len(places):
                         continue
-                    keys = hashes[places] if size > 1 else stretch.codes[places]
-                    _, first, which, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-                    if size == 1:
-                        own[0, b""] = own.get((0, b""), 0) + len(places)
-                    rows = stretch.codes[places[:, None] + np.arange(size)]
-                    if size > 1 and (rows != rows[first[which]]).any():  # two phrases of one hash
+                    _, first, which, n = np.unique(hashes[places], return_index=True, return_inverse=True, return_counts=True)
+                    rows = codes[places[:, None] + np.arange(size)]
+                    if (rows != rows[first[which]]).any():  # two phrases of one hash
                         _, first, n = np.unique(rows, axis=0, return_index=True, return_counts=True)
                     for p, k in zip(places[first].tolist(), n.tolist()):
-                        phrase = size, b" ".join(stretch.words[p:p + size])
+                        phrase = size, b" ".join(words[p:p + size])
                         own[phrase] = own.get(phrase, 0) + k
-                if sum(len(x) for x in held.values()) > HELD // 2:
+                if sum(len(x) for x in held.values()) > HELD:
                     yield from sent()
-                    own = held.setdefault(lang, {})
         yield from sent()
 
     return counted
@@ -292,12 +290,11 @@ def _own_spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(in_shard(phrase, shard).view(np.int64))], names=["phrase"])
 
 
-def _reaches(mined: DataFrame, shares: DataFrame, support: int) -> DataFrame:
-    """(shard, phrase) of what reaches its shard's part of the support."""
-    counts = mined.groupBy("lang", "shard", "phrase").agg(F.sum("n").alias("n"))
-    same = (F.col("lang") == F.col("s_lang")) & (F.col("shard") == F.col("s_shard"))
-    wide = lambda c: F.col(c).cast("decimal(19,0)")
-    return counts.join(shares, same).where(wide("n") * wide("in_lang") >= wide("in_shard") * F.lit(support)).select("shard", "phrase")
+def _frequent(parted: DataFrame, mine: Callable, shards: int) -> DataFrame:
+    """(shard, phrase) of what reaches its shard's part of the support. Few phrases come
+    twice from one task: their counts are added once, in order, which Spark's sort spills."""
+    dealt = parted.mapInArrow(mine, _MINED).repartition("phrase", "tag").sortWithinPartitions("phrase", "tag")
+    return dealt.mapInArrow(_reaching(shards), "shard int, phrase long")
 
 
 def _sent_out(df: DataFrame, most_rows: int) -> DataFrame:
@@ -317,12 +314,15 @@ def frequent_phrases(
         F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(shards)).cast("int").alias("shard"), whole_text("text").alias("text"),
     )
     sizes = own.groupBy("lang", "shard").agg(F.sum(F.octet_length("text")).alias("in_shard"))
-    in_lang = F.sum("in_shard").over(Window.partitionBy("lang"))
-    sizes = staged(sizes.select(F.col("lang").alias("s_lang"), F.col("shard").alias("s_shard"), "in_shard", in_lang.alias("in_lang")), "colloc-shares")
-    shares = _sent_out(sizes, SHARES)
-    pairs = staged(_reaches(own.mapInArrow(_mine(longest, None, chunk), _MINED), shares, support), "colloc-pairs")
+    sizes = sizes.withColumn("in_lang", F.greatest(F.sum("in_shard").over(Window.partitionBy("lang")), F.lit(1)))
+    # a shard's part of the support, rounded up, and the shard in one number
+    least = F.expr(f"({int(support)}L * in_shard + in_lang - 1) div in_lang")
+    sizes = staged(sizes.select(F.col("lang").alias("s_lang"), F.col("shard").alias("s_shard"), (least * shards + F.col("shard")).alias("tag")), "colloc-shares")
+    same = (F.col("lang") == F.col("s_lang")) & (F.col("shard") == F.col("s_shard"))
+    parted = own.join(_sent_out(sizes, SHARES), same).select("lang", "shard", "tag", "text")
+    pairs = staged(_frequent(parted, _mine(longest, None, chunk), shards), "colloc-pairs")
     table = _bit_table(pairs.mapInArrow(_own_spots, "phrase long"), pairs.count(), most_bytes)
-    longer = staged(_reaches(own.mapInArrow(_mine(longest, table, chunk), _MINED), shares, support), "colloc-longer")
+    longer = staged(_frequent(parted, _mine(longest, table, chunk), shards), "colloc-longer")
     candidates = staged(pairs.unionByName(longer).select("phrase").distinct(), "colloc-candidates")
     table = _bit_table(candidates, candidates.count(), most_bytes)
     counts = own.select("lang", "text").mapInArrow(_count(longest, table, chunk), "lang string, size int, phrase string, n long")

@@ -85,7 +85,8 @@ def test_cut_stretches():
     text = ("x y z " * 50).encode()
     whole, cut = Counter(), Counter()
     for chunk, into in ((10_000, whole), (20, cut)):
-        for s in collocations.stretches(text, 5, chunk):
-            for size, ok in s.inside(5):
-                into.update((*s.words[i:i + size],) for i in range(len(ok)) if ok[i])
+        for part, skip in collocations.stretches(text, 5, chunk):
+            words, (_, piece) = part.split(), collocations.word_hashes(part)
+            for size in range(1, 6):
+                into.update((*words[i:i + size],) for i in collocations.phrases_at(piece, size, skip).nonzero()[0].tolist())
     assert whole == cut and len(whole) == 15
