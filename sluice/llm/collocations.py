@@ -47,6 +47,8 @@ LONGEST = 5
 SUPPORT = 100
 SHARDS = 8
 TOP = 2000
+#: Parts of a language whose phrases are ranked by tasks of their own first.
+PARTS = 64
 UNKNOWN = "und"
 #: Bytes of text that are worked on in one go, and counted phrases held back before they are sent on.
 CHUNK, HELD = 1_000_000, 200_000
@@ -369,8 +371,12 @@ def collocations(
     words = _sent_out(found.where("size = 0").select(F.col("lang").alias("n_lang"), F.col("n").alias("n")), SHARES)
     scored = cuts.join(words, F.col("lang") == F.col("n_lang")).withColumn("score", F.expr(SCORE))
     weakest = scored.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "a", "l", "r", "n")).alias("cut"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("cut.a"), "phrase"))
-    return weakest.select("lang", rank.cast("long").alias("rank"), "phrase", "cut.a", "cut.l", "cut.r", "cut.n", "cut.score").where(F.col("rank") <= top)
+    # the best of parts of a language first: at most ``top`` rows of each part come together in the end
+    best = [F.desc("cut.score"), F.desc("cut.a"), "phrase"]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    first = weakest.withColumn("in_part", F.row_number().over(Window.partitionBy("lang", part).orderBy(*best))).where(F.col("in_part") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).where(F.col("rank") <= top)
+    return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "cut.a", "cut.l", "cut.r", "cut.n", "cut.score")
 
 
 def query(docs: DataFrame) -> DataFrame:
