@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, collocations, decontam, langid, mixing, neardup, periodic, quality, resharding, secrets, suffixes, urlfilter
+from . import chat, collocations, decontam, langid, mixing, neardup, periodic, quality, resharding, secrets, suffixes, urlfilter, vectors
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,5 +36,6 @@ def llm_queries() -> dict[str, tuple[Query, str | None]]:
         "op10_decontaminate": (_over(decontam.query, "documents", "benchmark"), None),
         "op11_periodic_runs": (_over(periodic.query, "documents"), None),
         "op12_collocations": (_over(collocations.query, "documents"), collocations.ORACLE),
+        "op13_embedding_neardup": (_over(vectors.query, "embeddings"), None),
         "pipeline": (_pipeline, None),
     }
