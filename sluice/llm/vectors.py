@@ -45,9 +45,12 @@ from .components import components
 COSINE = 0.93
 SAMPLE = 20_000
 SUBSPACES, CODES = 8, 256
-#: Vectors that a list of the largest label should have; the most and the fewest lists.
-LIST_ROWS, MOST_LISTS, FEWEST_LISTS = 256, 1024, 8
-BLOCK, ASKERS = 2048, 4096
+#: Coarse lists. A vector asks up to all of them: where vectors have no clusters, no list
+#: can be ruled out at this reach, so more lists would only copy each vector more often.
+LISTS = 16
+BLOCK, ASKERS = 16_384, 16_384
+#: Distances of askers to members that are held at once.
+CELLS = 500_000
 #: Memory of a list's row in a broadcast.
 LIST_BYTES = 128
 _ROUNDS = 10
@@ -163,8 +166,9 @@ def _compared(indexes: dict[int, Index], cosine: float, reach: float):
             codes = np.frombuffer(b"".join(table["codes"].filter(pa.array(~asks)).to_pylist()), np.uint8).reshape(len(m), -1)
             home = table["home"].to_numpy(zero_copy_only=False)
             place = {r: i for i, r in enumerate(rows[m].tolist())}
-            for at in range(0, len(q), 256):
-                part = q[at:at + 256]
+            step = max(1, CELLS // len(m))
+            for at in range(0, len(q), step):
+                part = q[at:at + step]
                 near = index.distances(unit[part], own, codes) <= reach + error[m] + _SLACK
                 a, b = np.nonzero(near)
                 a, b = part[a], m[b]
@@ -199,7 +203,7 @@ def _unite(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
 
 
 def near_copies(
-    vectors: DataFrame, *, vec_id="vec_id", embedding="embedding", label="label", cosine=COSINE, sample=SAMPLE, list_rows=LIST_ROWS,
+    vectors: DataFrame, *, vec_id="vec_id", embedding="embedding", label="label", cosine=COSINE, sample=SAMPLE, lists=LISTS,
     subspaces=SUBSPACES, codes=CODES, block=BLOCK, askers=ASKERS, broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """One row per vector: (vec_id, n_links, component_id, kept)."""
@@ -217,9 +221,7 @@ def near_copies(
     classes = own.where(known).groupBy("label", "v").agg(F.min(F.col("vec_id").cast("long")).alias("least"), F.count(F.lit(1)).alias("copies"))
     classes = staged(classes.withColumn("row", F.monotonically_increasing_id()), "vector-classes")
 
-    biggest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    indexes = fit(classes.select("row", "v"), min(MOST_LISTS, max(FEWEST_LISTS, -(-biggest // list_rows))), sample=sample, subspaces=subspaces, codes=codes)
-
+    indexes = fit(classes.select("row", "v"), lists, sample=sample, subspaces=subspaces, codes=codes)
     label_kind = own.schema["label"].dataType.simpleString()
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,12 +232,12 @@ def near_copies(
                 for size in np.unique(lengths):
                     part = some.filter(pa.array(lengths == size))
                     index = _index_of(indexes, int(size))
-                    lists, code, error, far = index.place(units(_matrix(part.column(2)))[2])
+                    home, code, error, far = index.place(units(_matrix(part.column(2)))[2])
                     away = np.sqrt(far)
-                    asked = [index.probes(f, c, reach) for f, c in zip(far, lists)]
+                    asked = [index.probes(f, c, reach) for f, c in zip(far, home)]
                     probes = [[{"probe": int(p), "distance": float(f[p])} for p in ps] for f, ps in zip(away, asked)]
                     more = [
-                        pa.array(np.full(len(lists), size, np.int32)), pa.array(lists.astype(np.int32)), pa.array(away[np.arange(len(lists)), lists]),
+                        pa.array(np.full(len(home), size, np.int32)), pa.array(home.astype(np.int32)), pa.array(away[np.arange(len(home)), home]),
                         pa.array(error), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(probes, _PROBES),
                     ]
                     yield pa.RecordBatch.from_arrays([*part.columns, *more], names=[*part.schema.names, "size", "list", "away", "error", "codes", "probes"])

@@ -49,7 +49,7 @@ def check(got, rows, cosine=vectors.COSINE):
     assert Counter(tuple(x) for x in got.select("vec_id", "n_links", "component_id", "kept").collect()) == brute(rows, cosine)
 
 
-@pytest.mark.parametrize("options", [{}, {"block": 7, "askers": 5}, {"list_rows": 4, "broadcast_bytes": 0}, {"sample": 30, "codes": 3, "subspaces": 5}])
+@pytest.mark.parametrize("options", [{}, {"block": 7, "askers": 5}, {"lists": 40, "broadcast_bytes": 0}, {"sample": 30, "codes": 3, "subspaces": 5}])
 def test_against_all_cosines(spark, options):
     vs = cloud(1, 90, 16, 150, 0.24)
     rows = [(i * 3 % 701, v, i % 4 and i % 3) for i, v in enumerate(vs)]
