@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.rowchecks import normalise
-from ..plans.validate import check_records
+from ..plans.validate import check_records, materialize
 from ..schemas import CODE_KEY, CODE_NULL, CODE_PARSE
 from . import oracle
 from .datasets import DATASET, DATASETS, INGEST_TS, PIPELINE
@@ -201,6 +201,40 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         b = _with_label(read_table(spark, trunc)).groupBy("landing_file").agg(F.count(F.lit(1)).alias("rows_after_truncate"))
         return a.join(b, "landing_file", "full")
 
+    def sink_failed_loads(spark, sf):
+        """Rows a file after a TRUNCATE load that fails in one task, after an APPEND of another
+        type, which is refused, and after a TRUNCATE load cut off while the table was away."""
+        from .. import swap
+        from ..session import new_scratch_path
+        from ..sinks import SchemaMismatch, load_valid, read_table, write_table
+
+        res = _landing_check(spark, sf, materialize_as="stage")
+        v, path = res.valid, new_scratch_path(spark, "sink-failed")
+        load_valid(v, path, "TRUNCATE")
+
+        def rows(name):
+            return _with_label(read_table(spark, path)).groupBy("landing_file").agg(F.count(F.lit(1)).alias(name))
+
+        def fails(df, mode, error):
+            try:
+                write_table(df, path, mode)
+            except error:
+                return
+            raise AssertionError(f"a load that must fail went through: {mode}")
+
+        lost = F.when(F.col("o_orderstatus") == "P", F.raise_error(F.lit("a task is lost"))).otherwise(F.col("o_custkey"))
+        fails(v.withColumn("o_custkey", lost), "TRUNCATE", Exception)
+        first = materialize(rows("rows_after_failed_truncate"), "stage", "sink-counts")[0]
+        fails(v.withColumn("o_totalprice", F.col("o_totalprice").cast("string")), "APPEND", SchemaMismatch)
+        second = materialize(rows("rows_after_refused_append"), "stage", "sink-counts")[0]
+        steps = swap.replace_steps(v.where("o_orderkey % 2 = 0"), path)
+        while next(steps) != "old":  # the old rows have left their place, the new ones are not there yet
+            pass
+        steps.close()
+        third = rows("rows_after_resumed_truncate")
+        res.release()
+        return first.join(second, "landing_file", "full").join(third, "landing_file", "full").fillna(0)
+
     def reports_roundtrip(spark, sf):
         """Reports appended twice (K2), valid rows loaded once and kept by an empty load (K4)."""
         from ..session import new_scratch_path
@@ -297,6 +331,10 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         f"SELECT landing_file, count(*) * 2 AS rows_after_two_appends, count(*) AS rows_after_truncate "
         f"FROM ({valid_sql}) GROUP BY landing_file"
     )
+    failed_sql = (
+        "SELECT landing_file, count(*) AS rows_after_failed_truncate, count(*) AS rows_after_refused_append, "
+        f"count(*) FILTER (WHERE o_orderkey % 2 = 0) AS rows_after_resumed_truncate FROM ({valid_sql}) GROUP BY landing_file"
+    )
     rows_stats_sql = oracle.rows_stats_sql(
         ds.rules, ORDERS_FILES_SQL, INGEST_TS, PIPELINE, DATASET, "orders", file_col=_ORDERS_LABEL
     )
@@ -330,6 +368,7 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         "landing_data_invalid": (data_invalid, data_invalid_sql),
         "landing_valid_typed": (valid, valid_sql),
         "sink_roundtrip": (sink_roundtrip, sink_sql),
+        "sink_failed_loads": (sink_failed_loads, failed_sql),
         "landing_lineitem_rows_stats": (
             lineitem_rows_stats,
             oracle.rows_stats_sql(

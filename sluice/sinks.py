@@ -6,18 +6,18 @@ A target is either a catalog table name (``db.table``) or a storage path
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import swap
 from .rules import WRITE_MODES
 from .schemas import DATA_INVALID, FILE_STATS, ROWS_STATS
 
-SPARK_MODES = {"APPEND": "append", "TRUNCATE": "overwrite"}
 
+class SchemaMismatch(ValueError):
+    """Rows do not have the columns or types of the table that they should join."""
 
-def _is_path(target: str) -> bool:
-    return "/" in target
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -25,34 +25,63 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def write_table(df: DataFrame, target: str, mode: str) -> None:
-    w = df.write.mode(mode)
-    if _is_path(target):
-        w.parquet(target)
+def table_exists(spark: SparkSession, target: str) -> bool:
+    swap.finish(spark, target)
+    if not swap.is_path(target):
+        return spark.catalog.tableExists(target)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target.rstrip("/") + "/*.parquet")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return bool(found)
+
+
+def read_table(spark: SparkSession, target: str) -> DataFrame:
+    """A loaded table; a replacement that a lost driver left unfinished is finished first."""
+    swap.finish(spark, target)
+    return spark.read.parquet(target) if swap.is_path(target) else spark.table(target)
+
+
+def in_table_order(df: DataFrame, target: str) -> DataFrame:
+    """``df`` with its columns in the order of the existing table; SchemaMismatch,
+    before anything is written, unless names and types are the table's."""
+    types = lambda schema: {f.name: f.dataType.simpleString() for f in schema.fields}
+    there, given = types(read_table(df.sparkSession, target).schema), types(df.schema)
+    if there != given:
+        wrong = [f"{c}: {there.get(c, 'no column')} in the table, {given.get(c, 'no column')} in the rows" for c in sorted(there | given) if there.get(c) != given.get(c)]
+        raise SchemaMismatch(f"{target}: " + "; ".join(wrong))
+    return df.select(*[F.col(f"`{c}`") for c in there])
+
+
+def write_table(df: DataFrame, target: str, write_mode: str) -> None:
+    """APPEND: the rows join the table, whose columns and types they must have.
+    TRUNCATE: they take its place, all at once or, if the load fails, not at all."""
+    if write_mode == "TRUNCATE":
+        swap.replace(df, target)
+        return
+    if table_exists(df.sparkSession, target):
+        df = in_table_order(df, target)
+    if swap.is_path(target):
+        df.write.mode("append").parquet(target)
     else:
-        w.saveAsTable(target)
-
-
-def read_table(spark, target: str) -> DataFrame:
-    return spark.read.parquet(target) if _is_path(target) else spark.table(target)
+        df.write.mode("append").saveAsTable(target)
 
 
 def append_reports(result, file_stats: str, rows_stats: str, data_invalid: str) -> None:
     """K2: append the three reports (tables are created on first write)."""
     if result.file_stats is not None:
-        write_table(conform(result.file_stats, FILE_STATS), file_stats, "append")
-    write_table(conform(result.rows_stats, ROWS_STATS), rows_stats, "append")
-    write_table(conform(result.data_invalid, DATA_INVALID), data_invalid, "append")
+        write_table(conform(result.file_stats, FILE_STATS), file_stats, "APPEND")
+    write_table(conform(result.rows_stats, ROWS_STATS), rows_stats, "APPEND")
+    write_table(conform(result.data_invalid, DATA_INVALID), data_invalid, "APPEND")
 
 
 def load_valid(valid: DataFrame, target: str, write_mode: str) -> bool:
     """K3 + K4: load typed valid rows; no rows means no write (TRUNCATE keeps
-    the old table). Returns whether anything was written."""
+    the old table). A load that fails leaves the table as it was. Returns
+    whether anything was written."""
     if write_mode not in WRITE_MODES:
         raise ValueError(f"write_mode must be one of {WRITE_MODES}, got {write_mode!r}")
     if valid.isEmpty():
         return False
-    write_table(valid, target, SPARK_MODES[write_mode])
+    write_table(valid, target, write_mode)
     return True
 
 

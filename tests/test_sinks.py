@@ -9,7 +9,8 @@ from conftest import FIXTURES, rules
 from sluice.plans.landing import check_landing
 from sluice.plans.run import run_landing
 from sluice.rules import RuleError, RunConfig, TableConfig
-from sluice.sinks import append_reports, export_csv, load_valid, read_table
+from sluice import swap
+from sluice.sinks import SchemaMismatch, append_reports, export_csv, load_valid, read_table, write_table
 
 TS = "2024-01-01 00:00:00"
 
@@ -109,3 +110,69 @@ def test_export_keeps_blanks_and_doubles_quotes(spark, tmp_path):
     export_csv(df, str(tmp_path / "out"), ["i"], drop=["i"])
     lines = [x for p in sorted((tmp_path / "out").glob("part-*")) for x in p.read_text().splitlines() if x != "a;b"]
     assert lines == ["b;c", '  x 1 ;"he said ""no""; ok"']
+
+
+@pytest.fixture(params=["path", "catalog"])
+def target(request, spark, tmp_path):
+    if request.param == "path":
+        yield str(tmp_path / "raw" / "kept")
+        return
+    spark.sql("CREATE DATABASE IF NOT EXISTS swaps LOCATION '%s'" % (tmp_path / "swaps"))
+    yield "swaps.kept"
+    spark.sql("DROP DATABASE swaps CASCADE")
+
+
+def _rows(spark, target):
+    return sorted(r.n for r in read_table(spark, target).collect())
+
+
+def test_failed_truncate_keeps_the_rows(spark, target):
+    """Half of the tasks have written their rows when one fails."""
+    write_table(spark.range(10).withColumnRenamed("id", "n"), target, "TRUNCATE")
+    assert _rows(spark, target) == list(range(10))
+    broken = spark.range(100, 200, 1, 4).selectExpr("CASE WHEN id = 190 THEN raise_error('lost') ELSE id END AS n")
+    with pytest.raises(Exception, match="lost"):
+        write_table(broken, target, "TRUNCATE")
+    assert _rows(spark, target) == list(range(10))
+    old = read_table(spark, target)
+    write_table(old.selectExpr("n + 5 AS n"), target, "TRUNCATE")  # reads what it replaces
+    assert _rows(spark, target) == list(range(5, 15))
+    assert not any(swap._store(spark, target).exists(role) for role in swap.ROLES)
+
+
+@pytest.mark.parametrize("stop", ["ready", "old", "table"])
+@pytest.mark.parametrize("there", [True, False])
+def test_cut_off_replacement_is_finished(spark, target, stop, there):
+    """Once the new rows are complete, a reader after a lost driver sees them, wherever it stopped."""
+    if there:
+        write_table(spark.range(3).withColumnRenamed("id", "n"), target, "TRUNCATE")
+    elif stop == "old":
+        pytest.skip("no old table to move")
+    steps = swap.replace_steps(spark.range(7).withColumnRenamed("id", "n"), target)
+    while next(steps) != stop:
+        pass
+    steps.close()
+    assert _rows(spark, target) == list(range(7))
+    assert not any(swap._store(spark, target).exists(role) for role in swap.ROLES)
+    write_table(spark.range(1).withColumnRenamed("id", "n"), target, "TRUNCATE")
+    assert _rows(spark, target) == [0]
+
+
+def test_rows_left_by_a_killed_writer_are_no_rows(spark, target):
+    write_table(spark.range(3).withColumnRenamed("id", "n"), target, "TRUNCATE")
+    swap._store(spark, target).write(spark.range(9).withColumnRenamed("id", "n"), "writing")
+    assert _rows(spark, target) == [0, 1, 2]
+    write_table(spark.range(4).withColumnRenamed("id", "n"), target, "TRUNCATE")
+    assert _rows(spark, target) == [0, 1, 2, 3]
+
+
+def test_append_needs_the_table_s_columns(spark, target):
+    df = spark.sql("SELECT 1L AS n, 'a' AS s")
+    write_table(df, target, "APPEND")
+    for other in ("SELECT '1' AS n, 'a' AS s", "SELECT 1L AS n", "SELECT 1L AS n, 'a' AS s, 2 AS more"):
+        with pytest.raises(SchemaMismatch):
+            write_table(spark.sql(other), target, "APPEND")
+    write_table(spark.sql("SELECT 'b' AS s, 2L AS n"), target, "APPEND")  # by name
+    assert sorted(tuple(r) for r in read_table(spark, target).select("n", "s").collect()) == [(1, "a"), (2, "b")]
+    write_table(spark.sql("SELECT '1' AS n"), target, "TRUNCATE")  # the new rows bring their own columns
+    assert read_table(spark, target).dtypes == [("n", "string")]
