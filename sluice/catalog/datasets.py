@@ -353,6 +353,9 @@ ORDERS_FILES_SQL = _in_files(ORDERS_SQL.replace(
     "'orders/' || o_orderstatus || '.csv' AS source_filename",
     "o_orderstatus || '_' || CAST(o_orderkey // 1000000 AS VARCHAR) AS source_filename", 1,
 ))
+DOCUMENTS_FILES_SQL = _in_files(DOCUMENTS_SQL.replace(
+    "SELECT source AS source_filename", "SELECT source || '_' || CAST(doc_id // 1000000 AS VARCHAR) AS source_filename", 1,
+))
 LINEITEM_FILES_SQL = _in_files(LINEITEM_SQL.replace(
     "'lineitem/lineitem.csv' AS source_filename",
     "l_returnflag || '_' || CAST(l_orderkey // 1000000 AS VARCHAR) AS source_filename", 1,

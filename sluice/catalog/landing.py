@@ -200,3 +200,25 @@ def lineitem_landing_rules():
     return dataclasses.replace(
         DATASETS["lineitem"].rules, source_path="lineitem/lineitem", formats=LANDING_FORMATS
     )
+
+
+def documents_landing(spark: SparkSession, sf: str) -> str:
+    """root/documents/documents_csv/_file=<source>_<n>/part-*.csv: texts with newlines, in quotes."""
+    key = _key(spark, sf, "documents")
+    if key in _CACHE:
+        return _CACHE[key]
+    root = new_scratch_path(spark, "landing-documents")
+    ds = DATASETS["documents"]
+    names = [c.name for c in ds.rules.data_columns]
+    _write_csv(
+        ds.spark_records(spark, sf), file_tag(F.col("source_filename"), F.col("index")), F.col("index"),
+        f"{root}/documents/documents_csv", ds.rules.header, names,
+    )
+    _CACHE[key] = root
+    return root
+
+
+def documents_landing_rules():
+    return dataclasses.replace(
+        DATASETS["documents"].rules, source_path="documents/documents", formats=LANDING_FORMATS
+    )

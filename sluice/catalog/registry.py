@@ -171,7 +171,7 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
     ds = DATASETS["orders"]
     ev = DATASETS["events"]
     from .landing import label
-    from .datasets import EVENTS_JSON_SQL, LINEITEM_FILES_SQL, ORDERS_FILES_SQL
+    from .datasets import DOCUMENTS_FILES_SQL, EVENTS_JSON_SQL, LINEITEM_FILES_SQL, ORDERS_FILES_SQL
 
     def file_stats(spark, sf):
         return _with_label(_landing_check(spark, sf).file_stats)
@@ -287,6 +287,26 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
             "source_filename", "landing_file"
         )
 
+    def documents_check(spark, sf):
+        """Files whose texts hold newlines, read by blocks like any others."""
+        from .landing import documents_landing, documents_landing_rules
+        from ..plans.landing import check_landing
+
+        root = documents_landing(spark, sf)
+        return check_landing(
+            spark, root, documents_landing_rules(), pipeline=PIPELINE, dataset=DATASET, table="documents",
+            ingest_ts=INGEST_TS, persist=False,
+        )
+
+    def documents_rows_stats(spark, sf):
+        return documents_check(spark, sf).rows_stats.withColumn("source_filename", label()).withColumnRenamed("source_filename", "landing_file")
+
+    def documents_invalid(spark, sf):
+        return documents_check(spark, sf).data_invalid.withColumn("source_filename", label()).withColumnRenamed("source_filename", "landing_file")
+
+    def documents_valid(spark, sf):
+        return documents_check(spark, sf).valid.withColumn("source_filename", label()).withColumnRenamed("source_filename", "landing_file")
+
     def json_check(spark, sf):
         from .landing import events_json_landing, events_json_rules
         from ..plans.landing import check_landing
@@ -353,6 +373,18 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
             ("data_invalid", 2, data_invalid_sql), ("valid", 1, valid_sql),
         )
     )
+    docs = DATASETS["documents"]
+    docs_dq = _DQ.replace("'orders'", "'documents'")
+    documents_invalid_sql = oracle.data_invalid_sql(
+        docs.rules, DOCUMENTS_FILES_SQL, INGEST_TS, PIPELINE, DATASET, "documents",
+        columns=[
+            docs_dq, "source_filename AS landing_file", '"index"', "r AS invalid_reason", "c AS invalid_code",
+            "cn AS invalid_col_name", "cv AS invalid_col_value", _TS_SQL,
+        ],
+    )
+    documents_stats_sql = oracle.rows_stats_sql(
+        docs.rules, DOCUMENTS_FILES_SQL, INGEST_TS, PIPELINE, DATASET, "documents", file_col=_ORDERS_LABEL
+    )
     noted = DATASETS["noted"]
     export_sql = (
         "SELECT source_filename, doc_id, text, note, "
@@ -376,6 +408,9 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
                 "lineitem", file_col="k.source_filename AS landing_file",
             ),
         ),
+        "landing_documents_rows_stats": (documents_rows_stats, documents_stats_sql),
+        "landing_documents_data_invalid": (documents_invalid, documents_invalid_sql),
+        "landing_documents_valid": (documents_valid, oracle.valid_sql(docs.rules, DOCUMENTS_FILES_SQL, INGEST_TS, replace=valid_label)),
         "json_landing_data_invalid": (
             json_data_invalid,
             oracle.data_invalid_sql(

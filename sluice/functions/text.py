@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,8 +14,8 @@ NA_TOKENS = (
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
     "nan", "null",
 )
-# Quoted section of a CSV record: "..." with "" as an escaped quote.
-QUOTED_SECTION = r'"(?:[^"]|"")*"'
+# Quoted section of a CSV field: "..." with "" as an escaped quote.
+QUOTED_SECTION = r'"[^"]*+(?:""[^"]*+)*+"'
 # Printed for a null member of a key tuple.
 NULL_KEY_TEXT = "nan"
 # --------------------------------------------------------------------------
@@ -43,10 +45,15 @@ def key_value_text(cols: list[Column]) -> Column:
     return F.concat(F.lit("['"), F.concat_ws("','", *parts), F.lit("']"))
 
 
-def unquoted(raw: Column) -> Column:
-    """Raw record with closed quoted sections removed (cheap path if no quote)."""
+def _field_start(sep: str) -> str:
+    return "(^|" + re.escape(sep) + ")"
+
+
+def unquoted(raw: Column, sep: str) -> Column:
+    """Raw record without the closed quoted sections at the starts of fields; quotes
+    elsewhere are text (cheap path if there is no quote)."""
     return F.when(F.instr(raw, '"') == 0, raw).otherwise(
-        F.regexp_replace(raw, QUOTED_SECTION, "")
+        F.regexp_replace(raw, _field_start(sep) + QUOTED_SECTION, "$1")
     )
 
 
@@ -57,7 +64,5 @@ def count_char(text: Column, ch: str) -> Column:
 def open_quote(raw_unquoted: Column, sep: str) -> Column:
     """A quote left at a field start after closed sections are removed
     (the regex only runs on text that still holds a quote)."""
-    import re
-
     has_quote = F.instr(raw_unquoted, '"') > 0
-    return has_quote & raw_unquoted.rlike("(?:^|" + re.escape(sep) + ')"')
+    return has_quote & raw_unquoted.rlike(_field_start(sep) + '"')

@@ -20,15 +20,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.parsing import ASCII_SPACE
 from ..functions.text import count_char, na_to_null, open_quote, unquoted
 from ..rules import TableRules
-from ..session import broadcast_budget
+from ..session import broadcast_budget, ship_code
 from .listing import FILE_ID, FILE_URI, PATH, decoded_path, file_id, inputs, reader, relative_name
+from .records import ASSEMBLED, FOLDED, assemble, block_states, fold, line_code, whole_records
 
 RAW = "_raw"
 EXTRA = "_extra"
@@ -40,6 +41,8 @@ BLOCK_BYTES, FILE_BYTES = 64, 512
 #: Seeds tried until the 64-bit keys of all blocks (or files) differ.
 SEEDS = range(8)
 REPLACEMENT_CHAR = "�"
+#: Files with quoted newlines that are read by name; beyond, all files are read and these picked.
+NAMES = 1000
 
 
 def spark_charset(encoding: str) -> str:
@@ -82,6 +85,29 @@ def _fields(raw_unq, sep: str):
     return (F.length(raw_unq) - F.length(F.replace(raw_unq, F.lit(sep), F.lit("")))) / len(sep) + 1
 
 
+def _csv_options(sep: str) -> dict[str, str]:
+    return {
+        "sep": sep,
+        "quote": '"',
+        "escape": '"',
+        "mode": "PERMISSIVE",
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+
+
+def _without_bom(block: Column) -> Column:
+    return F.when(block == 0, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
+
+
+def _header_ok(rules: TableRules, text_cols: list[str], fields: Column) -> Column:
+    """Column by column with short-circuit: a data row fails at its first cell."""
+    ok = F.lit(True)
+    for c, h in zip(text_cols, rules.header):
+        ok = ok & F.coalesce(F.col(c) == F.lit(h), F.lit(False))
+    return (fields == len(text_cols)) & ok & F.lit(rules.header_matchable)
+
+
 def scan_csv(
     spark: SparkSession,
     root: str,
@@ -116,21 +142,14 @@ def scan_csv(
     schema = T.StructType(
         [T.StructField(c, T.StringType()) for c in (*text_cols, EXTRA, RAW)]
     )
-    csv_options = {
-        "sep": sep,
-        "quote": '"',
-        "escape": '"',
-        "mode": "PERMISSIVE",
-        "ignoreLeadingWhiteSpace": "false",
-        "ignoreTrailingWhiteSpace": "false",
-    }
+    csv_options = _csv_options(sep)
     line_mode = not multi_line and _is_utf8(encoding)
     if line_mode:
         # One record per line: the text source splits big files into blocks and
         # keeps the raw line; from_csv tokenizes it with the same options.
         lines = reader(spark, "csv").text(inputs(root, rules.source_path, paths))
         block = F.col("_metadata.file_block_start")
-        value = F.when(block == 0, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
+        value = _without_bom(block)
         ddl = ", ".join(f"{c} STRING" for c in (*text_cols, EXTRA))
         parsed = F.from_csv(value, F.lit(ddl), csv_options)
         df = lines.select(
@@ -163,15 +182,11 @@ def scan_csv(
         # The decoder substitutes U+FFFD for invalid bytes.
         bad_utf8 = F.coalesce(F.instr(F.col(RAW), REPLACEMENT_CHAR) > 0, F.lit(False))
     raw = F.col(RAW)
-    unq = unquoted(raw)
+    unq = unquoted(raw, sep)
     # In the CSV reader a record with exactly n+1 fields fills the extra column
     # and keeps no raw text.
     fields = F.when(raw.isNull(), F.lit(n + 1)).otherwise(_fields(unq, sep)).cast("int")
-    # Column-by-column with short-circuit: a data row fails at its first cell.
-    header_ok = F.lit(True)
-    for c, h in zip(text_cols, rules.header):
-        header_ok = header_ok & F.coalesce(F.col(c) == F.lit(h), F.lit(False))
-    header_ok = (fields == n) & header_ok & F.lit(rules.header_matchable)
+    header_ok = _header_ok(rules, text_cols, fields)
     numbered = (
         df.select(
             *text_cols,
@@ -293,17 +308,102 @@ def scan_csv_files(
     """Scans that together hold every CSV file once, each in the mode it needs.
 
     All files are read by lines first (big files are split). Those in which a
-    line ends inside quotes, so that a value may hold a newline, are read again
-    record by record, one task a file. Other encodings than UTF-8 are read
-    record by record at once.
+    line ends inside quotes, so that a value may hold a newline, are read by
+    ``scan_quoted``, which splits them too. Other encodings than UTF-8 are read
+    record by record at once, one task a file.
     """
     encoding = spark_charset(rules.format_options("csv").get("encoding") or "utf-8")
     options = {"cache_scan": cache_scan, "seed": seed}
     if not _is_utf8(encoding):
         return [scan_csv(spark, root, rules, multi_line=True, paths=paths, **options)]
     lines = scan_csv(spark, root, rules, multi_line=False, paths=paths, skip_open=True, **options)
-    # File names only, as the driver's file index holds them anyway.
-    quoted = [r[0] for r in lines.blocks.where("_file_open").select(PATH).distinct().collect()]
-    if not quoted:
+    opened = lines.blocks.where("_file_open").select(FILE_ID, PATH).distinct()
+    found = opened.limit(NAMES + 1).collect()
+    if not found:
         return [lines]
-    return [lines, scan_csv(spark, root, rules, multi_line=True, paths=quoted, **options)]
+    if len(found) <= NAMES:  # a few: the others are not read again
+        paths, opened = [r[PATH] for r in found], None
+    return [lines, scan_quoted(spark, root, rules, paths, opened, cache_scan, seed)]
+
+
+def scan_quoted(
+    spark: SparkSession,
+    root: str,
+    rules: TableRules,
+    paths: list[str] | None,
+    opened: DataFrame | None = None,
+    cache_scan: bool = True,
+    seed: int = 0,
+) -> CsvScan:
+    """Scan of UTF-8 files whose values may hold newlines; big files are split all the same.
+
+    The lines are read twice. First each line becomes a function of the reader's state (inside quotes or
+    not), composed per block (see ``records``): one row a block says whether it starts inside
+    quotes and how many records start before it. Then each block's lines are put
+    together to records, numbered as they come; only records that cross blocks meet, in pieces. Files
+    that end inside quotes are unreadable: their records are not built.
+
+    ``opened``: the ids of the files, of those that the paths or the prefix name."""
+    ship_code(spark)
+    sep = rules.format_options("csv").get("separator") or ","
+    data = [c.name for c in rules.data_columns]
+    text_cols = [f"_c{i}" for i in range(len(data))]
+    budget = broadcast_budget(spark)
+    block = F.col("_metadata.file_block_start")
+    uri = F.col("_metadata.file_path")
+    value = _without_bom(block)
+    lines = reader(spark, "csv").text(inputs(root, rules.source_path, paths)).select(
+        file_id(uri, seed).alias(FILE_ID), block.alias(BLOCK), uri.alias(FILE_URI), value.alias("value"),
+        (~F.is_valid_utf8("value")).alias("bad"),  # of the bytes as read: text functions mend them
+    )
+    if opened is not None:
+        ids = opened.select(FILE_ID)
+        lines = lines.join(F.broadcast(ids) if opened.count() * BLOCK_BYTES <= budget else ids.hint("shuffle_hash"), FILE_ID, "left_semi")
+    ends_in = open_quote(unquoted(F.col("value"), sep), sep)
+    stays_in = open_quote(unquoted(F.concat(F.lit('"'), F.col("value")), sep), sep)
+    code = line_code(F.col("value"), ends_in, stays_in, F.btrim("value", F.lit(ASCII_SPACE)) == "", F.col("bad"))
+    coded = lines.select(FILE_ID, BLOCK, FILE_URI, code.alias("code"), "value")
+    blocks = block_states(coded.drop("value").mapInArrow(fold, FOLDED)).persist(StorageLevel.MEMORY_AND_DISK)
+    nblocks = blocks.count()
+    small = nblocks * BLOCK_BYTES <= budget
+    entries = blocks.where("NOT file_open").select(F.col("file_id").alias("e_id"), F.col("block").alias("e_block"), "entry", "offset")
+    same = (F.col(FILE_ID) == F.col("e_id")) & (F.col(BLOCK) == F.col("e_block"))
+    if small:
+        entered = coded.join(F.broadcast(entries), same)
+    else:  # lines meet their block's row by a shuffle and are put in order again
+        entered = coded.withColumn(RID, F.monotonically_increasing_id()).join(entries, same).sortWithinPartitions(FILE_ID, BLOCK, RID)
+    built = entered.select(FILE_ID, BLOCK, FILE_URI, "code", "value", "entry", "offset").mapInArrow(assemble, ASSEMBLED)
+    cached = [blocks]
+    if cache_scan:
+        built = built.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(built)
+    ddl = ", ".join(f"{c} STRING" for c in (*text_cols, EXTRA))
+    parsed = F.from_csv("raw", F.lit(ddl), _csv_options(sep))
+    records = whole_records(built).select(
+        F.col("file_id").alias(FILE_ID), F.col("uri").alias(FILE_URI), (F.col("ordinal") - 1).alias("index"), "bad",
+        _fields(unquoted(F.col("raw"), sep), sep).cast("int").alias("_fields"), *[parsed[c].alias(c) for c in text_cols],
+    )
+    heads = records.withColumn("_header_ok", _header_ok(rules, text_cols, F.col("_fields"))).groupBy(FILE_ID).agg(
+        F.max(F.when(F.col("index") == -1, F.col("_fields"))).alias("header_fields"),
+        F.bool_or(F.when(F.col("index") == -1, F.col("_header_ok"))).alias("header_ok"),
+        F.max(F.when(F.col("index") == 0, F.col("_fields"))).alias("first_fields"),
+        F.max("_fields").alias("max_fields"),
+    )
+    files = blocks.groupBy(F.col("file_id").alias("f_id"), "uri").agg(
+        F.sum("n").alias("n_records"), F.bool_or("file_open").alias("open_quote"), F.bool_or("bad").alias("bad_utf8")
+    ).where("n_records > 0").withColumn(PATH, decoded_path(F.col("uri"))).withColumn("source_filename", relative_name(F.col(PATH), root))
+    files = files.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.append(files)
+    facts = files.join(heads, F.col("f_id") == F.col(FILE_ID), "left").select(
+        PATH, "header_fields", "header_ok", "max_fields", "open_quote", "bad_utf8", "n_records", "first_fields"
+    )
+    rows = records.where("index >= 0")
+    if files.count() * FILE_BYTES <= budget:
+        rows = rows.join(F.broadcast(files.select(F.col("f_id").alias(FILE_ID), "source_filename")), FILE_ID)
+    else:
+        rows = rows.withColumn("source_filename", relative_name(decoded_path(F.col(FILE_URI)), root))
+    rows = rows.select(
+        FILE_ID, "source_filename", F.col("index").cast("bigint").alias("index"),
+        *[na_to_null(F.col(c)).alias(name) for c, name in zip(text_cols, data)],
+    )
+    return CsvScan(rows=rows, facts=facts, cached=cached, blocks=blocks.select(F.col("n").alias("_n")), nblocks=nblocks)
