@@ -307,14 +307,14 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
     def documents_valid(spark, sf):
         return documents_check(spark, sf).valid.withColumn("source_filename", label()).withColumnRenamed("source_filename", "landing_file")
 
-    def json_check(spark, sf):
+    def json_check(spark, sf, **options):
         from .landing import events_json_landing, events_json_rules
         from ..plans.landing import check_landing
 
         root = events_json_landing(spark, sf)
         res = check_landing(
             spark, root, events_json_rules(), pipeline=PIPELINE, dataset=DATASET, table="events",
-            ingest_ts=INGEST_TS, persist=False,
+            ingest_ts=INGEST_TS, persist=False, **options,
         )
         return lambda df: df.withColumn("source_filename", label()).withColumnRenamed("source_filename", "landing_file"), res
 
@@ -330,6 +330,16 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         labelled, res = json_check(spark, sf)
         return labelled(res.data_invalid)
 
+    def json_split_file_stats(spark, sf):
+        """Every JSON file read by blocks, whatever its size."""
+        labelled, res = json_check(spark, sf, json_split_bytes=0)
+        return labelled(res.file_stats)
+
+    def json_split_data_invalid(spark, sf):
+        """Members of the arrays numbered by blocks; every file is split."""
+        labelled, res = json_check(spark, sf, json_split_bytes=0)
+        return labelled(res.data_invalid)
+
     file_stats_sql = (
         f"SELECT {_DQ}, landing_file, {_TS_SQL}, is_invalid, description FROM ("
         "SELECT DISTINCT o_orderstatus || '_' || CAST(o_orderkey // 1000000 AS VARCHAR) AS landing_file, false AS is_invalid, 'File is VALID' AS description FROM orders "
@@ -385,6 +395,14 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
     documents_stats_sql = oracle.rows_stats_sql(
         docs.rules, DOCUMENTS_FILES_SQL, INGEST_TS, PIPELINE, DATASET, "documents", file_col=_ORDERS_LABEL
     )
+    json_invalid_sql = oracle.data_invalid_sql(
+        ev.rules, EVENTS_JSON_SQL, INGEST_TS, PIPELINE, DATASET, "events",
+        columns=[
+            _DQ.replace("'orders'", "'events'"), "source_filename AS landing_file", '"index"',
+            "r AS invalid_reason", "c AS invalid_code", "cn AS invalid_col_name",
+            "cv AS invalid_col_value", _TS_SQL,
+        ],
+    )
     noted = DATASETS["noted"]
     export_sql = (
         "SELECT source_filename, doc_id, text, note, "
@@ -411,17 +429,9 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         "landing_documents_rows_stats": (documents_rows_stats, documents_stats_sql),
         "landing_documents_data_invalid": (documents_invalid, documents_invalid_sql),
         "landing_documents_valid": (documents_valid, oracle.valid_sql(docs.rules, DOCUMENTS_FILES_SQL, INGEST_TS, replace=valid_label)),
-        "json_landing_data_invalid": (
-            json_data_invalid,
-            oracle.data_invalid_sql(
-                ev.rules, EVENTS_JSON_SQL, INGEST_TS, PIPELINE, DATASET, "events",
-                columns=[
-                    _DQ.replace("'orders'", "'events'"), "source_filename AS landing_file", '"index"',
-                    "r AS invalid_reason", "c AS invalid_code", "cn AS invalid_col_name",
-                    "cv AS invalid_col_value", _TS_SQL,
-                ],
-            ),
-        ),
+        "json_landing_data_invalid": (json_data_invalid, json_invalid_sql),
+        "json_split_file_stats": (json_split_file_stats, json_file_stats_sql),
+        "json_split_data_invalid": (json_split_data_invalid, json_invalid_sql),
         "json_landing_rows_stats": (
             json_rows_stats,
             oracle.rows_stats_sql(

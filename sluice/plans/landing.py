@@ -12,7 +12,7 @@ from ..operators.filechecks import file_stats
 from ..rules import PIPELINE_NAME, TableRules
 from ..session import broadcast_budget
 from ..sources.csv import BLOCK_BYTES, FILE_BYTES, SEEDS, scan_csv, scan_csv_files
-from ..sources.json import scan_json
+from ..sources.json import SPLIT_BYTES, scan_json_files
 from ..sources.listing import FILE_ID, PATH, list_files
 from .validate import CheckResult, check_records, now_utc
 
@@ -63,17 +63,19 @@ def check_landing(
     paths: list[str] | None = None,
     materialize_as: str | None = None,
     cache_scan: bool = True,
+    json_split_bytes: int = SPLIT_BYTES,
 ) -> CheckResult:
     """Check every landing file of one table: returns the four outputs.
 
-    UTF-8 CSV files are split by lines unless a value holds a quoted newline,
-    file by file (``scan_csv_files``); ``multi_line`` forces one mode on all:
+    UTF-8 CSV files are split into blocks, also where values hold quoted newlines
+    (``scan_csv_files``); ``multi_line`` forces one mode on all:
     True reads record by record (one task a file), False by lines (a quoted
     newline then makes its file unreadable). ``paths`` restricts the run
     to the given landing files (incremental runs); by default every file
     under the table's prefix is checked. ``cache_scan=False`` parses the CSV
     and JSON files anew for each step (block table, key sizes, checks) instead
-    of caching the parsed records (very large inputs).
+    of caching the parsed records (very large inputs). JSON files beyond
+    ``json_split_bytes`` are read by many tasks each.
     """
     ts = ingest_ts or now_utc()
     paths = list(dict.fromkeys(paths)) if paths else None
@@ -97,13 +99,15 @@ def check_landing(
             cached += scan.cached
             parts += parallelism if uneven else scan.nblocks
     if "json" in formats:
-        scan = scan_json(spark, root, rules, paths, cache_scan=cache_scan, seed=seed)
         f = formats["json"]
-        uneven = f["biggest"] > SKEW_FACTOR * f["bytes"] / parallelism
-        rows.append(scan.rows.repartition(parallelism) if uneven else scan.rows)
-        json_facts = scan.facts
-        cached += scan.cached
-        parts += parallelism if uneven else f["files"]
+        scans = scan_json_files(spark, root, rules, paths, f["biggest"], cache_scan=cache_scan, seed=seed, split_bytes=json_split_bytes)
+        # a file that is split is no task's own; those that are not are below the split size
+        uneven = len(scans) == 1 and f["biggest"] > SKEW_FACTOR * f["bytes"] / parallelism
+        for scan in scans:
+            rows.append(scan.rows.repartition(parallelism) if uneven else scan.rows)
+            json_facts = scan.facts if json_facts is None else json_facts.unionByName(scan.facts)
+            cached += scan.cached
+        parts += parallelism if uneven else f["files"] + f["bytes"] // max(1, json_split_bytes)
     if set(formats) & set(WORKBOOK_EXTS):
         from ..sources.workbook import scan_workbooks
 

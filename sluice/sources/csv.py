@@ -379,7 +379,7 @@ def scan_quoted(
         cached.append(built)
     ddl = ", ".join(f"{c} STRING" for c in (*text_cols, EXTRA))
     parsed = F.from_csv("raw", F.lit(ddl), _csv_options(sep))
-    records = whole_records(built).select(
+    records = whole_records(built, "\n").select(
         F.col("file_id").alias(FILE_ID), F.col("uri").alias(FILE_URI), (F.col("ordinal") - 1).alias("index"), "bad",
         _fields(unquoted(F.col("raw"), sep), sep).cast("int").alias("_fields"), *[parsed[c].alias(c) for c in text_cols],
     )

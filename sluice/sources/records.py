@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -168,7 +169,7 @@ def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, schema=_ASSEMBLED)
 
 
-def whole_records(assembled: DataFrame, join: str = "\n") -> DataFrame:
+def whole_records(assembled: DataFrame, join: str) -> DataFrame:
     """The records, those in pieces put together: at most one a block."""
     pieces = assembled.where("piece IS NOT NULL").groupBy("file_id", "uri", "ordinal").agg(
         F.array_sort(F.collect_list(F.struct("piece", "raw"))).alias("parts"), F.bool_or("bad").alias("bad")
@@ -177,6 +178,124 @@ def whole_records(assembled: DataFrame, join: str = "\n") -> DataFrame:
     return assembled.where("piece IS NULL").drop("piece").unionByName(joined)
 
 
+# --- JSON arrays: segments that end with a closing brace ------------------------------------
+
+SEGMENTS = "file_id long, block long, uri string, flip int, d_out long, d_in long, at_out map<long,long>, at_in map<long,long>, bad boolean"
+
+
+def fold_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file_id, block, uri, flip, d_out, d_in, bad) in order -> a row a block: whether it turns the state (inside a
+    string or not), how deep it goes, and how many segments end outside strings at each depth, for both states."""
+    now, keys = None, None
+    types = pa.schema([
+        ("file_id", pa.int64()), ("block", pa.int64()), ("uri", pa.string()), ("flip", pa.int32()), ("d_out", pa.int64()), ("d_in", pa.int64()),
+        ("at_out", pa.map_(pa.int64(), pa.int64())), ("at_in", pa.map_(pa.int64(), pa.int64())), ("bad", pa.bool_()),
+    ])
+
+    def done() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([{**now, "at_out": list(now["at_out"].items()), "at_in": list(now["at_in"].items())}], schema=types)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        flip, d_out, d_in, bad = (batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5, 6))
+        for i, j in _runs(batch):
+            key = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+            if key != keys:
+                if now is not None:
+                    yield done()
+                keys = key
+                now = {"file_id": key[0], "block": key[1], "uri": batch.column(2)[i].as_py(), "flip": 0, "d_out": 0, "d_in": 0, "at_out": {}, "at_in": {}, "bad": False}
+            for first, depth, at in ((0, "d_out", "at_out"), (1, "d_in", "at_in")):
+                states, after = segment_states(flip[i:j], d_out[i:j], d_in[i:j], first ^ now["flip"], now[depth])
+                places, n = np.unique(after[states[1:] == 0], return_counts=True)
+                for p, k in zip(places.tolist(), n.tolist()):
+                    now[at][p] = now[at].get(p, 0) + k
+                now[depth] = int(after[-1])
+            now["flip"] ^= int(flip[i:j].sum() & 1)
+            now["bad"] = now["bad"] or bool(bad[i:j].any())
+    if now is not None:
+        yield done()
+
+
+def segment_states(flip: np.ndarray, d_out: np.ndarray, d_in: np.ndarray, state: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """State before each segment and after the last one, and the depth after each."""
+    states = np.concatenate(([state], state ^ (np.cumsum(flip) & 1)))
+    return states, depth + np.cumsum(np.where(states[:-1] == 0, d_out, d_in))
+
+
+def segment_blocks(folded: DataFrame) -> DataFrame:
+    """Adds, to each block: ``entry`` (starts inside a string), ``depth`` at its start, ``offset`` (records that end before
+    it), ``n`` (in it); and of its file ``total`` (records), ``last_depth`` and ``open`` (ends inside a string)."""
+    upto = Window.partitionBy("file_id").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy("file_id")
+    df = folded.withColumn("entry", (F.sum("flip").over(upto) - F.col("flip")) % 2 == 1)
+    df = df.withColumn("d", F.when(F.col("entry"), F.col("d_in")).otherwise(F.col("d_out"))).withColumn("depth", F.sum("d").over(upto) - F.col("d"))
+    at = F.when(F.col("entry"), F.col("at_in")).otherwise(F.col("at_out"))
+    df = df.withColumn("n", F.coalesce(F.try_element_at(at, 1 - F.col("depth")), F.lit(0)))
+    return df.select(
+        "file_id", "block", "uri", "entry", "depth", "n", "bad", (F.sum("n").over(upto) - F.col("n")).alias("offset"), F.sum("n").over(whole).alias("total"),
+        F.sum("d").over(whole).alias("last_depth"), (F.sum("flip").over(whole) % 2 == 1).alias("open"),
+    )
+
+
+def assemble_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file_id, block, uri, flip, d_out, d_in, value, entry, depth, offset) in order -> members of the array by
+    number, each with the comma or bracket before it; the last number of a file is what follows its members.
+    ``piece`` is null for a whole member, else the block that the piece lies in."""
+    at, state, depth, count = None, 0, 0, 0
+    held: dict | None = None
+    rows: list[dict] = []
+
+    def let_go(ended: bool) -> None:
+        nonlocal held
+        if held is not None:
+            begun, parts = held.pop("begun"), held.pop("parts")
+            rows.append({**held, "raw": "}".join(parts) + "}" * ended, "bad": False, "piece": None if begun and ended else held["piece"]})
+        held = None
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = batch.column(0).to_numpy()
+        flip, d_out, d_in = (batch.column(k).to_numpy() for k in (3, 4, 5))
+        single, ordinals = [], []
+        for i, j in _runs(batch):
+            block = batch.column(1)[i].as_py()
+            if at != (ids[i], block):
+                let_go(False)
+                at, state, depth, count = (ids[i], block), int(batch.column(7)[i].as_py()), batch.column(8)[i].as_py(), batch.column(9)[i].as_py()
+            before = depth
+            states, after = segment_states(flip[i:j], d_out[i:j], d_in[i:j], state, depth)
+            ends = (after == 1) & (states[1:] == 0)
+            fresh = np.concatenate(([held is None and state == 0 and before <= 1], ends[:-1]))  # a member starts with the segment
+            ordinal = count + np.cumsum(ends) - ends
+            lone = np.flatnonzero(fresh & ends)
+            single.append(i + lone)
+            ordinals.append(ordinal[lone])
+            for k in np.flatnonzero(~(fresh & ends)).tolist():
+                if held is None:
+                    held = {"file_id": int(ids[i]), "uri": batch.column(2)[i].as_py(), "ordinal": int(ordinal[k]), "piece": block, "begun": bool(fresh[k]), "parts": []}
+                held["parts"].append(batch.column(6)[i + k].as_py())
+                if ends[k]:
+                    let_go(True)
+            state, depth, count = int(states[-1]), int(after[-1]), count + int(ends.sum())
+        take = pa.array(np.concatenate(single))
+        if len(take):
+            part = batch.take(take)
+            raw = pc.binary_join_element_wise(part.column(6), "}", "")
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(2), pa.array(np.concatenate(ordinals)), raw, pa.array(np.zeros(len(take), bool)), pa.nulls(len(take), pa.int64())],
+                schema=_ASSEMBLED,
+            )
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=_ASSEMBLED)
+            rows = []
+    let_go(False)
+    if rows:
+        yield pa.RecordBatch.from_pylist(rows, schema=_ASSEMBLED)
+
+
 def line_code(value: Column, ends_in: Column, stays_in: Column, blank: Column, bad: Column) -> Column:
     """A line's code; the quote tests only run on lines with a quote."""
     quiet = F.instr(value, '"') == 0

@@ -414,3 +414,60 @@ def test_quote_states_against_a_reader_of_single_characters():
                 want.append(x)
         assert ["\n".join(p for _, p in sorted(pieces[k])) for k in sorted(pieces)] == want
         assert sorted(pieces) == list(range(len(want)))
+
+
+def _json_files(landing):
+    """JSON documents, sound and broken, whose strings hold braces, brackets, quotes and backslashes."""
+    import json
+    import random
+
+    r = random.Random(4)
+    values = [None, 1, 1.50, True, "plain", "a}b{", '"quoted" \\ back', "\\", "]},{", "é\n", {"x": {"y": [1, "}"]}}, [1, [2, "]"]], "", "t" * 300]
+    obj = lambda: {"atccode": f"K{r.randint(0, 9)}", "drug": r.choice(values)}
+    docs = {f"ok{k}": json.dumps([obj() for _ in range(90)], ensure_ascii=r.random() < 0.5, indent=r.choice([None, 1])) for k in range(4)}
+    docs["doubled"] = '[{"atccode":"A","atccode":"B","drug":"x"}]'
+    docs["order"] = json.dumps([{"drug": "x", "atccode": "A"}] * 20)
+    docs["late"] = json.dumps([{"atccode": "A"}] * 30 + [{"atccode": "A", "drug": "b"}])
+    docs["more"] = json.dumps([obj() for _ in range(20)] + [{"atccode": "A", "drug": "b", "extra": 1}])
+    docs["empty"], docs["blank"], docs["object"], docs["numbers"] = "[]", " [ ] \n", '{"atccode":"A","drug":"b"}', "[1,2]"
+    docs["cut"], docs["unclosed"] = docs["ok0"][:-40], docs["ok1"].rstrip()[:-1]
+    docs["twice"], docs["tail"], docs["comma"] = docs["ok0"] + docs["ok1"], docs["ok1"] + " x", docs["ok0"].rstrip()[:-1] + ",]"
+    docs["quote"] = docs["ok1"].replace('"drug"', '"drug', 1)
+    docs["missing"] = docs["ok1"].replace("},", "} ", 1) if "}," in docs["ok1"] else docs["ok1"][1:]
+    docs["single"] = "[{'atccode':'A','drug':'b'}]"
+    for name, text in docs.items():
+        landing(f"drugs/drugs_{name}.json", text)
+    landing("drugs/drugs_bytes.json", b'[{"atccode":"\xff","drug":"b"}]', binary=True)
+
+
+@pytest.mark.parametrize("options", [{}, {"spark.sql.autoBroadcastJoinThreshold": "-1", "sluice.broadcast.maxBytes": "1"}])
+def test_json_files_are_split(spark, landing, options):
+    """One JSON array read by many tasks: members, numbers and verdicts of the whole-document reading."""
+    from sluice.sources.json import scan_split_json
+
+    _json_files(landing)
+    got = []
+    options = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "1", **options}
+    old = {k: spark.conf.get(k, None) for k in options}
+    try:
+        for split in (False, True):
+            res = run(spark, landing, "drugs", cache_scan=not options.get("sluice.broadcast.maxBytes"), json_split_bytes=0 if split else 1 << 26)
+            got.append((stats(res), sorted(map(str, res.data_invalid.collect())), sorted(map(str, res.valid.collect())), sorted(map(str, res.rows_stats.collect()))))
+            res.release()
+            for k, v in options.items():
+                spark.conf.set(k, v)
+        scan = scan_split_json(spark, landing.root, rules("drugs"), split_bytes=0)
+        assert scan.cached[0].where("uri LIKE '%ok0.json'").count() > 10
+        for df in scan.cached:
+            df.unpersist()
+        res = run(spark, landing, "drugs", json_split_bytes=2000)  # some split, some whole
+        got.append((stats(res), sorted(map(str, res.data_invalid.collect())), sorted(map(str, res.valid.collect())), sorted(map(str, res.rows_stats.collect()))))
+        res.release()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert got[0] == got[1] == got[2]
+    s = got[1][0]
+    assert [n for n in sorted(s) if not s[n][0]] == ["drugs_doubled.json", "drugs_late.json"] + [f"drugs_ok{k}.json" for k in range(4)]
+    assert s["drugs_order.json"] == s["drugs_more.json"] == s["drugs_empty.json"] == (True, BAD_COLS)
+    assert len(got[0][2]) + len(got[0][1]) > 300
