@@ -15,14 +15,14 @@ whose LEAD bytes occur twice at all:
 2. The suffixes at those anchors, with the bytes before them that strings of
    theirs may start in, are range-partitioned by sampled splitters on their
    leading bytes (then document and place, so that a hot string spreads over many
-   buckets), and sorted within the buckets.
+   buckets). A bucket of some BUCKET suffixes is sorted by multikey quicksort on
+   eight bytes at a time.
 3. In a bucket, suffixes of equal leading bytes lie together; each of their
    strings is compared with the earlier ones. A bucket's first and last group may
    go on in its neighbours: their strings are compared across the boundaries.
 
 Strings are compared by 64-bit hashes among those with the same LEAD bytes at the
-same place; the sort is Spark's, which spills, where a multikey quicksort would
-need the bucket in memory.
+same place, not byte by byte.
 
 Defined results: a null text is empty; a text under SIZE bytes keeps all; rows
 with the same id and text are one document and get the same result; rows that
@@ -33,6 +33,7 @@ comes before all others; an empty table gives no row; extra columns play no part
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,13 +42,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash
-from .common import only, ship, staged, whole_text
+from .common import discard, only, ship, staged, whole_text
 
 SIZE = 100
 LEAD = 32
 REACH = SIZE - LEAD + 1  # positions of a string that can be its anchor
 _PLACE_BITS = 22
-_PIECE = (1 << _PLACE_BITS) - 2 * SIZE
+#: Bytes that are searched for anchors in one go.
+_PIECE = 500_000
+#: Suffixes of a bucket that one task sorts in memory, and splitters drawn for each bucket.
+BUCKET, DRAWN = 32_000, 50
+#: Buckets at most: splitters of some 60 bytes each go to every worker.
+MOST_BUCKETS = 500_000
+#: Suffixes whose strings are compared in one go, if a group of equal leads is not larger.
+_COMPARED = 4_000
 _U = np.uint64
 FIRST_ID = -(1 << 63)
 
@@ -95,7 +103,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """(first row, bytes, offsets, place in a long text) of chunks; a long text in pieces that overlap by SIZE - 1."""
-    for i, j in wordhash.chunks(offsets):
+    for i, j in wordhash.chunks(offsets, _PIECE):
         begin, end = int(offsets[i]), int(offsets[j])
         if end - begin <= _PIECE:
             yield i, data[begin:end], offsets[i:j + 1] - begin, 0
@@ -152,24 +160,49 @@ def _twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(len(route))
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, tag, text, ats) -> (lead, doc, tag, at, body): the suffixes that travel."""
-    for batch in batches:
-        for doc, tag, text, ats in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
-            raw = text.as_buffer().to_pybytes() if hasattr(text, "as_buffer") and text.as_buffer() is not None else b""
-            at = np.asarray(ats.values)
-            place, most, least = at >> _AT, (at >> _MOST) & 127, at & 127
-            bodies = [raw[p - a:p - b + SIZE] for p, a, b in zip(place.tolist(), most.tolist(), least.tolist())]
-            leads = [raw[p:p + LEAD] for p in place.tolist()]
-            for i in range(0, len(at), 20_000):
-                part = slice(i, i + 20_000)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(leads[part], pa.binary()), *[pa.array(np.full(len(at[part]), x, np.int64)) for x in (doc, tag)],
-                        pa.array(at[part]), pa.array(bodies[part], pa.binary()),
-                    ],
-                    names=["lead", "doc", "tag", "at", "body"],
-                )
+def _suffixes(splitters: list[tuple] | None):
+    """(doc, tag, text, ats) -> (bucket, lead, doc, tag, at, body): the suffixes that travel, or
+    without splitters (lead, doc, tag, at) alone."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, tag, text, ats in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                raw = text.as_buffer().to_pybytes() if hasattr(text, "as_buffer") and text.as_buffer() is not None else b""
+                every = np.asarray(ats.values)
+                for i in range(0, len(every), 20_000):
+                    at = every[i:i + 20_000]
+                    place, most, least = at >> _AT, (at >> _MOST) & 127, at & 127
+                    leads = [raw[p:p + LEAD] for p in place.tolist()]
+                    keys = [pa.array(leads, pa.binary()), *[pa.array(np.full(len(at), x, np.int64)) for x in (doc, tag)], pa.array(at)]
+                    if splitters is None:
+                        yield pa.RecordBatch.from_arrays(keys, names=["lead", "doc", "tag", "at"])
+                        continue
+                    bucket = [bisect_right(splitters, (lead, doc, tag, a)) for lead, a in zip(leads, at.tolist())]
+                    bodies = [raw[p - a:p - b + SIZE] for p, a, b in zip(place.tolist(), most.tolist(), least.tolist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(bucket, pa.int32()), *keys, pa.array(bodies, pa.binary())], names=["bucket", "lead", "doc", "tag", "at", "body"]
+                    )
+
+    return found
+
+
+def multikey_quicksort(words: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Rows of ``order`` by their words, first to last; equal rows keep their order.
+
+    A pivot parts the rows by one word into lower, equal and higher ones; the equal go on
+    with the next word. Few rows are sorted at once."""
+    done, todo = [], [(order, 0)]
+    while todo:
+        rows, k = todo.pop()
+        if len(rows) < 2 or k == words.shape[1]:
+            done.append(rows)
+        elif len(rows) <= 512:
+            done.append(rows[np.lexsort(words[rows, k:].T[::-1])])
+        else:
+            key = words[rows, k]
+            pivot = np.sort(key[[0, len(rows) // 4, len(rows) // 2, 3 * len(rows) // 4, -1]])[2]
+            todo += [(rows[key > pivot], k), (rows[key == pivot], k + 1), (rows[key < pivot], k)]
+    return np.concatenate(done) if done else order
 
 
 def _expand(bodies: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -188,68 +221,69 @@ def _expand(bodies: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return row, most[row] - step, wordhash.mix((sums[start + SIZE] - sums[start]) * inverse[start])
 
 
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each bucket; a bucket's rows come one after the other."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for batch in batches:
+        bucket = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            if i == j:
+                continue
+            if held and bucket[i] != now:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = bucket[i]
+            held.append(batch.slice(i, j - i))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffixes in order -> (doc, tag, start, stop, string): repeated stretches
+    """Buckets of suffixes -> (doc, tag, start, stop, string): repeated stretches
     (string null), and the strings of the first and last group that have no
-    earlier one in this bucket (with their hash), for the boundaries."""
-    group, first, started = None, True, True  # the group that the last batch ended in; still in the first one; no batch yet
-    seen = np.empty(0, _U)  # its strings
-    held: list[tuple] = []  # its strings without an earlier one here: kept back until it is known to be the last group
+    earlier one in their bucket (with their hash), for the boundaries."""
 
     def rows(doc, tag, start, stop, string=None) -> pa.RecordBatch:
         string = pa.nulls(len(doc), pa.int64()) if string is None else pa.array(string.view(np.int64))
         return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tag), pa.array(start), pa.array(stop), string], names=["doc", "tag", "start", "stop", "string"])
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        leads, doc, tags, at, bodies = (batch.column(k) for k in range(5))
-        doc, tag, at = doc.to_numpy(), tags.to_numpy(), at.to_numpy()
-        raw, marks = wordhash.texts(leads)
-        words = raw[marks[0]:marks[-1]].reshape(-1, LEAD)
-        new = np.concatenate(([words[0].tobytes() != group], (words[1:] != words[:-1]).any(axis=1)))
-        number = np.cumsum(new)  # 0: goes on from the batch before
-        group = words[-1].tobytes()
-        # one number per lead, whatever the batch
-        lead_hash = wordhash.mix((words.view(_U).reshape(-1, LEAD // 8) * _LEADS).sum(axis=1, dtype=_U))
-        row, before, string = _expand(bodies, at)
-        string = wordhash.mix(string + lead_hash[row] + before.astype(_U) * _U(0xA24BAED4963EE407))
-        place = at >> _AT
-        start = place[row] - before
-        # rows are in the order of document and place: the first of equal strings is the earliest
-        _, index, inverse = np.unique(string, return_index=True, return_inverse=True)
-        origin = index[inverse]
-        o = row[origin]
-        repeat = (doc[o] != doc[row]) | (tag[o] != tag[row]) | (place[o] != place[row])
-        if number[0] == 0 and len(seen):
-            spot = np.minimum(np.searchsorted(seen, string), len(seen) - 1)
-            repeat |= (number[row] == 0) & (seen[spot] == string)
-        # repeated strings of a suffix that touch make one stretch
-        r, s = row[repeat], start[repeat]
-        if len(r):
-            cut = np.flatnonzero(np.concatenate(([True], (r[1:] != r[:-1]) | (s[1:] > s[:-1] + SIZE))))
-            to = np.concatenate((cut[1:], [len(r)])) - 1
-            yield rows(doc[r[cut]], tag[r[cut]], s[cut], s[to] + SIZE)
-        own = ~repeat
-        lasting = number[row] == number[-1]
-        if number[-1] and held:  # the kept-back group has ended inside the bucket
-            if first:
-                yield from held
-            held = []
-        number_first = 1 if started else 0  # the bucket's first group goes by this number here
-        started = False
-        leading = own & (number[row] == number_first) & first
-        if number[-1] != number_first:
-            if leading.any():
-                q = row[leading]
-                yield rows(doc[q], tag[q], start[leading], start[leading] + SIZE, string[leading])
-            first = False
-        q = own & lasting
-        if q.any():
-            held.append(rows(doc[row[q]], tag[row[q]], start[q], start[q] + SIZE, string[q]))
-        fresh = string[lasting & own]
-        seen = np.unique(np.concatenate((seen, fresh)) if number[-1] == 0 else fresh)
-    yield from held
+    for bucket in _buckets(batches):
+        docs, tags, ats = (bucket[c].to_numpy() for c in ("doc", "tag", "at"))
+        raw, marks = wordhash.texts(bucket["lead"].combine_chunks())
+        leads = raw[marks[0]:marks[-1]].reshape(-1, LEAD)
+        order = multikey_quicksort(leads.copy().view(">u8"), np.lexsort((ats, tags, docs)))
+        words = leads[order]
+        new = np.flatnonzero(np.concatenate(([True], (words[1:] != words[:-1]).any(axis=1))))
+        edges = np.append(new, len(order))
+        i = 0
+        while i < len(new):  # some whole groups at a time
+            j = max(i + 1, int(np.searchsorted(edges, edges[i] + _COMPARED, "right")) - 1)
+            part = order[edges[i]:edges[j]]
+            number = np.repeat(np.arange(i, j), np.diff(edges[i:j + 1]))
+            doc, tag, at = docs[part], tags[part], ats[part]
+            # one number per lead, whatever the bucket
+            lead_hash = wordhash.mix((leads[part].view(_U).reshape(-1, LEAD // 8) * _LEADS).sum(axis=1, dtype=_U))
+            row, before, string = _expand(bucket["body"].take(pa.array(part)).combine_chunks(), at)
+            string = wordhash.mix(string + lead_hash[row] + before.astype(_U) * _U(0xA24BAED4963EE407))
+            place = at >> _AT
+            start = place[row] - before
+            # rows are in the order of document and place: the first of equal strings is the earliest
+            _, index, inverse = np.unique(string, return_index=True, return_inverse=True)
+            o = row[index[inverse]]
+            repeat = (doc[o] != doc[row]) | (tag[o] != tag[row]) | (place[o] != place[row])
+            # repeated strings of a suffix that touch make one stretch
+            r, s = row[repeat], start[repeat]
+            if len(r):
+                cut = np.flatnonzero(np.concatenate(([True], (r[1:] != r[:-1]) | (s[1:] > s[:-1] + SIZE))))
+                to = np.concatenate((cut[1:], [len(r)])) - 1
+                yield rows(doc[r[cut]], tag[r[cut]], s[cut], s[to] + SIZE)
+            edge = ~repeat & ((number[row] == 0) | (number[row] == len(new) - 1))
+            if edge.any():
+                q = row[edge]
+                yield rows(doc[q], tag[q], start[edge], start[edge] + SIZE, string[edge])
+            i = j
 
 
 _LEADS = wordhash.mix(np.arange(2001, 2001 + LEAD // 8, dtype=_U)) | _U(1)
@@ -308,6 +342,19 @@ def _same(prefix: str):
     return (F.col("doc") == F.col(f"{prefix}_doc")) & (F.col("tag") == F.col(f"{prefix}_tag"))
 
 
+def _splitters(travelling: DataFrame, n: int) -> list[tuple]:
+    """Where buckets of about BUCKET of the ``n`` suffixes begin, by a sample of them."""
+    count = min(MOST_BUCKETS, -(-n // BUCKET))
+    if count < 2:
+        return []
+    every = max(1, n // (count * DRAWN))
+    drawn = F.filter("ats", lambda x: F.pmod(F.xxhash64(x, "doc", "tag"), F.lit(every)) == 0)
+    some = travelling.select("doc", "tag", "text", drawn.alias("ats")).where(F.size("ats") > 0)
+    rows = some.mapInArrow(_suffixes(None), "lead binary, doc long, tag long, at long").toArrow().to_pydict()
+    sample = sorted(zip(rows["lead"], rows["doc"], rows["tag"], rows["at"]))
+    return [sample[len(sample) * k // count] for k in range(1, count)] if sample else []
+
+
 def repeats(docs: DataFrame, *, doc_id="doc_id", text="text") -> DataFrame:
     """One row per document: (doc_id, doc, tag, n_bytes, runs, kept_sha256).
 
@@ -328,9 +375,12 @@ def repeats(docs: DataFrame, *, doc_id="doc_id", text="text") -> DataFrame:
         ),
         "suffix-documents",
     )
+    discard(ats)
     some = joined.where("ats IS NOT NULL")
-    suffixes = some.select("doc", "tag", "text", F.array_sort("ats").alias("ats")).mapInArrow(_suffixes, "lead binary, doc long, tag long, at long, body binary")
-    buckets = suffixes.repartitionByRange("lead", "doc", "tag", "at").sortWithinPartitions("lead", "doc", "tag", "at")
+    travelling = some.select("doc", "tag", "text", F.array_sort("ats").alias("ats"))
+    n = some.agg(F.sum(F.size("ats"))).first()[0] or 0
+    dealt = travelling.mapInArrow(_suffixes(_splitters(travelling, n)), "bucket int, lead binary, doc long, tag long, at long, body binary")
+    buckets = dealt.repartition("bucket").sortWithinPartitions("bucket")
     found = staged(buckets.mapInArrow(_sort_bucket, "doc long, tag long, start long, stop long, string long"), "suffix-repeats")
     edge = found.where("string IS NOT NULL")
     earliest = edge.groupBy(F.col("string").alias("e_string")).agg(F.min(F.struct("doc", "tag", "start")).alias("earliest"))

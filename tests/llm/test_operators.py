@@ -457,3 +457,34 @@ def test_decontamination(docs, spark, monkeypatch, limit):
     assert decontam.query(cut, bm).where("n_hit > 0").count() == 0
     assert decontam.query(docs, bm.limit(0)).where("n_hit > 0").count() == 0
     assert decontam.query(docs.limit(0), bm).count() == 0
+
+
+def test_suffixes_in_many_buckets(spark, monkeypatch):
+    """A hot passage, ties and long texts over buckets of a few suffixes: brute force of every 100-byte string."""
+    import numpy as np
+
+    monkeypatch.setattr(suffixes, "BUCKET", 7)
+    monkeypatch.setattr(suffixes, "_COMPARED", 5)
+    monkeypatch.setattr(suffixes, "_PIECE", 700)
+    rnd = random.Random(11)
+    text = lambda n: "".join(rnd.choices("abcdefgh ", k=n))
+    hot, other = text(260), text(140)
+    texts = [text(rnd.randint(0, 300)) + hot + text(rnd.randint(0, 90)) for _ in range(25)] + [other * 9, text(2500) + hot[:130] + text(900) + other, "ab" * 400]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        raw = t.encode()
+        gone = np.zeros(len(raw) + 1, int)
+        for k in range(len(raw) - 99):
+            if raw[k:k + 100] in seen:
+                gone[k] += 1
+                gone[k + 100] -= 1
+            seen.add(raw[k:k + 100])
+        keep = np.cumsum(gone)[:len(raw)] == 0
+        want[i] = (len(raw), int((~keep).sum()), hashlib.sha256(bytes(np.frombuffer(raw, np.uint8)[keep])).hexdigest())
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in suffixes.query(docs).collect()}
+    assert got == want
+    order = suffixes.multikey_quicksort(np.array([[rnd.randrange(4), rnd.randrange(9)] for _ in range(5000)], ">u8"), np.arange(5000))
+    assert sorted(order.tolist()) == list(range(5000))
+    words = np.array([[rnd.randrange(4), rnd.randrange(9), rnd.randrange(2)] for _ in range(5000)], ">u8")
+    assert suffixes.multikey_quicksort(words, np.arange(5000)).tolist() == sorted(range(5000), key=lambda k: words[k].tolist())
