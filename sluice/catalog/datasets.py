@@ -412,3 +412,48 @@ NOTED_SQL = _text_sql(
     "documents",
 )
 DATASETS["noted"] = Dataset("noted", NOTED, _noted_spark, NOTED_SQL)
+
+
+# Orders whose dates have no declared format: each file shows its own, by status, and holds others.
+def _undeclared_spark(spark: SparkSession, sf: str) -> DataFrame:
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    shown = (
+        F.when(F.col("o_orderstatus") == "F", F.date_format(d, "yyyy-MM-dd"))
+        .when(F.col("o_orderstatus") == "O", F.date_format(d, "dd/MM/yyyy"))
+        .otherwise(F.date_format(d, "d MMMM yyyy"))
+    )
+    day = (
+        F.when(k % 9 == 0, F.date_format(d, "yyyy-MM-dd HH:mm:ss")).when(k % 50 == 0, F.lit(None))
+        .when(k % 97 == 0, F.lit("99999-01-01")).otherwise(shown)
+    )
+    file = F.concat_ws("_", "o_orderstatus", F.floor(k / 500).cast("string"))
+    return table_records(o, UNDECLARED, file, k, {"o_orderkey": _s(k), "o_orderdate": day})
+
+
+UNDECLARED = rules_of(col("o_orderkey", "INTEGER", "REQUIRED"), col("o_orderdate", "DATETIME"))
+UNDECLARED_SQL = _text_sql(
+    "o_orderstatus || '_' || CAST(o_orderkey // 500 AS VARCHAR)",
+    "o_orderkey",
+    {
+        "o_orderkey": "CAST(o_orderkey AS VARCHAR)",
+        "o_orderdate": "CASE WHEN o_orderkey % 9 = 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') "
+        "WHEN o_orderkey % 50 = 0 THEN NULL WHEN o_orderkey % 97 = 0 THEN '99999-01-01' "
+        "WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%d') "
+        "WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%d/%m/%Y') ELSE strftime(o_orderdate, '%-d %B %Y') END",
+    },
+    "orders",
+)
+DATASETS["undeclared"] = Dataset("undeclared", UNDECLARED, _undeclared_spark, UNDECLARED_SQL)
+
+#: The rows above with the date that their file's first value lets them have (null: none).
+_SHOWN = ("%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%m/%d/%Y", "%d/%m/%Y", "%d %B %Y")
+_PARSED = [f"try_strptime(x, '{f}')" for f in _SHOWN]
+UNDECLARED_PARSED_SQL = (
+    f"WITH t AS (SELECT *, coalesce(o_orderdate, '1900-01-01') AS x FROM ({UNDECLARED_SQL})), "
+    "firsts AS (SELECT source_filename AS f, arg_min(x, \"index\") AS x FROM t GROUP BY ALL), "
+    "formats AS (SELECT f, CASE " + " ".join(f"WHEN {p} IS NOT NULL THEN {k}" for k, p in enumerate(_PARSED)) + " END AS format FROM firsts), "
+    "read AS (SELECT t.*, CASE format " + " ".join(f"WHEN {k} THEN {p}" for k, p in enumerate(_PARSED)) + f" ELSE coalesce({', '.join(_PARSED)}) END AS v "
+    "FROM t JOIN formats ON f = source_filename), "
+    "dated AS (SELECT * REPLACE (CASE WHEN v BETWEEN TIMESTAMP '1677-09-21 00:12:43.145225' AND TIMESTAMP '2262-04-11 23:47:16.854775' THEN v END AS v) FROM read) "
+)

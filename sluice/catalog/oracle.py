@@ -13,6 +13,8 @@ from ..rules import LINEAGE_COLUMNS, ColumnRule, TableRules
 CODE_NULL = "NULL_VALUE_NOT_EXPECTED"
 CODE_KEY = "KEY_NOT_UNIQUE"
 CODE_PARSE = "COLUMN_NOT_PARSABLE"
+CODE_LOAD = "VALUE_NOT_LOADABLE"
+REASON_LOAD = "{col} holds a number that cannot be loaded as {type}"
 REASON_REQUIRED = "{col} is NULL whereas it is REQUIRED"
 REASON_KEY = "{cols} is not unique : {n} occurences"
 REASON_PARSE = "{col} is not parsable to {type}"
@@ -59,6 +61,12 @@ def sql_integer(x: str) -> str:
     return f"(CASE WHEN NOT regexp_full_match({x}, '[0-9]*[.,][1-9]+') THEN {sql_number(x)} END)"
 
 
+def sql_bigint(x: str) -> str:
+    """The integer that a number's text says, from the text: a double would lose digits."""
+    d, e = sql_integer(x), f"TRY_CAST(trim({x}) AS DECIMAL(38,9))"
+    return f"(CASE WHEN {d} IS NOT NULL AND {e} = floor({e}) THEN TRY_CAST({e} AS BIGINT) END)"
+
+
 def sql_datetime(x: str, fmt: str | None) -> str:
     if fmt is None:
         return f"TRY_CAST({x} AS TIMESTAMP)"
@@ -135,6 +143,13 @@ def ctes(rules: TableRules, text_sql: str, ingest_ts: str) -> str:
             f"SELECT source_filename, \"index\", {q(REASON_PARSE.format(col=rule.name, type=rule.type))} AS r, "
             f"{q(CODE_PARSE)} AS c, {q(rule.name)} AS cn, {ident(rule.name)} AS cv FROM k WHERE {f}"
         )
+        if rule.type == "INTEGER":
+            x = ident(rule.name)
+            parts.append(
+                f"SELECT source_filename, \"index\", {q(REASON_LOAD.format(col=rule.name, type=rule.type))} AS r, "
+                f"{q(CODE_LOAD)} AS c, {q(rule.name)} AS cn, {x} AS cv FROM k "
+                f"WHERE {x} IS NOT NULL AND {sql_integer(x)} IS NOT NULL AND {sql_bigint(x)} IS NULL"
+            )
     if not parts:
         parts.append(
             "SELECT source_filename, \"index\", CAST(NULL AS VARCHAR) AS r, CAST(NULL AS VARCHAR) AS c, "
@@ -199,9 +214,7 @@ def valid_sql(rules: TableRules, text_sql, ingest_ts, replace: dict[str, str] |
         elif rule.type in ("FLOAT", "FLOAT64"):
             cols.append(f"{sql_value(rule, c)} AS {c}")
         elif rule.type == "INTEGER":
-            d = sql_value(rule, c)
-            e = f"TRY_CAST(trim({c}) AS DECIMAL(38,9))"  # from the text: a double would lose digits
-            cols.append(f"(CASE WHEN {d} IS NOT NULL AND {e} = floor({e}) THEN TRY_CAST({e} AS BIGINT) END) AS {c}")
+            cols.append(f"{sql_bigint(c)} AS {c}")
         elif rule.type == "DATE":
             cols.append(f"CAST({sql_value(rule, c)} AS DATE) AS {c}")
         else:

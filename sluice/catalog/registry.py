@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ..operators.rowchecks import normalise
 from ..plans.validate import check_records, materialize
-from ..schemas import CODE_KEY, CODE_NULL, CODE_PARSE
+from ..schemas import CODE_KEY, CODE_LOAD, CODE_NULL, CODE_PARSE
 from . import oracle
-from .datasets import DATASET, DATASETS, INGEST_TS, PIPELINE
+from .datasets import DATASET, DATASETS, INGEST_TS, PIPELINE, UNDECLARED_PARSED_SQL
 
 REPORT = [
     "source_filename", "index", "invalid_reason", "invalid_code", "invalid_col_name", "invalid_col_value",
@@ -102,6 +102,20 @@ def _null_dates_pass_violations() -> tuple[Query, str]:
     )
 
 
+def _first_value_dates(kind: str) -> tuple[Query, str]:
+    """Dates without a declared format, read by the format of their file's first value (X9)."""
+    if kind == "violations":
+        run = lambda spark, sf: _check(spark, sf, "undeclared").data_invalid.select(*REPORT)
+        return run, UNDECLARED_PARSED_SQL + (
+            "SELECT source_filename, \"index\", 'o_orderdate is not parsable to DATETIME' AS invalid_reason, 'COLUMN_NOT_PARSABLE' AS invalid_code, "
+            "'o_orderdate' AS invalid_col_name, o_orderdate AS invalid_col_value FROM dated WHERE v IS NULL"
+        )
+    run = lambda spark, sf: _check(spark, sf, "undeclared").valid.select("source_filename", "o_orderkey", "o_orderdate")
+    return run, UNDECLARED_PARSED_SQL + (
+        "SELECT source_filename, CAST(o_orderkey AS BIGINT) AS o_orderkey, CASE WHEN o_orderdate IS NOT NULL THEN v END AS o_orderdate FROM dated WHERE v IS NOT NULL"
+    )
+
+
 def table_queries() -> dict[str, tuple[Query, str]]:
     return {
         # R1
@@ -117,6 +131,11 @@ def table_queries() -> dict[str, tuple[Query, str]]:
         "date_parse_violations": _violations("orders", CODE_PARSE, ("o_orderdate", "o_orderday")),
         "datetime_parse_violations": _violations("events", CODE_PARSE),
         "null_dates_pass_violations": _null_dates_pass_violations(),
+        # X9: no declared format
+        "date_first_value_violations": _first_value_dates("violations"),
+        "date_first_value_valid": _first_value_dates("valid"),
+        # R6: numbers that pass the check and no bigint holds
+        "integer_not_loadable": _violations("wide_keys", CODE_LOAD),
         # P1, P2
         "newline_normalised": _normalised("documents", ["source_filename", "index", "text"]),
         "drop_all_null": _normalised(

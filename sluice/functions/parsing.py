@@ -256,29 +256,84 @@ def strptime(text: Column, fmt: str) -> Column:
     return StrptimeParser(fmt)(text)
 
 
-class IsoParser:
-    """DATE/DATETIME without a format: ISO text, as Spark casts it."""
+# --- fixed values -----------------------------------------------------------
+# Date parts that a first value may show, in the order in which pandas prefers them
+# (month before day); a time part may follow after a blank or T.
+FIRST_VALUE_FORMATS = (
+    "%Y-%m-%d", "%Y/%m/%d", "%Y.%m.%d", "%Y %m %d", "%m/%d/%Y", "%d/%m/%Y", "%m-%d-%Y", "%d-%m-%Y", "%m.%d.%Y", "%d.%m.%Y",
+    "%d %B %Y", "%d %b %Y", "%d-%B-%Y", "%d-%b-%Y", "%B %d, %Y", "%b %d, %Y", "%Y%m%d", "%Y%m%d%H%M%S", "%Y-%m", "%Y",
+)
+TIME_PART = r"[T ][0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2}(?:\.[0-9]{1,6})?)?\z"
+# --------------------------------------------------------------------------
+
+
+class FirstValueParser:
+    """DATE/DATETIME without a format: pandas takes the format of the column's first
+    value in the file and reads all others by it.
+
+    ``date`` and ``time``: columns with the number of the file's date format and the
+    shape of its time part (see ``first_value_format``); where ``date`` is null, because the
+    first value shows no known format, or not given, each value is read by the
+    first format that fits it. ``used``: the date formats that occur (None: any may), ``alone``: whether
+    the date may be null. Formats with a zone, weekday or two-digit year are not known.
+    """
+
+    def __init__(self, date: Column | None = None, time: Column | None = None, used: tuple[int, ...] | None = None, alone: bool = True):
+        self.date, self.time, self.alone = date, time, alone
+        self.used = range(len(FIRST_VALUE_FORMATS)) if used is None else used
 
     def prepare(self, text: Column) -> dict[str, Column]:
-        return {"t": text}
+        date = F.when(F.instr(text, ":") > 0, F.regexp_replace(text, TIME_PART, "")).otherwise(text)
+        return {"d": date, "t": F.substr(text, F.length(date) + 1)}
 
     def raw(self, prep: dict[str, Column]) -> Column:
-        return prep["t"].try_cast("timestamp_ntz")
+        value = F.lit(None).cast("timestamp_ntz")
+        if self.alone or self.date is None:
+            any_format = F.coalesce(*[strptime(prep["d"], f) for f in FIRST_VALUE_FORMATS])
+            if self.date is None:
+                return any_format
+            value = F.when(self.date.isNull(), any_format)
+        for k in self.used:
+            value = F.when(self.date == k, strptime(prep["d"], FIRST_VALUE_FORMATS[k])).otherwise(value)
+        return value
 
     def final(self, prep: dict[str, Column], raw: Column) -> Column:
-        return raw
+        value = raw + _time_of(prep["t"])
+        if self.date is not None:
+            value = F.when(self.date.isNull() | (time_shape(prep["t"]) == self.time), value)
+        return F.when(value.between(F.lit(TS_MIN).cast("timestamp_ntz"), F.lit(TS_MAX).cast("timestamp_ntz")), value)
 
     def __call__(self, text: Column) -> Column:
-        return self.raw(self.prepare(text))
+        prep = self.prepare(text)
+        return self.final(prep, self.raw(prep))
+
+
+def time_shape(part: Column) -> Column:
+    """0 for no time; else hours to minutes 1, seconds 2, fractions 3, and 10 more after a T."""
+    seconds = F.when(F.instr(part, ".") > 0, 3).when(F.length(part) - F.length(F.replace(part, F.lit(":"), F.lit(""))) == 2, 2).otherwise(1)
+    return F.when(part == "", 0).otherwise(seconds + F.when(F.startswith(part, F.lit("T")), 10).otherwise(0))
+
+
+def _time_of(part: Column) -> Column:
+    """A time part as an interval; null if it is no time."""
+    n = [F.try_element_at(F.split(F.substr(part, F.lit(2)), ":"), F.lit(k)) for k in (1, 2, 3)]
+    hour, minute, second = n[0].try_cast("int"), n[1].try_cast("int"), F.coalesce(n[2].try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
+    fits = (hour < 24) & (minute < 60) & (second < 62)
+    known = F.when(part == "", F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0)))
+    return F.when(part == "", known).when(fits, F.make_dt_interval(F.lit(0), hour, minute, second))
 
 
-def iso_datetime(text: Column) -> Column:
-    """DATE/DATETIME without a format: ISO text, as Spark casts it."""
-    return text.try_cast("timestamp_ntz")
+def first_value_format(text: Column) -> Column:
+    """(date, time) of a first value: the number of its date format and the shape of its
+    time part; a null date if it shows none."""
+    parser = FirstValueParser()
+    prep = parser.prepare(text)
+    date = F.coalesce(*[F.when(strptime(prep["d"], f).isNotNull(), F.lit(k)) for k, f in enumerate(FIRST_VALUE_FORMATS)])
+    return F.struct(F.when(_time_of(prep["t"]).isNotNull(), date).alias("date"), time_shape(prep["t"]).alias("time"))
 
 
 def datetime_value(text: Column, fmt: str | None) -> Column:
-    return strptime(text, fmt) if fmt else iso_datetime(text)
+    return strptime(text, fmt) if fmt else FirstValueParser()(text)
 
 
 def parser_for(type_: str, fmt: str | None = None, thousand: str | None = None, decimal: str | None = None):
@@ -288,5 +343,5 @@ def parser_for(type_: str, fmt: str | None = None, thousand: str | None = None,
     if type_ == "INTEGER":
         return NumberParser(integer=True)
     if type_ in ("DATE", "DATETIME"):
-        return StrptimeParser(fmt) if fmt else IsoParser()
+        return StrptimeParser(fmt) if fmt else FirstValueParser()
     return None

@@ -7,13 +7,15 @@ their target names, all strings, NA tokens already null.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parsing import NULL_DATE_TEXT, NULL_NUMBER_TEXT, integral, parser_for
+from ..functions.parsing import NULL_DATE_TEXT, NULL_NUMBER_TEXT, FirstValueParser, first_value_format, integral, parser_for
 from ..functions.text import key_value_text, newline_to_space, python_list_text
 from ..rules import LINEAGE_COLUMNS, ColumnRule, TableRules
-from ..schemas import CODE_KEY, CODE_NULL, CODE_PARSE, REASON_KEY, REASON_PARSE, REASON_REQUIRED
+from ..schemas import CODE_KEY, CODE_LOAD, CODE_NULL, CODE_PARSE, REASON_KEY, REASON_LOAD, REASON_PARSE, REASON_REQUIRED
+from ..session import broadcast_budget
 from .keys import KEY_COUNT, with_key_counts
 
 VIOLATIONS = "violations"
@@ -87,30 +89,72 @@ def parse_failure(rule: ColumnRule, text: Column, null_dates_pass: bool) -> Colu
     return value.isNull()
 
 
-def with_parsed(df: DataFrame, rules: TableRules) -> DataFrame:
-    """Add ``_p_<col>`` (parsed value, null when unparsable) for checked columns.
+def loaded_col(name: str) -> str:
+    return f"_i_{name}"
+
+
+#: Memory of a file's date formats in a broadcast.
+FORMAT_BYTES = 128
+
+
+def with_first_value_formats(
+    rows: DataFrame, counted: DataFrame, rules: TableRules, file_key: str, budget: int | None = None
+) -> tuple[DataFrame, dict[str, FirstValueParser], DataFrame | None]:
+    """X9: the date format of each file's first value, for date columns without a format.
+
+    ``counted``: the same rows before a repartition. One small aggregate gives each file's first
+    value of each such column (nulls read as the reference fills them); its format, two
+    numbers, is joined to the file's rows. Returns the rows, the parsers that read
+    by these columns, and the cached table of formats."""
+    rs = [r for r in _checked_rules(rules) if r.type in ("DATE", "DATETIME") and not r.date_format]
+    if not rs:
+        return rows, {}, None
+    firsts = []
+    for k, r in enumerate(rs):
+        text = checked_input(r, F.col(r.name), rules.null_dates_pass)
+        firsts.append(F.min_by(text, F.when(text.isNotNull(), F.col(INDEX))).alias(f"v{k}"))
+    files = counted.groupBy(F.col(file_key).alias("_format_file")).agg(*firsts)
+    files = files.select("_format_file", *[first_value_format(F.col(f"v{k}")).alias(f"_f_{k}") for k in range(len(rs))])
+    files = files.persist(StorageLevel.MEMORY_AND_DISK)
+    found = files.agg(F.count(F.lit(1)).alias("n"), *[F.collect_set(F.coalesce(f"_f_{k}.date", F.lit(-1))).alias(f"s{k}") for k in range(len(rs))]).first()
+    budget = broadcast_budget(rows.sparkSession) if budget is None else budget
+    small = F.broadcast(files) if found["n"] * FORMAT_BYTES <= budget else files
+    rows = rows.join(small, F.col(file_key) == F.col("_format_file"), "left").drop("_format_file")
+    parsers = {}
+    for k, r in enumerate(rs):
+        used = set(found[f"s{k}"])
+        parsers[r.name] = FirstValueParser(F.col(f"_f_{k}.date"), F.col(f"_f_{k}.time"), tuple(sorted(used - {-1})), -1 in used)
+    return rows, parsers, files
+
+
+def with_parsed(df: DataFrame, rules: TableRules, parsers: dict[str, FirstValueParser] | None = None) -> DataFrame:
+    """Add ``_p_<col>`` (parsed value, null when unparsable) for checked columns, and
+    ``_i_<col>`` (the bigint) for INTEGER columns.
 
     The parse runs in stacked projections (prepare -> raw -> final): each
     stage's expensive expression is referenced more than once by the next,
     so the optimizer keeps the stages apart and every value is computed once
-    per row instead of once per reference.
+    per row instead of once per reference. ``parsers``: those of date columns
+    that are read by their file's first value.
     """
     rs = _checked_rules(rules)
     if not rs:
         return df
+    by = {r.name: (parsers or {}).get(r.name) or _parser(r) for r in rs}
     prep_cols, refs = {}, {}
     for r in rs:
-        prep = _parser(r).prepare(checked_input(r, F.col(r.name), rules.null_dates_pass))
+        prep = by[r.name].prepare(checked_input(r, F.col(r.name), rules.null_dates_pass))
         refs[r.name] = {}
         for k, expr in prep.items():
             prep_cols[f"_a_{r.name}_{k}"] = expr
             refs[r.name][k] = F.col(f"_a_{r.name}_{k}")
     df = df.withColumns(prep_cols)
-    df = df.withColumns({f"_r_{r.name}": _parser(r).raw(refs[r.name]) for r in rs})
+    df = df.withColumns({f"_r_{r.name}": by[r.name].raw(refs[r.name]) for r in rs})
     df = df.withColumns(
-        {parsed_col(r.name): _parser(r).final(refs[r.name], F.col(f"_r_{r.name}")) for r in rs}
+        {parsed_col(r.name): by[r.name].final(refs[r.name], F.col(f"_r_{r.name}")) for r in rs}
     )
-    return df.drop(*prep_cols, *[f"_r_{r.name}" for r in rs])
+    whole = {loaded_col(r.name): integral(F.col(r.name), F.col(parsed_col(r.name))) for r in rs if r.type == "INTEGER"}
+    return (df.withColumns(whole) if whole else df).drop(*prep_cols, *[f"_r_{r.name}" for r in rs])
 
 
 def _checked_rules(rules: TableRules) -> list[ColumnRule]:
@@ -156,7 +200,12 @@ def violation_columns(rules: TableRules) -> list[Column]:
         else:
             fails = value.isNull()
         reason = REASON_PARSE.format(col=rule.name, type=rule.type)
-        out.append(F.when(fails, _violation(reason, CODE_PARSE, rule.name, F.col(rule.name))))
+        failure = F.when(fails, _violation(reason, CODE_PARSE, rule.name, F.col(rule.name)))
+        if rule.type == "INTEGER":  # it passes the test, but the typed column cannot hold it
+            lost = F.col(rule.name).isNotNull() & F.col(loaded_col(rule.name)).isNull()
+            reason = REASON_LOAD.format(col=rule.name, type=rule.type)
+            failure = failure.when(lost, _violation(reason, CODE_LOAD, rule.name, F.col(rule.name)))
+        out.append(failure)
     return out
 
 
@@ -194,16 +243,17 @@ def annotate(
     # Free-text keys may be wide (a document as key): count them through
     # hashes so only 16 bytes per row are shuffled (exact, see keys.py).
     wide = any(c.type == "STRING" for c in rules.columns if c.unique_identifier)
+    rows, parsers, formats = with_first_value_formats(rows, norm, rules, file_key, budget)
+    parsed = with_parsed(rows, rules, parsers).drop(*[f"_f_{k}" for k in range(len(parsers))])
     with_counts, dups = with_key_counts(
-        with_parsed(rows, rules), rules.key_columns, file_key, budget, count_from=norm,
-        two_phase=wide,
+        parsed, rules.key_columns, file_key, budget, count_from=norm, two_phase=wide,
     )
     checks = violation_columns(rules)
     v = F.array_compact(F.array(*checks)) if checks else F.array().cast(
         "array<struct<invalid_reason:string,invalid_code:string,invalid_col_name:string,invalid_col_value:string>>"
     )
     out = with_counts.withColumn(VIOLATIONS, v).drop(KEY_COUNT, FILE_ID)
-    return out, [d for d in (dups,) if d is not None]
+    return out, [d for d in (dups, formats) if d is not None]
 
 
 def _typed(rule: ColumnRule, annotated_cols: set[str]) -> Column:
@@ -229,7 +279,8 @@ def typed_valid(annotated: DataFrame, rules: TableRules, extra: tuple[str, str]
         elif rule.type in ("FLOAT", "FLOAT64"):
             cols.append(_typed(rule, have).alias(rule.name))
         elif rule.type == "INTEGER":
-            cols.append(integral(c, _typed(rule, have)).alias(rule.name))
+            whole = F.col(loaded_col(rule.name)) if loaded_col(rule.name) in have else integral(c, _typed(rule, have))
+            cols.append(whole.alias(rule.name))
         elif rule.type == "DATE":
             cols.append(_typed(rule, have).cast("date").alias(rule.name))
         else:  # DATETIME

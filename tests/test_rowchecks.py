@@ -1,5 +1,6 @@
 """Row rules (R1-R6) on small frames: the row cases of FIXTURES.md."""
 
+import pytest
 from conftest import rules
 
 from sluice.plans.validate import check_records
@@ -156,3 +157,56 @@ def test_key_join_beyond_the_budget_sorts_hashes_only(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert joins and all("k1" not in x and "_h1" in x for x in joins)
     dups.unpersist()
+
+
+FIRST_VALUES = [
+    "2020-01-02", "2020/01/02", "2020.01.02", "2020 01 02", "01/02/2020", "1/2/2020", "13/01/2020", "01-02-2020", "13-01-2020", "01.02.2020", "13.01.2020",
+    "1 January 2020", "May 1, 2020", "Jan 1, 2020", "1 Jan 2020", "01-Jan-2020", "01-January-2020", "20200102", "20200102101112", "2020-01", "2020",
+    "2020-01-02 10:11", "2020-01-02 10:11:12", "2020-01-02T10:11:12", "2020-01-02 10:11:12.5", "01/02/2020 10:11:12", "1 January 2020 10:11:12",
+    "99999-01-01", "garbage", "2020-13-01", None,
+]
+
+
+@pytest.mark.parametrize("budget", [None, 0])
+def test_dates_without_a_format_follow_the_first_value(spark, budget):
+    """Against pandas.to_datetime(format=None) of each file's column: every first value, then all values."""
+    import warnings
+
+    import pandas as pd
+
+    from sluice.operators.rowchecks import annotate, normalise
+    from sluice.rules import ColumnRule, TableRules
+
+    lineage = (ColumnRule("source_filename", "STRING"), ColumnRule("execution_datetime", "DATETIME"))
+    r = TableRules(columns=(ColumnRule("k", "STRING", "k"), ColumnRule("d", "DATETIME", "d"), *lineage))
+    rows = [(f"f{i}", j, f"{j}", v) for i, first in enumerate(FIRST_VALUES) for j, v in enumerate([first, *FIRST_VALUES, "25/12/2021", "04/05/2021 1:02"])]
+    df = spark.createDataFrame(rows, "source_filename string, index long, k string, d string").repartition(5)
+    annotated, cached = annotate(normalise(df, r, "2024-01-01 00:00:00"), r, budget=budget)
+    got = {(x.source_filename, x["index"]): x._p_d for x in annotated.collect()}
+    for c in cached:
+        c.unpersist()
+    frame = pd.DataFrame(rows, columns=["f", "i", "k", "d"])
+    for f, part in frame.groupby("f"):
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            want = pd.to_datetime(part.d.fillna("1900-01-01"), errors="coerce")
+        for i, w in zip(part.i, want):
+            assert got[f, i] == (None if pd.isna(w) else w.to_pydatetime()), (f, part.d.iloc[0], part.d.iloc[i])
+
+
+def test_numbers_that_no_bigint_holds_are_reported(spark):
+    from sluice.plans.validate import check_records
+    from sluice.rules import ColumnRule, TableRules
+
+    lineage = (ColumnRule("source_filename", "STRING"), ColumnRule("execution_datetime", "DATETIME"))
+    r = TableRules(columns=(ColumnRule("k", "INTEGER", "k"), *lineage))
+    texts = ["1", "10.0", "1e3", "10.05", "1e30", "9223372036854775807", "9223372036854775808", "inf", "x", "1.5"]
+    df = spark.createDataFrame([("f", i, t) for i, t in enumerate(texts)], "source_filename string, index long, k string")
+    res = check_records(df, r, ingest_ts="2024-01-01 00:00:00")
+    got = {x.invalid_col_value: x.invalid_code for x in res.data_invalid.collect()}
+    assert got == {"10.05": "VALUE_NOT_LOADABLE", "1e30": "VALUE_NOT_LOADABLE", "9223372036854775808": "VALUE_NOT_LOADABLE", "inf": "VALUE_NOT_LOADABLE",
+                   "x": "COLUMN_NOT_PARSABLE", "1.5": "COLUMN_NOT_PARSABLE"}
+    assert sorted(x.k for x in res.valid.collect()) == [1, 10, 1000, 2**63 - 1]
+    stats = res.rows_stats.first()
+    assert (stats.nb_valid_lines, stats.nb_invalid_lines, stats.nb_invalid_lines_COLUMN_NOT_PARSABLE) == (4, 6, 2)
+    res.release()
