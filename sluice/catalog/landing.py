@@ -222,3 +222,33 @@ def documents_landing_rules():
     return dataclasses.replace(
         DATASETS["documents"].rules, source_path="documents/documents", formats=LANDING_FORMATS
     )
+
+
+def hidden_landing(spark: SparkSession, sf: str) -> str:
+    """root/nation/nation_csv/_file=<region key>/: nation rows by region, in files whose names begin with
+    a letter, _ or . in turn, and region rows in folders whose names begin with _."""
+    key = _key(spark, sf, "hidden")
+    if key in _CACHE:
+        return _CACHE[key]
+    root = new_scratch_path(spark, "landing-hidden")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name, tag in (("nation", "n_regionkey"), ("region", "r_regionkey")):
+        rows = spark.read.parquet(f"{sf}/{name}.parquet")
+        cells = [F.col(f"{name[0]}_{c}").cast("string").alias(c) for c in ("regionkey", "name")]
+        rows.select(F.col(tag).alias(FILE_TAG), *cells).repartition(FILE_TAG).write.partitionBy(FILE_TAG).options(**CSV_WRITE).csv(f"{root}/nation/nation_{name}")
+    for st in fs.globStatus(path(f"{root}/nation/nation_nation/*/part-*.csv")) or []:
+        folder = st.getPath().getParent()
+        mark = ("n", "_", ".")[int(folder.getName().split("=")[1]) % 3]
+        fs.rename(st.getPath(), path(folder, f"{mark}ation.csv"))
+    fs.rename(path(f"{root}/nation/nation_region"), path(f"{root}/nation/nation_csv"))
+    fs.rename(path(f"{root}/nation/nation_csv"), path(f"{root}/nation/nation_nation/_kept"))
+    _CACHE[key] = root
+    return root
+
+
+def hidden_landing_rules():
+    from .datasets import col, rules_of
+
+    return dataclasses.replace(rules_of(col("regionkey", "INTEGER"), col("name", key=True)), source_path="nation/nation", formats=LANDING_FORMATS)

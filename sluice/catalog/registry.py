@@ -306,6 +306,18 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
             "source_filename", "landing_file"
         )
 
+    def hidden_file_stats(spark, sf):
+        """Every file under the prefix has its row, also those whose names Spark's sources leave out."""
+        from .landing import hidden_landing, hidden_landing_rules
+        from ..plans.landing import check_landing
+
+        res = check_landing(
+            spark, hidden_landing(spark, sf), hidden_landing_rules(), pipeline=PIPELINE, dataset=DATASET, table="nation",
+            ingest_ts=INGEST_TS, persist=False,
+        )
+        kept = F.instr("source_filename", "/_kept/") > 0
+        return res.file_stats.withColumn("landing_file", F.concat(F.when(kept, "kept ").otherwise(""), label())).select("landing_file", "is_invalid", "description")
+
     def documents_check(spark, sf):
         """Files whose texts hold newlines, read by blocks like any others."""
         from .landing import documents_landing, documents_landing_rules
@@ -402,6 +414,12 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
             ("data_invalid", 2, data_invalid_sql), ("valid", 1, valid_sql),
         )
     )
+    unread = "'Error when reading the file : names that begin with _ or . are not read'"
+    hidden_sql = (
+        f"SELECT DISTINCT CAST(n_regionkey AS VARCHAR) AS landing_file, n_regionkey % 3 > 0 AS is_invalid, "
+        f"CASE WHEN n_regionkey % 3 > 0 THEN {unread} ELSE 'File is VALID' END AS description FROM nation "
+        f"UNION ALL SELECT 'kept ' || CAST(r_regionkey AS VARCHAR), true, {unread} FROM region"
+    )
     docs = DATASETS["documents"]
     docs_dq = _DQ.replace("'orders'", "'documents'")
     documents_invalid_sql = oracle.data_invalid_sql(
@@ -445,6 +463,7 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
                 "lineitem", file_col="k.source_filename AS landing_file",
             ),
         ),
+        "hidden_file_stats": (hidden_file_stats, hidden_sql),
         "landing_documents_rows_stats": (documents_rows_stats, documents_stats_sql),
         "landing_documents_data_invalid": (documents_invalid, documents_invalid_sql),
         "landing_documents_valid": (documents_valid, oracle.valid_sql(docs.rules, DOCUMENTS_FILES_SQL, INGEST_TS, replace=valid_label)),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FILE_BAD_COLUMNS_TEXT, FILE_UNREADABLE_TEXT, FILE_VALID_TEXT
-from ..sources.listing import PATH
+from ..sources.listing import HIDDEN, PATH
 from .reports import _ts
 
 UNREADABLE = FILE_UNREADABLE_TEXT
@@ -16,6 +16,7 @@ NO_COLUMNS = "No columns to parse from file"
 BAD_UTF8 = "invalid UTF-8 byte sequence"
 OPEN_QUOTE = "Error tokenizing data. EOF inside string"
 SHIFTED = "first data row has more fields than the header"
+HIDDEN_NAME = "Error when reading the file : names that begin with _ or . are not read"
 BAD_JSON = "document is not a JSON array of objects"
 # --------------------------------------------------------------------------
 
@@ -102,10 +103,14 @@ def file_stats(
     handled = [k for k, f in (("csv", csv_facts), ("json", json_facts)) if f is not None]
     if workbook_facts is not None:
         handled += ["xlsx", "xlsm"]
-    # Unknown extension: nothing is read, so the header test fails (S1c).
+    # Unknown extension: nothing is read, so the header test fails (S1c). Names
+    # that Spark does not read are reported as such.
     parts.append(
         listing.where(~ext.isin(*handled) if handled else F.lit(True))
-        .select(PATH, "source_filename", F.lit(FILE_BAD_COLUMNS_TEXT).alias("description"))
+        .select(
+            PATH, "source_filename",
+            F.when(ext == HIDDEN, F.lit(HIDDEN_NAME)).otherwise(F.lit(FILE_BAD_COLUMNS_TEXT)).alias("description"),
+        )
     )
     out = parts[0]
     for p in parts[1:]:

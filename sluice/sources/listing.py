@@ -51,6 +51,53 @@ def inputs(root: str, source_path: str, paths: list[str] | None = None):
     return [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths] if paths else prefix_glob(root, source_path)
 
 
+#: In place of the extension of a file that Spark's sources do not read (a name, or a folder's, that begins with _ or .).
+HIDDEN = "/hidden"
+
+
+def hidden_files(spark: SparkSession, root: str, source_path: str) -> list[tuple[str, int]]:
+    """(path, bytes) of the non-empty files under the prefix that Spark's own listing leaves out.
+
+    The file system is asked for hidden names only, a depth at a time, so what comes to the
+    driver is as long as their number; folders of such names are listed whole."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    literal = re.sub(r"([\\\[\]{}*?])", r"\\\1", root.rstrip("/")) + "/"
+    # the last part of the prefix is the beginning of a name
+    folder, _, name = source_path.rpartition("/")
+    folder = literal + (folder + "/" if folder else "")
+    fs = jvm.org.apache.hadoop.fs.Path(literal).getFileSystem(conf)
+    glob = lambda pattern: list(fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)) or [])
+    found: list[tuple[str, int]] = []
+
+    def take(status) -> None:
+        if status.isFile():
+            if status.getLen() > 0:
+                found.append((status.getPath().toString(), status.getLen()))
+            return
+        inside = fs.listFiles(status.getPath(), True)
+        while inside.hasNext():
+            child = inside.next()
+            if child.getLen() > 0:
+                found.append((child.getPath().toString(), child.getLen()))
+
+    def hidden(pattern: str) -> list:
+        named = [(s, s.getPath().getName()) for s in glob(pattern)]
+        return [s for s, n in named if n.startswith(".") or n.startswith("_") and "=" not in n]  # _key=value is read
+
+    read = "{[!_.]*,_*=*}"
+    if not name or name[0] in "_.":
+        for status in hidden(f"{folder}{name}*" if name else f"{folder}[_.]*"):
+            take(status)
+    deeper = f"{folder}{name}*" if name else folder + read
+    while True:
+        folders = [s for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(deeper + "/*")) or []][:1]
+        if not folders:
+            return found
+        for status in hidden(deeper + "/[_.]*"):
+            take(status)
+        deeper += "/" + read
+
+
 def list_files(
     spark: SparkSession, root: str, source_path: str, paths: list[str] | None = None, seed: int = 0
 ) -> DataFrame:
@@ -71,12 +118,16 @@ def list_files(
             raise  # a file that was named must be there
         # Nothing landed under the prefix: empty outputs, as for an empty listing.
         listing = spark.createDataFrame([], f"{PATH} string, {FILE_URI} string, length long")
-    listing = listing.where(F.col("length") > 0)
+    listing = listing.where(F.col("length") > 0).withColumn("ext", extension(F.col(PATH)))
+    hidden = [] if paths else hidden_files(spark, absolute_root(root), source_path)
+    if hidden:
+        rows = spark.createDataFrame(hidden, f"{PATH} string, length long")
+        listing = listing.unionByName(rows.select(PATH, F.col(PATH).alias(FILE_URI), "length", F.lit(HIDDEN).alias("ext")))
     return listing.select(
         PATH,
         relative_name(F.col(PATH), root).alias("source_filename"),
         "length",
-        extension(F.col(PATH)).alias("ext"),
+        "ext",
         file_id(F.col(FILE_URI), seed).alias(FILE_ID),
     )
 

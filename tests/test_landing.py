@@ -471,3 +471,22 @@ def test_json_files_are_split(spark, landing, options):
     assert [n for n in sorted(s) if not s[n][0]] == ["drugs_doubled.json", "drugs_late.json"] + [f"drugs_ok{k}.json" for k in range(4)]
     assert s["drugs_order.json"] == s["drugs_more.json"] == s["drugs_empty.json"] == (True, BAD_COLS)
     assert len(got[0][2]) + len(got[0][1]) > 300
+
+
+def test_hidden_names_are_listed(spark, landing):
+    """Names, and names of folders, that begin with _ or . get a file_stats row at any depth."""
+    text = "atccode;drug\nA;b\n"
+    for name in ("drugs_a.csv", "drugs_d/_x.csv", "drugs_d/.x.csv", "drugs_d/b.csv", "drugs_d/e/f/_y.json", "drugs_d/_z/c.csv", "drugs_d/.w/q/d.csv", "_other.csv", "drugs_d/k=1/_v.csv"):
+        landing(f"drugs/{name}", text)
+    landing("drugs/drugs_d/_empty", "")
+    res = run(spark, landing, "drugs")
+    s = {r.source_filename[6:]: r.is_invalid for r in res.file_stats.collect()}
+    hidden = {n for n, bad in s.items() if bad}
+    assert hidden == {"drugs_d/_x.csv", "drugs_d/.x.csv", "drugs_d/e/f/_y.json", "drugs_d/_z/c.csv", "drugs_d/.w/q/d.csv", "drugs_d/k=1/_v.csv"}
+    assert set(s) - hidden == {"drugs_a.csv", "drugs_d/b.csv"}
+    res.release()
+    from sluice.sources.listing import hidden_files
+
+    assert [p.rsplit("/", 1)[1] for p, _ in hidden_files(spark, landing.root, "drugs/_o")] == ["_other.csv"]
+    names = {p.split("/drugs/", 1)[1] for p, _ in hidden_files(spark, landing.root, "drugs/")}
+    assert names == hidden | {"_other.csv"}
