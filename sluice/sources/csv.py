@@ -17,8 +17,10 @@ shuffle of the rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -266,6 +268,8 @@ def scan_csv(
         F.bool_or("_bad_utf8").alias("bad_utf8"),
         F.sum("_n").alias("n_records"),
     ).join(F.broadcast(first_data) if small else first_data, FILE_ID, "left")
+    if not _is_utf8(encoding):
+        facts = _strictly_decoded(spark, facts, opts.get("encoding") or encoding, paths, inputs(root, rules.source_path, paths))
     if not line_mode and _is_utf8(encoding):
         raw_ok = (
             reader(spark, "csv").text(inputs(root, rules.source_path, paths))
@@ -293,6 +297,34 @@ def scan_csv(
     )
 
 
+def _strictly_decoded(spark: SparkSession, facts: DataFrame, codec: str, paths: list[str] | None, everything) -> DataFrame:
+    """Facts in which ``bad_utf8`` says whether the bytes of a file that shows U+FFFD lack a character in its encoding."""
+    suspects = facts.where("bad_utf8").select(PATH)
+    found = [r[PATH] for r in suspects.limit(NAMES + 1).collect()]
+    if not found:
+        return facts
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bad = []
+            for content in batch.column(1):
+                try:
+                    content.as_py().decode(codec)
+                    bad.append(False)
+                except UnicodeDecodeError:
+                    bad.append(True)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bad, pa.bool_())], names=["s_path", "strictly_bad"])
+
+    few = len(found) <= NAMES
+    files = reader(spark, "csv").format("binaryFile").load(inputs("", "", found) if few else everything)
+    files = files.select(decoded_path(F.col("_metadata.file_path")).alias("s_path"), "content")
+    if not few:  # too many to name: all are listed, the others' bytes go no further
+        files = files.join(suspects.select(F.col(PATH).alias("k_path")), F.col("s_path") == F.col("k_path"), "left_semi")
+    strict = files.mapInArrow(decoded, "s_path string, strictly_bad boolean")
+    facts = facts.join(strict, F.col(PATH) == F.col("s_path"), "left")
+    return facts.withColumn("bad_utf8", F.coalesce("strictly_bad", "bad_utf8")).drop("s_path", "strictly_bad")
+
+
 def _is_utf8(encoding: str) -> bool:
     return encoding.lower().replace("-", "").replace("_", "") == "utf8"
 

@@ -490,3 +490,23 @@ def test_hidden_names_are_listed(spark, landing):
     assert [p.rsplit("/", 1)[1] for p, _ in hidden_files(spark, landing.root, "drugs/_o")] == ["_other.csv"]
     names = {p.split("/drugs/", 1)[1] for p, _ in hidden_files(spark, landing.root, "drugs/")}
     assert names == hidden | {"_other.csv"}
+
+
+@pytest.mark.parametrize("names", [1000, 0])
+def test_other_encodings_are_decoded_strictly(spark, landing, monkeypatch, names):
+    """U+FFFD is a character in UTF-16; half a surrogate pair is not."""
+    import dataclasses
+
+    from sluice.sources import csv
+
+    monkeypatch.setattr(csv, "NAMES", names)
+    r = dataclasses.replace(rules("drugs"), formats={"csv": {"separator": ";", "encoding": "utf-16"}})
+    good = "atccode;drug\nA;b\ufffdc\nB;\U0001f600\n"
+    landing("drugs/drugs_good.csv", good.encode("utf-16"), binary=True)
+    landing("drugs/drugs_plain.csv", "atccode;drug\nA;b\n".encode("utf-16"), binary=True)
+    landing("drugs/drugs_pair.csv", good.encode("utf-16") + b"\x00\xd8A\x00", binary=True)
+    res = check_landing(spark, landing.root, r, table="drugs", ingest_ts=TS)
+    s = stats(res)
+    assert not s["drugs_good.csv"][0] and not s["drugs_plain.csv"][0] and s["drugs_pair.csv"][0]
+    assert sorted(x.drug for x in res.valid.collect()) == ["b", "b\ufffdc", "\U0001f600"]
+    res.release()
