@@ -4,8 +4,9 @@
 one task. Instead the group sizes are a partial (map-side combined)
 aggregate, only groups with more than one member are kept, and those are
 joined back on the null-safe key. The duplicate table is broadcast only when
-its measured size is under the budget; otherwise a shuffle join on the file and
-two hashes of the key is used (no key text is sorted), the key values decide
+its measured size is under the budget; otherwise a Bloom filter of its key hashes
+picks the rows that may have a duplicate key, and only these go through a shuffle
+join on the file and two hashes of the key (no key text is sorted); the key values decide
 after the match, and AQE's skew-join split handles a hot key on the big side.
 """
 
@@ -73,6 +74,25 @@ def duplicate_groups_two_phase(
     return duplicate_groups(rows, keys, file_col)
 
 
+#: Memory of a broadcast word of 64 bits; the fewest words.
+WORD_BYTES, LEAST_WORDS = 64, 1024
+
+
+def _marked(rows: DataFrame, dups: DataFrame, budget: int) -> DataFrame:
+    """Adds ``_maybe``: false where no duplicate key has the row's key hash.
+
+    A Bloom filter with one hash as a broadcast table of words of bits: as many as
+    the budget holds, so its size does not grow with the duplicates; with more of
+    them it rules out fewer rows."""
+    words = max(LEAST_WORDS, 1 << max(0, (budget // WORD_BYTES).bit_length() - 1))
+    spot = lambda h: F.col(h).bitwiseAND(64 * words - 1)
+    bit = lambda h: F.col(h).bitwiseAND(63).cast("int")
+    table = dups.groupBy(F.shiftright(spot("_dh1"), 6).alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit("_dh1"))).alias("_bits"))
+    there = F.call_function("shiftright", F.col("_bits"), bit("_h1")).bitwiseAND(1) == 1
+    rows = rows.join(F.broadcast(table), F.shiftright(spot("_h1"), 6) == F.col("_word"), "left")
+    return rows.withColumn("_maybe", F.coalesce(there, F.lit(False))).drop("_word", "_bits")
+
+
 def with_key_counts(
     df: DataFrame,
     keys: list[str],
@@ -119,11 +139,15 @@ def with_key_counts(
         # Equal hashes of different duplicate keys would match a row twice.
         if hashed.select(renamed[file_col], "_dh1", "_dh2").distinct().count() == rows:
             h1, h2 = key_hashes(keys)
-            out = df.withColumns({"_h1": h1, "_h2": h2}).join(
+            marked = _marked(df.withColumns({"_h1": h1, "_h2": h2}), hashed, budget)
+            out = marked.where("_maybe").drop("_maybe").join(
                 hashed, same_file & (F.col("_h1") == F.col("_dh1")) & (F.col("_h2") == F.col("_dh2")), "left"
             )
             out = out.withColumn(KEY_COUNT, F.when(reduce(Column.__and__, same_key), F.col(KEY_COUNT)))
-            return out.drop("_h1", "_h2", "_dh1", "_dh2", *renamed.values()), dups
+            out = out.drop("_h1", "_h2", "_dh1", "_dh2", *renamed.values())
+            # rows whose key is certainly unique stay where they are
+            unique = marked.where("NOT _maybe").drop("_maybe", "_h1", "_h2").withColumn(KEY_COUNT, F.lit(None).cast("long"))
+            return out.unionByName(unique), dups
     right = F.broadcast(dups) if nbytes <= budget else dups
     out = df.join(right, reduce(Column.__and__, same_key, same_file), "left").drop(*renamed.values())
     return out, dups

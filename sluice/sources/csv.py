@@ -253,13 +253,10 @@ def scan_csv(
     # File facts. The header is the first record of the first block. pandas
     # takes the first data row's extra fields (if any) as index columns, so a
     # row is too long only beyond max(header, first data row); the first data
-    # row is ordinal 0 (a pass over four small columns of the cached scan).
+    # row is ordinal 0: a pass over the rows, made only if some file holds a row
+    # wider than its header.
     # (The coalesce keeps a data column in the query: Spark refuses a raw-file
     # query that reads only the corrupt-record column.)
-    first_data = indexed.where(F.col("index") == 0).select(
-        FILE_ID, F.coalesce(F.col("_fields"), F.length(text_cols[0])).alias("first_fields")
-    )
-    small = nfiles * BLOCK_BYTES <= budget
     facts = kept.groupBy(FILE_ID, PATH).agg(
         F.min_by("_first_fields", BLOCK).alias("header_fields"),
         F.min_by("_first_header_ok", BLOCK).alias("header_ok"),
@@ -267,7 +264,17 @@ def scan_csv(
         F.bool_or("_open_quote").alias("open_quote"),
         F.bool_or("_bad_utf8").alias("bad_utf8"),
         F.sum("_n").alias("n_records"),
-    ).join(F.broadcast(first_data) if small else first_data, FILE_ID, "left")
+    )
+    wide = facts.where("max_fields > header_fields").select(FILE_ID)
+    if wide.limit(1).count():  # only then does the first data row's width matter
+        small = nfiles * BLOCK_BYTES <= budget
+        wide = F.broadcast(wide) if small else wide
+        first_data = indexed.where(F.col("index") == 0).join(wide, FILE_ID, "left_semi").select(
+            FILE_ID, F.coalesce(F.col("_fields"), F.length(text_cols[0])).alias("first_fields")
+        )
+        facts = facts.join(F.broadcast(first_data) if small else first_data, FILE_ID, "left")
+    else:
+        facts = facts.withColumn("first_fields", F.lit(None).cast("int"))
     if not _is_utf8(encoding):
         facts = _strictly_decoded(spark, facts, opts.get("encoding") or encoding, paths, inputs(root, rules.source_path, paths))
     if not line_mode and _is_utf8(encoding):

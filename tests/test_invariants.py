@@ -47,3 +47,26 @@ def test_independent_of_partitioning_and_join_strategy(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.unset("sluice.broadcast.maxBytes")
     assert outs[0] == outs[1]
+
+
+@pytest.mark.parametrize("name", ["part", "lineitem", "documents", "events"])
+def test_unique_keys_skip_the_shuffle_beyond_the_budget(spark, name):
+    """With a budget of one byte the key counts are the same, and hardly a row of a unique key is joined."""
+    from sluice.operators.keys import KEY_COUNT, _marked, duplicate_groups, key_hashes, with_key_counts
+
+    ds = DATASETS[name]
+    keys = ds.rules.key_columns
+    norm = normalise(ds.spark_records(spark, SF), ds.rules, INGEST_TS)
+    outs = []
+    for budget in (1, 1 << 30):
+        rows, dups = with_key_counts(norm, keys, budget=budget)
+        outs.append(sorted(map(str, rows.select("source_filename", "index", KEY_COUNT).collect())))
+        dups.unpersist()
+    assert outs[0] == outs[1]
+    groups = duplicate_groups(norm, keys)
+    h1, h2 = key_hashes(keys)
+    marked = _marked(norm.withColumns({"_h1": h1, "_h2": h2}), groups.withColumn("_dh1", h1), 1)
+    shared = groups.select(*keys).distinct().count()
+    in_keys = norm.join(groups.select(*[F.col(k).alias(f"d_{k}") for k in keys]).distinct(), [norm[k].eqNullSafe(F.col(f"d_{k}")) for k in keys]).count()
+    maybe = marked.where("_maybe").count()
+    assert in_keys <= maybe <= in_keys + (norm.count() - in_keys) * 2 * shared / (64 * 1024) + 30
