@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import threading
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..ledger import Ledger
 from ..operators.rowchecks import typed_valid
 from ..rules import RunConfig, TableRules
 from ..sinks import append_reports, export_csv, load_valid
@@ -27,6 +29,7 @@ class TableRun:
     files: int = 0
     invalid_files: int = 0
     error: str | None = None
+    repeated: bool = False  # done by an earlier run of the same run_id
 
 
 def target(root: str, dataset: str, table: str) -> str:
@@ -43,6 +46,7 @@ def run_landing(
     multi_line: bool | None = None,
     materialize_as: str = "stage",
     parallel_tables: int = 1,
+    run_id: str | None = None,
     **check_options,
 ) -> list[TableRun]:
     """Check, report and load every enabled table of the registry.
@@ -56,9 +60,18 @@ def run_landing(
 
     ``parallel_tables`` > 1 submits several tables' jobs at once from driver
     threads (independent tables, one scheduler): many small tables then
-    share the cluster instead of running one after another. Other keyword
+    share the cluster instead of running one after another.
+
+    ``run_id`` names the run, so that it can be repeated after a kill (needs ``output_root``): what
+    it has appended is not appended again, tables it has finished are left alone, and a
+    table keeps its first ingestion time (see ``ledger``). Other keyword
     options (``cache_scan``) go to ``check_landing``.
     """
+    ledger = None
+    if run_id is not None:
+        if not output_root:
+            raise ValueError("a run that can be repeated needs output_root")
+        ledger = Ledger(spark, f"{output_root.rstrip('/')}/{config.quality_dataset}", run_id)
     tables = []
     for t in config.tables:
         if not t.to_request:
@@ -69,7 +82,7 @@ def run_landing(
     def one(t) -> TableRun:
         return _run_table(
             spark, config, t, landing_root, output_root, export_root, multi_line, materialize_as,
-            check_options,
+            check_options, ledger,
         )
 
     if parallel_tables > 1 and len(tables) > 1:
@@ -82,9 +95,14 @@ def run_landing(
 
 def _run_table(
     spark, config, t, landing_root, output_root, export_root, multi_line, materialize_as,
-    check_options,
+    check_options, ledger=None,
 ) -> TableRun:
     ts = now_utc()
+    if ledger is not None:
+        done = ledger.read(f"{t.name}-done")
+        if done is not None:
+            return TableRun(**json.loads(done), repeated=True)
+        ts = ledger.once(f"{t.name}-time", ts)
     res = None
     # Thread-local: with parallel tables each thread labels its own jobs.
     spark.sparkContext.setJobDescription(f"sluice {t.name}")
@@ -101,6 +119,7 @@ def _run_table(
                 target(output_root, config.quality_dataset, config.file_stats_table),
                 target(output_root, config.quality_dataset, config.rows_stats_table),
                 target(output_root, config.quality_dataset, config.data_invalid_table),
+                once=ledger, name=t.name,
             )
         if export_root:
             base = f"{export_root.rstrip('/')}/data_quality/{t.name}"
@@ -109,11 +128,14 @@ def _run_table(
             export_csv(res.data_invalid, f"{base}/data_invalid", ["table", "source_filename", "index"])
             in_order = typed_valid(res.annotated, rules, extra=("_file", "_index"))
             export_csv(in_order, f"{base}/data_valid", ["_file", "_index"], drop=["_file", "_index"])
-        loaded = load_valid(res.valid, target(output_root, t.dataset, t.table), t.write_mode)
+        loaded = load_valid(res.valid, target(output_root, t.dataset, t.table), t.write_mode, once=ledger, name=t.name)
         counts = res.file_stats.agg(
             F.count(F.lit(1)).alias("files"), F.count_if("is_invalid").alias("bad")
         ).first()
-        return TableRun(t.name, ts, loaded, counts["files"], counts["bad"])
+        run = TableRun(t.name, ts, loaded, counts["files"], counts["bad"])
+        if ledger is not None:
+            ledger.note(f"{t.name}-done", json.dumps({k: v for k, v in asdict(run).items() if k != "repeated"}))
+        return run
     except Exception as e:  # one table's failure does not stop the others
         log.exception("table %s failed", t.name)
         return TableRun(t.name, ts, error=f"{type(e).__name__}: {e}")

@@ -65,23 +65,33 @@ def write_table(df: DataFrame, target: str, write_mode: str) -> None:
         df.write.mode("append").saveAsTable(target)
 
 
-def append_reports(result, file_stats: str, rows_stats: str, data_invalid: str) -> None:
-    """K2: append the three reports (tables are created on first write)."""
+def append_reports(result, file_stats: str, rows_stats: str, data_invalid: str, once=None, name: str = "") -> None:
+    """K2: append the three reports (tables are created on first write).
+
+    ``once``: a ``Ledger``; each report is then appended once in its run, under ``name``."""
+    reports = [("rows_stats", result.rows_stats, ROWS_STATS, rows_stats), ("data_invalid", result.data_invalid, DATA_INVALID, data_invalid)]
     if result.file_stats is not None:
-        write_table(conform(result.file_stats, FILE_STATS), file_stats, "APPEND")
-    write_table(conform(result.rows_stats, ROWS_STATS), rows_stats, "APPEND")
-    write_table(conform(result.data_invalid, DATA_INVALID), data_invalid, "APPEND")
+        reports.insert(0, ("file_stats", result.file_stats, FILE_STATS, file_stats))
+    for report, df, schema, target in reports:
+        if once is not None:
+            once.append_once(conform(df, schema), target, f"{name}-{report}")
+        else:
+            write_table(conform(df, schema), target, "APPEND")
 
 
-def load_valid(valid: DataFrame, target: str, write_mode: str) -> bool:
+def load_valid(valid: DataFrame, target: str, write_mode: str, once=None, name: str = "") -> bool:
     """K3 + K4: load typed valid rows; no rows means no write (TRUNCATE keeps
     the old table). A load that fails leaves the table as it was. Returns
-    whether anything was written."""
+    whether anything was written. ``once``: a ``Ledger``; rows are then appended
+    once in its run, under ``name``."""
     if write_mode not in WRITE_MODES:
         raise ValueError(f"write_mode must be one of {WRITE_MODES}, got {write_mode!r}")
     if valid.isEmpty():
         return False
-    write_table(valid, target, write_mode)
+    if once is not None and write_mode == "APPEND":
+        once.append_once(valid, target, f"{name}-valid")
+    else:
+        write_table(valid, target, write_mode)
     return True
 
 

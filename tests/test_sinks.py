@@ -176,3 +176,44 @@ def test_append_needs_the_table_s_columns(spark, target):
     assert sorted(tuple(r) for r in read_table(spark, target).select("n", "s").collect()) == [(1, "a"), (2, "b")]
     write_table(spark.sql("SELECT '1' AS n"), target, "TRUNCATE")  # the new rows bring their own columns
     assert read_table(spark, target).dtypes == [("n", "string")]
+
+
+@pytest.mark.parametrize("killed", [1, 2, 3, 4, "load"])
+def test_repeated_run_gives_the_same_tables(spark, landing, tmp_path, monkeypatch, killed):
+    """A run killed while it moves its nth appended table's files, or before the load, and then repeated twice."""
+    import sluice.plans.run as run_module
+    from sluice.ledger import Ledger
+
+    landing("drugs/drugs.csv", "atccode;drug\nA;1\nB;\nC;2\n")
+    cfg = RunConfig.load(os.path.join(FIXTURES, "config.yml"))
+    cfg = RunConfig(tables=tuple(t for t in cfg.tables if t.name == "drugs"))
+    out, move, load = str(tmp_path), Ledger._move, run_module.load_valid
+    calls = []
+
+    def cut(self, aside, target, entry):
+        calls.append(entry)
+        if len(calls) == killed:
+            fs, path = self._at(aside)
+            part = next(s for s in fs.listStatus(path) if s.getPath().getName().startswith("part-"))
+            fs.mkdirs(self._at(target)[1])
+            fs.rename(part.getPath(), self._at(f"{target}/{self.run}-{entry}-{part.getPath().getName()}")[1])  # one file has moved
+            raise RuntimeError("killed")
+        move(self, aside, target, entry)
+
+    monkeypatch.setattr(Ledger, "_move", cut)
+    if killed == "load":
+        monkeypatch.setattr(run_module, "load_valid", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+    first = run_landing(spark, cfg, landing.root, out, run_id="run-1")[0]
+    assert "killed" in first.error
+    monkeypatch.setattr(Ledger, "_move", move)
+    monkeypatch.setattr(run_module, "load_valid", load)
+    for again in (False, True):
+        run = run_landing(spark, cfg, landing.root, out, run_id="run-1")[0]
+        assert (run.error, run.repeated, run.loaded, run.files, run.ingest_ts) == (None, again, True, 1, first.ingest_ts)
+        assert sorted(r.atcode for r in read_table(spark, f"{out}/raw/drugs").collect()) == ["A", "C"]
+        for name in ("file_stats", "rows_stats", "data_invalid"):
+            assert read_table(spark, f"{out}/data_quality/{name}").count() == 1
+    run_landing(spark, cfg, landing.root, out, run_id="run-2")
+    assert read_table(spark, f"{out}/raw/drugs").count() == 4
+    with pytest.raises(ValueError):
+        run_landing(spark, cfg, landing.root, None, run_id="run-1")

@@ -83,3 +83,48 @@ def test_names_are_literal(spark, landing):
     assert sorted(r.source_filename.split("/")[-1] for r in fs.collect()) == sorted(names)
     with pytest.raises(AnalysisException):
         check_landing(spark, landing.root, TableRules.load(drugs.rules_file), paths=[f"{landing.root}/drugs/none.csv"])
+
+
+def test_fresh_checkpoint_neither_doubles_nor_overwrites(spark, landing):
+    """The file_stats rows say which files are done, whatever the checkpoint knows."""
+    cfg = RunConfig.load(os.path.join(FIXTURES, "config.yml"))
+    drugs = next(t for t in cfg.tables if t.name == "drugs")
+    out = tempfile.mkdtemp(prefix="sluice-stream-out-")
+
+    def go(ckpt=None):
+        ckpt = ckpt or tempfile.mkdtemp(prefix="sluice-stream-ckpt-")
+        table_stream(spark, drugs, landing.root, out, cfg, checkpoint=ckpt).awaitTermination(120)
+        valid = spark.read.parquet(os.path.join(out, "raw", "drugs"))
+        reports = [spark.read.parquet(os.path.join(out, "data_quality", n)).count() for n in ("file_stats", "rows_stats", "data_invalid")]
+        return sorted(r.atcode for r in valid.collect()), reports
+
+    landing("drugs/drugs_1.csv", "atccode;drug\nA;1\nB;\n")
+    landing("drugs/drugs_2.csv", "atccode;drug\nC;1\n")
+    assert go() == (["A", "C"], [2, 2, 1])
+    assert go() == (["A", "C"], [2, 2, 1])
+    landing("drugs/drugs_3.csv", "atccode;drug\nD;1\nE;\n")
+    assert go() == (["A", "C", "D"], [3, 3, 2])
+    assert go() == (["A", "C", "D"], [3, 3, 2])
+
+
+def test_batch_cut_off_before_its_last_report_is_written_again(spark, landing, monkeypatch):
+    import sluice.streaming.landing as stream
+
+    cfg = RunConfig.load(os.path.join(FIXTURES, "config.yml"))
+    drugs = next(t for t in cfg.tables if t.name == "drugs")
+    out, ckpt = tempfile.mkdtemp(prefix="sluice-stream-out-"), tempfile.mkdtemp(prefix="sluice-stream-ckpt-")
+    landing("drugs/drugs_1.csv", "atccode;drug\nA;1\nB;\n")
+    write = stream._write_batch
+
+    def killed(df, path, *args, **kw):
+        if path.endswith("file_stats"):
+            raise RuntimeError("killed")
+        write(df, path, *args, **kw)
+
+    monkeypatch.setattr(stream, "_write_batch", killed)
+    with pytest.raises(Exception, match="killed"):
+        table_stream(spark, drugs, landing.root, out, cfg, checkpoint=ckpt).awaitTermination(120)
+    monkeypatch.setattr(stream, "_write_batch", write)
+    table_stream(spark, drugs, landing.root, out, cfg, checkpoint=ckpt).awaitTermination(120)
+    assert [r.atcode for r in spark.read.parquet(os.path.join(out, "raw", "drugs")).collect()] == ["A"]
+    assert [spark.read.parquet(os.path.join(out, "data_quality", n)).count() for n in ("file_stats", "rows_stats", "data_invalid")] == [1, 1, 1]
