@@ -252,3 +252,27 @@ def hidden_landing_rules():
     from .datasets import col, rules_of
 
     return dataclasses.replace(rules_of(col("regionkey", "INTEGER"), col("name", key=True)), source_path="nation/nation", formats=LANDING_FORMATS)
+
+
+def write_registry(rules) -> str:
+    """A registry file and the rule file it names, as a user writes them (on the driver, which reads them): the table
+    ``orders`` by ``rules``, and one that is not requested. Returns the registry's path."""
+    import json
+    import os
+    import tempfile
+
+    import yaml
+
+    folder = tempfile.mkdtemp(prefix="sluice-registry-")
+    keys = ("expected_file_name", "name", "type", "mode", "unique_identifier", "date_format", "float_thousand_separator", "float_decimal_separator")
+    content = {
+        "source_path": rules.source_path, "file_info": {"name": "orders", "format": rules.formats},
+        "schema": [{k: getattr(c, k) for k in keys} for c in rules.columns],
+    }
+    with open(os.path.join(folder, "orders.json"), "w", encoding="utf-8") as f:
+        json.dump(content, f)
+    entry = {"source_file_params": os.path.join(folder, "orders.json"), "destination_bq_dataset_name": "raw", "write_mode": "APPEND"}
+    tables = {"orders": {"to_request": True, "destination_bq_table_name": "orders", **entry}, "later": {"to_request": False, "destination_bq_table_name": "later", **entry}}
+    with open(os.path.join(folder, "config.yml"), "w", encoding="utf-8") as f:
+        yaml.safe_dump({"version": 1, "tables": tables}, f)
+    return os.path.join(folder, "config.yml")

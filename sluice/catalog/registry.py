@@ -21,15 +21,27 @@ REPORT = [
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_OPEN: list = []
+
+
+def _alone(result):
+    """A query's frame is computed after the query has returned, so what it caches is dropped when
+    the next one starts."""
+    while _OPEN:
+        _OPEN.pop().release()
+    _OPEN.append(result)
+    return result
+
+
 def _check(spark: SparkSession, sf: str, name: str):
     ds = DATASETS[name]
-    return check_records(
+    return _alone(check_records(
         ds.spark_records(spark, sf), ds.rules, pipeline=PIPELINE, dataset=DATASET,
         table=name, ingest_ts=INGEST_TS,
         # one output per query: nothing to share, so nothing to materialize;
         # table_records already spread a narrow table over the cores
         persist=False, cache_input=True, spread_rows=False,
-    )
+    ))
 
 
 def _violations(name: str, code: str, cols: tuple[str, ...] = ()) -> tuple[Query, str]:
@@ -90,10 +102,10 @@ def _null_dates_pass_violations() -> tuple[Query, str]:
     r = dataclasses.replace(ds.rules, null_dates_pass=True)
 
     def run(spark, sf):
-        res = check_records(
+        res = _alone(check_records(
             ds.spark_records(spark, sf), r, pipeline=PIPELINE, dataset=DATASET, table="orders",
             ingest_ts=INGEST_TS, persist=False, cache_input=True, spread_rows=False,
-        )
+        ))
         return res.data_invalid.where(F.col("invalid_code") == CODE_PARSE).select(*REPORT)
 
     where = f"c = {oracle.q(CODE_PARSE)}"
@@ -164,10 +176,10 @@ def _landing_check(spark, sf, **options):
     from ..plans.landing import check_landing
 
     root = orders_landing(spark, sf)
-    return check_landing(
+    return _alone(check_landing(
         spark, root, orders_landing_rules(), pipeline=PIPELINE, dataset=DATASET, table="orders",
         ingest_ts=INGEST_TS, persist=False, **options,
-    )
+    ))
 
 
 def _with_label(df: DataFrame) -> DataFrame:
@@ -274,6 +286,31 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         ]
         return reduce(DataFrame.unionByName, counts)
 
+    def registry_run(spark, sf):
+        """A registry (YAML) of two tables, one of them not requested, and the rule file (JSON) of the other: run
+        twice under one name, so the reports and the valid rows are there once; the exported reports beside them."""
+        from ..plans.run import run_landing
+        from ..rules import RunConfig
+        from ..session import new_scratch_path
+        from ..sinks import EXPORT_OPTIONS, read_table
+        from .landing import orders_landing, orders_landing_rules, write_registry
+
+        root, out, export = orders_landing(spark, sf), new_scratch_path(spark, "registry"), new_scratch_path(spark, "registry-export")
+        config = RunConfig.load(write_registry(orders_landing_rules()))
+        for export_to in (export, None):
+            runs = run_landing(spark, config, root, out, export_root=export_to, run_id="nightly")
+            if [(r.name, r.error) for r in runs] != [("orders", None)]:
+                raise AssertionError(f"the registry run failed: {runs}")
+        paths = {n: f"{out}/data_quality/{n}" for n in ("file_stats", "rows_stats", "data_invalid")}
+        frames = {**{n: read_table(spark, p) for n, p in paths.items()}, "valid": read_table(spark, f"{out}/raw/orders")}
+        for n in paths:
+            frames[f"exported {n}"] = spark.read.options(**EXPORT_OPTIONS).csv(f"{export}/data_quality/orders/{n}")
+        counts = [
+            _with_label(df.select("source_filename")).groupBy("landing_file").agg(F.count(F.lit(1)).alias("n")).withColumn("report", F.lit(n))
+            for n, df in frames.items()
+        ]
+        return reduce(DataFrame.unionByName, counts)
+
     def export_roundtrip(spark, sf):
         """Exported valid rows as they stand in the CSV files, in the files' order."""
         from ..operators.rowchecks import typed_valid
@@ -298,10 +335,10 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         from ..plans.landing import check_landing
 
         root = lineitem_landing(spark, sf)
-        res = check_landing(
+        res = _alone(check_landing(
             spark, root, lineitem_landing_rules(), pipeline=PIPELINE, dataset=DATASET,
             table="lineitem", ingest_ts=INGEST_TS, persist=False, multi_line=False,
-        )
+        ))
         return res.rows_stats.withColumn("source_filename", label()).withColumnRenamed(
             "source_filename", "landing_file"
         )
@@ -311,10 +348,10 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         from .landing import hidden_landing, hidden_landing_rules
         from ..plans.landing import check_landing
 
-        res = check_landing(
+        res = _alone(check_landing(
             spark, hidden_landing(spark, sf), hidden_landing_rules(), pipeline=PIPELINE, dataset=DATASET, table="nation",
             ingest_ts=INGEST_TS, persist=False,
-        )
+        ))
         kept = F.instr("source_filename", "/_kept/") > 0
         return res.file_stats.withColumn("landing_file", F.concat(F.when(kept, "kept ").otherwise(""), label())).select("landing_file", "is_invalid", "description")
 
@@ -324,10 +361,10 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         from ..plans.landing import check_landing
 
         root = documents_landing(spark, sf)
-        return check_landing(
+        return _alone(check_landing(
             spark, root, documents_landing_rules(), pipeline=PIPELINE, dataset=DATASET, table="documents",
             ingest_ts=INGEST_TS, persist=False,
-        )
+        ))
 
     def documents_rows_stats(spark, sf):
         return documents_check(spark, sf).rows_stats.withColumn("source_filename", label()).withColumnRenamed("source_filename", "landing_file")
@@ -343,10 +380,10 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         from ..plans.landing import check_landing
 
         root = events_json_landing(spark, sf)
-        res = check_landing(
+        res = _alone(check_landing(
             spark, root, events_json_rules(), pipeline=PIPELINE, dataset=DATASET, table="events",
             ingest_ts=INGEST_TS, persist=False, **options,
-        )
+        ))
         return lambda df: df.withColumn("source_filename", label()).withColumnRenamed("source_filename", "landing_file"), res
 
     def json_rows_stats(spark, sf):
@@ -420,6 +457,13 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         f"CASE WHEN n_regionkey % 3 > 0 THEN {unread} ELSE 'File is VALID' END AS description FROM nation "
         f"UNION ALL SELECT 'kept ' || CAST(r_regionkey AS VARCHAR), true, {unread} FROM region"
     )
+    registry_sql = " UNION ALL ".join(
+        f"SELECT landing_file, count(*) AS n, {oracle.q(name)} AS report FROM ({sql}) GROUP BY landing_file"
+        for name, sql in (
+            ("file_stats", file_stats_sql), ("rows_stats", rows_stats_sql), ("data_invalid", data_invalid_sql), ("valid", valid_sql),
+            ("exported file_stats", file_stats_sql), ("exported rows_stats", rows_stats_sql), ("exported data_invalid", data_invalid_sql),
+        )
+    )
     docs = DATASETS["documents"]
     docs_dq = _DQ.replace("'orders'", "'documents'")
     documents_invalid_sql = oracle.data_invalid_sql(
@@ -463,6 +507,7 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
                 "lineitem", file_col="k.source_filename AS landing_file",
             ),
         ),
+        "registry_run": (registry_run, registry_sql),
         "hidden_file_stats": (hidden_file_stats, hidden_sql),
         "landing_documents_rows_stats": (documents_rows_stats, documents_stats_sql),
         "landing_documents_data_invalid": (documents_invalid, documents_invalid_sql),

@@ -18,6 +18,8 @@ from .validate import CheckResult, check_records, now_utc
 
 WORKBOOK_EXTS = ("xlsx", "xlsm")
 SKEW_FACTOR = 4
+#: Bytes of landing files whose parsed records are cached; more would take executor memory and disks of their size.
+CACHE_BYTES = 8 * 1024**3
 
 
 def _listed(spark: SparkSession, root: str, rules: TableRules, paths: list[str] | None):
@@ -62,7 +64,7 @@ def check_landing(
     persist: bool = True,
     paths: list[str] | None = None,
     materialize_as: str | None = None,
-    cache_scan: bool = True,
+    cache_scan: bool | None = None,
     json_split_bytes: int = SPLIT_BYTES,
 ) -> CheckResult:
     """Check every landing file of one table: returns the four outputs.
@@ -72,9 +74,10 @@ def check_landing(
     True reads record by record (one task a file), False by lines (a quoted
     newline then makes its file unreadable). ``paths`` restricts the run
     to the given landing files (incremental runs); by default every file
-    under the table's prefix is checked. ``cache_scan=False`` parses the CSV
+    under the table's prefix is checked. ``cache_scan`` False parses the CSV
     and JSON files anew for each step (block table, key sizes, checks) instead
-    of caching the parsed records (very large inputs). JSON files beyond
+    of caching the parsed records; by default files of up to CACHE_BYTES
+    together are cached. JSON files beyond
     ``json_split_bytes`` are read by many tasks each.
     """
     ts = ingest_ts or now_utc()
@@ -82,6 +85,8 @@ def check_landing(
     listing, formats, seed = _listed(spark, root, rules, paths)
     cached: list[DataFrame] = [listing]
     nfiles = sum(f["files"] for f in formats.values())
+    if cache_scan is None:
+        cache_scan = sum(f["bytes"] for f in formats.values()) <= CACHE_BYTES
     small = nfiles * FILE_BYTES <= broadcast_budget(spark)
     parallelism = spark.sparkContext.defaultParallelism
     # Checks are CPU work per row. A scan with a block far beyond its fair share
