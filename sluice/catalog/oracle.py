@@ -143,13 +143,6 @@ def ctes(rules: TableRules, text_sql: str, ingest_ts: str) -> str:
             f"SELECT source_filename, \"index\", {q(REASON_PARSE.format(col=rule.name, type=rule.type))} AS r, "
             f"{q(CODE_PARSE)} AS c, {q(rule.name)} AS cn, {ident(rule.name)} AS cv FROM k WHERE {f}"
         )
-        if rule.type == "INTEGER":
-            x = ident(rule.name)
-            parts.append(
-                f"SELECT source_filename, \"index\", {q(REASON_LOAD.format(col=rule.name, type=rule.type))} AS r, "
-                f"{q(CODE_LOAD)} AS c, {q(rule.name)} AS cn, {x} AS cv FROM k "
-                f"WHERE {x} IS NOT NULL AND {sql_integer(x)} IS NOT NULL AND {sql_bigint(x)} IS NULL"
-            )
     if not parts:
         parts.append(
             "SELECT source_filename, \"index\", CAST(NULL AS VARCHAR) AS r, CAST(NULL AS VARCHAR) AS c, "
@@ -183,6 +176,20 @@ REPORT_COLS = [
 ]
 
 
+def not_loadable_sql(rules, text_sql, ingest_ts) -> str:
+    """Cells of valid rows whose number no bigint holds."""
+    parts = [
+        f"SELECT source_filename, \"index\", {q(REASON_LOAD.format(col=r.name, type=r.type))} AS invalid_reason, {q(CODE_LOAD)} AS invalid_code, "
+        f"{q(r.name)} AS invalid_col_name, {ident(r.name)} AS invalid_col_value FROM good "
+        f"WHERE {ident(r.name)} IS NOT NULL AND {sql_bigint(ident(r.name))} IS NULL"
+        for r in rules.columns if r.type == "INTEGER"
+    ]
+    return ctes(rules, text_sql, ingest_ts) + (
+        ", good AS (SELECT * FROM k WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.source_filename = k.source_filename "
+        "AND v.\"index\" = k.\"index\"))\n" + " UNION ALL ".join(parts)
+    )
+
+
 def rows_stats_sql(rules, text_sql, ingest_ts, pipeline, dataset, table,
                    file_col: str = "k.source_filename") -> str:
     return ctes(rules, text_sql, ingest_ts) + (

@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..rules import TableRules
 from ..schemas import CODE_KEY, CODE_NULL, CODE_PARSE
-from .rowchecks import FILE, INDEX, VIOLATIONS, ingest_text
+from .rowchecks import FILE, INDEX, VIOLATIONS, ingest_text, lost_values
 
 
 def _ts(ingest_ts) -> Column:
     return F.lit(ingest_text(ingest_ts)).cast("timestamp_ntz")
 
 
+def not_loadable(annotated: DataFrame, rules: TableRules, pipeline: str, dataset: str, table: str, ingest_ts) -> DataFrame:
+    """Cells of valid rows that the typed table can only hold as null, in the schema of ``data_invalid``."""
+    return data_invalid(annotated.withColumn(VIOLATIONS, lost_values(rules)), pipeline, dataset, table, ingest_ts)
+
+
 def data_invalid(annotated: DataFrame, pipeline: str, dataset: str, table: str, ingest_ts) -> DataFrame:
     """One row per (row, rule, column) violation, fixed schema order."""
     # explode emits nothing for an empty array: no filter needed (a filter on

@@ -200,15 +200,24 @@ def violation_columns(rules: TableRules) -> list[Column]:
         else:
             fails = value.isNull()
         reason = REASON_PARSE.format(col=rule.name, type=rule.type)
-        failure = F.when(fails, _violation(reason, CODE_PARSE, rule.name, F.col(rule.name)))
-        if rule.type == "INTEGER":  # it passes the test, but the typed column cannot hold it
-            lost = F.col(rule.name).isNotNull() & F.col(loaded_col(rule.name)).isNull()
-            reason = REASON_LOAD.format(col=rule.name, type=rule.type)
-            failure = failure.when(lost, _violation(reason, CODE_LOAD, rule.name, F.col(rule.name)))
-        out.append(failure)
+        out.append(F.when(fails, _violation(reason, CODE_PARSE, rule.name, F.col(rule.name))))
     return out
 
 
+def lost_values(rules: TableRules) -> Column:
+    """Cells of a valid row that load as null: numbers that pass the INTEGER test, which
+    no bigint holds. An array of violation structs."""
+    lost = [
+        F.when(
+            F.col(r.name).isNotNull() & F.col(loaded_col(r.name)).isNull(),
+            _violation(REASON_LOAD.format(col=r.name, type=r.type), CODE_LOAD, r.name, F.col(r.name)),
+        )
+        for r in _checked_rules(rules) if r.type == "INTEGER"
+    ]
+    none = F.array().cast("array<struct<invalid_reason:string,invalid_code:string,invalid_col_name:string,invalid_col_value:string>>")
+    return F.when(F.size(VIOLATIONS) == 0, F.array_compact(F.array(*lost))).otherwise(none) if lost else none
+
+
 def spread(df: DataFrame, parallelism: int | None = None) -> DataFrame:
     """Round-robin the rows over the cluster when the input is narrower than it.
 

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from ..operators.reports import data_invalid, rows_stats
+from ..operators.reports import data_invalid, not_loadable, rows_stats
 from ..operators.rowchecks import annotate, normalise, typed_valid
 from ..rules import PIPELINE_NAME, TableRules
 
@@ -24,6 +24,7 @@ class CheckResult:
     data_invalid: DataFrame
     valid: DataFrame
     annotated: DataFrame
+    not_loadable: DataFrame  # cells of valid rows that load as null
     file_stats: DataFrame | None = None
     cached: list[DataFrame] = field(default_factory=list)
     staged: list[str] = field(default_factory=list)
@@ -121,6 +122,7 @@ def check_records(
         data_invalid=data_invalid(annotated, pipeline, dataset, table, ts),
         valid=typed_valid(annotated, rules),
         annotated=annotated,
+        not_loadable=not_loadable(annotated, rules, pipeline, dataset, table, ts),
         cached=cached,
         staged=staged,
     )

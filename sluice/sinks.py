@@ -66,10 +66,11 @@ def write_table(df: DataFrame, target: str, write_mode: str) -> None:
 
 
 def append_reports(result, file_stats: str, rows_stats: str, data_invalid: str, once=None, name: str = "") -> None:
-    """K2: append the three reports (tables are created on first write).
+    """K2: append the three reports (tables are created on first write). ``data_invalid`` also
+    gets the cells of valid rows that load as null.
 
     ``once``: a ``Ledger``; each report is then appended once in its run, under ``name``."""
-    reports = [("rows_stats", result.rows_stats, ROWS_STATS, rows_stats), ("data_invalid", result.data_invalid, DATA_INVALID, data_invalid)]
+    reports = [("rows_stats", result.rows_stats, ROWS_STATS, rows_stats), ("data_invalid", result.data_invalid.unionByName(result.not_loadable), DATA_INVALID, data_invalid)]
     if result.file_stats is not None:
         reports.insert(0, ("file_stats", result.file_stats, FILE_STATS, file_stats))
     for report, df, schema, target in reports:

@@ -217,3 +217,13 @@ def test_repeated_run_gives_the_same_tables(spark, landing, tmp_path, monkeypatc
     assert read_table(spark, f"{out}/raw/drugs").count() == 4
     with pytest.raises(ValueError):
         run_landing(spark, cfg, landing.root, None, run_id="run-1")
+
+
+def test_values_that_load_as_null_are_in_the_report(spark, landing, tmp_path):
+    landing("pubmed/pubmed.csv", "id;title;date;journal\n10.05;t;01/01/2020;j\n2;t;01/01/2020;j\n")
+    res = check_landing(spark, landing.root, rules("pubmed"), table="pubmed", ingest_ts=TS)
+    paths = [str(tmp_path / n) for n in ("file_stats", "rows_stats", "data_invalid")]
+    append_reports(res, *paths)
+    assert [(r.invalid_code, r.invalid_col_value) for r in read_table(spark, paths[2]).collect()] == [("VALUE_NOT_LOADABLE", "10.05")]
+    assert sorted(str(r.id) for r in res.valid.collect()) == ["2", "None"]
+    res.release()
