@@ -152,6 +152,6 @@ def check_landing(
         # The annotated rows are on shared storage: the scan cache is no
         # longer needed by the row outputs (file_stats is small and cached).
         for df in cached:
-            if df is not fstats and df is not listing:
+            if df is not fstats and df is not listing and "unpersist" not in vars(df):  # staged tables stay until the release
                 df.unpersist()
     return result

@@ -18,6 +18,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # plans that read cached tables print them whole, one inside the other
+        .config("spark.sql.maxPlanStringLength", "1000000")
+        # with the web page off nothing reads the history of jobs: keep little of it on the heap
+        .config("spark.sql.ui.retainedExecutions", "10")
+        .config("spark.ui.retainedJobs", "50")
+        .config("spark.ui.retainedStages", "50")
+        .config("spark.ui.retainedTasks", "1000")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -84,3 +91,14 @@ def ship_code(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(top)))
     sc.addPyFile(path)  # Spark serves it to the executors
     _shipped.add(sc.applicationId)
+
+
+def staged_frame(df, name: str):
+    """A small table written to the shared folder and read back: it cuts the plan (a cached table takes
+    its whole plan into every plan that reads it) and outlives executors. ``unpersist`` deletes it."""
+    spark, schema = df.sparkSession, df.schema
+    path = new_scratch_path(spark, name)
+    df.write.parquet(path)
+    read = spark.read.schema(schema).parquet(path)
+    read.unpersist = lambda blocking=False: delete_path(spark, path)
+    return read

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from ..functions.parsing import ASCII_SPACE
 from ..functions.text import count_char, na_to_null, open_quote, unquoted
 from ..rules import TableRules
-from ..session import broadcast_budget, ship_code
+from ..session import broadcast_budget, ship_code, staged_frame
 from .listing import FILE_ID, FILE_URI, PATH, decoded_path, file_id, inputs, reader, relative_name
 from .records import ASSEMBLED, FOLDED, assemble, block_states, fold, line_code, whole_records
 
@@ -395,14 +395,19 @@ def scan_quoted(
         file_id(uri, seed).alias(FILE_ID), block.alias(BLOCK), uri.alias(FILE_URI), value.alias("value"),
         (~F.is_valid_utf8("value")).alias("bad"),  # of the bytes as read: text functions mend them
     )
+    in_order = True
     if opened is not None:
         ids = opened.select(FILE_ID)
-        lines = lines.join(F.broadcast(ids) if opened.count() * BLOCK_BYTES <= budget else ids.hint("shuffle_hash"), FILE_ID, "left_semi")
+        if opened.count() * BLOCK_BYTES <= budget:
+            lines = lines.join(F.broadcast(ids), FILE_ID, "left_semi")
+        else:  # a shuffle: lines are put in order again
+            lines = lines.withColumn(RID, F.monotonically_increasing_id()).join(ids, FILE_ID, "left_semi").sortWithinPartitions(FILE_ID, BLOCK, RID)
+            in_order = False
     ends_in = open_quote(unquoted(F.col("value"), sep), sep)
     stays_in = open_quote(unquoted(F.concat(F.lit('"'), F.col("value")), sep), sep)
     code = line_code(F.col("value"), ends_in, stays_in, F.btrim("value", F.lit(ASCII_SPACE)) == "", F.col("bad"))
-    coded = lines.select(FILE_ID, BLOCK, FILE_URI, code.alias("code"), "value")
-    blocks = block_states(coded.drop("value").mapInArrow(fold, FOLDED)).persist(StorageLevel.MEMORY_AND_DISK)
+    coded = lines.select(FILE_ID, BLOCK, FILE_URI, code.alias("code"), "value", *([] if in_order else [RID]))
+    blocks = staged_frame(block_states(coded.select(FILE_ID, BLOCK, FILE_URI, "code").mapInArrow(fold, FOLDED)), "csv-blocks")
     nblocks = blocks.count()
     small = nblocks * BLOCK_BYTES <= budget
     entries = blocks.where("NOT file_open").select(F.col("file_id").alias("e_id"), F.col("block").alias("e_block"), "entry", "offset")
@@ -410,7 +415,8 @@ def scan_quoted(
     if small:
         entered = coded.join(F.broadcast(entries), same)
     else:  # lines meet their block's row by a shuffle and are put in order again
-        entered = coded.withColumn(RID, F.monotonically_increasing_id()).join(entries, same).sortWithinPartitions(FILE_ID, BLOCK, RID)
+        coded = coded.withColumn(RID, F.monotonically_increasing_id()) if in_order else coded
+        entered = coded.join(entries, same).sortWithinPartitions(FILE_ID, BLOCK, RID)
     built = entered.select(FILE_ID, BLOCK, FILE_URI, "code", "value", "entry", "offset").mapInArrow(assemble, ASSEMBLED)
     cached = [blocks]
     if cache_scan:
@@ -431,7 +437,7 @@ def scan_quoted(
     files = blocks.groupBy(F.col("file_id").alias("f_id"), "uri").agg(
         F.sum("n").alias("n_records"), F.bool_or("file_open").alias("open_quote"), F.bool_or("bad").alias("bad_utf8")
     ).where("n_records > 0").withColumn(PATH, decoded_path(F.col("uri"))).withColumn("source_filename", relative_name(F.col(PATH), root))
-    files = files.persist(StorageLevel.MEMORY_AND_DISK)
+    files = staged_frame(files, "csv-files")
     cached.append(files)
     facts = files.join(heads, F.col("f_id") == F.col(FILE_ID), "left").select(
         PATH, "header_fields", "header_ok", "max_fields", "open_quote", "bad_utf8", "n_records", "first_fields"

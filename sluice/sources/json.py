@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import count_char
 from ..rules import TableRules
-from ..session import broadcast_budget, ship_code
+from ..session import broadcast_budget, ship_code, staged_frame
 from .listing import FILE_ID, PATH, decoded_path, file_id, inputs, reader, relative_name
 from .records import ASSEMBLED, SEGMENTS, assemble_segments, fold_segments, segment_blocks, whole_records
 
@@ -146,7 +146,7 @@ def scan_split_json(
     )
     segments = segments.select("file_id", "block", "uri", *[c.alias(n) for n, c in _segment_columns(F.col("value")).items()], "value", "bad")
     blocks = segment_blocks(segments.select("file_id", "block", "uri", "flip", "d_out", "d_in", "bad").mapInArrow(fold_segments, SEGMENTS))
-    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = staged_frame(blocks, "json-blocks")
     # after the last bracket the depth is 0; the segment that ends with the file has no brace to count
     even = ~F.col("open") & (F.col("last_depth") == -1)
     entries = blocks.where(even).select(F.col("file_id").alias("e_id"), F.col("block").alias("e_block"), "entry", "depth", "offset")
@@ -164,7 +164,7 @@ def scan_split_json(
     files = blocks.groupBy(F.col("file_id").alias("f_id"), "uri").agg(
         F.max("total").alias("total"), F.bool_and(even).alias("even"), F.bool_or("bad").alias("bad_utf8")
     ).withColumn(PATH, decoded_path(F.col("uri")))
-    files = files.persist(StorageLevel.MEMORY_AND_DISK)
+    files = staged_frame(files, "json-files")
     cached.append(files)
     few = files.count() * FILE_BYTES <= budget
     totals = files.select("f_id", "total", relative_name(F.col(PATH), root).alias("source_filename"))
