@@ -24,24 +24,25 @@ Query = Callable[[SparkSession, str], DataFrame]
 _OPEN: list = []
 
 
-def _alone(result):
+def _alone(check, *args, **options):
     """A query's frame is computed after the query has returned, so what it caches is dropped when
-    the next one starts."""
+    the next one starts (before that caches anything: equal plans share one cache)."""
     while _OPEN:
         _OPEN.pop().release()
-    _OPEN.append(result)
-    return result
+    _OPEN.append(check(*args, **options))
+    return _OPEN[-1]
 
 
 def _check(spark: SparkSession, sf: str, name: str):
     ds = DATASETS[name]
-    return _alone(check_records(
+    return _alone(check_records,
         ds.spark_records(spark, sf), ds.rules, pipeline=PIPELINE, dataset=DATASET,
         table=name, ingest_ts=INGEST_TS,
-        # one output per query: nothing to share, so nothing to materialize;
+        # one output per query: nothing to share, so nothing to materialize; the key sizes
+        # read the key columns again, which costs less than a copy of all records;
         # table_records already spread a narrow table over the cores
-        persist=False, cache_input=True, spread_rows=False,
-    ))
+        persist=False, cache_input=False, spread_rows=False,
+    )
 
 
 def _violations(name: str, code: str, cols: tuple[str, ...] = ()) -> tuple[Query, str]:
@@ -110,10 +111,10 @@ def _null_dates_pass_violations() -> tuple[Query, str]:
     r = dataclasses.replace(ds.rules, null_dates_pass=True)
 
     def run(spark, sf):
-        res = _alone(check_records(
+        res = _alone(check_records,
             ds.spark_records(spark, sf), r, pipeline=PIPELINE, dataset=DATASET, table="orders",
-            ingest_ts=INGEST_TS, persist=False, cache_input=True, spread_rows=False,
-        ))
+            ingest_ts=INGEST_TS, persist=False, cache_input=False, spread_rows=False,
+        )
         return res.data_invalid.where(F.col("invalid_code") == CODE_PARSE).select(*REPORT)
 
     where = f"c = {oracle.q(CODE_PARSE)}"
@@ -184,10 +185,10 @@ def _landing_check(spark, sf, **options):
     from ..plans.landing import check_landing
 
     root = orders_landing(spark, sf)
-    return _alone(check_landing(
+    return _alone(check_landing,
         spark, root, orders_landing_rules(), pipeline=PIPELINE, dataset=DATASET, table="orders",
         ingest_ts=INGEST_TS, persist=False, **options,
-    ))
+    )
 
 
 def _with_label(df: DataFrame) -> DataFrame:
@@ -343,10 +344,10 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         from ..plans.landing import check_landing
 
         root = lineitem_landing(spark, sf)
-        res = _alone(check_landing(
+        res = _alone(check_landing,
             spark, root, lineitem_landing_rules(), pipeline=PIPELINE, dataset=DATASET,
             table="lineitem", ingest_ts=INGEST_TS, persist=False, multi_line=False,
-        ))
+        )
         return res.rows_stats.withColumn("source_filename", label()).withColumnRenamed(
             "source_filename", "landing_file"
         )
@@ -356,10 +357,10 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         from .landing import hidden_landing, hidden_landing_rules
         from ..plans.landing import check_landing
 
-        res = _alone(check_landing(
+        res = _alone(check_landing,
             spark, hidden_landing(spark, sf), hidden_landing_rules(), pipeline=PIPELINE, dataset=DATASET, table="nation",
             ingest_ts=INGEST_TS, persist=False,
-        ))
+        )
         kept = F.instr("source_filename", "/_kept/") > 0
         return res.file_stats.withColumn("landing_file", F.concat(F.when(kept, "kept ").otherwise(""), label())).select("landing_file", "is_invalid", "description")
 
@@ -369,10 +370,10 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         from ..plans.landing import check_landing
 
         root = documents_landing(spark, sf)
-        return _alone(check_landing(
+        return _alone(check_landing,
             spark, root, documents_landing_rules(), pipeline=PIPELINE, dataset=DATASET, table="documents",
             ingest_ts=INGEST_TS, persist=False,
-        ))
+        )
 
     def documents_rows_stats(spark, sf):
         return documents_check(spark, sf).rows_stats.withColumn("source_filename", label()).withColumnRenamed("source_filename", "landing_file")
@@ -388,10 +389,10 @@ def landing_queries() -> dict[str, tuple[Query, str]]:
         from ..plans.landing import check_landing
 
         root = events_json_landing(spark, sf)
-        res = _alone(check_landing(
+        res = _alone(check_landing,
             spark, root, events_json_rules(), pipeline=PIPELINE, dataset=DATASET, table="events",
             ingest_ts=INGEST_TS, persist=False, **options,
-        ))
+        )
         return lambda df: df.withColumn("source_filename", label()).withColumnRenamed("source_filename", "landing_file"), res
 
     def json_rows_stats(spark, sf):

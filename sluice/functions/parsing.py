@@ -1,7 +1,8 @@
 """Type checks as built-in Column expressions (no Python UDFs).
 
 Each check returns a Column that is null when the text does not parse, so a
-violation is simply ``parsed.isNull()``. The grammar follows pandas 2.x:
+violation is simply ``parsed.isNull()``. Parsers with a ``plain`` form read most texts by a
+cast alone; ``plain_value`` is null where a text is not in that form, and the stages then decide. The grammar follows pandas 2.x:
 ``to_numeric`` for numbers and the ``strptime`` directive set for dates.
 """
 
@@ -91,6 +92,22 @@ class NumberParser:
             ok = ok & ~prep["frac"]
         return F.when(ok, raw)
 
+    def plain(self, text: Column) -> tuple[Column, Column]:
+        t = text
+        if self.thousand is not None:
+            t = F.replace(t, F.lit(self.thousand), F.lit(""))
+        if self.decimal is not None:
+            t = F.replace(t, F.lit(self.decimal), F.lit("."))
+        return t, t.try_cast("bigint" if self.integer else "double")
+
+    def plain_value(self, text: Column, t: Column, raw: Column) -> Column:
+        # What casts to a number, begins with a sign, point or digit and ends with a digit (or a point) has blanks
+        # and control characters nowhere and no suffix; only a hex float is still to be told apart.
+        ends = t.between("+", ":") & F.substring(t, -1, 1).between("0" if self.integer else ".", "9")
+        if self.integer:
+            return F.when(ends, raw)
+        return F.when(ends & (F.instr(t, "x") == 0) & (F.instr(t, "X") == 0) & (F.abs(raw) < F.lit(float("inf"))), raw)
+
     def __call__(self, text: Column) -> Column:
         prep = self.prepare(text)
         return self.final(prep, self.raw(prep))
@@ -246,6 +263,49 @@ class StrptimeParser:
         in_range = raw.between(F.lit(TS_MIN).cast("timestamp_ntz"), F.lit(TS_MAX).cast("timestamp_ntz"))
         return F.when(matched & shape & in_range, raw)
 
+    def plain(self, text: Column) -> tuple[Column, Column] | None:
+        """The date in ISO order, of formats of full-width numbers in fixed places; None for other formats."""
+        at = self._places()
+        if at is None:
+            return None
+        cut = lambda f: F.substring(text, at[f], 4 if f == "Y" else 2)
+        clock = "H" in at
+        if self.spec.fmt == ("%Y-%m-%d %H:%M:%S" if clock else "%Y-%m-%d"):
+            iso = text
+        else:
+            iso = F.concat(cut("Y"), F.lit("-"), cut("m"), F.lit("-"), cut("d"))
+            if clock:
+                iso = F.concat(iso, F.lit(" "), cut("H"), F.lit(":"), cut("M"), F.lit(":"), cut("S"))
+        return iso, iso.try_cast("timestamp_ntz" if clock else "date")
+
+    def plain_value(self, text: Column, iso: Column, raw: Column) -> Column:
+        # What the value prints as is what the text says, digit by digit; marks between the numbers are compared.
+        at = self._places()
+        same = raw.cast("string") == iso
+        if self.spec.fmt != ("%Y-%m-%d %H:%M:%S" if "H" in at else "%Y-%m-%d"):
+            same = same & (F.length(text) == at["width"])
+            for place, mark in at["marks"]:
+                same = same & (F.substring(text, place, len(mark)) == F.lit(mark))
+        value = raw.cast("timestamp_ntz")
+        in_range = value.between(F.lit(TS_MIN).cast("timestamp_ntz"), F.lit(TS_MAX).cast("timestamp_ntz"))
+        return F.when(same & in_range & (F.length(iso) == (19 if "H" in at else 10)), value)
+
+    def _places(self) -> dict | None:
+        """Place of each directive and mark in a text of full-width numbers."""
+        parts = re.findall(r"%.|[^%]+", self.spec.fmt)
+        names = sorted(p[1] for p in parts if p[0] == "%")
+        if names not in (["Y", "d", "m"], ["H", "M", "S", "Y", "d", "m"]):
+            return None
+        at, place = {"marks": []}, 1
+        for p in parts:
+            if p[0] == "%":
+                at[p[1]] = place
+                place += 4 if p[1] == "Y" else 2
+            else:
+                at["marks"].append((place, p))
+                place += len(p)
+        return {**at, "width": place - 1}
+
     def __call__(self, text: Column) -> Column:
         prep = self.prepare(text)
         return self.final(prep, self.raw(prep))
@@ -332,6 +392,15 @@ def first_value_format(text: Column) -> Column:
     return F.struct(F.when(_time_of(prep["t"]).isNotNull(), date).alias("date"), time_shape(prep["t"]).alias("time"))
 
 
+def seldom(parser, text: Column) -> Column:
+    """``parser(text)``, its stages in lambdas, which Spark interprets: for texts that are not in the plain form.
+    Generated code, and so the method that each row runs through, stays small."""
+    one = F.transform(F.array(text), lambda t: F.struct(*[c.alias(k) for k, c in parser.prepare(t).items()]))
+    refs = lambda p: {k: p[k] for k in parser.prepare(text)}
+    one = F.transform(one, lambda p: F.struct(p.alias("prep"), parser.raw(refs(p)).alias("raw")))
+    return F.get(F.transform(one, lambda p: parser.final(refs(p["prep"]), p["raw"])), F.lit(0))
+
+
 def datetime_value(text: Column, fmt: str | None) -> Column:
     return strptime(text, fmt) if fmt else FirstValueParser()(text)
 

@@ -4,10 +4,11 @@
 one task. Instead the group sizes are a partial (map-side combined)
 aggregate, only groups with more than one member are kept, and those are
 joined back on the null-safe key. The duplicate table is broadcast only when
-its measured size is under the budget; otherwise a Bloom filter of its key hashes
-picks the rows that may have a duplicate key, and only these go through a shuffle
-join on the file and two hashes of the key (no key text is sorted); the key values decide
-after the match, and AQE's skew-join split handles a hot key on the big side.
+its measured size is under the budget; otherwise the rows go through a shuffle
+join on two hashes of the key and the file (no key text is sorted); the key values decide
+after the match, and AQE's skew-join split handles a hot key on the big side. Where keys are
+free texts, and rows so wide, a Bloom filter of the key hashes picks the rows that may have a
+duplicate key, and only these are shuffled; that makes the rows twice.
 """
 
 from __future__ import annotations
@@ -139,10 +140,14 @@ def with_key_counts(
         # Equal hashes of different duplicate keys would match a row twice.
         if hashed.select(renamed[file_col], "_dh1", "_dh2").distinct().count() == rows:
             h1, h2 = key_hashes(keys)
-            marked = _marked(df.withColumns({"_h1": h1, "_h2": h2}), hashed, budget)
-            out = marked.where("_maybe").drop("_maybe").join(
-                hashed, same_file & (F.col("_h1") == F.col("_dh1")) & (F.col("_h2") == F.col("_dh2")), "left"
-            )
+            rows_hashed = df.withColumns({"_h1": h1, "_h2": h2})
+            same_hash = (F.col("_h1") == F.col("_dh1")) & (F.col("_h2") == F.col("_dh2")) & same_file
+            if not two_phase:  # narrow rows: moving all of them costs less than making them twice
+                out = rows_hashed.join(hashed, same_hash, "left")
+                out = out.withColumn(KEY_COUNT, F.when(reduce(Column.__and__, same_key), F.col(KEY_COUNT)))
+                return out.drop("_h1", "_h2", "_dh1", "_dh2", *renamed.values()), dups
+            marked = _marked(rows_hashed, hashed, budget)
+            out = marked.where("_maybe").drop("_maybe").join(hashed, same_hash, "left")
             out = out.withColumn(KEY_COUNT, F.when(reduce(Column.__and__, same_key), F.col(KEY_COUNT)))
             out = out.drop("_h1", "_h2", "_dh1", "_dh2", *renamed.values())
             # rows whose key is certainly unique stay where they are

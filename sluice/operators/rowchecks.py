@@ -7,11 +7,13 @@ their target names, all strings, NA tokens already null.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parsing import NULL_DATE_TEXT, NULL_NUMBER_TEXT, FirstValueParser, first_value_format, integral, parser_for
+from ..functions.parsing import NULL_DATE_TEXT, NULL_NUMBER_TEXT, FirstValueParser, first_value_format, integral, parser_for, seldom
 from ..functions.text import key_value_text, newline_to_space, python_list_text
 from ..rules import LINEAGE_COLUMNS, ColumnRule, TableRules
 from ..schemas import CODE_KEY, CODE_LOAD, CODE_NULL, CODE_PARSE, REASON_KEY, REASON_LOAD, REASON_PARSE, REASON_REQUIRED
@@ -134,27 +136,46 @@ def with_parsed(df: DataFrame, rules: TableRules, parsers: dict[str, FirstValueP
     The parse runs in stacked projections (prepare -> raw -> final): each
     stage's expensive expression is referenced more than once by the next,
     so the optimizer keeps the stages apart and every value is computed once
-    per row instead of once per reference. ``parsers``: those of date columns
+    per row instead of once per reference. Texts in a parser's plain form are read by a cast; the
+    stages for the others lie in lambdas (see ``seldom``). ``parsers``: those of date columns
     that are read by their file's first value.
     """
     rs = _checked_rules(rules)
     if not rs:
         return df
     by = {r.name: (parsers or {}).get(r.name) or _parser(r) for r in rs}
-    prep_cols, refs = {}, {}
+    prep_cols, raws, refs, plain = {}, {}, {}, {}
     for r in rs:
-        prep = by[r.name].prepare(checked_input(r, F.col(r.name), rules.null_dates_pass))
+        text = checked_input(r, F.col(r.name), rules.null_dates_pass)
+        parser = by[r.name]
+        form = parser.plain(text) if hasattr(parser, "plain") else None
+        if form is not None:
+            prep_cols[f"_a_{r.name}_t"], prep_cols[f"_a_{r.name}_n"] = form[0], form[1]
+            plain[r.name] = parser.plain_value(text, F.col(f"_a_{r.name}_t"), F.col(f"_a_{r.name}_n"))
+            continue
         refs[r.name] = {}
-        for k, expr in prep.items():
+        for k, expr in parser.prepare(text).items():
             prep_cols[f"_a_{r.name}_{k}"] = expr
             refs[r.name][k] = F.col(f"_a_{r.name}_{k}")
     df = df.withColumns(prep_cols)
-    df = df.withColumns({f"_r_{r.name}": by[r.name].raw(refs[r.name]) for r in rs})
-    df = df.withColumns(
-        {parsed_col(r.name): by[r.name].final(refs[r.name], F.col(f"_r_{r.name}")) for r in rs}
-    )
-    whole = {loaded_col(r.name): integral(F.col(r.name), F.col(parsed_col(r.name))) for r in rs if r.type == "INTEGER"}
-    return (df.withColumns(whole) if whole else df).drop(*prep_cols, *[f"_r_{r.name}" for r in rs])
+    raws = {f"_r_{r.name}": plain[r.name] if r.name in plain else by[r.name].raw(refs[r.name]) for r in rs}
+    df = df.withColumns(raws)
+    final = {}
+    for r in rs:
+        raw = F.col(f"_r_{r.name}")
+        if r.name in plain:
+            text = checked_input(r, F.col(r.name), rules.null_dates_pass)
+            final[parsed_col(r.name)] = F.coalesce(raw.cast("double") if r.type == "INTEGER" else raw, seldom(by[r.name], text))
+        else:
+            final[parsed_col(r.name)] = by[r.name].final(refs[r.name], raw)
+    df = df.withColumns(final)
+    whole = {}
+    for r in rs:
+        if r.type == "INTEGER":
+            text, value = F.col(r.name), F.col(parsed_col(r.name))
+            odd = F.get(F.transform(F.array(text), lambda t: integral(t, value)), F.lit(0))
+            whole[loaded_col(r.name)] = F.when(text.isNotNull(), F.coalesce(f"_r_{r.name}", odd))
+    return (df.withColumns(whole) if whole else df).drop(*prep_cols, *raws)
 
 
 def _checked_rules(rules: TableRules) -> list[ColumnRule]:
@@ -172,27 +193,17 @@ def _violation(reason: Column | str, code: str, col_name: str, value: Column | N
     )
 
 
-def violation_columns(rules: TableRules) -> list[Column]:
-    """One nullable violation struct per (rule, column), in report order."""
+def _checks(rules: TableRules) -> list[tuple[Column, Column]]:
+    """(fails, violation struct) per (rule, column), in report order."""
     out = []
     for name in rules.required_columns:
-        out.append(
-            F.when(
-                F.col(name).isNull(),
-                _violation(REASON_REQUIRED.format(col=name), CODE_NULL, name, None),
-            )
-        )
+        out.append((F.col(name).isNull(), _violation(REASON_REQUIRED.format(col=name), CODE_NULL, name, None)))
     keys = rules.key_columns
     if keys:
         label = python_list_text(keys)
         head, tail = REASON_KEY.format(cols=label, n="\0").split("\0")
         reason = F.concat(F.lit(head), F.col(KEY_COUNT).cast("string"), F.lit(tail))
-        out.append(
-            F.when(
-                F.col(KEY_COUNT) > 1,
-                _violation(reason, CODE_KEY, label, key_value_text([F.col(k) for k in keys])),
-            )
-        )
+        out.append((F.col(KEY_COUNT) > 1, _violation(reason, CODE_KEY, label, key_value_text([F.col(k) for k in keys]))))
     for rule in _checked_rules(rules):
         value = F.col(parsed_col(rule.name))
         if rule.type in ("DATE", "DATETIME") and rules.null_dates_pass:
@@ -200,10 +211,28 @@ def violation_columns(rules: TableRules) -> list[Column]:
         else:
             fails = value.isNull()
         reason = REASON_PARSE.format(col=rule.name, type=rule.type)
-        out.append(F.when(fails, _violation(reason, CODE_PARSE, rule.name, F.col(rule.name))))
+        out.append((fails, _violation(reason, CODE_PARSE, rule.name, F.col(rule.name))))
     return out
 
 
+def violation_columns(rules: TableRules) -> list[Column]:
+    """One nullable violation struct per (rule, column), in report order."""
+    return [F.when(fails, violation) for fails, violation in _checks(rules)]
+
+
+_NO_VIOLATIONS = "array<struct<invalid_reason:string,invalid_code:string,invalid_col_name:string,invalid_col_value:string>>"
+
+
+def violations_array(rules: TableRules) -> Column:
+    """The violations of a row; the array is only put together for rows that have one."""
+    checks = _checks(rules)
+    none = F.array().cast(_NO_VIOLATIONS)
+    if not checks:
+        return none
+    some = reduce(Column.__or__, [F.coalesce(fails, F.lit(False)) for fails, _ in checks])
+    return F.when(some, F.array_compact(F.array(*violation_columns(rules)))).otherwise(none)
+
+
 def lost_values(rules: TableRules) -> Column:
     """Cells of a valid row that load as null: numbers that pass the INTEGER test, which
     no bigint holds. An array of violation structs."""
@@ -214,7 +243,7 @@ def lost_values(rules: TableRules) -> Column:
         )
         for r in _checked_rules(rules) if r.type == "INTEGER"
     ]
-    none = F.array().cast("array<struct<invalid_reason:string,invalid_code:string,invalid_col_name:string,invalid_col_value:string>>")
+    none = F.array().cast(_NO_VIOLATIONS)
     return F.when(F.size(VIOLATIONS) == 0, F.array_compact(F.array(*lost))).otherwise(none) if lost else none
 
 
@@ -237,9 +266,6 @@ def annotate(
     ``spread_rows``: None decides from the input's partition count (see
     ``spread``), True always repartitions round-robin, False never.
     """
-    # Parse below the key-count join: projections never collapse across a
-    # join, so each parsed value stays computed once whatever the consumer
-    # prunes. The duplicate-key aggregate prunes the parsed columns away.
     if spread_rows is None:
         rows = spread(norm)
     elif spread_rows:
@@ -253,15 +279,12 @@ def annotate(
     # hashes so only 16 bytes per row are shuffled (exact, see keys.py).
     wide = any(c.type == "STRING" for c in rules.columns if c.unique_identifier)
     rows, parsers, formats = with_first_value_formats(rows, norm, rules, file_key, budget)
-    parsed = with_parsed(rows, rules, parsers).drop(*[f"_f_{k}" for k in range(len(parsers))])
+    # Parse above the key-count join: where it shuffles, only the texts travel.
     with_counts, dups = with_key_counts(
-        parsed, rules.key_columns, file_key, budget, count_from=norm, two_phase=wide,
-    )
-    checks = violation_columns(rules)
-    v = F.array_compact(F.array(*checks)) if checks else F.array().cast(
-        "array<struct<invalid_reason:string,invalid_code:string,invalid_col_name:string,invalid_col_value:string>>"
+        rows, rules.key_columns, file_key, budget, count_from=norm, two_phase=wide,
     )
-    out = with_counts.withColumn(VIOLATIONS, v).drop(KEY_COUNT, FILE_ID)
+    parsed = with_parsed(with_counts, rules, parsers).drop(*[f"_f_{k}" for k in range(len(parsers))])
+    out = parsed.withColumn(VIOLATIONS, violations_array(rules)).drop(KEY_COUNT, FILE_ID)
     return out, [d for d in (dups, formats) if d is not None]
 
 
