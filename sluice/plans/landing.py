@@ -77,7 +77,7 @@ def check_landing(
     under the table's prefix is checked. ``cache_scan`` False parses the CSV
     and JSON files anew for each step (block table, key sizes, checks) instead
     of caching the parsed records; by default files of up to CACHE_BYTES
-    together are cached. JSON files beyond
+    together are cached, but for CSV files read by lines, which are only cached if it is True. JSON files beyond
     ``json_split_bytes`` are read by many tasks each.
     """
     ts = ingest_ts or now_utc()
@@ -85,6 +85,8 @@ def check_landing(
     listing, formats, seed = _listed(spark, root, rules, paths)
     cached: list[DataFrame] = [listing]
     nfiles = sum(f["files"] for f in formats.values())
+    # Lines are cut anew for each step: each needs few of their columns, and a copy of all costs more to make.
+    cache_lines = bool(cache_scan)
     if cache_scan is None:
         cache_scan = sum(f["bytes"] for f in formats.values()) <= CACHE_BYTES
     small = nfiles * FILE_BYTES <= broadcast_budget(spark)
@@ -94,9 +96,9 @@ def check_landing(
     parts, rows, csv_facts, json_facts, wb_facts = 0, [], None, None, None
     if "csv" in formats:
         if multi_line is None:
-            scans = scan_csv_files(spark, root, rules, paths, cache_scan, seed)
+            scans = scan_csv_files(spark, root, rules, paths, cache_scan, seed, cache_lines)
         else:
-            scans = [scan_csv(spark, root, rules, multi_line=multi_line, paths=paths, cache_scan=cache_scan, seed=seed)]
+            scans = [scan_csv(spark, root, rules, multi_line=multi_line, paths=paths, cache_scan=cache_scan if multi_line else cache_lines, seed=seed)]
         for scan in scans:
             uneven = skewed_blocks(scan.blocks, parallelism)
             rows.append(scan.rows.repartition(parallelism) if uneven else scan.rows)

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark import StorageLevel
@@ -102,6 +103,31 @@ def _without_bom(block: Column) -> Column:
     return F.when(block == 0, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
 
 
+def _cells(value: Column, sep: str, text_cols: list[str]) -> Column:
+    """The cells of a line, an array. A line without a quote is cut at the separators; only
+    lines with quotes go through the CSV parser (in a lambda, so once a line)."""
+    parsed = F.from_csv(value, F.lit(", ".join(f"{c} STRING" for c in (*text_cols, EXTRA))), _csv_options(sep))
+    quoted = F.get(F.transform(F.array(parsed), lambda s: F.array(*[s[c] for c in text_cols])), F.lit(0))
+    literal = "".join(c if c.isalnum() or ord(c) > 127 else "\\" + c for c in sep)
+    return F.when(F.instr(value, '"') == 0, F.split(value, literal, -1)).otherwise(quoted)
+
+
+def _cell(cells: str, i: int) -> Column:
+    cell = F.get(F.col(cells), F.lit(i))
+    return F.when(cell != "", cell)  # as the CSV parser has it
+
+
+def _line_is_header(rules: TableRules, raw: Column, sep: str, text_cols: list[str], fields: Column) -> Column:
+    """As ``_header_ok``, of a line; only lines that hold the first names are parsed for it."""
+    may = fields == len(text_cols)
+    for h in [h for h in rules.header if h.isascii() and '"' not in h][:2]:
+        may = may & (F.instr(raw, h) > 0)
+    parsed = F.from_csv(raw, F.lit(", ".join(f"{c} STRING" for c in (*text_cols, EXTRA))), _csv_options(sep))
+    same = lambda s: reduce(Column.__and__, [F.coalesce(s[c] == F.lit(h), F.lit(False)) for c, h in zip(text_cols, rules.header)])
+    ok = F.get(F.transform(F.array(parsed), same), F.lit(0))
+    return F.when(may, ok & F.lit(rules.header_matchable)).otherwise(F.lit(False))
+
+
 def _header_ok(rules: TableRules, text_cols: list[str], fields: Column) -> Column:
     """Column by column with short-circuit: a data row fails at its first cell."""
     ok = F.lit(True)
@@ -148,19 +174,18 @@ def scan_csv(
     line_mode = not multi_line and _is_utf8(encoding)
     if line_mode:
         # One record per line: the text source splits big files into blocks and
-        # keeps the raw line; from_csv tokenizes it with the same options.
+        # keeps the raw line; ``_cells`` cuts it as the CSV reader would.
         lines = reader(spark, "csv").text(inputs(root, rules.source_path, paths))
         block = F.col("_metadata.file_block_start")
         value = _without_bom(block)
-        ddl = ", ".join(f"{c} STRING" for c in (*text_cols, EXTRA))
-        parsed = F.from_csv(value, F.lit(ddl), csv_options)
         df = lines.select(
-            *[parsed[c].alias(c) for c in text_cols],
+            _cells(value, sep, text_cols).alias("_cells"),
             value.alias(RAW),
             F.is_valid_utf8("value").alias("_utf8_ok"),
             F.col("_metadata.file_path").alias("_file_path"),
             block.alias("_file_block"),
         )
+        df = df.select("*", *[_cell("_cells", i).alias(c) for i, c in enumerate(text_cols)]).drop("_cells")
         bad_utf8 = ~F.col("_utf8_ok")
     else:
         df = (
@@ -188,7 +213,10 @@ def scan_csv(
     # In the CSV reader a record with exactly n+1 fields fills the extra column
     # and keeps no raw text.
     fields = F.when(raw.isNull(), F.lit(n + 1)).otherwise(_fields(unq, sep)).cast("int")
-    header_ok = _header_ok(rules, text_cols, fields)
+    if line_mode:
+        header_ok = _line_is_header(rules, raw, sep, text_cols, fields)
+    else:
+        header_ok = _header_ok(rules, text_cols, fields)
     numbered = (
         df.select(
             *text_cols,
@@ -343,6 +371,7 @@ def scan_csv_files(
     paths: list[str] | None = None,
     cache_scan: bool = True,
     seed: int = 0,
+    cache_lines: bool = False,
 ) -> list[CsvScan]:
     """Scans that together hold every CSV file once, each in the mode it needs.
 
@@ -355,7 +384,7 @@ def scan_csv_files(
     options = {"cache_scan": cache_scan, "seed": seed}
     if not _is_utf8(encoding):
         return [scan_csv(spark, root, rules, multi_line=True, paths=paths, **options)]
-    lines = scan_csv(spark, root, rules, multi_line=False, paths=paths, skip_open=True, **options)
+    lines = scan_csv(spark, root, rules, multi_line=False, paths=paths, skip_open=True, cache_scan=cache_lines, seed=seed)
     opened = lines.blocks.where("_file_open").select(FILE_ID, PATH).distinct()
     found = opened.limit(NAMES + 1).collect()
     if not found:
