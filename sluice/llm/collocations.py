@@ -51,7 +51,9 @@ TOP = 2000
 PARTS = 64
 UNKNOWN = "und"
 #: Bytes of text that are worked on in one go, and counted phrases held back before they are sent on.
-CHUNK, HELD = 1_000_000, 200_000
+CHUNK, HELD = 1_000_000, 400_000
+#: Texts that a task gathers over all its groups, in chunks: each of the languages' shards should fill one.
+GATHERED = 40
 #: Bytes of a bit table: 16 bits a frequent phrase, at most so many.
 MOST_BYTES = 64 * 1024 * 1024
 #: Memory of a frequent phrase in a broadcast; rows (a language, or one in a shard) that are broadcast.
@@ -152,7 +154,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[tuple[t
             if size[key] >= chunk:
                 total -= size.pop(key)
                 yield key, _END.join(held.pop(key))
-            elif total >= 8 * chunk:  # many keys: the fullest goes
+            elif total >= GATHERED * chunk:  # many keys: the fullest goes
                 most = max(size, key=size.__getitem__)
                 total -= size.pop(most)
                 yield most, _END.join(held.pop(most))
