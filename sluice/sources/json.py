@@ -174,9 +174,13 @@ def scan_split_json(
     closes = F.when(F.col("total") == 0, F.col("raw").rlike(r"^\s*\[\s*\]\s*\z")).otherwise(F.col("raw").rlike(r"^\s*\]\s*\z"))
     parsed = members.select("f_id", "ordinal", last.alias("last"), begins.alias("begins"), closes.alias("closes"), F.from_json("body", "map<string,string>", STRICT).alias("m"))
     fine = F.when(F.col("last"), F.col("closes")).otherwise(F.col("begins") & F.col("m").isNotNull())
-    sound = parsed.groupBy(F.col("f_id").alias("s_id")).agg(F.bool_and(fine).alias("sound"))
+    # one pass parses the members: a row for each list of names that a file's members have
+    shapes = parsed.groupBy("f_id", F.when(~F.col("last"), F.map_keys("m")).alias("names")).agg(F.min("ordinal").alias("ordinal"), F.bool_and(fine).alias("fine"))
+    shapes = staged_frame(shapes, "json-shapes")
+    cached.append(shapes)
+    sound = shapes.groupBy(F.col("f_id").alias("s_id")).agg(F.bool_and("fine").alias("sound"))
     # the columns in order of first appearance are the header's
-    keys = parsed.where("NOT last").select("f_id", "ordinal", F.posexplode(F.map_keys("m")).alias("place", "name"))
+    keys = shapes.select("f_id", "ordinal", F.posexplode("names").alias("place", "name"))
     keys = keys.groupBy("f_id", "name").agg(F.min(F.struct("ordinal", "place")).alias("first"))
     heads = list(dict.fromkeys(rules.header))
     firsts = keys.groupBy(F.col("f_id").alias("k_id")).agg(

@@ -42,6 +42,29 @@ def test_landing_lines_are_not_cached(spark):
     assert not [c for c in registry._OPEN[-1].cached if "_rid" in c.columns]
 
 
+def test_json_members_are_parsed_once_for_the_file_facts(spark, tmp_path):
+    from sluice.catalog.landing import events_json_landing, events_json_rules
+    from sluice.sources.json import scan_split_json
+
+    scan = scan_split_json(spark, events_json_landing(spark, SF), events_json_rules(), split_bytes=0)
+    assert "from_json" not in plan(scan.facts)
+    facts = scan.facts.groupBy("parse_ok", "header_ok", "header_fields").count().collect()
+    assert {(r["parse_ok"], r["header_ok"]) for r in facts} == {(True, True), (False, False)}
+    for c in scan.cached:
+        c.unpersist()
+
+
+def test_collocations_fill_a_chunk_for_each_group():
+    import pyarrow as pa
+
+    from sluice.llm.collocations import _gathered
+
+    groups, chunk = 32, 100
+    batches = [pa.RecordBatch.from_arrays([pa.array([f"g{k}"]), pa.array([b"x" * 10])], names=["g", "text"]) for _ in range(20) for k in range(groups)]
+    sizes = [len(text) for _, text in _gathered(iter(batches), chunk)]
+    assert sum(s >= chunk for s in sizes) >= groups  # each group reaches a chunk before the fullest is let go
+
+
 ODD = [
     None, "", "0", "-0", "+7", "007", "12", " 12", "12 ", "\t12\n", "12\x00", "\x0012", "\x1f3", "3\x7f", "\x7f3", "1.0", "1.5", "1,5", "10.05", "1.", ".5", ".", "-", "+", "+-1",
     "1e3", "1E3", "1e400", "-1e400", "1d", "1f", "1D", "2F", "0x1p3", "0X1P3", "0x10", "NaN", "nan", "inf", "-Infinity", "infinity", "Infinity ", "1/", "1:", ":", "9223372036854775807",
